@@ -246,11 +246,14 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
     if name in BASE_TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    chain = _with_needs([name])
+    texts = {n: _fill(FIXTURES[n], "spark") for n in chain}
     for base in BASE_TABLES:
-        spark.read.parquet(f"{sf_dir}/{base}.parquet").createOrReplaceTempView(base)
-    for need in _with_needs([name])[:-1]:
-        spark.sql(_fill(FIXTURES[need], "spark")).createOrReplaceTempView(need)
-    return spark.sql(_fill(FIXTURES[name], "spark"))
+        if any(re.search(rf"\bFROM {base}\b", text) for text in texts.values()):
+            spark.read.parquet(f"{sf_dir}/{base}.parquet").createOrReplaceTempView(base)
+    for need in chain[:-1]:
+        spark.sql(texts[need]).createOrReplaceTempView(need)
+    return spark.sql(texts[name])
 
 
 def views(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:

@@ -228,7 +228,7 @@ def q_metadata(spark, sf):
     # One row per configured column on this side.
     joined = values.join(F.broadcast(rules), ["table_name", "column_name"])
     ok = F.col("value").isNotNull() & ~F.array_contains("invalid_texts", F.col("value"))
-    ok = ok & F.coalesce(F.col("value").rlike(F.col("valid_regexp")), F.lit(True))
+    ok = ok & F.coalesce(F.rlike("value", F.col("valid_regexp")), F.lit(True))
     return joined.groupBy("database_name", "table_name", "column_name", "key_name").agg(
         F.sum("n").alias("row_count"), F.sum(F.when(ok, F.col("n")).otherwise(0)).alias("usable_rows")
     )

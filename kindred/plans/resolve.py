@@ -145,40 +145,46 @@ def _node_state(graph: DataFrame) -> DataFrame:
     return both.groupBy("u").agg(F.min("v").alias("v"), F.sum("below").alias("below"), F.sum("above").alias("above"))
 
 
-def _open_nodes(graph: DataFrame) -> int:
-    """Nodes that keep the graph from being a set of stars around smallest nodes."""
-    state = _node_state(graph)
-    return state.filter((F.col("below") > 1) | ((F.col("below") > 0) & (F.col("above") > 0))).count()
+def _progress(graph: DataFrame) -> tuple[int, int]:
+    """Edges, and nodes that keep the graph from being a set of stars around smallest nodes."""
+    is_open = (F.col("below") > 1) | ((F.col("below") > 0) & (F.col("above") > 0))
+    row = _node_state(graph).agg(F.coalesce(F.sum("below"), F.lit(0)).alias("edges"), F.count_if(is_open).alias("open")).first()
+    return row["edges"], row["open"]
 
 
-def large_star(graph: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
+def large_star(graph: DataFrame, floor: int = HOT_FLOOR, total: int | None = None) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest node around it."""
     lowest = _node_state(graph).filter(F.col("above") > 0).select(F.col("u").alias("b"), F.least("u", "v").alias("m"))
-    return salted_join(graph, lowest, ["b"], floor=floor).select("a", F.col("m").alias("b")).distinct()
+    return salted_join(graph, lowest, ["b"], floor=floor, total=total).select("a", F.col("m").alias("b")).distinct()
 
 
-def small_star(graph: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
+def small_star(graph: DataFrame, floor: int = HOT_FLOOR, total: int | None = None) -> DataFrame:
     """Every node and its smaller neighbours are linked to the smallest of them."""
     lowest = graph.groupBy("a").agg(F.min("b").alias("m"))
-    joined = salted_join(graph, lowest, ["a"], floor=floor)
-    ends = joined.select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-    return ends.select("e.a", "e.b").filter(F.col("a") != F.col("b")).distinct()
+    joined = salted_join(graph, lowest, ["a"], floor=floor, total=total)
+    ends = F.array(
+        F.struct(F.col("a").alias("a"), F.col("m").alias("b")),
+        F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
+    )
+    return joined.select(F.inline(ends)).filter(F.col("a") != F.col("b")).distinct()
 
 
 def contract(graph: DataFrame, scratch: Scratch, max_steps: int = MAX_STEPS, floor: int = HOT_FLOOR) -> tuple[DataFrame, list[dict]]:
     """Component stars (node a, root b) of an edge table of longs with a > b."""
     current, metrics = scratch.save(graph, "contract0"), []
     for step in range(1, max_steps + 1):
-        edge_count = current.count()
-        pending = _open_nodes(current) if edge_count else 0
+        edge_count, pending = _progress(current)
         metrics.append({"iteration": step, "edge_count": edge_count, "updated_count": pending})
         if pending == 0:
             return current, metrics
-        wide = scratch.save(large_star(current, floor), f"large{step}")
-        following = scratch.save(small_star(wide, floor), f"contract{step}")
-        scratch.drop(f"large{step}")
+        wide = large_star(current, floor, edge_count)
+        if edge_count > floor:
+            # The second half reads this twice; a small graph is quicker recomputed than written.
+            wide = scratch.save(wide, f"large{step}")
+        current = scratch.save(small_star(wide, floor, edge_count), f"contract{step}")
+        if edge_count > floor:
+            scratch.drop(f"large{step}")
         scratch.drop(f"contract{step - 1}")
-        current = following
     raise NotConverged(metrics)
 
 
@@ -194,25 +200,28 @@ def resolve(
     """Final graph from the link table of ``extract.pair_table``."""
     scratch = Scratch(pairs.sparkSession, "resolve")
     pairs = scratch.save(pairs, "pairs")
+    # No table below has more rows than there are links.
+    total = pairs.count()
     leaders = scratch.save(number_leaders(pairs, canonical, seniority), "leaders")
 
-    ranked = salted_join(pairs.select(*FOLLOWER, *LEADER), leaders, LEADER, floor=floor).select(*FOLLOWER, "rank")
+    ranked = salted_join(pairs.select(*FOLLOWER, *LEADER), leaders, LEADER, floor=floor, total=total)
+    ranked = ranked.select(*FOLLOWER, "rank")
     ranked = scratch.save(ranked, "ranked")
     lowest = ranked.groupBy(*FOLLOWER).agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
     lowest = scratch.save(lowest, "lowest")
 
     # Leaders that share a follower belong together; most followers have one leader only.
     shared = lowest.filter(F.col("low") < F.col("high")).select(*FOLLOWER, "low")
-    joint = salted_join(ranked, shared, FOLLOWER, floor=floor).filter(F.col("rank") > F.col("low"))
+    joint = salted_join(ranked, shared, FOLLOWER, floor=floor, total=total).filter(F.col("rank") > F.col("low"))
     links = joint.select(F.col("rank").alias("a"), F.col("low").alias("b")).distinct()
     stars, metrics = contract(links, scratch, max_steps, floor)
 
     winner = leaders.select(F.col("rank").alias("root"), *LEADER)
     roots = leaders.select("rank").join(stars.select(F.col("a").alias("rank"), F.col("b").alias("root")), "rank", "left")
     roots = scratch.save(roots.select("rank", F.coalesce("root", "rank").alias("root")), "roots")
-    finals = salted_join(roots, winner, ["root"], floor=floor).select(F.col("rank").alias("low"), *LEADER)
+    finals = salted_join(roots, winner, ["root"], floor=floor, total=total).select(F.col("rank").alias("low"), *LEADER)
 
-    placed = salted_join(lowest.select(*FOLLOWER, "low"), finals, ["low"], floor=floor).drop("low")
+    placed = salted_join(lowest.select(*FOLLOWER, "low"), finals, ["low"], floor=floor, total=total).drop("low")
     graph = follower_table(pairs).join(placed, FOLLOWER).select(
         *FOLLOWER,
         *LEADER,
