@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from checks import identity, ingest
+from checks import identity, ingest, prepare, stage
 
-_FAMILIES = [identity, ingest]
+_FAMILIES = [identity, ingest, stage, prepare]
 
 QUERIES = {name: fn for family in _FAMILIES for name, fn in family.QUERIES.items()}
 ORACLES = {name: text for family in _FAMILIES for name, text in family.ORACLES.items()}
