@@ -89,30 +89,20 @@ def json_keys(df: DataFrame, name: str, fraction: float | None = None) -> DataFr
     rows = df.select(F.col(name).alias("j")).filter(F.col("j").isNotNull())
     if fraction is not None:
         rows = rows.sample(fraction, seed=7)
-    # The same documents tend to repeat; only their key sets are shuffled.
-    level1 = rows.select("j", F.explode(F.json_object_keys("j")).alias("k1"))
-    path = F.concat(F.lit("$['"), F.col("k1"), F.lit("']"))
-    level1 = level1.select("k1", F.get_json_object("j", path).alias("v"))
-    kind = (
-        F.when(F.col("v").startswith("{"), "object").when(F.col("v").startswith("["), "array").otherwise("scalar")
-    )
-    level1 = level1.withColumn("kind", kind)
+    parsed = lambda name: F.explode(F.from_json(name, "map<string,string>"))
+    level1 = rows.select(parsed("j").alias("k1", "v")).withColumn("kind", _json_kind("v"))
     top = level1.select("k1", F.lit(None).cast("string").alias("k2"), "kind")
-    child_path = F.concat(F.lit("$['"), F.col("k2"), F.lit("']"))
-    nested = (
-        level1.filter(F.col("kind") == "object")
-        .select("k1", "v", F.explode(F.json_object_keys("v")).alias("k2"))
-        .withColumn("c", F.get_json_object("v", child_path))
-        .select(
-            "k1",
-            "k2",
-            F.when(F.col("c").startswith("{"), "object").when(F.col("c").startswith("["), "array").otherwise("scalar").alias("kind"),
-        )
-    )
+    nested = level1.filter(F.col("kind") == "object").select("k1", parsed("v").alias("k2", "c"))
+    nested = nested.select("k1", "k2", _json_kind("c").alias("kind"))
     # A key whose value kind varies between rows is treated as the simplest one seen.
     return top.unionByName(nested).groupBy("k1", "k2").agg(F.max("kind").alias("kind"))
 
 
+def _json_kind(name: str) -> Column:
+    text = F.col(name)
+    return F.when(text.startswith("{"), "object").when(text.startswith("["), "array").otherwise("scalar")
+
+
 def collect_json_keys(df: DataFrame, name: str, limit: int = MAX_COLUMNS, fraction: float | None = None) -> list[tuple[list[str], str]]:
     """Key paths in a fixed order for ``json_flatten``. More than ``limit`` is an error,
     because each becomes a column."""
