@@ -386,14 +386,16 @@ MASTER = ENRICHED + """,
         row_number() OVER (PARTITION BY unified_id ORDER BY time DESC, phone DESC) AS rn FROM en_crm_profiles WHERE phone IS NOT NULL) WHERE rn = 1),
     firsts AS (SELECT unified_id, customer_id AS first_customer_id FROM (SELECT unified_id, customer_id,
         row_number() OVER (PARTITION BY unified_id ORDER BY time, customer_id) AS rn FROM en_shop_orders WHERE customer_id IS NOT NULL) WHERE rn = 1),
-    tops AS (SELECT unified_id, array_to_string(list(v ORDER BY place, rn)[1:3], '|') AS top_emails FROM
+    tops AS (SELECT unified_id, array_to_string(list(v ORDER BY place, rn)[1:3], '|') AS top_emails,
+        least(count(*), 3) AS n_top_emails FROM
         (SELECT *, row_number() OVER (PARTITION BY unified_id, place ORDER BY time DESC, v DESC) AS rn FROM
           (SELECT unified_id, 1 AS place, email AS v, time FROM en_crm_profiles WHERE email IS NOT NULL AND unified_id IS NOT NULL
            UNION ALL SELECT unified_id, 2, order_email, time FROM en_shop_orders WHERE order_email IS NOT NULL AND unified_id IS NOT NULL) e)
         WHERE rn <= 3 GROUP BY unified_id),
     everyone AS (SELECT DISTINCT unified_id FROM (SELECT unified_id FROM en_crm_profiles UNION ALL SELECT unified_id FROM en_shop_orders
         UNION ALL SELECT unified_id FROM en_web_events) WHERE unified_id IS NOT NULL),
-    master AS (SELECT p.unified_id, best_email, best_phone, first_customer_id, coalesce(top_emails, '') AS top_emails
+    master AS (SELECT p.unified_id, best_email, best_phone, first_customer_id, coalesce(top_emails, '') AS top_emails,
+        coalesce(n_top_emails, 0) AS n_top_emails
         FROM everyone p LEFT JOIN emails USING (unified_id) LEFT JOIN phones USING (unified_id)
         LEFT JOIN firsts USING (unified_id) LEFT JOIN tops USING (unified_id)
         WHERE p.unified_id IN (SELECT canonical_id FROM lookup))
@@ -538,7 +540,7 @@ ORACLES = {
     ),
     "idu_order_first": ident("SELECT unified_id, first_customer_id AS first_customer FROM firsts WHERE unified_id IS NOT NULL", MASTER),
     "idu_master_array": ident("SELECT unified_id, top_emails FROM tops", MASTER),
-    "idu_master": ident("SELECT * FROM master", MASTER),
+    "idu_master": ident("SELECT * EXCLUDE (n_top_emails) FROM master", MASTER),
     "idu_master_counts": ident(
         "SELECT unified_id, array_to_string(list_sort(list_distinct(list(customer_id))), '|') AS all_user_ids, count(*) AS order_count FROM en_shop_orders WHERE unified_id IN (SELECT unified_id FROM master) GROUP BY unified_id",
         MASTER,

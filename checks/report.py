@@ -161,7 +161,7 @@ def _attribute(name: str, is_array: bool = False) -> str:
 
 
 _COUNTED = I.MASTER.rstrip() + """,
-    counted AS (SELECT *, CASE WHEN top_emails = '' THEN 0 ELSE len(string_split(top_emails, '|')) END AS n_top_emails FROM master),
+    counted AS (SELECT * FROM master),
     coverage AS (""" + " UNION ALL ".join(
     [_attribute("best_email"), _attribute("best_phone"), _attribute("first_customer_id"), _attribute("top_emails", True)]
 ) + ")"
@@ -208,7 +208,7 @@ ORACLES = {
         I.LOOKUP,
     ),
     "rep_coverage": I.ident("SELECT * FROM coverage", _COUNTED),
-    "rep_sample": I.ident("SELECT * FROM master ORDER BY unified_id LIMIT 5", I.MASTER),
+    "rep_sample": I.ident("SELECT * EXCLUDE (n_top_emails) FROM master ORDER BY unified_id LIMIT 5", I.MASTER),
     "rep_config": sql(
         " UNION ALL ".join(
             f"""SELECT '{t.name}' AS table_name, '{kc.column}' AS column_name, '{kc.key}' AS key_name, 'client_stg' AS database_name,

@@ -192,7 +192,8 @@ def key_is_empty(keys: Sequence[str]) -> Column:
     return empty
 
 
-def _replaced_keys(work: DataFrame, keys: Sequence[str]) -> DataFrame:
+def replaced_keys(work: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct non-empty key tuples of the work rows, as text."""
     texts = [t.alias(f"_k{i}") for i, t in enumerate(key_texts(keys))]
     return work.filter(~key_is_empty(keys)).select(*texts).distinct()
 
@@ -207,7 +208,7 @@ def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
 def affected_rows(target: DataFrame, work: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows an upsert is about to replace."""
     keyed, names = _keyed(target.filter(~key_is_empty(keys)), keys)
-    return keyed.join(_replaced_keys(work, keys), names, "left_semi").select(*target.columns)
+    return keyed.join(replaced_keys(work, keys), names, "left_semi").select(*target.columns)
 
 
 def upsert(target: DataFrame, work: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -218,7 +219,7 @@ def upsert(target: DataFrame, work: DataFrame, keys: Sequence[str]) -> DataFrame
     """
     empty = key_is_empty(keys)
     keyed, names = _keyed(target.filter(~empty), keys)
-    kept = keyed.join(_replaced_keys(work, keys), names, "left_anti").select(*target.columns)
+    kept = keyed.join(replaced_keys(work, keys), names, "left_anti").select(*target.columns)
     return kept.unionByName(target.filter(empty)).unionByName(work)
 
 

@@ -35,10 +35,15 @@ def run_hist_union(
     full: bool = False,
     **align,
 ) -> None:
-    """Append what is new on either side, or rebuild the target; then move both watermarks."""
+    """Append what is new on either side, or rebuild the target; then move both watermarks.
+
+    A run id that has moved its watermarks is done and not repeated.
+    """
     inc, hist = H.with_missing_side(spark, inc, hist)
     inc_name, hist_name, _ = H.derive_name_texts(name)
-    log = _inc_log(spark, inc_log)
+    log, log_run = _inc_log(spark, inc_log), f"{run_id}-{inc_name}"
+    if tables.has_run(spark, inc_log, log_run):
+        return
     # Fixed before the load: rows that arrive meanwhile belong to the next run.
     upto = {inc_name: state.max_time(inc), hist_name: state.max_time(hist)}
     if full:
@@ -49,7 +54,7 @@ def run_hist_union(
         new_hist = state.new_rows(hist, marks[hist_name], upto[hist_name])
         tables.append(H.hist_union_full(new_inc, new_hist, **align), target, run_id)
     rows = [state.watermark_value_row(spark, n, H.PROJECT, v) for n, v in upto.items()]
-    tables.append(rows[0].unionByName(rows[1]), inc_log, f"{run_id}-{inc_name}")
+    tables.append(rows[0].unionByName(rows[1]), inc_log, log_run)
 
 
 def run_staging(
@@ -66,7 +71,9 @@ def run_staging(
     buckets: int = 256,
 ) -> str:
     """Stage new rows and upsert them (append without a dedupe rule). Returns what was done."""
-    log = _inc_log(spark, inc_log)
+    log, log_run = _inc_log(spark, inc_log), f"{run_id}-{project}-{name}"
+    if tables.has_run(spark, inc_log, log_run):
+        return "skipped"
     upto = state.max_time(source)
     chosen = state.choose_mode(tables.exists(spark, target), mode)
     if chosen == "incremental":
@@ -83,7 +90,7 @@ def run_staging(
         tables.upsert_table(staged, target, list(rules.keys), run_id, buckets)
     else:
         tables.append(staged, target, run_id)
-    tables.append(state.watermark_value_row(spark, name, project, upto or 0), inc_log, f"{run_id}-{project}-{name}")
+    tables.append(state.watermark_value_row(spark, name, project, upto or 0), inc_log, log_run)
     return chosen
 
 

@@ -2,24 +2,25 @@
 
 A table is a folder of numbered snapshots, each plain parquet. A snapshot counts
 once Spark has written its ``_SUCCESS`` marker, so a replacement becomes visible at
-once and a crash leaves the old content in place. Appends go into the current
-snapshot; with a run id they overwrite what an earlier attempt of that run left.
+once and a crash leaves the old content in place. Every append has its own run
+folder inside the current snapshot; repeating a run overwrites that folder.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kindred.operators.staging import _replaced_keys, key_is_empty, key_texts
+from kindred.operators.staging import key_is_empty, key_texts, replaced_keys, upsert
 from kindred.sources.scratch import hadoop_path
 
 RUN = "_run"
 BUCKET = "_bucket"
 PARTS = (BUCKET, RUN)
+BASE = f"{RUN}=base"
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -34,7 +35,8 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
     found = []
     for status in fs.listStatus(jpath):
         name = status.getPath().getName()
-        if name.startswith("v") and name[1:].isdigit() and fs.exists(hadoop_path(spark, f"{root}/{name}/_SUCCESS")[0]):
+        markers = (f"{root}/{name}/{BASE}/_SUCCESS", f"{root}/{name}/_SUCCESS")
+        if name.startswith("v") and name[1:].isdigit() and any(fs.exists(hadoop_path(spark, m)[0]) for m in markers):
             found.append(int(name[1:]))
     return sorted(found)
 
@@ -60,33 +62,38 @@ def load(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(path).drop(*PARTS)
 
 
+def _next_path(spark: SparkSession, root: str) -> str:
+    versions = _versions(spark, root)
+    return _snapshot(root, versions[-1] + 1 if versions else 1)
+
+
 def replace(df: DataFrame, root: str) -> None:
     """New content. Readers of the old snapshot are not disturbed."""
-    spark = df.sparkSession
-    versions = _versions(spark, root)
-    path = _snapshot(root, versions[-1] + 1 if versions else 1)
-    df.withColumn(RUN, F.lit("base")).write.mode("overwrite").partitionBy(RUN).option("partitionOverwriteMode", "static").parquet(path)
+    df.write.mode("overwrite").parquet(f"{_next_path(df.sparkSession, root)}/{BASE}")
 
 
-def create_if_absent(spark: SparkSession, root: str, schema: T.StructType) -> bool:
+def create_if_absent(spark: SparkSession, root: str, schema: T.StructType | str) -> bool:
     """Empty table with the schema; False when there is one already."""
     if exists(spark, root):
         return False
-    # No partition column: an empty partitioned write would keep no schema.
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(_snapshot(root, 1))
+    replace(spark.createDataFrame([], schema), root)
     return True
 
 
 def append(df: DataFrame, root: str, run_id: str) -> None:
     """Add rows. Repeating a run id replaces the rows it added before."""
     spark = df.sparkSession
+    create_if_absent(spark, root, df.schema)
+    df.write.mode("overwrite").parquet(f"{current_path(spark, root)}/{RUN}={run_id}")
+
+
+def has_run(spark: SparkSession, root: str, run_id: str) -> bool:
+    """Did this run already add its rows?"""
     path = current_path(spark, root)
-    if path is not None and not spark.read.parquet(path).take(1):
-        path = None
     if path is None:
-        versions = _versions(spark, root)
-        path = _snapshot(root, versions[-1] + 1 if versions else 1)
-    df.withColumn(RUN, F.lit(run_id)).write.mode("overwrite").partitionBy(RUN).option("partitionOverwriteMode", "dynamic").parquet(path)
+        return False
+    marker, fs = hadoop_path(spark, f"{path}/{RUN}={run_id}/_SUCCESS")
+    return fs.exists(marker)
 
 
 def swap_commit(df: DataFrame, root: str, keep: int = 1) -> None:
@@ -102,11 +109,12 @@ def compact(spark: SparkSession, root: str) -> None:
     swap_commit(load(spark, root).hint("rebalance"), root)
 
 
-def write_bucketed(df: DataFrame, table: str, columns: Sequence[str], buckets: int = 512) -> None:
+def write_bucketed(df: DataFrame, table: str, columns: Sequence[str], buckets: int = 512, path: str | None = None) -> None:
     """Catalog table bucketed and sorted by the join columns, so that joins on them need no shuffle."""
     # One shuffle by the bucket columns first, so every bucket is one file.
     laid_out = df.repartition(buckets, *columns)
-    laid_out.write.mode("overwrite").bucketBy(buckets, *columns).sortBy(*columns).saveAsTable(table)
+    writer = laid_out.write.mode("overwrite").bucketBy(buckets, *columns).sortBy(*columns)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def table_stats(spark: SparkSession, roots: Mapping[str, str]) -> DataFrame:
@@ -121,7 +129,7 @@ def table_stats(spark: SparkSession, roots: Mapping[str, str]) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, exists boolean, row_count bigint, columns string, format string")
 
 
-def _bucket_of(keys: Sequence[str], buckets: int):
+def _bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*key_texts(keys)), F.lit(buckets)).cast("int")
 
 
@@ -144,24 +152,21 @@ def upsert_table(work: DataFrame, root: str, keys: Sequence[str], run_id: str, b
             RUN: F.when(empty, F.lit(run_id)).otherwise(F.lit("base")),
         }
     )
+    create_if_absent(spark, root, work.schema)
+    if not work.take(1):
+        return
     path = current_path(spark, root)
-    stored = spark.read.parquet(path) if path else None
-    if stored is None or BUCKET not in stored.columns:
-        versions = _versions(spark, root)
-        target = _snapshot(root, versions[-1] + 1 if versions else 1)
-        if stored is not None:
-            old = stored.drop(*PARTS).withColumns(
-                {BUCKET: F.when(empty, F.lit(-1)).otherwise(_bucket_of(keys, buckets)), RUN: F.lit("base")}
-            )
-            names = [f"_k{i}" for i in range(len(keys))]
-            gone = _replaced_keys(work, keys)
-            keyed = old.withColumns(dict(zip(names, key_texts(keys))))
-            added = keyed.join(gone, names, "left_anti").select(*old.columns).unionByName(added)
-        _by_bucket(added).option("partitionOverwriteMode", "static").parquet(target)
+    stored = spark.read.parquet(path)
+    if BUCKET not in stored.columns:
+        # First upsert of a table: lay everything out by bucket.
+        old = stored.drop(*PARTS).withColumns(
+            {BUCKET: F.when(empty, F.lit(-1)).otherwise(_bucket_of(keys, buckets)), RUN: F.lit("base")}
+        )
+        _by_bucket(upsert(old, added, keys)).option("partitionOverwriteMode", "static").parquet(_next_path(spark, root))
         return
     touched = [r[BUCKET] for r in added.select(BUCKET).distinct().filter(F.col(BUCKET) >= 0).collect()]
     names = [f"_k{i}" for i in range(len(keys))]
     slices = stored.filter(F.col(BUCKET).isin(touched)).withColumns(dict(zip(names, key_texts(keys))))
-    kept = slices.join(_replaced_keys(work, keys), names, "left_anti").select(*stored.columns)
+    kept = slices.join(replaced_keys(work, keys), names, "left_anti").select(*stored.columns)
     merged = kept.withColumns({BUCKET: F.col(BUCKET).cast("int"), RUN: F.col(RUN).cast("string")}).unionByName(added)
     _by_bucket(merged).option("partitionOverwriteMode", "dynamic").parquet(path)

@@ -27,16 +27,22 @@ def read_arrivals(spark: SparkSession, path: str, schema: T.StructType, max_file
 
 def stream_hist_union(
     spark: SparkSession,
-    arrivals: str,
-    arrival_schema: T.StructType,
-    base: T.StructType,
+    inc_path: str,
+    inc_schema: T.StructType,
+    hist_path: str,
+    hist_schema: T.StructType,
     target: str,
     checkpoint: str,
     defaults: Mapping[str, Column] | None = None,
+    max_files: int | None = None,
 ) -> StreamingQuery:
-    """Append files of one side to the target under the incremental schema."""
-    rows = align_to(read_arrivals(spark, arrivals, arrival_schema), base, defaults)
-    return rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Append what arrived on either side to the target, under the incremental schema.
+
+    One query reads both folders, each with its own offsets.
+    """
+    inc = read_arrivals(spark, inc_path, inc_schema, max_files)
+    hist = align_to(read_arrivals(spark, hist_path, hist_schema, max_files), inc_schema, defaults)
+    return hist.unionByName(inc).writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stream_stage_upsert(
