@@ -51,7 +51,7 @@ def prep_new_rows(src: DataFrame, prep: DataFrame, columns: Mapping[str, str], a
     """Source key rows the prep table does not hold yet, stamped with the time."""
     aliases = sorted(columns.values())
     fresh = src.select(*[F.col(c).cast("string").alias(a) for c, a in columns.items()]).select(*aliases)
-    fresh = fresh.filter(_present(aliases)).subtract(prep.select(*aliases))
+    fresh = fresh.filter(_present(aliases)).distinct().subtract(prep.select(*aliases))
     return fresh.withColumn("time", F.lit(as_of).cast("long"))
 
 

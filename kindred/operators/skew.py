@@ -51,22 +51,24 @@ def salted_join(
     share: int = HOT_SHARE,
     total: int | None = None,
 ) -> DataFrame:
-    """Equi-join of a possibly skewed ``left`` with ``right``; ``how`` is inner or left.
+    """Equi-join of a possibly skewed ``left`` with ``right``; ``how`` is inner, left,
+    left_semi or left_anti.
 
     Hot keys of ``left`` are cut into pieces and the matching ``right`` rows are
     repeated once per piece. Rows with a NULL key match nothing and are spread.
     ``left`` should be cheap to count (a scan or a saved table), or the caller
     passes ``total``, its number of rows or an upper bound near it.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("how must be inner or left")
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"join type {how!r} is not supported")
     on = list(on)
-    columns = left.columns + [c for c in right.columns if c not in on]
-    if how == "inner":
+    keeps_unmatched = how in ("left", "left_anti")
+    columns = left.columns + ([] if how.startswith("left_") else [c for c in right.columns if c not in on])
+    if not keeps_unmatched:
         left = left.filter(~_any_null(on))
     total = left.count() if total is None else total
     hot = hot_keys(left, on, total, floor, share)
-    if hot is None and (how == "inner" or total <= floor):
+    if hot is None and (not keeps_unmatched or total <= floor):
         return left.join(right, on, how).select(*columns)
 
     ways = F.lit(1)

@@ -17,6 +17,7 @@ from kindred.operators.skew import salted_join
 
 MAX_COLUMNS = 200
 INGEST_CLOCK = "time"
+JSON_MAP = "map<string,string>"
 # Parts of a column name that suggest JSON or a date.
 JSON_HINTS = ("json", "attr", "metadata", "details")
 DATE_HINTS = ("date", "timestamp", "created", "updated", "_at")
@@ -89,17 +90,17 @@ def json_keys(df: DataFrame, name: str, fraction: float | None = None) -> DataFr
     rows = df.select(F.col(name).alias("j")).filter(F.col("j").isNotNull())
     if fraction is not None:
         rows = rows.sample(fraction, seed=7)
-    parsed = lambda name: F.explode(F.from_json(name, "map<string,string>"))
-    level1 = rows.select(parsed("j").alias("k1", "v")).withColumn("kind", _json_kind("v"))
-    top = level1.select("k1", F.lit(None).cast("string").alias("k2"), "kind")
-    nested = level1.filter(F.col("kind") == "object").select("k1", parsed("v").alias("k2", "c"))
-    nested = nested.select("k1", "k2", _json_kind("c").alias("kind"))
+    level1 = rows.select(F.explode(F.from_json("j", JSON_MAP)).alias("k1", "v")).withColumn("kind", _json_kind(F.col("v")))
+    own = F.struct("k1", F.lit(None).cast("string").alias("k2"), "kind")
+    children = F.map_entries(F.from_json(F.when(F.col("kind") == "object", F.col("v")), JSON_MAP))
+    child = lambda c: F.struct(F.col("k1"), c["key"].alias("k2"), _json_kind(c["value"]).alias("kind"))
+    below = F.coalesce(F.transform(children, child), F.array().cast("array<struct<k1:string,k2:string,kind:string>>"))
+    found = level1.select(F.inline(F.concat(F.array(own), below)))
     # A key whose value kind varies between rows is treated as the simplest one seen.
-    return top.unionByName(nested).groupBy("k1", "k2").agg(F.max("kind").alias("kind"))
+    return found.groupBy("k1", "k2").agg(F.max("kind").alias("kind"))
 
 
-def _json_kind(name: str) -> Column:
-    text = F.col(name)
+def _json_kind(text: Column) -> Column:
     return F.when(text.startswith("{"), "object").when(text.startswith("["), "array").otherwise("scalar")
 
 
@@ -112,15 +113,45 @@ def collect_json_keys(df: DataFrame, name: str, limit: int = MAX_COLUMNS, fracti
     return [([r.k1] if r.k2 is None else [r.k1, r.k2], r.kind) for r in found]
 
 
+def _json_type(keys: Sequence[tuple[Sequence[str], str]]) -> T.StructType:
+    """Type that covers all wanted keys, at most two levels deep."""
+    tree: dict[str, dict | str] = {}
+    for path, kind in keys:
+        if len(path) == 1:
+            if kind != "object":
+                tree[path[0]] = kind
+        else:
+            branch = tree.setdefault(path[0], {})
+            if not isinstance(branch, dict):
+                raise ValueError(f"JSON key {path[0]!r} is wanted both as a value and as an object")
+            branch[path[1]] = kind
+
+    def of(node) -> T.DataType:
+        if isinstance(node, dict):
+            return T.StructType([T.StructField(k, of(v)) for k, v in node.items()])
+        return T.ArrayType(T.StringType()) if node == "array" else T.StringType()
+
+    return of(tree)
+
+
 def json_flatten(df: DataFrame, name: str, keys: Sequence[tuple[Sequence[str], str]]) -> DataFrame:
-    """One column per scalar or array key; the raw column stays."""
+    """One column per scalar or array key; the raw column stays.
+
+    Every document is parsed once, whatever the number of keys.
+    """
+    wanted = [(path, kind) for path, kind in keys if kind != "object"]
+    names = [J.json_column_name(name, path) for path, _ in wanted]
+    clash = {n for n in names if names.count(n) > 1 or n in df.columns}
+    if clash:
+        raise ValueError(f"JSON keys of {name} give the same column twice: {sorted(clash)}")
+    parsed = df.withColumn("_json", F.from_json(name, _json_type(wanted)))
     out = []
-    for path, kind in keys:
-        if kind == "object":
-            continue
-        expr = J.json_array(F.col(name), path) if kind == "array" else J.json_scalar(F.col(name), path)
-        out.append(expr.alias(J.json_column_name(name, path)))
-    return df.select("*", *out)
+    for (path, kind), column in zip(wanted, names):
+        value = F.col("_json")
+        for step in path:
+            value = value.getField(step)
+        out.append((value if kind == "array" else F.nullif(F.upper(value), F.lit(""))).alias(column))
+    return parsed.select(*df.columns, *out)
 
 
 def unnest(df: DataFrame, name: str, position: str | None = None) -> DataFrame:
@@ -199,28 +230,29 @@ def replaced_keys(work: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    names = [f"_k{i}" for i in range(len(keys))]
-    for name, text in zip(names, key_texts(keys)):
-        df = df.withColumn(name, text)
-    return df, names
+    """Adds the key texts, NULL where the whole key is empty, so that such rows match nothing."""
+    names, empty = [f"_k{i}" for i in range(len(keys))], key_is_empty(keys)
+    return df.withColumns({n: F.when(~empty, t) for n, t in zip(names, key_texts(keys))}), names
 
 
 def affected_rows(target: DataFrame, work: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows an upsert is about to replace."""
-    keyed, names = _keyed(target.filter(~key_is_empty(keys)), keys)
-    return keyed.join(replaced_keys(work, keys), names, "left_semi").select(*target.columns)
+    keyed, names = _keyed(target, keys)
+    return salted_join(keyed, replaced_keys(work, keys), names, "left_semi").select(*target.columns)
+
+
+def untouched_rows(target: DataFrame, work: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows an upsert keeps."""
+    keyed, names = _keyed(target, keys)
+    return salted_join(keyed, replaced_keys(work, keys), names, "left_anti").select(*target.columns)
 
 
 def upsert(target: DataFrame, work: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target without the rows whose key is in ``work``, plus all of ``work``.
 
-    Keys compare part by part. An all-empty key deletes nothing, and such target
-    rows skip the join.
+    Keys compare part by part. An all-empty key deletes nothing.
     """
-    empty = key_is_empty(keys)
-    keyed, names = _keyed(target.filter(~empty), keys)
-    kept = keyed.join(replaced_keys(work, keys), names, "left_anti").select(*target.columns)
-    return kept.unionByName(target.filter(empty)).unionByName(work)
+    return untouched_rows(target, work, keys).unionByName(work)
 
 
 @dataclass

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kindred.operators.staging import key_is_empty, key_texts, replaced_keys, upsert
+from kindred.operators.staging import key_is_empty, key_texts, untouched_rows, upsert
 from kindred.sources.scratch import hadoop_path
 
 RUN = "_run"
@@ -165,8 +165,6 @@ def upsert_table(work: DataFrame, root: str, keys: Sequence[str], run_id: str, b
         _by_bucket(upsert(old, added, keys)).option("partitionOverwriteMode", "static").parquet(_next_path(spark, root))
         return
     touched = [r[BUCKET] for r in added.select(BUCKET).distinct().filter(F.col(BUCKET) >= 0).collect()]
-    names = [f"_k{i}" for i in range(len(keys))]
-    slices = stored.filter(F.col(BUCKET).isin(touched)).withColumns(dict(zip(names, key_texts(keys))))
-    kept = slices.join(replaced_keys(work, keys), names, "left_anti").select(*stored.columns)
+    kept = untouched_rows(stored.filter(F.col(BUCKET).isin(touched)), work, keys)
     merged = kept.withColumns({BUCKET: F.col(BUCKET).cast("int"), RUN: F.col(RUN).cast("string")}).unionByName(added)
     _by_bucket(merged).option("partitionOverwriteMode", "dynamic").parquet(path)
