@@ -88,7 +88,9 @@ def read_delimited(
         # The reader drops one line per file; the further header lines are the
         # first records of the file's first block.
         rows = _drop_leading(rows, skip_header_lines - 1)
-    bad = F.col(CORRUPT).isNotNull()
+    # Whether a record fits shows only when all its fields are read, so the test
+    # names them all, also under a query that needs none.
+    bad = F.col(CORRUPT).isNotNull() & (F.length(F.concat_ws("", *names)) >= 0)
     if allow_extra_columns or allow_optional_columns:
         fields = F.size(F.split(F.regexp_replace(F.col(CORRUPT), f"{quote}[^{quote}]*{quote}", ""), f"\\Q{delimiter}\\E"))
         extra, short = fields > len(names), fields < len(names)
