@@ -542,7 +542,7 @@ ORACLES = {
     "idu_master_array": ident("SELECT unified_id, top_emails FROM tops", MASTER),
     "idu_master": ident("SELECT * EXCLUDE (n_top_emails) FROM master", MASTER),
     "idu_master_counts": ident(
-        "SELECT unified_id, array_to_string(list_sort(list_distinct(list(customer_id))), '|') AS all_user_ids, count(*) AS order_count FROM en_shop_orders WHERE unified_id IN (SELECT unified_id FROM master) GROUP BY unified_id",
+        "SELECT unified_id, 0 AS part, array_to_string(list_sort(list_distinct(list(customer_id))), '|') AS all_user_ids, count(*) AS order_count FROM en_shop_orders WHERE unified_id IN (SELECT unified_id FROM master) GROUP BY unified_id",
         MASTER,
     ),
     "idu_hash": sql(

@@ -21,11 +21,9 @@ INC_FIELDS = {
 def _late_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Second delivery: the same rows, plus rows exactly at and after the watermark."""
     inc = view(spark, sf, "orders_inc")
-    edge = inc.agg(F.max("time").alias("edge"))
-    again = inc.crossJoin(edge)  # one row
-    return (
-        inc.unionByName(again.withColumn("time", F.col("edge")).drop("edge"))
-        .unionByName(again.filter(F.col("status") == "O").withColumn("time", F.col("time") + F.col("edge")).drop("edge"))
+    edge = F.lit(inc.agg(F.max("time")).first()[0])
+    return inc.unionByName(inc.withColumn("time", edge)).unionByName(
+        inc.filter(F.col("status") == "O").withColumn("time", F.col("time") + edge)
     )
 
 

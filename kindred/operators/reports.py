@@ -56,31 +56,25 @@ def top_merged(lookup: DataFrame, n: int = 10) -> DataFrame:
 
 
 def merge_distribution(lookup: DataFrame) -> DataFrame:
-    """Profiles and identifiers per merge class, with shares."""
-    label, place = None, None
-    for i, (text, upper) in enumerate(MERGE_CLASSES):
-        test = F.lit(True) if upper is None else F.col("identity_count") <= upper
-        label = F.when(test, text) if label is None else label.when(test, text)
-        place = F.when(test, i + 1) if place is None else place.when(test, i + 1)
-    classes = (
-        identity_counts(lookup)
-        .groupBy(label.alias("merge_category"), place.alias("class_order"))
-        .agg(F.count(F.lit(1)).alias("canonical_id_count"), F.sum("identity_count").alias("total_identities"))
-    )
-    totals = classes.agg(F.sum("canonical_id_count").alias("_profiles"), F.sum("total_identities").alias("_ids"))
-    # One row on the right-hand side.
-    return (
-        classes.crossJoin(F.broadcast(totals))
-        .select(
-            "merge_category",
-            "class_order",
-            "canonical_id_count",
-            "total_identities",
-            pct(F.col("canonical_id_count"), F.col("_profiles")).alias("pct_of_profiles"),
-            pct(F.col("total_identities"), F.col("_ids")).alias("pct_of_identities"),
+    """Profiles and identifiers per merge class, with shares; one aggregation for all classes."""
+    n, one = F.col("identity_count"), F.lit(1)
+    lower, aggregates, classes = 0, [F.count(one).alias("_profiles"), F.sum(n).alias("_ids")], []
+    for i, (label, upper) in enumerate(MERGE_CLASSES):
+        inside = (n > lower) if upper is None else (n > lower) & (n <= upper)
+        aggregates += [F.count_if(inside).alias(f"_p{i}"), F.sum(F.when(inside, n)).alias(f"_i{i}")]
+        classes.append(
+            F.struct(
+                F.lit(label).alias("merge_category"),
+                F.lit(i + 1).alias("class_order"),
+                F.col(f"_p{i}").alias("canonical_id_count"),
+                F.col(f"_i{i}").alias("total_identities"),
+                pct(F.col(f"_p{i}"), F.col("_profiles")).alias("pct_of_profiles"),
+                pct(F.col(f"_i{i}"), F.col("_ids")).alias("pct_of_identities"),
+            )
         )
-        .orderBy("class_order")
-    )
+        lower = upper
+    rows = identity_counts(lookup).agg(*aggregates).select(F.inline(F.array(*classes)))
+    return rows.filter(F.col("canonical_id_count") > 0).orderBy("class_order")
 
 
 def key_type_distribution(lookup: DataFrame, key_dim: DataFrame) -> DataFrame:
@@ -139,15 +133,20 @@ def master_reconcile(master: DataFrame, lookup: DataFrame) -> DataFrame:
     """Does the master table have one row per profile?"""
     rows = master.agg(F.count(F.lit(1)).alias("total_records"))
     ids = lookup.select("canonical_id").distinct().agg(F.count(F.lit(1)).alias("unique_canonical_ids"))
-    return rows.crossJoin(ids).withColumn("is_equal", F.col("total_records") == F.col("unique_canonical_ids"))
+    both = rows.unionByName(ids, allowMissingColumns=True)
+    both = both.agg(*[F.max(c).alias(c) for c in ("total_records", "unique_canonical_ids")])
+    return both.withColumn("is_equal", F.col("total_records") == F.col("unique_canonical_ids"))
 
 
 def dedup_rates(source_stats: DataFrame, result_stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """How much fewer profiles there are than identifiers of each key, in percent."""
     source = source_stats.filter(F.col("from_table") == "*").select(*[F.col(f"distinct_{k}").alias(f"source_{k}") for k in keys])
     result = result_stats.filter(F.col("from_table") == "*").select(F.col("total_distinct").alias("final_canonical_ids"))
+    # Each side is one row; the union of both is folded into one.
+    both = source.unionByName(result, allowMissingColumns=True)
+    both = both.agg(*[F.max(c).alias(c) for c in both.columns])
     rates = [pct(F.col(f"source_{k}") - F.col("final_canonical_ids"), F.col(f"source_{k}"), 1).alias(f"{k}_dedup_pct") for k in keys]
-    return source.crossJoin(result).select("*", *rates)
+    return both.select("*", *rates)
 
 
 def badge(coverage: Column) -> Column:

@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kindred.operators.skew import salted_join
 from kindred.plans.config import Attribute, Master, SourceColumn
+from kindred.sources.scratch import Scratch
 
 
 def best_value(value: str, order: str, newest: bool = True) -> Column:
@@ -96,14 +98,24 @@ def master_table(master: Master, enriched: Mapping[str, DataFrame], lookup: Data
     return profiles.join(known, canonical, "left_semi")
 
 
-def master_counts(enriched: DataFrame, canonical: str, id_column: str, ids_name: str, count_name: str) -> DataFrame:
-    """Per profile: the distinct ids as sorted text list, and the number of records.
+def master_counts(
+    enriched: DataFrame, canonical: str, id_column: str, ids_name: str, count_name: str, part_size: int = 100_000
+) -> DataFrame:
+    """Per profile: its distinct ids as a sorted text list, and the number of records.
 
-    Distinct values are cut down before they are collected, so repeats of one id
-    never reach the list.
+    A profile with more than ``part_size`` ids is delivered in several rows, told
+    apart by ``part``, each with a share of the ids; the record count is that of the
+    whole profile. So no list grows with the data, and none is cut.
     """
     rows = enriched.filter(F.col(canonical).isNotNull())
     per_id = rows.groupBy(canonical, F.col(id_column).cast("string").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
-    return per_id.groupBy(canonical).agg(
-        F.sort_array(F.collect_list("_id")).alias(ids_name), F.sum("_n").alias(count_name)
-    )
+    # Read three times below, so it is written once.
+    per_id = Scratch(enriched.sparkSession, "counts").save(per_id, "ids")
+    sizes = per_id.groupBy(canonical).agg(F.count("_id").alias("_ids"), F.sum("_n").alias(count_name))
+    sizes = sizes.withColumn("_ways", F.greatest(F.ceil(F.col("_ids") / part_size), F.lit(1)))
+    # Only oversized profiles need to know their number of parts: few rows, by their size.
+    large = sizes.filter(F.col("_ways") > 1).select(canonical, "_ways")
+    split = salted_join(per_id, large, [canonical], "left")
+    part = F.pmod(F.xxhash64("_id"), F.coalesce("_ways", F.lit(1))).cast("int")
+    lists = split.groupBy(canonical, part.alias("part")).agg(F.sort_array(F.collect_list("_id")).alias(ids_name))
+    return lists.join(sizes.select(canonical, count_name), canonical).select(canonical, "part", ids_name, count_name)

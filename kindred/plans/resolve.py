@@ -202,13 +202,15 @@ def resolve(
     pairs = scratch.save(pairs, "pairs")
     # No table below has more rows than there are links.
     total = pairs.count()
+    # Small intermediate results are quicker computed again than written.
+    keep = scratch.save if total > floor else (lambda df, name: df)
     leaders = scratch.save(number_leaders(pairs, canonical, seniority), "leaders")
 
     ranked = salted_join(pairs.select(*FOLLOWER, *LEADER), leaders, LEADER, floor=floor, total=total)
     ranked = ranked.select(*FOLLOWER, "rank")
     ranked = scratch.save(ranked, "ranked")
     lowest = ranked.groupBy(*FOLLOWER).agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
-    lowest = scratch.save(lowest, "lowest")
+    lowest = keep(lowest, "lowest")
 
     # Leaders that share a follower belong together; most followers have one leader only.
     shared = lowest.filter(F.col("low") < F.col("high")).select(*FOLLOWER, "low")
@@ -218,7 +220,7 @@ def resolve(
 
     winner = leaders.select(F.col("rank").alias("root"), *LEADER)
     roots = leaders.select("rank").join(stars.select(F.col("a").alias("rank"), F.col("b").alias("root")), "rank", "left")
-    roots = scratch.save(roots.select("rank", F.coalesce("root", "rank").alias("root")), "roots")
+    roots = keep(roots.select("rank", F.coalesce("root", "rank").alias("root")), "roots")
     finals = salted_join(roots, winner, ["root"], floor=floor, total=total).select(F.col("rank").alias("low"), *LEADER)
 
     placed = salted_join(lowest.select(*FOLLOWER, "low"), finals, ["low"], floor=floor, total=total).drop("low")
@@ -231,7 +233,7 @@ def resolve(
         F.lit(as_of).cast("long").alias("follower_last_processed_at"),
     )
     graph = scratch.save(graph, "graph")
-    for name in ("ranked", "lowest", "roots"):
+    for name in ("ranked", "lowest", "roots") if total > floor else ("ranked",):
         scratch.drop(name)
     return Resolution(graph, metrics)
 

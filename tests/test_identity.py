@@ -265,7 +265,16 @@ def test_master_ties_nulls_and_first(spark):
 
 def test_master_counts(spark):
     df = spark.createDataFrame([("u", "b"), ("u", "a"), ("u", "b"), (None, "c")], "cid string, x string")
-    assert M.master_counts(df, "cid", "x", "ids", "n").first() == ("u", ["a", "b"], 3)
+    assert M.master_counts(df, "cid", "x", "ids", "n").first() == ("u", 0, ["a", "b"], 3)
+
+
+def test_master_counts_in_parts(spark):
+    df = spark.range(1000).select(F.when(F.col("id") < 990, "big").otherwise("small").alias("cid"), F.col("id").alias("x"))
+    got = M.master_counts(df, "cid", "x", "ids", "n", part_size=100).collect()
+    big = [r for r in got if r.cid == "big"]
+    assert len(big) == 10 and all(r.n == 990 and r.ids == sorted(r.ids) and len(r.ids) < 200 for r in big)
+    assert sorted(int(i) for r in big for i in r.ids) == list(range(990))
+    assert [(r.part, r.n) for r in got if r.cid == "small"] == [(0, 10)]
 
 
 def test_ids_stay_stable_when_components_merge(spark):
