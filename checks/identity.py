@@ -472,6 +472,49 @@ _INCR = (
     kept AS (SELECT rc, cid FROM (SELECT *, row_number() OVER (PARTITION BY rc ORDER BY seen, cid) AS rn FROM hashed) WHERE rn = 1)"""
 )
 
+def _components(prefix: str) -> str:
+    """Links, roots and final leaders from an existing ``{prefix}rec``."""
+    text = _graph_ctes([], prefix)
+    return text[text.index(f"{prefix}raw AS") :]
+
+
+def _level(table: str, tid: int, *parts: str) -> str:
+    return f"SELECT list_filter([{', '.join(parts)}], lambda x: x IS NOT NULL) AS ids, time, CAST({tid} AS BIGINT) AS tid FROM {table}"
+
+
+def _first_of(*parts: str) -> str:
+    return f"list_filter([{', '.join(parts)}], lambda x: x IS NOT NULL)[1]"
+
+
+_PERSON_KEYS = {
+    "crm_profiles": (_pair("email", 1, True), _pair("customer_id", 2)),
+    "shop_orders": (_pair("order_email", 1, True), _pair("customer_id", 2)),
+    "web_events": (_pair("td_client_id", 3), _pair("user_email", 1, True), _pair("customer_id", 2)),
+}
+_PERSON_ID = "CASE WHEN person_id IS NOT NULL THEN {'ns': CAST(1 AS BIGINT), 'id': person_id} END"
+
+
+def _levels_sql() -> str:
+    """Level one per table, then the same search again with the person as a key."""
+    parts = ["a_rec AS (" + " UNION ALL ".join(_level(t, i + 1, *_PERSON_KEYS[t]) for i, t in enumerate(TABLES)) + ")", _components("a_")]
+    for t in TABLES:
+        parts.append(
+            f"""p_{t} AS (SELECT s.*, {_hash('f.rc')} AS person_id FROM (SELECT *, {_first_of(*_PERSON_KEYS[t])} AS k FROM {t}) s
+                LEFT JOIN a_final f ON f.fc = {_code('s.k.ns', 's.k.id')})"""
+        )
+    keys = {"crm_profiles": (_pair("phone", 2), _PERSON_ID), "shop_orders": (_PERSON_ID,), "web_events": (_PERSON_ID,)}
+    parts.append("b_rec AS (" + " UNION ALL ".join(_level(f"p_{t}", i + 1, *keys[t]) for i, t in enumerate(TABLES)) + ")")
+    parts.append(_components("b_"))
+    first = _first_of(*keys["crm_profiles"])
+    return sql(
+        f"""SELECT s.customer_id, s.person_id, {_hash('f.rc')} AS household_id FROM (SELECT *, {first} AS h FROM p_crm_profiles) s
+            LEFT JOIN b_final f ON f.fc = {_code('s.h.ns', 's.h.id')}""",
+        *TABLES,
+        ctes=",\n".join(p.strip().rstrip(",") for p in parts),
+        recursive=True,
+    )
+
+
 QUERIES = {
     "idu_lookup": q_lookup,
     "idu_extract": q_extract,
@@ -569,6 +612,7 @@ ORACLES = {
         _INCR,
     ),
 }
+ORACLES["idu_levels"] = _levels_sql()
 ORACLES["idu_incremental"] = (
     ORACLES["idu_incremental"].replace(" AS x_id", " AS id").replace(" AS x_ns", " AS id_key_type")
 )

@@ -11,13 +11,14 @@ TRUE_TEXTS = ["true", "1", "yes"]
 FALSE_TEXTS = ["false", "0", "no"]
 EMAIL_PATTERN = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 TEST_EMAIL_DOMAINS = ["@test.com", "@example.com"]
+# One or two digits for day, month, hour, minute and second.
 DATE_TEXT_FORMATS = [
-    "dd-MM-yyyy HH:mm:ss.SSSSSS",
-    "dd-MM-yyyy HH:mm:ss",
-    "dd-MM-yyyy",
-    "MM/dd/yyyy HH:mm:ss.SSSSSS",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy",
+    "d-M-yyyy H:m:s.SSSSSS",
+    "d-M-yyyy H:m:s",
+    "d-M-yyyy",
+    "M/d/yyyy H:m:s.SSSSSS",
+    "M/d/yyyy H:m:s",
+    "M/d/yyyy",
 ]
 STD_FORMAT = "yyyy-MM-dd HH:mm:ss"
 

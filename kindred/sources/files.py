@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,7 +106,9 @@ def read_delimited(
         rows = rows.filter(F.col(CORRUPT).isNull())
     else:
         rows = rows.filter(~bad)
-    kept = rows.select(*names, *([F.input_file_name().alias("source_file")] if with_file else []))
+    # A filter that went through Python no longer knows the reader's file name.
+    origin = F.col("_file") if "_file" in rows.columns else F.input_file_name()
+    kept = rows.select(*names, *([origin.alias("source_file")] if with_file else []))
     typed = [_typed(F.col(c["name"]), c["type"], c.get("format")).alias(c["name"]) for c in columns]
     return kept.select(*typed, *(["source_file"] if with_file else []))
 
@@ -113,12 +116,19 @@ def read_delimited(
 def _drop_leading(rows: DataFrame, lines: int) -> DataFrame:
     """Drop the first ``lines`` records of every file.
 
-    Only the block at offset 0 of a file holds them; there, records are numbered
-    within their partition.
+    Only the block at offset 0 of a file holds them. Built-in expressions cannot
+    number records within a file without a shuffle, so each task counts while its
+    records stream through as Arrow batches.
     """
     tagged = rows.select("*", F.col("_metadata.file_block_start").alias("_start"), F.col("_metadata.file_path").alias("_file"))
-    tagged = tagged.withColumn("_row", F.monotonically_increasing_id())
-    first = tagged.filter(F.col("_start") == 0).groupBy("_file").agg(F.min("_row").alias("_first"))
-    joined = tagged.join(first, "_file", "left")
-    head = (F.col("_start") == 0) & (F.col("_row") < F.col("_first") + lines)
-    return joined.filter(~F.coalesce(head, F.lit(False))).select(*rows.columns)
+
+    def skip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[str, int] = {}
+        for batch in batches:
+            place = batch.groupby("_file", sort=False).cumcount() + batch["_file"].map(lambda f: seen.get(f, 0))
+            for name, count in batch["_file"].value_counts().items():
+                seen[name] = seen.get(name, 0) + int(count)
+            yield batch[(batch["_start"] > 0) | (place >= lines)].drop(columns="_start")
+
+    kept = tagged.mapInPandas(skip, T.StructType(rows.schema.fields + [T.StructField("_file", T.StringType())]))
+    return kept

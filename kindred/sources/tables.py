@@ -84,7 +84,10 @@ def append(df: DataFrame, root: str, run_id: str) -> None:
     """Add rows. Repeating a run id replaces the rows it added before."""
     spark = df.sparkSession
     create_if_absent(spark, root, df.schema)
-    df.write.mode("overwrite").parquet(f"{current_path(spark, root)}/{RUN}={run_id}")
+    path = current_path(spark, root)
+    if BUCKET in spark.read.parquet(path).columns:
+        raise ValueError(f"{root} is kept by upserts; a plain append would leave several rows per key")
+    df.write.mode("overwrite").parquet(f"{path}/{RUN}={run_id}")
 
 
 def has_run(spark: SparkSession, root: str, run_id: str) -> bool:
@@ -111,8 +114,9 @@ def compact(spark: SparkSession, root: str) -> None:
 
 def write_bucketed(df: DataFrame, table: str, columns: Sequence[str], buckets: int = 512, path: str | None = None) -> None:
     """Catalog table bucketed and sorted by the join columns, so that joins on them need no shuffle."""
-    # One shuffle by the bucket columns first, so every bucket is one file.
-    laid_out = df.repartition(buckets, *columns)
+    # One shuffle by the bucket columns keeps the number of files low; a bucket that
+    # is too large for one task is split into several files.
+    laid_out = df.hint("rebalance", buckets, *columns)
     writer = laid_out.write.mode("overwrite").bucketBy(buckets, *columns).sortBy(*columns)
     (writer.option("path", path) if path else writer).saveAsTable(table)
 

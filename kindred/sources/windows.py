@@ -53,7 +53,7 @@ def resolve_window(
     bound = F.col("_latest")
     if style != "sql":
         # These sources read whole seconds; the fraction is written as zeros.
-        seconds = F.date_trunc("second", F.to_timestamp(bound))
+        seconds = F.date_trunc("second", bound.try_cast("timestamp"))
         bound = format_window_bound(seconds, "millis_z" if style == "iso" else style)
     else:
         bound = bound.cast("string")

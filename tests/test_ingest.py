@@ -127,6 +127,13 @@ def test_stored_upsert_equals_plain_upsert(spark, root):
         assert rows(tables.load(spark, f"{root}/t")) == rows(expected)
 
 
+def test_append_to_upserted_table_is_refused(spark, root):
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    tables.upsert_table(df, f"{root}/t", ["k"], "r1", buckets=2)
+    with pytest.raises(ValueError):
+        tables.append(df, f"{root}/t", "r2")
+
+
 def test_staging_pipeline(spark, root):
     schema = "id string, email string, time bigint"
     rules = S.Rules(keys=["id"], order=[("time", True)])
@@ -202,6 +209,9 @@ def test_delimited_variants(spark, tmp_path):
     two = write(tmp_path, "two.csv", "title;;\nid;name;at\n7;x;2024-01-02 03:04:05\n")
     got = files.read_delimited(spark, two, COLUMNS, delimiter=";", skip_header_lines=2)
     assert [r.id for r in got.collect()] == [7]
+    write(tmp_path, "two_b.csv", "title;;\nid;name;at\n8;y;2024-01-02 03:04:05\n9;z;2024-01-02 03:04:05\n")
+    got = files.read_delimited(spark, f"{tmp_path}/two*.csv", COLUMNS, delimiter=";", skip_header_lines=2, with_file=True)
+    assert sorted((r.id, r.source_file.rsplit("/", 1)[1]) for r in got.collect()) == [(7, "two.csv"), (8, "two_b.csv"), (9, "two_b.csv")]
 
 
 def test_windows(spark):

@@ -55,6 +55,7 @@ def test_email_hash_uses_the_raw_text(spark):
         ("01-03-2024", "2024-03-01 00:00:00"),
         ("03/01/2024 10:20:30", "2024-03-01 10:20:30"),
         ("03/01/2024", "2024-03-01 00:00:00"),
+        ("3/1/2024 9:05:06", "2024-03-01 09:05:06"),
         ("13/01/2024", None),
         ("2024-02-30", None),
         ("2024", None),
