@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import identity as I
 from checks.fixtures import AS_OF, sql, view, views
+from kindred.operators import reports as R
 from kindred.operators import staging as S
 from kindred.plans import pipelines
 from kindred.sources import files, tables
@@ -115,6 +116,15 @@ def q_run_unify(spark, sf):
     return master.withColumn("top_emails", F.concat_ws("|", "top_emails"))
 
 
+def q_run_unification(spark, sf):
+    """The stored pipeline: every expected table is there, with its rows."""
+    root = _root(spark, "unify")
+    pipelines.run_unification(spark, I.sources(spark, sf), I.CFG, root, AS_OF)
+    expected = pipelines.expected_outputs(spark, I.CFG)
+    names = [r.table_name for r in expected.collect()]
+    return R.check_outputs(tables.table_stats(spark, {n: f"{root}/{n}" for n in names}), expected)
+
+
 def q_bucketed(spark, sf):
     """Enriched orders in a catalog table bucketed by canonical id, joined without a shuffle of it."""
     name = f"bucketed_{uuid.uuid4().hex}"
@@ -177,6 +187,7 @@ QUERIES = {
     "run_staging": q_run_staging,
     "run_prep": q_run_prep,
     "run_unify": q_run_unify,
+    "run_unification": q_run_unification,
     "str_hist_union": q_stream_union,
     "str_stage_upsert": q_stream_upsert,
     "str_dedupe": q_stream_dedupe,
@@ -224,6 +235,29 @@ ORACLES = {
         "shop_orders",
     ),
     "run_unify": I.ident("SELECT * EXCLUDE (n_top_emails) FROM master", I.MASTER),
+    "run_unification": I.ident(
+        "SELECT 'unification' AS phase, table_name, CAST(row_count AS BIGINT) AS row_count, 'ok' AS result FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, ({count}) AS row_count"
+            for name, count in {
+                "unified_id_lookup": "SELECT count(*) FROM lookup",
+                "unified_id_graph": "SELECT count(*) FROM final",
+                "unified_id_keys": "SELECT 4",
+                "unified_id_tables": "SELECT 3",
+                "unified_id_source_key_stats": "SELECT 4",
+                "unified_id_result_key_stats": "SELECT 4",
+                "enriched_crm_profiles": "SELECT count(*) FROM customer",
+                "enriched_shop_orders": "SELECT count(*) FROM orders",
+                "enriched_web_events": "SELECT count(*) FROM events",
+                "customer_master": "SELECT count(*) FROM master",
+                "unification_metadata": "SELECT 1",
+                "filter_lookup": "SELECT 4",
+                "column_lookup": "SELECT 8",
+            }.items()
+        )
+        + ")",
+        I.MASTER,
+    ),
     "str_hist_union": sql(_UNION, "orders_hist", "orders_inc"),
     "str_stage_upsert": sql(
         """SELECT * REPLACE (CASE status WHEN 'P' THEN amount + 1 ELSE amount END AS amount, CASE status WHEN 'P' THEN time + 1 ELSE time END AS time),

@@ -100,13 +100,20 @@ def resolve_incremental(
 ) -> tuple[DataFrame, DataFrame]:
     """New lookup and the canonical ids that were merged away.
 
-    ``previous`` is the last lookup, ``records`` the newly extracted rows. Every
-    earlier canonical id enters as the leader of its identifiers and outranks all
-    keys, the earliest first, so a component keeps its oldest id and only
-    components without one get a new hash.
+    ``previous`` is the last lookup, ``records`` the newly extracted rows. Only
+    profiles that a new record touches are resolved again; the others pass through.
+    Their earlier canonical ids enter as the leaders of their identifiers and
+    outrank all keys, the earliest first, so a component keeps its oldest id and
+    only components without one get a new hash.
     """
     scratch = Scratch(previous.sparkSession, "incremental")
-    fresh = pair_table(records, table_count)
+    fresh = scratch.save(pair_table(records, table_count), "fresh")
+    # Leaders follow themselves, so the followers are all identifiers there are.
+    arrived = fresh.select(F.col("follower_id").alias("id"), F.col("follower_ns").alias("id_key_type")).distinct()
+    touched = previous.join(arrived, ["id", "id_key_type"], "left_semi").select("canonical_id").distinct()
+    touched = scratch.save(touched, "touched")
+    untouched = salted_join(previous, touched, ["canonical_id"], "left_anti", floor=floor)
+    previous = scratch.save(salted_join(previous, touched, ["canonical_id"], "left_semi", floor=floor), "previous")
     words = [c for c in fresh.columns if c.startswith("_w")]
 
     def seen_bits(word: str) -> Column:
@@ -163,4 +170,4 @@ def resolve_incremental(
         .select("old_canonical_id", "canonical_id")
         .distinct()
     )
-    return lookup, merged
+    return lookup.unionByName(untouched.select(*lookup.columns)), merged

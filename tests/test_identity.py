@@ -294,6 +294,9 @@ def test_ids_stay_stable_when_components_merge(spark):
     assert [tuple(r) for r in merged.collect()] == [(bob, jane)]
     assert set(new) == set(old) | {("new@x", 1)}
     assert new[("jane@email.com", 1)].id_source_table_ids == [1, 2]
+    # A profile without new records passes through as it was.
+    assert new[("john@email.com", 1)].id_last_processed_at == AS_OF
+    assert new[("bob@email.com", 1)].id_last_processed_at == AS_OF + 60
 
 
 def test_levels(spark):
