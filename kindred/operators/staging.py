@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -276,7 +277,9 @@ class Rules:
 
 def stage(df: DataFrame, rules: Rules, source: str, as_of: int) -> DataFrame:
     """Clean, then join on cleaned columns, then de-duplicate."""
-    df, _ = cap_columns(df)
+    df, left_out = cap_columns(df)
+    if left_out:
+        warnings.warn(f"{source}: only the first {MAX_COLUMNS} columns are staged, without {', '.join(left_out)}")
     for name, keys in rules.json.items():
         df = json_flatten(df, name, keys)
     extracted = [c for c in df.columns if any(c.startswith(f"{n}_") for n in rules.json)]
