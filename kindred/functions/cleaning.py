@@ -11,15 +11,8 @@ TRUE_TEXTS = ["true", "1", "yes"]
 FALSE_TEXTS = ["false", "0", "no"]
 EMAIL_PATTERN = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 TEST_EMAIL_DOMAINS = ["@test.com", "@example.com"]
-# One or two digits for day, month, hour, minute and second.
-DATE_TEXT_FORMATS = [
-    "d-M-yyyy H:m:s.SSSSSS",
-    "d-M-yyyy H:m:s",
-    "d-M-yyyy",
-    "M/d/yyyy H:m:s.SSSSSS",
-    "M/d/yyyy H:m:s",
-    "M/d/yyyy",
-]
+# Separator and order of dates that are not written year first.
+DATE_ORDERS = {"-": "d-M-yyyy", "/": "M/d/yyyy"}
 STD_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -66,14 +59,28 @@ def std_phone(name: str, col: Column | None = None) -> list[Column]:
     ]
 
 
+def _dated_text(text: Column, separator: str, order: str) -> Column:
+    """One day-month or month-day form, alone, with a time, or with a fraction.
+
+    The shape is tested first: a failed parse is far dearer than a pattern test.
+    One or two digits are accepted for all parts but the year.
+    """
+    day = rf"^\d{{1,2}}{separator}\d{{1,2}}{separator}\d{{4}}"
+    clock = r" \d{1,2}:\d{1,2}:\d{1,2}"
+    return (
+        F.when(text.rlike(day + "$"), F.try_to_timestamp(text, F.lit(order)))
+        .when(text.rlike(day + clock + "$"), F.try_to_timestamp(text, F.lit(f"{order} H:m:s")))
+        .when(text.rlike(day + clock + r"\.\d{1,6}$"), F.try_to_timestamp(text, F.lit(f"{order} H:m:s.SSSSSS")))
+    )
+
+
 def parse_date_text(col: Column) -> Column:
     """First form that fits: ISO-like text, epoch seconds, day-month-year, month/day/year."""
     text = F.trim(col.cast("string"))
     # Dates written year first, with or without T, fraction and offset.
     iso = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text.try_cast("timestamp"))
     epoch = F.when(text.rlike(r"^\d{9,11}$"), F.timestamp_seconds(text.try_cast("long")))
-    dated = [F.try_to_timestamp(text, F.lit(fmt)) for fmt in DATE_TEXT_FORMATS]
-    return F.coalesce(iso, epoch, *dated)
+    return F.coalesce(iso, epoch, *[_dated_text(text, sep, order) for sep, order in DATE_ORDERS.items()])
 
 
 def _date_outputs(name: str, original: Column, ts: Column) -> list[Column]:

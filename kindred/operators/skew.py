@@ -36,10 +36,19 @@ def hot_keys(df: DataFrame, on: Sequence[str], total: int, floor: int = HOT_FLOO
     return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
+def is_comparable(kind: T.DataType) -> bool:
+    """Can values of the type be hashed and ordered? Maps and variants, also nested, cannot."""
+    if isinstance(kind, T.StructType):
+        return all(is_comparable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return is_comparable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def _spread(df: DataFrame) -> Column:
     """A number that differs between rows and stays the same when a task is repeated."""
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.xxhash64(*plain, F.spark_partition_id())
+    names = [f"`{f.name}`" for f in df.schema.fields if is_comparable(f.dataType)]
+    return F.xxhash64(*names, F.spark_partition_id())
 
 
 def salted_join(

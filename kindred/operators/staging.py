@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from kindred.functions import cleaning as C
 from kindred.functions import jsontext as J
 from kindred.functions.clock import epoch_text
-from kindred.operators.skew import salted_join
+from kindred.operators.skew import is_comparable, salted_join
 
 MAX_COLUMNS = 200
 INGEST_CLOCK = "time"
@@ -195,7 +195,7 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool]]
     """
     ranks = [F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last() for c, desc in order]
     named = {c for c, _ in order} | set(keys)
-    sortable = [f.name for f in df.schema.fields if f.name not in named and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    sortable = [f.name for f in df.schema.fields if f.name not in named and is_comparable(f.dataType)]
     ranks += [F.col(c).desc_nulls_last() for c in sorted(sortable)]
     window = Window.partitionBy(*keys).orderBy(*ranks)
     return df.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")

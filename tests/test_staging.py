@@ -56,7 +56,9 @@ def test_email_hash_uses_the_raw_text(spark):
         ("03/01/2024 10:20:30", "2024-03-01 10:20:30"),
         ("03/01/2024", "2024-03-01 00:00:00"),
         ("3/1/2024 9:05:06", "2024-03-01 09:05:06"),
+        ("03/01/2024 10:20:30.5", "2024-03-01 10:20:30"),
         ("13/01/2024", None),
+        ("01-03-2024 10:20", None),
         ("2024-02-30", None),
         ("2024", None),
         ("bad", None),
@@ -183,3 +185,9 @@ def test_salted_join_equals_plain_join(spark, how):
     key = lambda df: sorted(map(str, df.collect()))
     got = salted_join(left, right, ["k"], how, floor=5)
     assert key(got) == key(left.join(right, "k", how).select(*got.columns))
+
+
+def test_nested_maps_do_not_stop_joins_and_dedupe(spark):
+    left = spark.range(40).select(F.lit("k").alias("k"), F.array(F.create_map(F.lit("a"), F.col("id"))).alias("m"), "id")
+    assert salted_join(left, left.select("k").distinct(), ["k"], floor=3).count() == 40
+    assert S.dedupe(left, ["k"], [("id", True)]).first().id == 39
