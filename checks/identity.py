@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from kindred.plans import extract as X
 from kindred.plans import master as M
 from kindred.plans import resolve as R
 from kindred.plans import stats as S
+from kindred.plans.config import CanonicalId, Key
 from kindred.plans.unify import resolve_incremental, unify_levels
 from kindred.sources.scratch import Scratch
 
@@ -253,14 +256,9 @@ def q_incremental(spark, sf):
 
 def q_levels(spark, sf):
     """Person by e-mail and customer id, then household by person and phone."""
-    from kindred.plans.config import CanonicalId, Key, from_dict
-    from dataclasses import replace
-    from checks.fixtures import IDENTITY
-
     person = CanonicalId("person_id", ("email", "customer_id", "td_client_id"))
     household = CanonicalId("household_id", ("person_id", "phone"))
-    cfg = from_dict(IDENTITY)
-    cfg = replace(cfg, keys=cfg.keys + (Key("person_id"),), canonical_ids=(person, household), master_tables=())
+    cfg = replace(CFG, keys=CFG.keys + (Key("person_id"),), canonical_ids=(person, household), master_tables=())
     done = unify_levels(sources(spark, sf), cfg, AS_OF)
     crm = done["household_id"].enriched["crm_profiles"]
     return crm.select("customer_id", "person_id", "household_id")
@@ -293,9 +291,8 @@ def _code(ns: str, ident: str) -> str:
 
 
 def _hash(code: str) -> str:
-    ident = f"substr({code}, 4)"
-    mask = f"(['{chr(39).join([]) + (chr(39) + ', ' + chr(39)).join(KEY_MASKS)}'])[CAST(substr({code}, 1, 3) AS INT)]"
-    return hash_sql(ident, mask)
+    masks = ", ".join(f"'{m}'" for m in KEY_MASKS)
+    return hash_sql(f"substr({code}, 4)", f"([{masks}])[CAST(substr({code}, 1, 3) AS INT)]")
 
 
 def hash_sql(ident: str, mask: str) -> str:
@@ -478,10 +475,6 @@ def _components(prefix: str) -> str:
     return text[text.index(f"{prefix}raw AS") :]
 
 
-def _level(table: str, tid: int, *parts: str) -> str:
-    return f"SELECT list_filter([{', '.join(parts)}], lambda x: x IS NOT NULL) AS ids, time, CAST({tid} AS BIGINT) AS tid FROM {table}"
-
-
 def _first_of(*parts: str) -> str:
     return f"list_filter([{', '.join(parts)}], lambda x: x IS NOT NULL)[1]"
 
@@ -496,14 +489,14 @@ _PERSON_ID = "CASE WHEN person_id IS NOT NULL THEN {'ns': CAST(1 AS BIGINT), 'id
 
 def _levels_sql() -> str:
     """Level one per table, then the same search again with the person as a key."""
-    parts = ["a_rec AS (" + " UNION ALL ".join(_level(t, i + 1, *_PERSON_KEYS[t]) for i, t in enumerate(TABLES)) + ")", _components("a_")]
+    parts = ["a_rec AS (" + " UNION ALL ".join(_rec(t, i + 1, *_PERSON_KEYS[t]) for i, t in enumerate(TABLES)) + ")", _components("a_")]
     for t in TABLES:
         parts.append(
             f"""p_{t} AS (SELECT s.*, {_hash('f.rc')} AS person_id FROM (SELECT *, {_first_of(*_PERSON_KEYS[t])} AS k FROM {t}) s
                 LEFT JOIN a_final f ON f.fc = {_code('s.k.ns', 's.k.id')})"""
         )
     keys = {"crm_profiles": (_pair("phone", 2), _PERSON_ID), "shop_orders": (_PERSON_ID,), "web_events": (_PERSON_ID,)}
-    parts.append("b_rec AS (" + " UNION ALL ".join(_level(f"p_{t}", i + 1, *keys[t]) for i, t in enumerate(TABLES)) + ")")
+    parts.append("b_rec AS (" + " UNION ALL ".join(_rec(f"p_{t}", i + 1, *keys[t]) for i, t in enumerate(TABLES)) + ")")
     parts.append(_components("b_"))
     first = _first_of(*keys["crm_profiles"])
     return sql(
@@ -607,12 +600,10 @@ ORACLES = {
     ),
     "idu_metadata": sql(_META, *TABLES),
     "idu_incremental": ident(
-        f"""SELECT coalesce(k.cid, {_hash('f.rc')}) AS canonical_id, {split('f.fc', 'x')}, o.first_at AS id_first_seen_at, o.last_at AS id_last_seen_at
+        f"""SELECT coalesce(k.cid, {_hash('f.rc')}) AS canonical_id, substr(f.fc, 4) AS id,
+            CAST(substr(f.fc, 1, 3) AS BIGINT) AS id_key_type, o.first_at AS id_first_seen_at, o.last_at AS id_last_seen_at
             FROM final f JOIN fol o ON f.fc = o.fc LEFT JOIN kept k ON k.rc = f.rc""",
         _INCR,
     ),
 }
 ORACLES["idu_levels"] = _levels_sql()
-ORACLES["idu_incremental"] = (
-    ORACLES["idu_incremental"].replace(" AS x_id", " AS id").replace(" AS x_ns", " AS id_key_type")
-)
