@@ -30,6 +30,8 @@ from kindred.llm import tokens
 from kindred.llm.common import map_batches
 
 LIMIT = 512
+#: Pieces a worker remembers at most; a quarter as many pre-tokens.
+MEMO = 1_500_000
 #: The pattern that splits text before merging (a fixed value of the vocabulary), with white space spelled out.
 SPLIT = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^W\p{L}\p{N}]+|[W]+(?![^W])|[W]+".replace("W", tokens.WHITE)
@@ -64,7 +66,6 @@ class PrefixCounter:
             self.merges.setdefault((bytes(back[c] for c in a), bytes(back[c] for c in b)), rank)
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
         self.words: dict[str, list[int]] = {}
-        self.begun: dict[bytes, tuple[list[bytes], list[int]]] = {}
         self.memo: dict[str, bytes] = {}
 
     def merge(self, word: bytes) -> list[bytes]:
@@ -97,30 +98,23 @@ class PrefixCounter:
 
     def word(self, word: bytes) -> list[int]:
         """Counts of all byte prefixes of one pre-token, from one byte on."""
-        # Words that begin alike share the begin of their tables.
-        last, counts = [b""], [0]
-        for cut in range(len(word) - 1, max(1, len(word) - 8), -1):
-            if (known := self.begun.get(word[:cut])) is not None:
-                last, counts = [*known[0]], [*known[1]]
-                break
+        last, counts, size = [b""], [0], 0
         ids, pairs, longest = self.ids, self.pairs, self.longest
-        for end in range(len(last), len(word) + 1):
-            for start in range(max(0, end - longest), end):
-                t = word[start:end]
+        for end in range(1, len(word) + 1):
+            # One token fits, in whatever order they are tried; most often the last one grows or a new one begins.
+            for size in (size + 1, *range(1, min(end, longest) + 1)):
+                t = word[end - size : end]
                 if t in ids:
-                    ok = pairs.get((last[start], t))
+                    before = last[end - size]
+                    ok = pairs.get((before, t))
                     if ok is None:
-                        ok = self.fits(last[start], t)
+                        ok = self.fits(before, t)
                     if ok:
                         last.append(t)
-                        counts.append(counts[start] + 1)
+                        counts.append(counts[end - size] + 1)
                         break
             else:
                 raise ValueError(f"no token ends the prefix {word[:end]!r}")
-        if 1 < len(word) <= tokens.LONGEST:
-            if len(self.begun) > tokens.MEMO // 2:
-                self.begun.clear()
-            self.begun[word] = (last, counts)
         return counts[1:]
 
     def part(self, part: str) -> list[int]:
@@ -134,13 +128,20 @@ class PrefixCounter:
             if part in CONTRACTIONS:
                 known[1] = self.word(b"'")[-1] + self.word(part[1].encode())[-1]
             if len(part) <= tokens.LONGEST:
-                if len(self.words) > tokens.MEMO // 2:
+                if len(self.words) > MEMO // 4:
                     self.words.clear()
                 self.words[part] = known
         return known
 
     def plain(self, piece: str) -> list[int]:
         """Counts of all prefixes of white space followed by other characters, without added tokens."""
+        if piece[:1] == " " and piece[1:-1].isalpha():
+            # A word after one space, perhaps with a mark behind it, needs no splitting.
+            if piece[-1].isalpha():
+                return [1, *self.part(piece)[1:]]
+            if piece[-1] in ".,":
+                of_word = self.part(piece[:-1])
+                return [1, *of_word[1:], of_word[-1] + 1]
         white = WHITE_RUN.match(piece).end()
         # White space that ends a prefix is one pre-token; before other characters its last character is not part of it.
         counts = list(self.white(piece[:white]))
@@ -157,9 +158,12 @@ class PrefixCounter:
 
     def counts(self, piece: str) -> list[int]:
         """Counts of all prefixes of a piece. An added token is one token once it is complete, and splits the text."""
-        found = min(((piece.find(a), -len(a), a) for a in self.added if a in piece), default=None)
-        if found is None:
+        for added in self.added:
+            if added in piece:
+                break
+        else:
             return self.plain(piece)
+        found = min((piece.find(a), -len(a), a) for a in self.added if a in piece)
         at, _, added = found
         counts = self.plain(piece[:at] + added[:-1])
         counts.append((counts[at - 1] if at else 0) + 1)
@@ -175,7 +179,7 @@ class PrefixCounter:
                 counts = self.counts(piece)
                 known = bytes(b - a & 255 for a, b in zip([0, *counts], counts))
                 if len(piece) <= tokens.LONGEST:
-                    if len(self.memo) > tokens.MEMO:
+                    if len(self.memo) > MEMO:
                         self.memo.clear()
                     self.memo[piece] = known
             out.append(known)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import lexical_packing, license_join, line_frequency, positional_index, prefix_counts, quality_ledger, simhash_index, token_store
+from kindred.llm import lexical_packing, license_join, line_frequency, positional_index, prefix_counts, quality_ledger, simhash_index, suffix_ranges, token_store, url_equivalence
 from kindred.sources.scratch import Scratch
 
 
@@ -33,6 +33,10 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), fingerprint.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_equivalence.verdicts(_table(spark, sf_dir, "pages"), url_equivalence.rule_table(spark))
+
+
 def token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "token-store")
     root = scratch.path("store")
@@ -53,6 +57,11 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_ranges.dedup(_table(spark, sf_dir, "documents"))
+    return rows.withColumnRenamed("id", "doc_id").drop("kept")
+
+
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scan(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -61,10 +70,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_frequency": line_dedup,
     "op2_quality_ledger": quality_rules,
     "op3_simhash_index": simhash,
+    "op4_url_equivalence": url_filter,
     "op5_token_store": token_file,
     "op6_positional_index": decontamination,
     "op7_prefix_counts": token_counts,
     "op8_lexical_packing": packing,
+    "op9_suffix_ranges": suffix_dedup,
     "op10_license_join": license_scan,
 }
 
