@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.llm import lexical_packing, license_join, line_frequency, positional_index, prefix_counts, quality_ledger, simhash_index, suffix_ranges, token_store, url_equivalence
+from kindred.llm.oracles import ORACLES
 from kindred.sources.scratch import Scratch
 
+__all__ = ["ORACLES", "QUERIES"]
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -78,5 +81,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_ranges": suffix_dedup,
     "op10_license_join": license_scan,
 }
-
-ORACLES: dict[str, str] = {}
