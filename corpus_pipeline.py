@@ -13,6 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kindred.llm import lexical_packing, line_frequency, positional_index, quality_ledger, simhash_index
+from kindred.llm.common import ship
 from kindred.sources.scratch import Scratch
 
 
@@ -56,6 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
+    ship(spark)
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):

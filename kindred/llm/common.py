@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -20,6 +23,21 @@ WORD_BYTES = bytes(
 )
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the Python workers import this package, as ``--py-files`` would, where their path does not have it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    context = spark.sparkContext
+    if root in known or os.path.basename(root) == "site-packages" or context.applicationId in _SHIPPED:
+        return
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "kindred"), "zip", root, "kindred")
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def byte_words(text: str | None) -> list[bytes]:
     """Words of letters, digits and non-ASCII characters, A-Z lower-cased."""
     return (text or "").encode().translate(WORD_BYTES).split()

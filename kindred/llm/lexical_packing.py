@@ -200,9 +200,7 @@ def pack_rests(rests: DataFrame, kind: np.dtype, idf: np.ndarray, mean: float, w
 def pack(docs: DataFrame, path: str, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS, **columns) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     scratch = Scratch(docs.sparkSession, "packing")
-    encoder = tokens.load(path)
-    size = encoder.get_vocab_size()
-    kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+    size, kind = tokens.load(path).get_vocab_size(), tokens.kind(path)
     encoded = scratch.save(token_store.encode(docs, path, **columns), "encoded")
     found, n_docs, mean = frequencies(encoded, size, kind)
     idf = inverse_frequency(found, n_docs)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.llm import lexical_packing, license_join, line_frequency, positional_index, prefix_counts, quality_ledger, simhash_index, suffix_ranges, token_store, url_equivalence
+from kindred.llm.common import ship
 from kindred.llm.oracles import ORACLES
 from kindred.sources.scratch import Scratch
 
@@ -16,6 +17,7 @@ __all__ = ["ORACLES", "QUERIES"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -35,12 +35,17 @@ def load(path: str):
     return tokenizer
 
 
+def kind(path: str) -> np.dtype:
+    """Integers that hold the ids of a vocabulary file."""
+    return np.dtype("<u2" if load(path).get_vocab_size() <= 1 << 16 else "<u4")
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 16-bit (or 32-bit) integers."""
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.kind = kind(path)
         self.memo: dict[str, bytes] = {}
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
