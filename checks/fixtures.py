@@ -51,7 +51,7 @@ FIXTURES = {
         FROM orders""",
     "web_events": """
         SELECT event_id,
-          'ck' || {text:CASE WHEN event_id % 97 = 0 AND user_id % 5 <> 4 THEN (user_id + 1) * 3 ELSE user_id * 3 + event_id % 3 END} AS td_client_id,
+          'ck' || {text:CASE WHEN event_id % 97 = 0 AND user_id % 5 <> 4 THEN (user_id + 1) * 3 ELSE user_id * 3 + event_id % 3 END} AS cookie_id,
           CASE WHEN event_type = 'signup' THEN 'user' || {text:user_id - user_id % 2} || '@example.com' END AS user_email,
           CASE WHEN event_type = 'purchase' THEN {text:user_id} END AS customer_id,
           props, CAST({epoch:ts} AS BIGINT) AS time
@@ -157,7 +157,7 @@ IDENTITY = {
         {"name": "email", "valid_regexp": ".*@.*", "invalid_texts": ["", "N/A", "null"]},
         {"name": "customer_id", "invalid_texts": ["", "N/A", "null"]},
         {"name": "phone", "invalid_texts": ["", "N/A", "null"]},
-        {"name": "td_client_id", "invalid_texts": ["", "N/A", "null"]},
+        {"name": "cookie_id", "invalid_texts": ["", "N/A", "null"]},
     ],
     "tables": [
         {
@@ -178,13 +178,13 @@ IDENTITY = {
             "database": "client_stg",
             "table": "web_events",
             "key_columns": [
-                {"column": "td_client_id", "key": "td_client_id"},
+                {"column": "cookie_id", "key": "cookie_id"},
                 {"column": "user_email", "key": "email"},
                 {"column": "customer_id", "key": "customer_id"},
             ],
         },
     ],
-    "canonical_ids": [{"name": "unified_id", "merge_by_keys": ["email", "customer_id", "phone", "td_client_id"]}],
+    "canonical_ids": [{"name": "unified_id", "merge_by_keys": ["email", "customer_id", "phone", "cookie_id"]}],
     "master_tables": [
         {
             "name": "customer_master",

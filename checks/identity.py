@@ -256,7 +256,7 @@ def q_incremental(spark, sf):
 
 def q_levels(spark, sf):
     """Person by e-mail and customer id, then household by person and phone."""
-    person = CanonicalId("person_id", ("email", "customer_id", "td_client_id"))
+    person = CanonicalId("person_id", ("email", "customer_id", "cookie_id"))
     household = CanonicalId("household_id", ("person_id", "phone"))
     cfg = replace(CFG, keys=CFG.keys + (Key("person_id"),), canonical_ids=(person, household), master_tables=())
     done = unify_levels(sources(spark, sf), cfg, AS_OF)
@@ -281,7 +281,7 @@ def _rec(table: str, tid: int, *parts: str) -> str:
 _RECS = {
     "crm_profiles": _rec("crm_profiles", 1, _pair("email", 1, True), _pair("customer_id", 2), _pair("phone", 3)),
     "shop_orders": _rec("shop_orders", 2, _pair("order_email", 1, True), _pair("customer_id", 2)),
-    "web_events": _rec("web_events", 3, _pair("td_client_id", 4), _pair("user_email", 1, True), _pair("customer_id", 2)),
+    "web_events": _rec("web_events", 3, _pair("cookie_id", 4), _pair("user_email", 1, True), _pair("customer_id", 2)),
 }
 
 
@@ -358,7 +358,7 @@ LOOKUP = GRAPH.rstrip() + f""",
 _FIRST = {
     "crm_profiles": f"list_filter([{_pair('email', 1, True)}, {_pair('customer_id', 2)}, {_pair('phone', 3)}], lambda x: x IS NOT NULL)[1]",
     "shop_orders": f"list_filter([{_pair('order_email', 1, True)}, {_pair('customer_id', 2)}], lambda x: x IS NOT NULL)[1]",
-    "web_events": f"list_filter([{_pair('td_client_id', 4)}, {_pair('user_email', 1, True)}, {_pair('customer_id', 2)}], lambda x: x IS NOT NULL)[1]",
+    "web_events": f"list_filter([{_pair('cookie_id', 4)}, {_pair('user_email', 1, True)}, {_pair('customer_id', 2)}], lambda x: x IS NOT NULL)[1]",
 }
 
 
@@ -403,7 +403,7 @@ def ident(body: str, ctes: str = GRAPH, *extra: str) -> str:
     return sql(body, *TABLES, *extra, ctes=ctes, recursive=True)
 
 
-_NAMES = {"email": 1, "customer_id": 2, "phone": 3, "td_client_id": 4}
+_NAMES = {"email": 1, "customer_id": 2, "phone": 3, "cookie_id": 4}
 
 
 def _source_stats_sql() -> str:
@@ -482,7 +482,7 @@ def _first_of(*parts: str) -> str:
 _PERSON_KEYS = {
     "crm_profiles": (_pair("email", 1, True), _pair("customer_id", 2)),
     "shop_orders": (_pair("order_email", 1, True), _pair("customer_id", 2)),
-    "web_events": (_pair("td_client_id", 3), _pair("user_email", 1, True), _pair("customer_id", 2)),
+    "web_events": (_pair("cookie_id", 3), _pair("user_email", 1, True), _pair("customer_id", 2)),
 }
 _PERSON_ID = "CASE WHEN person_id IS NOT NULL THEN {'ns': CAST(1 AS BIGINT), 'id': person_id} END"
 
@@ -595,7 +595,7 @@ ORACLES = {
     ),
     "idu_dims": ident(
         """SELECT k.key_name, n.table_name, count(*) AS identities FROM (SELECT DISTINCT fc, tid FROM raw) r
-           JOIN (VALUES (1, 'email'), (2, 'customer_id'), (3, 'phone'), (4, 'td_client_id')) k(ns, key_name) ON k.ns = CAST(substr(r.fc, 1, 3) AS INT)
+           JOIN (VALUES (1, 'email'), (2, 'customer_id'), (3, 'phone'), (4, 'cookie_id')) k(ns, key_name) ON k.ns = CAST(substr(r.fc, 1, 3) AS INT)
            JOIN (VALUES (1, 'crm_profiles'), (2, 'shop_orders'), (3, 'web_events')) n(tid, table_name) ON n.tid = r.tid GROUP BY ALL"""
     ),
     "idu_metadata": sql(_META, *TABLES),

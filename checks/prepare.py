@@ -84,7 +84,7 @@ def _long(spark, sf):
         [
             (crm, "crm_profiles", "email", "customer_id"),
             (orders, "shop_orders", "order_email", "customer_id"),
-            (web, "web_events", "user_email", "td_client_id"),
+            (web, "web_events", "user_email", "cookie_id"),
         ]
     )
 
@@ -104,6 +104,20 @@ def q_key_profile(spark, sf):
     )
 
 
+def q_key_profile_numbers(spark, sf):
+    """Numbers, dates and text of one table: each has the extremes of its own type."""
+    return K.profile_keys(view(spark, sf, "orders"), "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"])
+
+
+def q_exclude_numbers(spark, sf):
+    """A number as a key, against a list that also holds hashes."""
+    orders = view(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("phone"))
+    listed = orders.filter(F.col("phone") % 7 == 0).select(F.col("phone").cast("string").alias("key_value"))
+    hashes = orders.select(F.sha2(F.col("phone").cast("string"), 256).alias("key_value"))
+    listed = listed.unionByName(hashes).select("key_value", F.lit("phone").alias("key_name"))
+    return P.apply_exclusions(orders, listed, {"phone": "phone"})
+
+
 def q_key_overlap(spark, sf):
     crm, orders, web = views(spark, sf, "crm_profiles", "shop_orders", "web_events")
     return K.key_overlap({"crm": (crm, "email"), "shop": (orders, "order_email"), "web": (web, "user_email")})
@@ -146,6 +160,8 @@ QUERIES = {
     "prep_long": q_long,
     "prep_dist": q_dist,
     "key_profile": q_key_profile,
+    "key_profile_numbers": q_key_profile_numbers,
+    "prep_exclude_numbers": q_exclude_numbers,
     "key_overlap": q_key_overlap,
     "key_detect": q_key_detect,
     "key_excluded": q_key_excluded,
@@ -174,7 +190,7 @@ _CLEAN = """SELECT * REPLACE (CASE WHEN email IN (SELECT key_value FROM known WH
 _RE = r"'^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$'"
 _LONG = " UNION ALL ".join(
     f"SELECT DISTINCT '{t}' AS source_table, '{c}' AS source_column, lower(trim({c})) AS key_value, {i} AS source_id FROM {t} WHERE {c} <> '' AND regexp_matches({c}, {_RE})"
-    for t, c, i in (("crm_profiles", "email", "customer_id"), ("shop_orders", "order_email", "customer_id"), ("web_events", "user_email", "td_client_id"))
+    for t, c, i in (("crm_profiles", "email", "customer_id"), ("shop_orders", "order_email", "customer_id"), ("web_events", "user_email", "cookie_id"))
 )
 _WEB = ("crm_profiles", "shop_orders", "web_events")
 
@@ -233,6 +249,14 @@ ORACLES = {
         "crm_profiles",
         "shop_orders",
     ),
+    "key_profile_numbers": sql(
+        " UNION ALL ".join(
+            f"""SELECT 'orders' AS table_name, '{c}' AS column_name, CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value,
+                count(DISTINCT {c}) AS unique_count, count(*) AS row_count, count(*) - count({c}) AS null_count FROM orders"""
+            for c in ("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+        )
+    ),
+    "prep_exclude_numbers": sql("SELECT o_orderkey, CASE WHEN o_custkey % 7 <> 0 THEN o_custkey END AS phone FROM orders"),
     "key_overlap": sql(
         " UNION ALL ".join([_overlap("crm", "shop"), _overlap("crm", "web"), _overlap("shop", "web")]),
         *_WEB,
@@ -248,7 +272,7 @@ ORACLES = {
                 ("crm_profiles", "email", "email"),
                 ("crm_profiles", "phone", "phone"),
                 ("shop_orders", "customer_id", "user_id"),
-                ("web_events", "td_client_id", "cookie_device"),
+                ("web_events", "cookie_id", "cookie_device"),
                 ("web_events", "user_email", "email"),
                 ("web_events", "customer_id", "user_id"),
                 ("raw_contacts", "email", "email"),

@@ -203,7 +203,7 @@ ORACLES = {
         I.LOOKUP,
     ),
     "rep_keytypes": I.ident(
-        """SELECT id_key_type, (['email', 'customer_id', 'phone', 'td_client_id'])[id_key_type] AS key_name, count(*) AS identity_count,
+        """SELECT id_key_type, (['email', 'customer_id', 'phone', 'cookie_id'])[id_key_type] AS key_name, count(*) AS identity_count,
              count(DISTINCT canonical_id) AS unique_canonical_ids FROM lookup GROUP BY id_key_type""",
         I.LOOKUP,
     ),

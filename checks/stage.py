@@ -121,6 +121,25 @@ def q_pipeline(spark, sf):
     return S.guard_types(S.stage(contacts, rules, "contacts", AS_OF))
 
 
+_WIDE = 230
+
+
+def q_wide(spark, sf):
+    """Orders with more than two hundred further columns; key and clock come last."""
+    orders = view(spark, sf, "orders")
+    wide = orders.select(*[(F.col("o_orderkey") + i).cast("string").alias(f"c{i}") for i in range(_WIDE)], "o_orderkey", F.col("o_custkey").alias("time"))
+    staged = S.stage(wide, S.Rules(columns={"c0": "string"}), "orders", AS_OF)
+    return staged.select("o_orderkey", "time", "c0", f"c{_WIDE - 1}", F.lit(len(staged.columns)).alias("n_columns"))
+
+
+def q_decimal(spark, sf):
+    """Exact numbers keep their digits."""
+    lines = view(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_quantity").cast("decimal(12,2)") / 8).cast("decimal(18,5)").alias("share")
+    )
+    return S.clean_columns(lines, S.classify_columns(lines.schema)).withColumn("share", F.col("share").cast("string"))
+
+
 def _work(spark, sf):
     """Orders of one status changed, plus new ones without key."""
     orders = view(spark, sf, "orders_all")
@@ -207,6 +226,8 @@ QUERIES = {
     "stg_dedupe_asc": q_dedupe_asc,
     "stg_dedupe_batch": q_dedupe_batch,
     "stg_pipeline": q_pipeline,
+    "stg_wide": q_wide,
+    "stg_decimal": q_decimal,
     "stg_upsert": q_upsert,
     "stg_upsert_pair": q_upsert_pair,
     "stg_affected": q_affected,
@@ -341,6 +362,13 @@ ORACLES = {
              joined AS (SELECT c.*, n_name AS n_name_dim, 'contacts' AS source_system, '2024-02-01 00:00:00' AS load_timestamp
                FROM cleaned c LEFT JOIN nation ON nation_id = n_nationkey)""",
     ),
+    "stg_wide": sql(
+        f"""SELECT o_orderkey, o_custkey AS time, CAST(o_orderkey AS VARCHAR) AS c0, CAST(o_orderkey + {_WIDE - 1} AS VARCHAR) AS c{_WIDE - 1},
+              {_WIDE} + 4 AS n_columns FROM orders"""
+    ),
+    "stg_decimal": sql(
+        "SELECT l_orderkey, l_linenumber, CAST(CAST(CAST(l_quantity AS DECIMAL(12, 2)) * 0.125 AS DECIMAL(18, 5)) AS VARCHAR) AS share FROM lineitem"
+    ),
     "stg_upsert": sql(
         "SELECT * FROM orders_all WHERE order_id NOT IN (SELECT order_id FROM work WHERE order_id IS NOT NULL) UNION ALL SELECT * FROM work",
         "orders_all",

@@ -32,33 +32,39 @@ IDENTIFIER_NAMES = {
         "cust_id",
         "client_id",
     ],
-    "identity": ["profile_id", "identity_id", "cognito_identity_userid", "flavormaker_uid", "external_id"],
-    "cookie_device": ["td_client_id", "td_global_id", "td_ssc_id", "cookie_id", "device_id", "visitor_id"],
+    "identity": ["profile_id", "identity_id", "external_id"],
+    "cookie_device": ["cookie_id", "device_id", "visitor_id", "browser_id"],
 }
 
 PRIMITIVE = (T.StringType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def _kind_of(name: str) -> str | None:
-    return next((kind for kind, names in IDENTIFIER_NAMES.items() if name.lower() in names), None)
+Vocabulary = Mapping[str, Sequence[str]]
 
 
-def detect_identifiers(schemas: Mapping[str, T.StructType], spark: SparkSession) -> DataFrame:
-    """Identifier columns of primitive type: table_name, column_name, data_type, identifier_type."""
+def _kind_of(name: str, vocabulary: Vocabulary) -> str | None:
+    return next((kind for kind, names in vocabulary.items() if name.lower() in names), None)
+
+
+def detect_identifiers(schemas: Mapping[str, T.StructType], spark: SparkSession, vocabulary: Vocabulary = IDENTIFIER_NAMES) -> DataFrame:
+    """Identifier columns of primitive type: table_name, column_name, data_type, identifier_type.
+
+    ``vocabulary`` has the column names of every kind of identifier, in lower case.
+    """
     rows = [
-        (table, f.name, f.dataType.simpleString(), _kind_of(f.name))
+        (table, f.name, f.dataType.simpleString(), _kind_of(f.name, vocabulary))
         for table, schema in schemas.items()
         for f in schema.fields
-        if _kind_of(f.name) and isinstance(f.dataType, PRIMITIVE)
+        if _kind_of(f.name, vocabulary) and isinstance(f.dataType, PRIMITIVE)
     ]
     return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, identifier_type string")
 
 
-def exclusion_report(schemas: Mapping[str, T.StructType], spark: SparkSession) -> DataFrame:
+def exclusion_report(schemas: Mapping[str, T.StructType], spark: SparkSession, vocabulary: Vocabulary = IDENTIFIER_NAMES) -> DataFrame:
     """Tables without a usable identifier, their columns and the reason."""
     rows = []
     for table, schema in schemas.items():
-        named = [f for f in schema.fields if _kind_of(f.name)]
+        named = [f for f in schema.fields if _kind_of(f.name, vocabulary)]
         if any(isinstance(f.dataType, PRIMITIVE) for f in named):
             continue
         reason = "identifier columns are not primitive" if named else "no user identifier columns found"
@@ -69,16 +75,25 @@ def exclusion_report(schemas: Mapping[str, T.StructType], spark: SparkSession) -
 def profile_keys(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """Per column: min, max, distinct values, rows and NULLs, in long form.
 
-    Values are counted down first, so distinct counting never widens the rows.
+    Values are counted down first, so distinct counting never widens the rows. The
+    smallest and largest value are found in the column's own type and then written as text.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
-    values = df.select(F.explode(pairs).alias("p")).groupBy("p.column_name", "p.value").agg(F.count(F.lit(1)).alias("n"))
+    kinds = {c: df.schema[c].dataType for c in columns}
+    # A field per type; a value sits in the field of its column's type.
+    fields = {kind.simpleString(): f"v{i}" for i, kind in enumerate(dict.fromkeys(kinds.values()))}
+    held = lambda c: [(F.col(c) if fields[kinds[c].simpleString()] == v else F.lit(None).cast(t)).alias(v) for t, v in fields.items()]
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), *held(c)) for c in columns])
+    values = df.select(F.inline(pairs)).groupBy("column_name", *fields.values()).agg(F.count(F.lit(1)).alias("n"))
+    empty = F.lit(True)
+    for v in fields.values():
+        empty = empty & F.col(v).isNull()
+    outer = lambda of: F.coalesce(*[of(v).cast("string") for v in fields.values()])
     return values.groupBy("column_name").agg(
-        F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"),
-        F.count("value").alias("unique_count"),
+        outer(F.min).alias("min_value"),
+        outer(F.max).alias("max_value"),
+        F.count_if(~empty).alias("unique_count"),
         F.sum("n").alias("row_count"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+        F.coalesce(F.sum(F.when(empty, F.col("n"))), F.lit(0)).alias("null_count"),
     ).select(F.lit(table).alias("table_name"), "*")
 
 

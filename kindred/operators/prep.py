@@ -98,19 +98,20 @@ def apply_exclusions(
 ) -> DataFrame:
     """Replace listed values by NULL; ``columns`` maps a column to its key name.
 
+    Values of any type are compared as text, as the list holds them.
     The list grows with the data, so its size decides whether it is broadcast.
     """
     columns = {"email": "email", "phone": "phone"} if columns is None else columns
     order, rows = df.columns, df.count()
     for column, key in columns.items():
-        text = df.schema[column].dataType.simpleString()
         listed = (
             exclusions.filter(F.col("key_name") == key)
-            .select(F.col("key_value").cast(text).alias(column))
+            .select(F.col("key_value").cast("string").alias("_text"))
             .distinct()
             .withColumn("_hit", F.lit(True))
         )
-        joined = salted_join(df, listed, [column], "left", floor=floor, total=rows)
+        keyed = df.withColumn("_text", F.col(column).cast("string"))
+        joined = salted_join(keyed, listed, ["_text"], "left", floor=floor, total=rows)
         df = joined.withColumn(column, F.when(F.col("_hit").isNull(), F.col(column))).select(*order)
     return df
 

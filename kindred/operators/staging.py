@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import warnings
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -74,6 +73,8 @@ def clean_columns(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
             out += C.std_iso_utc(f.name, col)
         elif rule == "epoch":
             out += C.std_epoch(f.name, col)
+        elif rule == "numeric" and isinstance(f.dataType, T.DecimalType):
+            out.append(col)  # exact already
         elif rule == "numeric":
             out.append(C.std_numeric(col, f.dataType.simpleString()).alias(f.name))
         elif rule == "boolean":
@@ -97,7 +98,7 @@ def json_keys(df: DataFrame, name: str, fraction: float | None = None) -> DataFr
     child = lambda c: F.struct(F.col("k1"), c["key"].alias("k2"), _json_kind(c["value"]).alias("kind"))
     below = F.coalesce(F.transform(children, child), F.array().cast("array<struct<k1:string,k2:string,kind:string>>"))
     found = level1.select(F.inline(F.concat(F.array(own), below)))
-    # A key whose value kind varies between rows is treated as the simplest one seen.
+    # Between scalar and array the simpler kind is kept; the keys of an object have rows of their own.
     return found.groupBy("k1", "k2").agg(F.max("kind").alias("kind"))
 
 
@@ -105,11 +106,11 @@ def _json_kind(text: Column) -> Column:
     return F.when(text.startswith("{"), "object").when(text.startswith("["), "array").otherwise("scalar")
 
 
-def collect_json_keys(df: DataFrame, name: str, limit: int = MAX_COLUMNS, fraction: float | None = None) -> list[tuple[list[str], str]]:
-    """Key paths in a fixed order for ``json_flatten``. More than ``limit`` is an error,
-    because each becomes a column."""
-    found = json_keys(df, name, fraction).orderBy("k1", "k2").limit(limit + 1).collect()
-    if len(found) > limit:
+def collect_json_keys(df: DataFrame, name: str, limit: int | None = None, fraction: float | None = None) -> list[tuple[list[str], str]]:
+    """Key paths in a fixed order for ``json_flatten``; each becomes a column. With a ``limit``, more keys are an error."""
+    keys = json_keys(df, name, fraction).orderBy("k1", "k2")
+    found = (keys if limit is None else keys.limit(limit + 1)).collect()
+    if limit is not None and len(found) > limit:
         raise ValueError(f"column {name} holds more than {limit} JSON keys; name the ones to extract")
     return [([r.k1] if r.k2 is None else [r.k1, r.k2], r.kind) for r in found]
 
@@ -119,13 +120,9 @@ def _json_type(keys: Sequence[tuple[Sequence[str], str]]) -> T.StructType:
     tree: dict[str, dict | str] = {}
     for path, kind in keys:
         if len(path) == 1:
-            if kind != "object":
-                tree[path[0]] = kind
+            tree[path[0]] = kind
         else:
-            branch = tree.setdefault(path[0], {})
-            if not isinstance(branch, dict):
-                raise ValueError(f"JSON key {path[0]!r} is wanted both as a value and as an object")
-            branch[path[1]] = kind
+            tree.setdefault(path[0], {})[path[1]] = kind
 
     def of(node) -> T.DataType:
         if isinstance(node, dict):
@@ -135,22 +132,42 @@ def _json_type(keys: Sequence[tuple[Sequence[str], str]]) -> T.StructType:
     return of(tree)
 
 
+def json_column_names(name: str, keys: Sequence[tuple[Sequence[str], str]]) -> list[str]:
+    """The columns that ``json_flatten`` adds."""
+    return [J.json_column_name(name, path) for path, kind in keys if kind != "object"]
+
+
 def json_flatten(df: DataFrame, name: str, keys: Sequence[tuple[Sequence[str], str]]) -> DataFrame:
     """One column per scalar or array key; the raw column stays.
 
-    Every document is parsed once, whatever the number of keys.
+    Every document is parsed once, whatever the number of keys. A key that is an
+    object in some rows and a value in others gives its own column, NULL where it is
+    an object, and those of its children, read from its text.
     """
     wanted = [(path, kind) for path, kind in keys if kind != "object"]
-    names = [J.json_column_name(name, path) for path, _ in wanted]
+    names = json_column_names(name, wanted)
     clash = {n for n in names if names.count(n) > 1 or n in df.columns}
     if clash:
         raise ValueError(f"JSON keys of {name} give the same column twice: {sorted(clash)}")
-    parsed = df.withColumn("_json", F.from_json(name, _json_type(wanted)))
+    plain = {path[0] for path, _ in wanted if len(path) == 1}
+    mixed = {path[0] for path, _ in wanted if len(path) == 2} & plain
+    whole = [(path, kind) for path, kind in wanted if path[0] not in mixed] + [([root], "scalar") for root in sorted(mixed)]
+    parsed = df.withColumn("_json", F.from_json(name, _json_type(whole)))
+    for i, root in enumerate(sorted(mixed)):
+        below = _json_type([([path[1]], kind) for path, kind in wanted if len(path) == 2 and path[0] == root])
+        parsed = parsed.withColumn(f"_json{i}", F.from_json(F.col("_json").getField(root), below))
+    at = {root: f"_json{i}" for i, root in enumerate(sorted(mixed))}
     out = []
     for (path, kind), column in zip(wanted, names):
-        value = F.col("_json")
-        for step in path:
-            value = value.getField(step)
+        if path[0] in mixed and len(path) == 2:
+            value = F.col(at[path[0]]).getField(path[1])
+        else:
+            value = F.col("_json")
+            for step in path:
+                value = value.getField(step)
+        if path[0] in mixed and len(path) == 1:
+            value = F.when(~value.startswith("{"), value)
+            value = F.from_json(value, T.ArrayType(T.StringType())) if kind == "array" else value
         out.append((value if kind == "array" else F.nullif(F.upper(value), F.lit(""))).alias(column))
     return parsed.select(*df.columns, *out)
 
@@ -164,7 +181,7 @@ def unnest(df: DataFrame, name: str, position: str | None = None) -> DataFrame:
 
 
 def cap_columns(df: DataFrame, limit: int = MAX_COLUMNS) -> tuple[DataFrame, list[str]]:
-    """First ``limit`` columns, and the names left out."""
+    """First ``limit`` columns, and the names left out; for callers who ask for it, ``stage`` keeps all."""
     return df.select(*[f"`{c}`" for c in df.columns[:limit]]), df.columns[limit:]
 
 
@@ -273,18 +290,26 @@ class Rules:
     keys: Sequence[str] = ()
     order: Sequence[tuple[str, bool]] = ()
     custom: Callable[[DataFrame], DataFrame] | None = None
+    find_json: bool = False
 
 
 def stage(df: DataFrame, rules: Rules, source: str, as_of: int) -> DataFrame:
-    """Clean, then join on cleaned columns, then de-duplicate."""
-    df, left_out = cap_columns(df)
-    if left_out:
-        warnings.warn(f"{source}: only the first {MAX_COLUMNS} columns are staged, without {', '.join(left_out)}")
-    for name, keys in rules.json.items():
+    """Clean, then join on cleaned columns, then de-duplicate. All columns are staged.
+
+    With ``find_json`` the keys of JSON columns that the rules do not name are found
+    in the data and flattened as well. Raw JSON columns stay as they came.
+    """
+    wanted = dict(rules.json)
+    if rules.find_json:
+        for name, kind in classify_columns(df.schema).items():
+            if kind == "json" and name not in wanted:
+                wanted[name] = collect_json_keys(df, name)
+    kept = list(wanted)
+    for name, keys in wanted.items():
         df = json_flatten(df, name, keys)
-    extracted = [c for c in df.columns if any(c.startswith(f"{n}_") for n in rules.json)]
+        kept += json_column_names(name, keys)
     plan = dict(classify_columns(df.schema) if rules.columns is None else rules.columns)
-    plan.update({c: "keep" for c in extracted})
+    plan.update({c: "keep" for c in kept})
     df = clean_columns(df, plan)
     if rules.custom:
         df = rules.custom(df)
@@ -336,3 +361,22 @@ def load_rules(rules_table: DataFrame, db: str, table: str, fallback: Mapping |
     if not found["keys"] and fallback:
         found["keys"], found["order"] = fallback.get("keys", []), fallback.get("order", [])
     return found
+
+
+def rules_from(found: Mapping, joins: Mapping[str, DataFrame] | None = None) -> Rules:
+    """``Rules`` from what ``load_rules`` returns.
+
+    Of the additional rules, ``columns`` names cleaning rules, ``json`` lists the key
+    paths to extract per column (``a`` or ``a.b``; or "all" to find them), and ``joins``
+    describes dimensions by name: ``{"table", "on", "columns"}``; ``joins`` has their frames.
+    """
+    more = found.get("additional", {})
+    known = {"columns", "json", "joins"}
+    if unknown := set(more) - known:
+        raise ValueError(f"unknown additional rules: {sorted(unknown)}")
+    listed = more.get("json", {})
+    paths = {} if listed == "all" else {c: [(p.split(".", 1), "scalar") for p in keys] for c, keys in listed.items()}
+    dims = [Join((joins or {})[j["table"]], j["on"], j["columns"]) for j in more.get("joins", ())]
+    return Rules(
+        columns=more.get("columns"), json=paths, joins=dims, keys=found.get("keys", ()), order=found.get("order", ()), find_json=listed == "all"
+    )

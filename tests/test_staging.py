@@ -107,6 +107,35 @@ def test_json_keys_must_not_clash(spark):
         S.collect_json_keys(df, "j", limit=1)
 
 
+def test_json_key_of_two_kinds(spark):
+    """An object in some rows and a text in others gives its own column and those of its children."""
+    df = spark.createDataFrame([('{"o":{"k":"v"},"x":"1"}',), ('{"o":"plain"}',), (None,)], "j string")
+    flat = S.json_flatten(df, "j", S.collect_json_keys(df, "j"))
+    assert [(r.j_o, r.j_o_k, r.j_x) for r in flat.collect()] == [(None, "V", "1"), ("PLAIN", None, None), (None, None, None)]
+
+
+def test_stage_keeps_every_column_and_raw_json(spark):
+    wide = spark.range(1).select(
+        *[F.lit(i).alias(f"c{i}") for i in range(205)], F.lit('{"A":"X"}').alias("address"), F.lit("  na ").alias("address_line"), F.lit(1).cast("long").alias("time")
+    )
+    staged = S.stage(wide, S.Rules(json={"address": [(["A"], "scalar")]}), "t", 1706745600)
+    assert set(wide.columns) <= set(staged.columns)
+    row = staged.first()
+    assert (row.address, row.address_a, row.address_line, row.time) == ('{"A":"X"}', "X", None, 1)
+
+
+def test_rules_table_drives_staging(spark):
+    table = spark.createDataFrame(
+        [("d", "t", "k", "time desc", '{"json": "all", "joins": [{"table": "dim", "on": {"n": "id"}, "columns": ["name"]}]}')],
+        "db_name string, table_name string, partition_columns string, order_by_columns string, additional_rules string",
+    )
+    df = spark.createDataFrame([("a", 1, '{"u":{"v":"w"}}', 5), ("a", 1, '{"u":"s"}', 9), (None, 2, "broken", 7)], "k string, n int, attributes string, time long")
+    dim = spark.createDataFrame([(1, "one")], "id int, name string")
+    rules = S.rules_from(S.load_rules(table, "d", "t"), {"dim": dim})
+    got = {r.k: (r.attributes_u, r.attributes_u_v, r.name_dim) for r in S.stage(df, rules, "t", 1706745600).collect()}
+    assert got == {"A": ("S", None, "one"), None: (None, None, None)}
+
+
 def test_clean_before_dedupe(spark):
     df = spark.createDataFrame([("John Smith", 1), ("john smith  ", 2), ("JOHN SMITH", 3)], "name string, time bigint")
     rules = S.Rules(keys=["name"], order=[("time", True)])
