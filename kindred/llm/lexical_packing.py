@@ -45,10 +45,11 @@ def frequencies(encoded: DataFrame, size: int, kind: np.dtype) -> tuple[np.ndarr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         found, docs, total = np.zeros(size, dtype=np.int64), 0, 0
+        marks = np.zeros(size, dtype=bool)
         for batch in batches:
             for packed in batch.column(0).to_pylist():
                 ids = np.frombuffer(packed, dtype=kind)
-                found[np.unique(ids)] += 1
+                found[distinct_ids(ids, marks)] += 1
                 docs, total = docs + 1, total + len(ids)
         at = np.nonzero(found)[0]
         yield {"term": [-2, -1, *at.tolist()], "n": [docs, total, *found[at].tolist()]}
@@ -66,6 +67,21 @@ def inverse_frequency(found: np.ndarray, docs: int) -> np.ndarray:
     return np.log1p((docs - found + 0.5) / (found + 0.5)).astype(np.float32)
 
 
+def distinct_ids(ids: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """The distinct ids in order; ``marks`` has a place for every id and is left as it came."""
+    marks[ids] = True
+    found = np.flatnonzero(marks)
+    marks[found] = False
+    return found
+
+
+def telling_terms(terms: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The ids of highest inverse frequency of a text."""
+    if len(terms) <= QUERY_TERMS:
+        return terms
+    return terms[np.argpartition(-idf[terms], QUERY_TERMS)[:QUERY_TERMS]]
+
+
 def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -80,6 +96,7 @@ def split(encoded: DataFrame, kind: np.dtype, idf: np.ndarray, window: int = WIN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         seq, part = 0, 0
+        marks = np.zeros(len(idf), dtype=bool)
         for batch in batches:
             out: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "seq", "near", "rest")}
 
@@ -94,8 +111,8 @@ def split(encoded: DataFrame, kind: np.dtype, idf: np.ndarray, window: int = WIN
                     add(doc, at, ids[at : at + window], len(ids), seq, None, None)
                     seq += 1
                 if full < len(ids):
-                    distinct = np.unique(ids)
-                    telling = distinct[np.argsort(-idf[distinct], kind="stable")[:QUERY_TERMS]]
+                    distinct = distinct_ids(ids, marks)
+                    telling = telling_terms(distinct, idf)
                     add(doc, full, ids[full:], len(ids), None, int(_mixed(telling).min()), ids[full:].tobytes())
             yield out
 
@@ -124,7 +141,7 @@ class Shard:
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused texts that share a telling id with the seed, best first."""
         terms = self.terms[seed]
-        terms = terms[np.argsort(-self.idf[terms], kind="stable")[:QUERY_TERMS]]
+        terms = telling_terms(terms, self.idf)
         spans = [slice(self.heads[t], self.heads[t + 1]) for t in terms.tolist()]
         scores = np.bincount(
             np.concatenate([self.text[s] for s in spans]),

@@ -18,7 +18,7 @@ import numpy as np
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: Pieces a worker remembers at most, and the longest piece worth it.
-MEMO = 600_000
+MEMO = 1_200_000
 LONGEST = 64
 
 END = 1
@@ -50,19 +50,23 @@ class Encoder:
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """Ids of every text, packed."""
-        pieces = [PIECE.findall(t) if t else [] for t in texts]
         memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
-        new = list({p for of_text in pieces for p in of_text if p not in memo})
+        cut = [PIECE.findall(t) if t else [] for t in texts]
+        got = [list(map(memo.get, pieces)) for pieces in cut]
+        open_texts = [i for i, ids in enumerate(got) if None in ids]
+        new = list({p for i in open_texts for p, ids in zip(cut[i], got[i]) if ids is None})
         fresh: dict[str, bytes] = {}
+        pack, kind = np.array, self.kind
         for i in range(0, len(new), 10_000):
             part = new[i : i + 10_000]
             for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                (memo if len(p) <= LONGEST else fresh)[p] = np.array(e.ids, dtype=self.kind).tobytes()
-        if not fresh:
-            return [b"".join(map(memo.__getitem__, of_text)) for of_text in pieces]
-        return [b"".join([memo[p] if p in memo else fresh[p] for p in of_text]) for of_text in pieces]
+                fresh[p] = pack(e.ids, dtype=kind).tobytes()
+        for i in open_texts:
+            got[i] = [fresh[p] if ids is None else ids for p, ids in zip(cut[i], got[i])]
+        memo.update((p, ids) for p, ids in fresh.items() if len(p) <= LONGEST)
+        return list(map(b"".join, got))
 
     def ids(self, packed: bytes) -> np.ndarray:
         return np.frombuffer(packed, dtype=self.kind)
