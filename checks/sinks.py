@@ -63,6 +63,35 @@ def q_upsert_table(spark, sf):
     return tables.load(spark, root)
 
 
+def q_upsert_buckets(spark, sf):
+    """The number of buckets changes between two upserts."""
+    root, orders = _root(spark, "buckets"), view(spark, sf, "orders_all")
+    tables.upsert_table(orders, root, ["order_id"], "run1", 256)
+    tables.upsert_table(orders.filter(F.col("status") == "P").withColumn("amount", F.col("amount") + 1), root, ["order_id"], "run2", 16)
+    return tables.load(spark, root)
+
+
+def q_replay_compacted(spark, sf):
+    """A run repeated after compaction adds nothing."""
+    root, (inc, hist) = _root(spark, "replay"), views(spark, sf, "orders_inc", "orders_hist")
+    inc = inc.drop("incremental_date")
+    for df, run in ((hist, "run1"), (inc, "run2")):
+        tables.append(df, root, run)
+    tables.compact(spark, root)
+    tables.append(inc, root, "run2")
+    return tables.load(spark, root)
+
+
+def q_schema_change(spark, sf):
+    """A column that only the second delivery has."""
+    root, (inc, hist) = _root(spark, "change"), views(spark, sf, "orders_inc", "orders_hist")
+    plain = inc.drop("incremental_date")
+    cut = inc.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY time)")).first()[0]
+    for run, side in (("run1", plain.filter(F.col("time") <= cut)), ("run2", plain.withColumn("channel", F.lit("web")))):
+        pipelines.run_hist_union(spark, side, hist, "orders_hist", f"{root}/target", f"{root}/inc_log", run)
+    return tables.load(spark, f"{root}/target")
+
+
 def q_delimited(spark, sf):
     """Orders written as delimited text with quotes and bad lines, read back."""
     path, orders = _root(spark, "csv"), view(spark, sf, "orders_all")
@@ -181,6 +210,9 @@ QUERIES = {
     "snk_replace": q_replace,
     "snk_table_stats": q_table_stats,
     "snk_upsert": q_upsert_table,
+    "snk_upsert_buckets": q_upsert_buckets,
+    "snk_replay_compacted": q_replay_compacted,
+    "hu_schema_change": q_schema_change,
     "snk_bucketed": q_bucketed,
     "run_hist_union": q_run_hist_union,
     "run_staging": q_run_staging,
@@ -215,6 +247,14 @@ ORACLES = {
            UNION ALL SELECT NULL, '', status, amount, updated_at, order_day, time FROM orders_all WHERE status = 'F'""",
         "orders_all",
     ),
+    "snk_upsert_buckets": sql("SELECT * REPLACE (CASE status WHEN 'P' THEN amount + 1 ELSE amount END AS amount) FROM orders_all", "orders_all"),
+    "snk_replay_compacted": sql(f"SELECT {_NO_DATE} FROM orders_all", "orders_all"),
+    "hu_schema_change": sql(
+        f"""SELECT {_NO_DATE}, CASE WHEN time > (SELECT quantile_disc(time, 0.5) FROM orders_inc) THEN 'web' END AS channel FROM orders_inc
+            UNION ALL SELECT {_NO_DATE}, NULL FROM orders_hist""",
+        "orders_hist",
+        "orders_inc",
+    ),
     "snk_bucketed": I.ident("SELECT unified_id, count(*) AS orders FROM en_shop_orders GROUP BY unified_id", I.ENRICHED),
     "run_hist_union": sql(_UNION, "orders_hist", "orders_inc"),
     "run_staging": sql(

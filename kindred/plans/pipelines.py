@@ -52,7 +52,7 @@ def run_hist_union(
     # Fixed before the load: rows that arrive meanwhile belong to the next run.
     upto = {inc_name: state.max_time(inc), hist_name: state.max_time(hist)}
     if full:
-        tables.replace(H.hist_union_full(inc, hist, **align), target)
+        tables.swap_commit(H.hist_union_full(inc, hist, **align), target)
     else:
         marks = {n: state.read_watermark(log, n, H.PROJECT) for n in upto}
         new_inc = state.new_rows(inc, marks[inc_name], upto[inc_name])
@@ -73,7 +73,7 @@ def run_staging(
     as_of: int,
     mode: str = "incremental",
     project: str = "staging",
-    buckets: int = 256,
+    buckets: int | None = None,
 ) -> str:
     """Stage new rows and upsert them (append without a dedupe rule). Returns what was done."""
     log, log_run = _inc_log(spark, inc_log), f"{run_id}-{project}-{name}"
@@ -90,7 +90,7 @@ def run_staging(
         rows = source if upto is None else source.filter(F.col("time") <= upto)
     staged = S.guard_types(S.stage(rows, rules, name, as_of))
     if chosen == "full":
-        tables.replace(staged, target)
+        tables.swap_commit(staged, target)
     elif rules.keys:
         tables.upsert_table(staged, target, list(rules.keys), run_id, buckets)
     else:

@@ -52,3 +52,8 @@ class Scratch:
         """Remove a table that a later, fully written one has replaced."""
         jpath, fs = hadoop_path(self.spark, self.path(name))
         fs.delete(jpath, True)
+
+    def close(self) -> None:
+        """Remove the folder. Frames that still read from it must be done with."""
+        jpath, fs = hadoop_path(self.spark, self.root)
+        fs.delete(jpath, True)

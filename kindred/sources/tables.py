@@ -1,26 +1,51 @@
 """Tables on shared storage: append, replace, swap, upsert.
 
-A table is a folder of numbered snapshots, each plain parquet. A snapshot counts
-once Spark has written its ``_SUCCESS`` marker, so a replacement becomes visible at
-once and a crash leaves the old content in place. Every append has its own run
-folder inside the current snapshot; repeating a run overwrites that folder.
+A table is a folder of parquet folders under ``data`` and of numbered manifests
+under ``_manifests``. A manifest names the schema, the key columns and number of
+buckets of an upserted table, the runs committed so far, and the folders that are
+the content. Every change writes new folders and then one new manifest, whose
+rename makes the change visible; a crash before it leaves the old content whole.
+One writer at a time; readers are not disturbed.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import asdict, dataclass, field, replace as changed
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kindred.operators.staging import key_is_empty, key_texts, untouched_rows, upsert
-from kindred.sources.scratch import hadoop_path
+from kindred.operators.staging import key_is_empty, key_texts, untouched_rows
+from kindred.sources.scratch import Scratch, hadoop_path
 
-RUN = "_run"
 BUCKET = "_bucket"
-PARTS = (BUCKET, RUN)
-BASE = f"{RUN}=base"
+BASE = "base"
+#: Size of a key bucket, from which the number of buckets follows, and the fewest of them.
+BUCKET_BYTES = 256 << 20
+MIN_BUCKETS = 16
+
+
+@dataclass(frozen=True)
+class Manifest:
+    """What a table is made of. ``parts`` has the folders of the base, of every run, and of every bucket."""
+
+    schema: str
+    parts: dict[str, list[str]] = field(default_factory=dict)
+    runs: list[str] = field(default_factory=list)
+    keys: list[str] | None = None
+    buckets: int | None = None
+
+    @property
+    def struct(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.schema))
+
+
+class Conflict(RuntimeError):
+    """Another writer has published the version this one was about to."""
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -29,87 +54,167 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def _versions(spark: SparkSession, root: str) -> list[int]:
-    jpath, fs = hadoop_path(spark, root)
+    jpath, fs = hadoop_path(spark, f"{root}/_manifests")
     if not fs.exists(jpath):
         return []
-    found = []
-    for status in fs.listStatus(jpath):
-        name = status.getPath().getName()
-        markers = (f"{root}/{name}/{BASE}/_SUCCESS", f"{root}/{name}/_SUCCESS")
-        if name.startswith("v") and name[1:].isdigit() and any(fs.exists(hadoop_path(spark, m)[0]) for m in markers):
-            found.append(int(name[1:]))
-    return sorted(found)
+    names = [s.getPath().getName() for s in fs.listStatus(jpath)]
+    return sorted(int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json"))
+
 
+def _manifest_path(root: str, version: int) -> str:
+    return f"{root}/_manifests/v{version:08d}.json"
 
-def _snapshot(root: str, version: int) -> str:
-    return f"{root}/v{version:08d}"
 
+def _read_manifest(spark: SparkSession, root: str, version: int) -> Manifest:
+    jpath, fs = hadoop_path(spark, _manifest_path(root, version))
+    stream = fs.open(jpath)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return Manifest(**json.loads(text))
 
-def current_path(spark: SparkSession, root: str) -> str | None:
+
+def _current(spark: SparkSession, root: str) -> tuple[int, Manifest | None]:
     versions = _versions(spark, root)
-    return _snapshot(root, versions[-1]) if versions else None
+    return (versions[-1], _read_manifest(spark, root, versions[-1])) if versions else (0, None)
+
+
+def _publish(spark: SparkSession, root: str, version: int, manifest: Manifest) -> None:
+    """Make ``manifest`` the current one: written aside, then renamed."""
+    aside, fs = hadoop_path(spark, f"{root}/_manifests/.{uuid.uuid4().hex}")
+    stream = fs.create(aside)
+    try:
+        stream.write(bytearray(json.dumps(asdict(manifest)), "utf-8"))
+    finally:
+        stream.close()
+    target, _ = hadoop_path(spark, _manifest_path(root, version))
+    if fs.exists(target) or not fs.rename(aside, target):
+        fs.delete(aside, True)
+        raise Conflict(f"version {version} of {root} exists already")
+
+
+def _write(df: DataFrame, root: str) -> str:
+    """A new folder of the table with the rows of ``df``."""
+    folder = f"data/{uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/{folder}")
+    return folder
+
+
+def _read(spark: SparkSession, root: str, manifest: Manifest, names: Sequence[str] | None = None) -> DataFrame:
+    """Content of all parts, or of the named ones, in the stored schema; a column a folder lacks is NULL."""
+    folders = [f for n, fs in manifest.parts.items() if names is None or n in names for f in fs]
+    if not folders:
+        return spark.createDataFrame([], manifest.struct)
+    return spark.read.schema(manifest.struct).parquet(*[f"{root}/{f}" for f in folders])
+
+
+def _merged_schema(stored: T.StructType, new: T.StructType, root: str) -> T.StructType:
+    """The stored columns and then the new ones. A change of type is refused."""
+    known = {f.name: f for f in stored.fields}
+    for f in new.fields:
+        if f.name in known and known[f.name].dataType.simpleString() != f.dataType.simpleString():
+            raise ValueError(f"{root}: column {f.name} is {known[f.name].dataType.simpleString()}, not {f.dataType.simpleString()}")
+    return T.StructType([*stored.fields, *[T.StructField(f.name, f.dataType) for f in new.fields if f.name not in known]])
+
+
+def _schema_text(schema: T.StructType) -> str:
+    return json.dumps(T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]).jsonValue())
 
 
 def exists(spark: SparkSession, root: str) -> bool:
-    return current_path(spark, root) is not None
+    return bool(_versions(spark, root))
 
 
 def load(spark: SparkSession, root: str) -> DataFrame:
-    """Current content, without the bookkeeping columns."""
-    path = current_path(spark, root)
-    if path is None:
+    """Current content."""
+    _, manifest = _current(spark, root)
+    if manifest is None:
         raise FileNotFoundError(f"no table at {root}")
-    return spark.read.parquet(path).drop(*PARTS)
-
-
-def _next_path(spark: SparkSession, root: str) -> str:
-    versions = _versions(spark, root)
-    return _snapshot(root, versions[-1] + 1 if versions else 1)
+    return _read(spark, root, manifest)
 
 
 def replace(df: DataFrame, root: str) -> None:
-    """New content. Readers of the old snapshot are not disturbed."""
-    df.write.mode("overwrite").parquet(f"{_next_path(df.sparkSession, root)}/{BASE}")
+    """New content and schema; the runs before it count no longer. Readers of the old version are not disturbed."""
+    spark = df.sparkSession
+    version, _ = _current(spark, root)
+    _publish(spark, root, version + 1, Manifest(_schema_text(df.schema), {BASE: [_write(df, root)]}))
 
 
 def create_if_absent(spark: SparkSession, root: str, schema: T.StructType | str) -> bool:
     """Empty table with the schema; False when there is one already."""
     if exists(spark, root):
         return False
-    replace(spark.createDataFrame([], schema), root)
+    struct = spark.createDataFrame([], schema).schema
+    _publish(spark, root, 1, Manifest(_schema_text(struct)))
     return True
 
 
 def append(df: DataFrame, root: str, run_id: str) -> None:
-    """Add rows. Repeating a run id replaces the rows it added before."""
+    """Add rows. Repeating a run id replaces the rows it added; a run that was compacted meanwhile is left as it is.
+
+    New columns are added to the table, NULL in older rows; a change of type is refused.
+    """
     spark = df.sparkSession
     create_if_absent(spark, root, df.schema)
-    path = current_path(spark, root)
-    if BUCKET in spark.read.parquet(path).columns:
+    version, manifest = _current(spark, root)
+    if manifest.buckets:
         raise ValueError(f"{root} is kept by upserts; a plain append would leave several rows per key")
-    df.write.mode("overwrite").parquet(f"{path}/{RUN}={run_id}")
+    part = f"run:{run_id}"
+    if run_id in manifest.runs and part not in manifest.parts:
+        return
+    schema = _merged_schema(manifest.struct, df.schema, root)
+    parts = manifest.parts | {part: [_write(df, root)]}
+    runs = manifest.runs if run_id in manifest.runs else [*manifest.runs, run_id]
+    _publish(spark, root, version + 1, changed(manifest, schema=_schema_text(schema), parts=parts, runs=runs))
 
 
 def has_run(spark: SparkSession, root: str, run_id: str) -> bool:
     """Did this run already add its rows?"""
-    path = current_path(spark, root)
-    if path is None:
-        return False
-    marker, fs = hadoop_path(spark, f"{path}/{RUN}={run_id}/_SUCCESS")
-    return fs.exists(marker)
+    _, manifest = _current(spark, root)
+    return manifest is not None and run_id in manifest.runs
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 1) -> None:
+    """Remove all but the last ``keep`` older versions, and the folders that none of the rest names."""
+    versions = _versions(spark, root)
+    kept = versions[-(keep + 1) :]
+    used = {f for v in kept for fs in _read_manifest(spark, root, v).parts.values() for f in fs}
+    for v in versions[: -(keep + 1)]:
+        jpath, fs = hadoop_path(spark, _manifest_path(root, v))
+        fs.delete(jpath, True)
+    data, fs = hadoop_path(spark, f"{root}/data")
+    if not fs.exists(data):
+        return
+    for status in fs.listStatus(data):
+        folder = f"data/{status.getPath().getName()}"
+        if not any(u == folder or u.startswith(f"{folder}/") for u in used):
+            fs.delete(status.getPath(), True)
+        elif folder not in used:
+            for inner in fs.listStatus(status.getPath()):
+                name = inner.getPath().getName()
+                if name.startswith(f"{BUCKET}=") and f"{folder}/{name}" not in used:
+                    fs.delete(inner.getPath(), True)
 
 
 def swap_commit(df: DataFrame, root: str, keep: int = 1) -> None:
-    """Replace, then remove all but the last ``keep`` older snapshots."""
+    """Replace, then remove all but the last ``keep`` older versions."""
     replace(df, root)
-    for version in _versions(df.sparkSession, root)[: -(keep + 1)]:
-        jpath, fs = hadoop_path(df.sparkSession, _snapshot(root, version))
-        fs.delete(jpath, True)
+    vacuum(df.sparkSession, root, keep)
 
 
 def compact(spark: SparkSession, root: str) -> None:
-    """Rewrite many small files as files of the advisory partition size."""
-    swap_commit(load(spark, root).hint("rebalance"), root)
+    """Rewrite many small files as files of the advisory partition size. Runs, keys and buckets stay."""
+    version, manifest = _current(spark, root)
+    if manifest is None:
+        raise FileNotFoundError(f"no table at {root}")
+    rows = _read(spark, root, manifest)
+    if manifest.buckets:
+        parts = _write_buckets(rows, root, manifest.keys, manifest.buckets)
+    else:
+        parts = {BASE: [_write(rows.hint("rebalance"), root)]}
+    _publish(spark, root, version + 1, changed(manifest, parts=parts))
+    vacuum(spark, root)
 
 
 def write_bucketed(df: DataFrame, table: str, columns: Sequence[str], buckets: int = 512, path: str | None = None) -> None:
@@ -134,41 +239,56 @@ def table_stats(spark: SparkSession, roots: Mapping[str, str]) -> DataFrame:
 
 
 def _bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*key_texts(keys)), F.lit(buckets)).cast("int")
+    """Bucket of a row by its key; -1 where the whole key is empty."""
+    return F.when(key_is_empty(keys), F.lit(-1)).otherwise(F.pmod(F.xxhash64(*key_texts(keys)), F.lit(buckets)).cast("int"))
+
 
+def _write_buckets(df: DataFrame, root: str, keys: Sequence[str], buckets: int) -> dict[str, list[str]]:
+    """A new folder with the rows by bucket; its parts. Oversized buckets are split, small ones merged."""
+    folder = f"data/{uuid.uuid4().hex}"
+    placed = df.withColumn(BUCKET, _bucket_of(keys, buckets)).hint("rebalance", BUCKET)
+    placed.write.partitionBy(BUCKET).parquet(f"{root}/{folder}")
+    jpath, fs = hadoop_path(df.sparkSession, f"{root}/{folder}")
+    found = [s.getPath().getName() for s in fs.listStatus(jpath)]
+    return {f"b{n.split('=')[1]}": [f"{folder}/{n}"] for n in found if n.startswith(f"{BUCKET}=")}
 
-def _by_bucket(df: DataFrame):
-    """Writer with the rows of a bucket together; oversized buckets are split, small ones merged."""
-    return df.hint("rebalance", *PARTS).write.mode("overwrite").partitionBy(*PARTS)
 
+def _bytes_of(spark: SparkSession, root: str) -> int:
+    jpath, fs = hadoop_path(spark, f"{root}/data")
+    return fs.getContentSummary(jpath).getLength() if fs.exists(jpath) else 0
 
-def upsert_table(work: DataFrame, root: str, keys: Sequence[str], run_id: str, buckets: int = 256) -> None:
+
+def upsert_table(work: DataFrame, root: str, keys: Sequence[str], run_id: str, buckets: int | None = None) -> None:
     """Upsert into a stored table, rewriting only the key buckets the work rows touch.
 
-    Rows with an all-empty key replace nothing; they are added under the run id.
-    Repeating a run gives the same table.
+    Rows with an all-empty key replace nothing. A run that is committed is not
+    repeated. The number of buckets is stored with the table: by default it follows
+    from its size at the first upsert, and a call with another number lays the table
+    out anew. ``work`` is evaluated once.
     """
-    spark = work.sparkSession
-    empty = key_is_empty(keys)
-    added = work.withColumns(
-        {
-            BUCKET: F.when(empty, F.lit(-1)).otherwise(_bucket_of(keys, buckets)),
-            RUN: F.when(empty, F.lit(run_id)).otherwise(F.lit("base")),
-        }
-    )
+    spark, keys = work.sparkSession, list(keys)
     create_if_absent(spark, root, work.schema)
-    if not work.take(1):
-        return
-    path = current_path(spark, root)
-    stored = spark.read.parquet(path)
-    if BUCKET not in stored.columns:
-        # First upsert of a table: lay everything out by bucket.
-        old = stored.drop(*PARTS).withColumns(
-            {BUCKET: F.when(empty, F.lit(-1)).otherwise(_bucket_of(keys, buckets)), RUN: F.lit("base")}
-        )
-        _by_bucket(upsert(old, added, keys)).option("partitionOverwriteMode", "static").parquet(_next_path(spark, root))
+    version, manifest = _current(spark, root)
+    if run_id in manifest.runs:
         return
-    touched = [r[BUCKET] for r in added.select(BUCKET).distinct().filter(F.col(BUCKET) >= 0).collect()]
-    kept = untouched_rows(stored.filter(F.col(BUCKET).isin(touched)), work, keys)
-    merged = kept.withColumns({BUCKET: F.col(BUCKET).cast("int"), RUN: F.col(RUN).cast("string")}).unionByName(added)
-    _by_bucket(merged).option("partitionOverwriteMode", "dynamic").parquet(path)
+    if manifest.keys is not None and manifest.keys != keys:
+        raise ValueError(f"{root} is kept by {manifest.keys}, not by {keys}")
+    schema = _merged_schema(manifest.struct, work.schema, root)
+    manifest = changed(manifest, schema=_schema_text(schema))
+    wanted = buckets or manifest.buckets or max(MIN_BUCKETS, -(-_bytes_of(spark, root) // BUCKET_BYTES))
+    scratch = Scratch(spark, "upsert")
+    added = scratch.save(work, "work")
+    if manifest.buckets != wanted:
+        # First upsert, or another number of buckets: everything is laid out.
+        kept, rest = untouched_rows(_read(spark, root, manifest), added, keys), {}
+    else:
+        touched = {f"b{r[0]}" for r in added.select(_bucket_of(keys, wanted)).distinct().collect()}  # at most the buckets
+        kept = untouched_rows(_read(spark, root, manifest, sorted(touched - {"b-1"})), added, keys)
+        rest = {n: fs for n, fs in manifest.parts.items() if n not in touched or n == "b-1"}
+    parts = _write_buckets(kept.unionByName(added, allowMissingColumns=True), root, keys, wanted)
+    # Rows without a key only ever accumulate.
+    loose = rest.get("b-1", []) + parts.get("b-1", [])
+    merged = rest | parts | ({"b-1": loose} if loose else {})
+    _publish(spark, root, version + 1, changed(manifest, parts=merged, runs=[*manifest.runs, run_id], keys=keys, buckets=wanted))
+    vacuum(spark, root)
+    scratch.close()

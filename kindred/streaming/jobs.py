@@ -54,7 +54,7 @@ def stream_stage_upsert(
     as_of: int,
     root: str,
     checkpoint: str,
-    buckets: int = 256,
+    buckets: int | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Clean and de-duplicate every batch, then upsert it. A replayed batch gives the same table."""

@@ -101,19 +101,90 @@ def test_crash_between_data_and_watermark(spark, root):
     assert rows(tables.load(spark, f"{root}/t")) == [("a", 5)]
 
 
-def test_unfinished_snapshot_is_ignored(spark, root):
+def test_failed_commit_leaves_the_old_table(spark, root, monkeypatch):
     df = spark.createDataFrame([("a", 5)], "id string, time bigint")
     tables.replace(df, f"{root}/t")
-    df.union(df).write.parquet(f"{root}/t/v00000002/_run=base")
-    marker, fs = tables.hadoop_path(spark, f"{root}/t/v00000002/_run=base/_SUCCESS")
-    fs.delete(marker, False)
-    assert tables.load(spark, f"{root}/t").count() == 1
+    more = spark.createDataFrame([("a", 6), ("b", 7)], "id string, time bigint")
+
+    def fail(*_):
+        raise OSError("lost")
+
+    for change in (
+        lambda: tables.replace(more, f"{root}/t"),
+        lambda: tables.append(more, f"{root}/t", "r1"),
+        lambda: tables.upsert_table(more, f"{root}/t", ["id"], "r1"),
+        lambda: tables.compact(spark, f"{root}/t"),
+    ):
+        with monkeypatch.context() as m:
+            m.setattr(tables, "_publish", fail)
+            with pytest.raises(OSError):
+                change()
+        assert rows(tables.load(spark, f"{root}/t")) == [("a", 5)]
+    tables.upsert_table(more, f"{root}/t", ["id"], "r1")
+    assert rows(tables.load(spark, f"{root}/t")) == [("a", 6), ("b", 7)]
     tables.swap_commit(df.limit(0), f"{root}/t")
     assert tables.load(spark, f"{root}/t").count() == 0 and tables.load(spark, f"{root}/t").columns == ["id", "time"]
     with pytest.raises(FileNotFoundError):
         tables.load(spark, f"{root}/none")
 
 
+def test_two_writers_cannot_publish_one_version(spark, root):
+    df = spark.createDataFrame([("a", 5)], "id string, time bigint")
+    tables.replace(df, f"{root}/t")
+    version, manifest = tables._current(spark, f"{root}/t")
+    with pytest.raises(tables.Conflict):
+        tables._publish(spark, f"{root}/t", version, manifest)
+
+
+def test_columns_are_added_and_types_kept(spark, root):
+    tables.append(spark.createDataFrame([("a", 5)], "id string, time bigint"), f"{root}/t", "r1")
+    tables.append(spark.createDataFrame([("b", 6, "x")], "id string, time bigint, extra string"), f"{root}/t", "r2")
+    tables.append(spark.createDataFrame([("c", 7)], "id string, time bigint"), f"{root}/t", "r3")
+    assert sorted(map(tuple, tables.load(spark, f"{root}/t").collect())) == [("a", 5, None), ("b", 6, "x"), ("c", 7, None)]
+    with pytest.raises(ValueError):
+        tables.append(spark.createDataFrame([("d", "8")], "id string, time string"), f"{root}/t", "r4")
+    tables.upsert_table(spark.createDataFrame([("b", 9, 1.5)], "id string, time bigint, more double"), f"{root}/t", ["id"], "r5")
+    assert ("b", 9, None, 1.5) in {tuple(r) for r in tables.load(spark, f"{root}/t").collect()}
+
+
+def test_upsert_with_another_number_of_buckets(spark, root):
+    make = lambda items: spark.createDataFrame(items, "k string, v int")
+    tables.upsert_table(make([("a", 1), ("b", 1), (None, 0)]), f"{root}/t", ["k"], "r1", buckets=256)
+    tables.upsert_table(make([("a", 2), ("b", 2)]), f"{root}/t", ["k"], "r2", buckets=16)
+    tables.upsert_table(make([("b", 3)]), f"{root}/t", ["k"], "r3")
+    assert rows(tables.load(spark, f"{root}/t")) == [("a", 2), ("b", 3), (None, 0)]
+    with pytest.raises(ValueError):
+        tables.upsert_table(make([("b", 3)]), f"{root}/t", ["v"], "r4")
+
+
+def test_compaction_keeps_run_ids(spark, root):
+    df = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    for go in (lambda r: tables.append(df, f"{root}/plain", r), lambda r: tables.upsert_table(df, f"{root}/keyed", ["k"], r)):
+        go("r1")
+    for name in ("plain", "keyed"):
+        tables.compact(spark, f"{root}/{name}")
+        assert tables.has_run(spark, f"{root}/{name}", "r1")
+    tables.append(df, f"{root}/plain", "r1")
+    tables.upsert_table(df, f"{root}/keyed", ["k"], "r1")
+    assert tables.load(spark, f"{root}/plain").count() == 2 and tables.load(spark, f"{root}/keyed").count() == 2
+
+
+def test_upsert_evaluates_the_work_once_and_cleans_up(spark, root):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(1000).selectExpr("cast(id as string) k", "id v")
+    tables.replace(df, f"{root}/t")
+    for n in range(3):
+        tables.upsert_table(df.limit(300).repartition(2).mapInArrow(count, df.schema), f"{root}/t", ["k"], f"r{n}")
+    assert seen.value == 900
+    assert len(tables._versions(spark, f"{root}/t")) == 2
+
+
 def test_stored_upsert_equals_plain_upsert(spark, root):
     make = lambda items: spark.createDataFrame(items, "k string, v int")
     target = make([(f"k{i}", i) for i in range(50)] + [(None, -1)])
