@@ -108,6 +108,17 @@ def q_delimited(spark, sf):
     return df.withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
 
 
+def q_delimited_multiline(spark, sf):
+    """Orders with line ends inside quoted fields, LF and CRLF, and whole lines around them."""
+    path, orders = _root(spark, "csv-lines"), view(spark, sf, "orders_all")
+    end = F.when(F.col("status") == "P", F.lit("\r\n")).otherwise(F.lit("\n"))
+    note = F.concat(F.lit('"'), F.col("status"), end, F.lit('said ""so"", twice"'))
+    orders.select(F.concat_ws(",", "order_id", note, "amount").alias("value")).write.text(path)
+    columns = [{"name": "order_id", "type": "long"}, {"name": "note", "type": "string"}, {"name": "amount", "type": "double"}]
+    df = files.read_delimited(spark, f"{path}/*.txt", columns, skip_header_lines=0, multi_line=True)
+    return df.withColumn("note", F.regexp_replace("note", "\r?\n", "/"))
+
+
 def q_run_hist_union(spark, sf):
     """Two runs with a later delivery between them equal one load of everything."""
     root, (inc, hist) = _root(spark, "hu"), views(spark, sf, "orders_inc", "orders_hist")
@@ -210,6 +221,7 @@ QUERIES = {
     "snk_replace": q_replace,
     "snk_table_stats": q_table_stats,
     "snk_upsert": q_upsert_table,
+    "src_delimited_multiline": q_delimited_multiline,
     "snk_upsert_buckets": q_upsert_buckets,
     "snk_replay_compacted": q_replay_compacted,
     "hu_schema_change": q_schema_change,
@@ -247,6 +259,7 @@ ORACLES = {
            UNION ALL SELECT NULL, '', status, amount, updated_at, order_day, time FROM orders_all WHERE status = 'F'""",
         "orders_all",
     ),
+    "src_delimited_multiline": sql("SELECT CAST(order_id AS BIGINT) AS order_id, status || '/said \"so\", twice' AS note, amount FROM orders_all", "orders_all"),
     "snk_upsert_buckets": sql("SELECT * REPLACE (CASE status WHEN 'P' THEN amount + 1 ELSE amount END AS amount) FROM orders_all", "orders_all"),
     "snk_replay_compacted": sql(f"SELECT {_NO_DATE} FROM orders_all", "orders_all"),
     "hu_schema_change": sql(

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from kindred.functions.clock import java_pattern
 
 CORRUPT = "_corrupt"
+LINE = "_line"
+NONE = "\uffff"
 NEWLINES = {"CRLF": "\r\n", "LF": "\n"}
 
 
@@ -59,12 +61,14 @@ def read_delimited(
     trim_if_not_quoted: bool = False,
     date: str | None = None,
     with_file: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Scan delimited files.
 
     A record with too many or too few fields is dropped, kept by the ``allow_``
-    options, or stops the load with ``stop_on_invalid_record``. The reader splits
-    large files unless records may span lines.
+    options, or stops the load with ``stop_on_invalid_record``; so is a line with an
+    open quote. With ``multi_line`` a quoted field may hold line ends; such files are
+    read whole, others are split.
     """
     names = [c["name"] for c in columns]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField(CORRUPT, T.StringType())])
@@ -72,8 +76,6 @@ def read_delimited(
         "sep": delimiter,
         "quote": quote,
         "escape": escape,
-        "encoding": charset,
-        "header": skip_header_lines > 0,
         "enforceSchema": True,
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
@@ -82,13 +84,30 @@ def read_delimited(
         "emptyValue": "",
         "nullValue": "",
     }
+    reader = {"header": skip_header_lines > 0, "encoding": charset}
     if newline:
-        options["lineSep"] = NEWLINES.get(newline, newline)
-    rows = spark.read.schema(schema).options(**options).csv(resolve_path(path, date))
+        reader["lineSep"] = NEWLINES.get(newline, newline)
+    path = resolve_path(path, date)
+    if multi_line:
+        # Ends of records are found by the parser, also \r\n.
+        rows = spark.read.schema(schema).options(**options | reader | {"multiLine": True}).csv(path)
+    else:
+        # Whole lines, so that quotes can be counted; no line holds the noncharacter.
+        rows = spark.read.schema(T.StructType([T.StructField(LINE, T.StringType())])).options(**reader | {"sep": NONE, "quote": ""}).csv(path)
     if skip_header_lines > 1:
         # The reader drops one line per file; the further header lines are the
         # first records of the file's first block.
         rows = _drop_leading(rows, skip_header_lines - 1)
+    if not multi_line:
+        ends = F.replace(F.col(LINE), F.lit(escape + quote), F.lit("")) if escape != quote else F.col(LINE)
+        is_open = (F.length(ends) - F.length(F.replace(ends, F.lit(quote), F.lit("")))) % 2 == 1
+        given = ["_file"] if "_file" in rows.columns else []
+        parsed = F.from_csv(LINE, _ddl(schema), {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items()})
+        rows = rows.select(LINE, parsed.alias("_r"), is_open.alias("_open"), *given).select(
+            *[F.col(f"_r.{n}") for n in names], F.when(F.col("_open"), F.col(LINE)).otherwise(F.col(f"_r.{CORRUPT}")).alias(CORRUPT), "_open", *given
+        )
+    else:
+        rows = rows.withColumn("_open", F.lit(False))
     # Whether a record fits shows only when all its fields are read, so the test
     # names them all, also under a query that needs none.
     bad = F.col(CORRUPT).isNotNull() & (F.length(F.concat_ws("", *names)) >= 0)
@@ -100,7 +119,7 @@ def read_delimited(
             allowed = allowed | extra
         if allow_optional_columns:
             allowed = allowed | short
-        bad = bad & ~allowed
+        bad = bad & (~allowed | F.col("_open"))
     if stop_on_invalid_record:
         rows = rows.withColumn(CORRUPT, F.when(bad, F.raise_error(F.concat(F.lit("invalid record: "), F.col(CORRUPT)))))
         rows = rows.filter(F.col(CORRUPT).isNull())
@@ -113,6 +132,10 @@ def read_delimited(
     return kept.select(*typed, *(["source_file"] if with_file else []))
 
 
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def _drop_leading(rows: DataFrame, lines: int) -> DataFrame:
     """Drop the first ``lines`` records of every file.
 

@@ -320,3 +320,16 @@ def test_stream_upsert_replays_a_batch(spark, root):
         jobs.stream_stage_upsert(spark, f"{root}/in", schema, rules, "s", 0, f"{root}/t", f"{root}/{cp}", buckets=4).awaitTermination()
     got = tables.load(spark, f"{root}/t").select("id", "v")
     assert rows(got) == [("a", "Y"), (None, "N")]
+
+
+def test_quotes_over_lines(spark, tmp_path):
+    path = tmp_path / "q.csv"
+    path.write_bytes(b'id,name\n1,"x\ny"\n2,"he said ""hi"""\n3,plain\n4,"open\n5,"a ""b"", c"\n')
+    columns = [{"name": "id", "type": "long"}, {"name": "name", "type": "string"}]
+    got = files.read_delimited(spark, str(path), columns)
+    assert rows(got) == [(2, 'he said "hi"'), (3, "plain"), (5, 'a "b", c')]
+    with pytest.raises(Exception, match="invalid record"):
+        files.read_delimited(spark, str(path), columns, stop_on_invalid_record=True).collect()
+    path.write_bytes(b'id,name\r\n1,"x\r\ny"\r\n2,ok\r\n')
+    got = files.read_delimited(spark, str(path), columns, multi_line=True)
+    assert [(r.id, r.name.replace("\r", "")) for r in got.collect()] == [(1, "x\ny"), (2, "ok")]
