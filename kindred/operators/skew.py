@@ -8,11 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key is hot from one thousandth of the rows on, so there are fewer than a
-# thousand hot keys; below the floor no key is worth splitting.
-HOT_SHARE = 1000
+# Rows of one key that a task takes; a key with more is cut into pieces of this size.
+# There are at most (rows / HOT_FLOOR) such keys: a hundred thousand in 10^11 rows.
 HOT_FLOOR = 1_000_000
-NULL_WAYS = 1000
 
 
 def _any_null(on: Sequence[str]) -> Column:
@@ -22,16 +20,16 @@ def _any_null(on: Sequence[str]) -> Column:
     return test
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], total: int, floor: int = HOT_FLOOR, share: int = HOT_SHARE) -> DataFrame | None:
-    """Keys above the limit and the number of pieces each needs; None if there are none.
+def hot_keys(df: DataFrame, on: Sequence[str], total: int, floor: int = HOT_FLOOR) -> DataFrame | None:
+    """Keys of more than ``floor`` rows and the number of pieces of that size each needs; None if there are none.
 
-    Fewer than ``share`` rows by construction, hence safe to collect and broadcast.
+    At most ``total / floor`` rows by construction. Where ``total`` is no more than
+    ``floor`` there can be none, and nothing is counted.
     """
     if total <= floor:
         return None
-    limit = max(total // share, floor)
     counts = df.filter(~_any_null(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    found = counts.filter(F.col("_n") > limit).withColumn("_ways", F.ceil(F.col("_n") / limit).cast("int")).drop("_n")
+    found = counts.filter(F.col("_n") > floor).withColumn("_ways", F.ceil(F.col("_n") / floor).cast("int")).drop("_n")
     rows = found.collect()
     return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
@@ -57,7 +55,6 @@ def salted_join(
     on: Sequence[str],
     how: str = "inner",
     floor: int = HOT_FLOOR,
-    share: int = HOT_SHARE,
     total: int | None = None,
 ) -> DataFrame:
     """Equi-join of a possibly skewed ``left`` with ``right``; ``how`` is inner, left,
@@ -76,7 +73,7 @@ def salted_join(
     if not keeps_unmatched:
         left = left.filter(~_any_null(on))
     total = left.count() if total is None else total
-    hot = hot_keys(left, on, total, floor, share)
+    hot = hot_keys(left, on, total, floor)
     if hot is None and (not keeps_unmatched or total <= floor):
         return left.join(right, on, how).select(*columns)
 
@@ -88,6 +85,6 @@ def salted_join(
         ways = F.coalesce("_ways", F.lit(1))
     else:
         right = right.withColumn("_salt", F.lit(0))
-    ways = F.when(_any_null(on), F.lit(NULL_WAYS)).otherwise(ways)
+    ways = F.when(_any_null(on), F.lit(-(-total // floor))).otherwise(ways)
     left = left.withColumn("_salt", F.pmod(_spread(left), ways).cast("int"))
     return left.join(right, [*on, "_salt"], how).select(*columns)

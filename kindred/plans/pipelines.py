@@ -18,7 +18,6 @@ from kindred.operators import staging as S
 from kindred.operators import state
 from kindred.plans import canonical as K
 from kindred.plans.config import Config
-from kindred.plans.enrich import enrich
 from kindred.plans.master import master_table
 from kindred.plans.unify import Unified, unify
 from kindred.sources import tables
@@ -155,7 +154,7 @@ def run_unification(spark: SparkSession, sources: Mapping[str, DataFrame], cfg:
     source_stats = store(done.source_stats, f"{name}_source_key_stats")
     result_stats = store(done.result_stats, f"{name}_result_key_stats")
     enriched = {
-        t.name: store(enrich(sources[t.name], cfg, canonical, t, lookup), f"enriched_{t.name}") for t in cfg.tables
+        t.name: store(done.enriched[t.name], f"enriched_{t.name}") for t in cfg.tables
     }
     masters = {
         m.name: store(master_table(m, enriched, lookup), m.name) for m in cfg.master_tables if m.canonical_id == name

@@ -177,13 +177,10 @@ def contract(graph: DataFrame, scratch: Scratch, max_steps: int = MAX_STEPS, flo
         metrics.append({"iteration": step, "edge_count": edge_count, "updated_count": pending})
         if pending == 0:
             return current, metrics
-        wide = large_star(current, floor, edge_count)
-        if edge_count > floor:
-            # The second half reads this twice; a small graph is quicker recomputed than written.
-            wide = scratch.save(wide, f"large{step}")
+        # The second half reads this twice.
+        wide = scratch.save(large_star(current, floor, edge_count), f"large{step}")
         current = scratch.save(small_star(wide, floor, edge_count), f"contract{step}")
-        if edge_count > floor:
-            scratch.drop(f"large{step}")
+        scratch.drop(f"large{step}")
         scratch.drop(f"contract{step - 1}")
     raise NotConverged(metrics)
 
@@ -196,21 +193,20 @@ def resolve(
     max_steps: int = MAX_STEPS,
     floor: int = HOT_FLOOR,
     seniority: DataFrame | None = None,
+    saved: bool = False,
 ) -> Resolution:
-    """Final graph from the link table of ``extract.pair_table``."""
+    """Final graph from the link table of ``extract.pair_table``; ``saved`` tells that it is a written table already."""
     scratch = Scratch(pairs.sparkSession, "resolve")
-    pairs = scratch.save(pairs, "pairs")
+    pairs = pairs if saved else scratch.save(pairs, "pairs")
     # No table below has more rows than there are links.
     total = pairs.count()
-    # Small intermediate results are quicker computed again than written.
-    keep = scratch.save if total > floor else (lambda df, name: df)
     leaders = scratch.save(number_leaders(pairs, canonical, seniority), "leaders")
 
     ranked = salted_join(pairs.select(*FOLLOWER, *LEADER), leaders, LEADER, floor=floor, total=total)
     ranked = ranked.select(*FOLLOWER, "rank")
     ranked = scratch.save(ranked, "ranked")
     lowest = ranked.groupBy(*FOLLOWER).agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
-    lowest = keep(lowest, "lowest")
+    lowest = scratch.save(lowest, "lowest")
 
     # Leaders that share a follower belong together; most followers have one leader only.
     shared = lowest.filter(F.col("low") < F.col("high")).select(*FOLLOWER, "low")
@@ -220,7 +216,7 @@ def resolve(
 
     winner = leaders.select(F.col("rank").alias("root"), *LEADER)
     roots = leaders.select("rank").join(stars.select(F.col("a").alias("rank"), F.col("b").alias("root")), "rank", "left")
-    roots = keep(roots.select("rank", F.coalesce("root", "rank").alias("root")), "roots")
+    roots = scratch.save(roots.select("rank", F.coalesce("root", "rank").alias("root")), "roots")
     finals = salted_join(roots, winner, ["root"], floor=floor, total=total).select(F.col("rank").alias("low"), *LEADER)
 
     placed = salted_join(lowest.select(*FOLLOWER, "low"), finals, ["low"], floor=floor, total=total).drop("low")
@@ -233,7 +229,7 @@ def resolve(
         F.lit(as_of).cast("long").alias("follower_last_processed_at"),
     )
     graph = scratch.save(graph, "graph")
-    for name in ("ranked", "lowest", "roots") if total > floor else ("ranked",):
+    for name in ("ranked", "lowest", "roots"):
         scratch.drop(name)
     return Resolution(graph, metrics)
 

@@ -48,9 +48,10 @@ def unify(
     scratch = Scratch(spark, "unify")
     count = len(cfg.tables)
     pairs = scratch.save(pair_table(extract_all(tables, cfg, canonical), count), "pairs")
-    result = resolve(pairs, canonical, count, as_of, max_steps, floor)
+    result = resolve(pairs, canonical, count, as_of, max_steps, floor, saved=True)
     lookup = scratch.save(lookup_table(result.graph, canonical, floor), "lookup")
-    enriched = {t.name: enrich(tables[t.name], cfg, canonical, t, lookup, floor=floor) for t in cfg.tables}
+    # Written once: every attribute of a master reads them.
+    enriched = {t.name: scratch.save(enrich(tables[t.name], cfg, canonical, t, lookup, floor=floor), f"enriched_{t.name}") for t in cfg.tables}
     masters = {m.name: master_table(m, enriched, lookup) for m in cfg.master_tables if m.canonical_id == canonical.name}
     return Unified(
         lookup,
@@ -139,7 +140,7 @@ def resolve_incremental(
         F.min("canonical_id_first_seen_at").alias("seniority")
     ).withColumn("leader_ns", F.lit(ANCHOR_NS).cast("long"))
     pairs = scratch.save(fresh.unionByName(anchors.select(*fresh.columns)), "pairs")
-    graph = resolve(pairs, canonical, table_count, as_of, max_steps, floor, seniority).graph
+    graph = resolve(pairs, canonical, table_count, as_of, max_steps, floor, seniority, saved=True).graph
 
     component = graph.groupBy(*LEADER).agg(
         F.min("follower_first_seen_at").alias("canonical_id_first_seen_at"),
