@@ -8,8 +8,10 @@ has met; the library is asked for new pieces only.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import unicodedata
 from collections.abc import Iterable
 
 import numpy as np
@@ -40,11 +42,61 @@ def kind(path: str) -> np.dtype:
     return np.dtype("<u2" if load(path).get_vocab_size() <= 1 << 16 else "<u4")
 
 
+def byte_alphabet() -> dict[int, str]:
+    """How byte-level vocabularies write bytes: printable Latin-1 as itself, the rest from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class Words:
+    """Ids of single words straight from the library's model, past its splitting and normalizing.
+
+    For a word of Latin letters after one space or line end, perhaps with a full stop
+    or comma behind it, these have one outcome: the word and its mark are pre-tokens.
+    """
+
+    PROBES = ["Word", " word", "\nÉté,", " naïve.", "x.", " Straße,", "\nB"]
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model, self.alphabet = tokenizer, tokenizer.model, byte_alphabet()
+        config = json.loads(tokenizer.to_str())
+        self.space = self.alphabet[32]
+        #: A vocabulary without a normalizer keeps spaces and case, the other kind drops both.
+        self.spaced = config["normalizer"] is None
+        self.marks = {m: self._ids(m) for m in ".,"}
+        self.line = self._ids("\n") if self.spaced else []
+        self.works = all(self.ids(p) == self._ids(p) for p in self.PROBES)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def ids(self, piece: str) -> list[int] | None:
+        """None where the piece is not such a word."""
+        head, mark = piece[0], self.marks.get(piece[-1])
+        word = piece[head in " \n" : len(piece) - (mark is not None)]
+        if not word.isalpha():
+            return None
+        if not self.spaced:
+            word = word.lower()
+        if not word.isascii():
+            if max(word) >= "\u0250" or not unicodedata.is_normalized("NFC", word):
+                return None
+            word = "".join([self.alphabet[b] for b in word.encode()])
+        if self.spaced and head == " ":
+            word = self.space + word
+        out = [t.id for t in self.model.tokenize(word)]
+        if head == "\n":
+            out = self.line + out
+        return out + mark if mark else out
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 16-bit (or 32-bit) integers."""
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
+        self.words = Words(self.tokenizer)
         self.kind = kind(path)
         self.memo: dict[str, bytes] = {}
 
@@ -59,8 +111,16 @@ class Encoder:
         new = list({p for i in open_texts for p, ids in zip(cut[i], got[i]) if ids is None})
         fresh: dict[str, bytes] = {}
         pack, kind = np.array, self.kind
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
+        rest = new
+        if self.words.works:
+            rest = []
+            for p in new:
+                if (ids := self.words.ids(p)) is None:
+                    rest.append(p)
+                else:
+                    fresh[p] = pack(ids, dtype=kind).tobytes()
+        for i in range(0, len(rest), 10_000):
+            part = rest[i : i + 10_000]
             for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 fresh[p] = pack(e.ids, dtype=kind).tobytes()
         for i in open_texts:
