@@ -32,6 +32,8 @@ from kindred.llm.common import map_batches
 LIMIT = 512
 #: Pieces a worker remembers at most; a quarter as many pre-tokens.
 MEMO = 1_500_000
+#: Pairs of tokens a worker remembers at most.
+PAIRS = 1_000_000
 #: The pattern that splits text before merging (a fixed value of the vocabulary), with white space spelled out.
 SPLIT = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^W\p{L}\p{N}]+|[W]+(?![^W])|[W]+".replace("W", tokens.WHITE)
@@ -41,22 +43,15 @@ WHITE_RUN = regex.compile(f"[{tokens.WHITE}]*")
 CONTRACTIONS = {"'re", "'ve", "'ll"}
 
 
-def byte_alphabet() -> dict[int, str]:
-    """How the vocabulary writes bytes: printable Latin-1 as itself, the rest from U+0100 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-
 class PrefixCounter:
     """Count changes per character for a byte-level BPE vocabulary file."""
 
     def __init__(self, path: str):
         self.tokenizer = tokens.load(path)
-        back = {c: b for b, c in byte_alphabet().items()}
+        back = {c: b for b, c in tokens.byte_alphabet().items()}
         vocab = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.ids = {bytes(back[c] for c in t): i for t, i in vocab.items() if all(c in back for c in t)}
-        self.longest = max(map(len, self.ids))
+        tokens_of = [bytes(back[c] for c in t) for t in vocab if all(c in back for c in t)]
+        self.longest = max(map(len, tokens_of))
         state = json.loads(self.tokenizer.to_str())
         self.added: list[str] = [t["content"] for t in state.get("added_tokens", ())]
         # Rank of the merge that makes a token of two; what makes a pair break up is a merge of an earlier rank.
@@ -64,7 +59,9 @@ class PrefixCounter:
         for rank, m in enumerate(state["model"]["merges"]):
             a, b = m if isinstance(m, list) else m.split(" ")
             self.merges.setdefault((bytes(back[c] for c in a), bytes(back[c] for c in b)), rank)
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
+        #: By token: which tokens before it leave it alone.
+        self.after: dict[bytes, dict[bytes, bool]] = {t: {} for t in tokens_of}
+        self.n_pairs = 0
         self.words: dict[str, list[int]] = {}
         self.memo: dict[str, bytes] = {}
 
@@ -91,30 +88,32 @@ class PrefixCounter:
 
     def fits(self, a: bytes, b: bytes) -> bool:
         """Does ``b`` stay a token of its own after ``a`` (empty: at the start)?"""
-        if len(self.pairs) > 1_000_000:
-            self.pairs.clear()
-        known = self.pairs[(a, b)] = self.merge(a + b) == ([a, b] if a else [b])
+        if self.n_pairs > PAIRS:
+            self.after = {t: {} for t in self.after}
+            self.n_pairs = 0
+        known = self.after[b][a] = self.merge(a + b) == ([a, b] if a else [b])
+        self.n_pairs += 1
         return known
 
     def word(self, word: bytes) -> list[int]:
         """Counts of all byte prefixes of one pre-token, from one byte on."""
         last, counts, size = [b""], [0], 0
-        ids, pairs, longest = self.ids, self.pairs, self.longest
         for end in range(1, len(word) + 1):
             # One token fits, in whatever order they are tried; most often the last one grows or a new one begins.
-            for size in (size + 1, *range(1, min(end, longest) + 1)):
-                t = word[end - size : end]
-                if t in ids:
-                    before = last[end - size]
-                    ok = pairs.get((before, t))
-                    if ok is None:
-                        ok = self.fits(before, t)
-                    if ok:
-                        last.append(t)
-                        counts.append(counts[end - size] + 1)
+            size += 1
+            t = word[end - size : end]
+            if (after := self.after.get(t)) is None or not (after[a] if (a := last[end - size]) in after else self.fits(a, t)):
+                for size in range(1, min(end, self.longest) + 1):
+                    t = word[end - size : end]
+                    if (after := self.after.get(t)) is None:
+                        continue
+                    a = last[end - size]
+                    if after[a] if a in after else self.fits(a, t):
                         break
-            else:
-                raise ValueError(f"no token ends the prefix {word[:end]!r}")
+                else:
+                    raise ValueError(f"no token ends the prefix {word[:end]!r}")
+            last.append(t)
+            counts.append(counts[end - size] + 1)
         return counts[1:]
 
     def part(self, part: str) -> list[int]:
