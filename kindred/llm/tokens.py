@@ -20,7 +20,7 @@ import numpy as np
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: Pieces a worker remembers at most, and the longest piece worth it.
-MEMO = 1_200_000
+MEMO = 900_000
 LONGEST = 64
 
 END = 1
