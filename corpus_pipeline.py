@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import lexical_packing, line_frequency, positional_index, quality_ledger, simhash_index
+from kindred.llm import lexical_packing, line_frequency, near_copies, positional_index, quality_ledger, simhash_index
 from kindred.llm.common import ship
 from kindred.sources.scratch import Scratch
 
@@ -37,6 +37,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return positional_index.stage(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def near_copy_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies by five-word shingles."""
+    return near_copies.stage(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences."""
     return lexical_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -47,6 +52,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("line dedup", lines),
     ("simhash near-dedup", near_duplicates),
     ("benchmark decontamination", decontaminate),
+    ("near copies", near_copy_groups),
     ("packing", pack),
 ]
 
