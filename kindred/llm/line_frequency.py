@@ -8,8 +8,9 @@ AQE broadcasts by measured size or splits where a site owns much of the rows.
 
 Defined results: a NULL site is a site of its own; a NULL text is a page without
 lines and stays NULL; a line without a word is never dropped; a line repeated on
-a page counts once for it; repeated rows are pages of their own; a site with
-fewer than ``min_pages`` pages loses nothing. A page may end up empty.
+a page counts once for it; repeated rows are pages of their own, or with
+``copies_once`` the copies of a text within a site are one page; a site with fewer
+than ``min_pages`` pages loses nothing. A page may end up empty.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ from pyspark.sql import functions as F
 
 from kindred.llm.common import null_safe_join, row_key
 
-#: Share of a site's pages above which a line is boilerplate, and pages it must be on at least.
+#: Share of a site's pages above which a line is boilerplate, and pages it must be on at least: one page
+#: of a small site is above any ratio, and two may be a chance repeat.
 MAX_RATIO = 0.05
-MIN_PAGES = 10
+MIN_PAGES = 3
 
 KEY = ["_host", "_id", "_row"]
 
