@@ -43,18 +43,25 @@ def page_lines(pages: DataFrame) -> DataFrame:
     )
 
 
-def boilerplate(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """Lines to drop: _host, h1, h2, the pages containing it, and the pages of the site."""
-    containing = page_lines(pages).groupBy("_host", "h1", "h2").agg(F.count(F.lit(1)).alias("pages_with_line"))
+    count = F.count_distinct("_row") if copies_once else F.count(F.lit(1))
+    containing = page_lines(pages).groupBy("_host", "h1", "h2").agg(count.alias("pages_with_line"))
     containing = containing.filter(F.col("pages_with_line") >= min_pages)
-    totals = pages.groupBy("_host").agg(F.count(F.lit(1)).alias("pages_of_site"))
+    totals = pages.groupBy("_host").agg(count.alias("pages_of_site"))
     totals = totals.withColumnRenamed("_host", "_of")
     rows = containing.join(totals, F.col("_host").eqNullSafe(F.col("_of"))).drop("_of")
     return rows.filter(F.col("pages_with_line") > F.lit(max_ratio) * F.col("pages_of_site"))
 
 
 def drop_boilerplate(
-    docs: DataFrame, host: str, doc_id: str = "doc_id", text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES
+    docs: DataFrame,
+    host: str,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    max_ratio: float = MAX_RATIO,
+    min_pages: int = MIN_PAGES,
+    copies_once: bool = False,
 ) -> DataFrame:
     """``_doc`` (the row as it came), ``clean_text``, ``n_lines``, ``n_dropped``."""
     pages = docs.select(
@@ -65,7 +72,7 @@ def drop_boilerplate(
         row_key(F.col(text)).alias("_row"),
     )
     slim = pages.select("_host", "_id", "_row", "_text")
-    to_drop = boilerplate(slim, max_ratio, min_pages).select(F.col("_host").alias("_of"), F.col("h1").alias("b1"), F.col("h2").alias("b2"))
+    to_drop = boilerplate(slim, max_ratio, min_pages, copies_once).select(F.col("_host").alias("_of"), F.col("h1").alias("b1"), F.col("h2").alias("b2"))
     lines = page_lines(slim)
     hit = lines.join(
         to_drop, F.col("_host").eqNullSafe(F.col("_of")) & (F.col("h1") == F.col("b1")) & (F.col("h2") == F.col("b2"))
@@ -89,8 +96,11 @@ def drop_boilerplate(
 
 
 def stage(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
-    """The documents with the remaining lines as text, and their new length where they carry one."""
-    done = drop_boilerplate(docs, host, **limits)
+    """The documents with the remaining lines as text, and their new length where they carry one.
+
+    Copies are one page here, so that a large group of them keeps its text for the stages behind.
+    """
+    done = drop_boilerplate(docs, host, **({"copies_once": True} | limits))
     out = []
     for c in docs.columns:
         if c == "text":
