@@ -135,10 +135,32 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, las
 FROM d LEFT JOIN base USING (rn) LEFT JOIN more USING (rn)
 """
 
+HARD_NEGATIVES = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS parts
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+a AS (SELECT * FROM v WHERE vec_id % 100 = 0),
+s AS (
+  SELECT a.rid AS arid, a.vec_id AS anchor_id, v.rid, v.vec_id, v.label = a.label AS same, list_dot_product(a.parts, v.parts)::BIGINT AS score
+  FROM a JOIN v ON a.rid <> v.rid
+),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY arid ORDER BY score DESC, vec_id NULLS LAST, rid) <= 5),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.arid, p.rid ORDER BY s.score DESC, s.vec_id NULLS LAST, s.rid)::INTEGER AS rank
+  FROM p JOIN s ON s.arid = p.arid AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
 ORACLES = {
     "op1_line_frequency": LINE_FREQUENCY,
     "op2_quality_ledger": QUALITY_LEDGER,
     "op4_url_equivalence": URL_EQUIVALENCE,
     "op6_positional_index": POSITIONAL_INDEX,
     "op10_license_join": LICENSE_JOIN,
+    "op12_hard_negatives": HARD_NEGATIVES,
 }

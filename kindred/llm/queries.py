@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import lexical_packing, license_join, line_frequency, positional_index, prefix_counts, quality_ledger, simhash_index, suffix_ranges, token_store, url_equivalence
+from kindred.llm import (
+    hard_negatives,
+    html_blocks,
+    lexical_packing,
+    license_join,
+    line_frequency,
+    positional_index,
+    prefix_counts,
+    quality_ledger,
+    simhash_index,
+    suffix_ranges,
+    token_store,
+    turn_repair,
+    url_equivalence,
+)
 from kindred.llm.common import ship
 from kindred.llm.oracles import ORACLES
 from kindred.sources.scratch import Scratch
@@ -71,6 +85,20 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scan(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(turn_repair.damaged(_table(spark, sf_dir, "conversations")))
+
+
+def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    shifted = F.when(F.coalesce(F.col("vec_id") % 7 == 0, F.lit(False)), (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", shifted.alias("label")))
+
+
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_frequency": line_dedup,
     "op2_quality_ledger": quality_rules,
@@ -82,4 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lexical_packing": packing,
     "op9_suffix_ranges": suffix_dedup,
     "op10_license_join": license_scan,
+    "op11_turn_repair": conversation_repair,
+    "op12_hard_negatives": negatives,
+    "op13_html_blocks": main_text,
 }
