@@ -107,7 +107,7 @@ def q_add_constant(spark, sf):
 
 
 def q_full(spark, sf):
-    return windows.pull_full(view(spark, sf, "orders_inc"))
+    return windows.pull_full(view(spark, sf, "orders_all"))
 
 
 def q_map_fields(spark, sf):
@@ -339,7 +339,7 @@ ORACLES = {
     "src_parse_json": sql("SELECT event_id, CASE WHEN json_valid(attributes) THEN attributes END AS attributes FROM raw_json", "raw_json"),
     "src_add_time": f"SELECT s_suppkey, n_name, CAST({AS_OF} AS BIGINT) AS time FROM nation JOIN supplier ON n_nationkey = s_nationkey",
     "src_add_constant": sql("SELECT order_id, time, 'eu' AS shop, CAST(7 AS BIGINT) AS priority FROM shop_orders", "shop_orders"),
-    "src_full": sql("SELECT * FROM orders_inc", "orders_inc"),
+    "src_full": sql("SELECT * FROM orders_all", "orders_all"),
     "src_map_fields": sql("SELECT order_id, updated_at, order_day AS created_at FROM orders_all", "orders_all"),
     "inc_watermark": sql(
         """SELECT 'orders/hist_union' AS k, coalesce(max(inc_value), 0) AS inc_value FROM inc_log WHERE table_name = 'orders' AND project_name = 'hist_union'

@@ -10,7 +10,8 @@ from checks import identity as I
 from checks.fixtures import AS_OF, sql, view, views
 from kindred.operators import reports as R
 from kindred.operators import staging as S
-from kindred.plans import pipelines
+from kindred.plans import ingest, pipelines
+from kindred.plans.ledger import Ledger
 from kindred.plans.unify import unify
 from kindred.sources import files, tables
 from kindred.sources.scratch import checkpoint_root
@@ -131,7 +132,7 @@ def q_run_hist_union(spark, sf):
 
 def q_run_staging(spark, sf):
     """First load, then an increment that changes rows; per order the newest row stays."""
-    root, dups = _root(spark, "stg"), view(spark, sf, "dup_orders").filter(F.col("order_id").isNotNull())
+    root, dups = _root(spark, "stg"), view(spark, sf, "dup_orders")
     rules = S.Rules(columns={"order_email": "email"}, keys=["order_id"], order=[("time", True)])
     cut = dups.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY time)")).first()[0]
     for run, rows in (("run1", dups.filter(F.col("time") <= cut)), ("run2", dups), ("run3", dups)):
@@ -139,6 +140,108 @@ def q_run_staging(spark, sf):
     return tables.load(spark, f"{root}/target").select("order_id", "customer_id", "order_email_std", "o_totalprice", "time")
 
 
+def q_run_staging_recovery(spark, sf):
+    """A run dies behind its data, more rows arrive, it is repeated, and another one follows: as one clean load."""
+    root, dups = _root(spark, "stg-recovery"), view(spark, sf, "dup_orders")
+    rules = S.Rules(columns={"order_email": "email"}, keys=["order_id"], order=[("time", True)])
+    _killed_and_repeated(spark, dups, rules, root)
+    return tables.load(spark, f"{root}/target").select("order_id", "customer_id", "order_email_std", "o_totalprice", "time")
+
+
+def q_run_append_recovery(spark, sf):
+    """The same without keys, where a second load of a row would show."""
+    root, dups = _root(spark, "stg-append"), view(spark, sf, "dup_orders")
+    _killed_and_repeated(spark, dups, S.Rules(columns={"order_email": "email"}), root)
+    return tables.load(spark, f"{root}/target").select("order_id", "customer_id", "order_email_std", "o_totalprice", "time")
+
+
+def _killed_and_repeated(spark, rows, rules, root):
+    """A watermark that goes to a log of its own is one that was never written."""
+    first, second = (rows.filter(F.col("time") <= cut) for cut in rows.agg(*[F.expr(c) for c in _CUTS]).first())
+    steps = [("lost0", "run0", first), ("log", "run0", second), ("lost1", "run1", second), ("log", "run1", rows), ("log", "run2", rows)]
+    for log, run, arrived in steps:
+        pipelines.run_staging(spark, arrived, "orders", rules, f"{root}/target", f"{root}/{log}", run, AS_OF, buckets=16)
+
+
+_CUTS = [f"min(time) + (max(time) - min(time)) div 10 * {n}" for n in (3, 6)]
+
+
+def q_run_union_recovery(spark, sf):
+    """A union dies behind its data, is compacted, repeated with more rows, and followed by another run."""
+    root, (inc, hist) = _root(spark, "hu-recovery"), views(spark, sf, "orders_inc", "orders_hist")
+    cut = inc.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY time)")).first()[0]
+    target = f"{root}/target"
+    pipelines.run_hist_union(spark, inc.filter(F.col("time") <= cut), hist, "orders_hist", target, f"{root}/lost", "run1")
+    tables.compact(spark, target)
+    for run in ("run1", "run2", "run2"):
+        pipelines.run_hist_union(spark, inc, hist, "orders_hist", target, f"{root}/log", run)
+    return tables.load(spark, target)
+
+
+def q_hu_cast_run(spark, sf):
+    """Both sides in one type, over two runs; what does not convert is NULL."""
+    root, (inc, hist) = _root(spark, "hu-cast"), views(spark, sf, "orders_inc", "orders_hist")
+    texts = hist.withColumn("amount", F.when(F.col("status") == "F", F.col("amount").cast("string")).otherwise("unknown"))
+    for run in ("run1", "run2"):
+        pipelines.run_hist_union(spark, inc, texts, "orders", f"{root}/target", f"{root}/log", run, types={"amount": "double", "order_id": "bigint"})
+    return tables.load(spark, f"{root}/target").drop("updated_at")
+
+
+def _snapshots(spark, sf):
+    """The first snapshot, and one with changed, vanished and new rows; both repeated."""
+    root, orders = _root(spark, "hu-snapshot"), view(spark, sf, "orders_all")
+    one = orders.filter(F.col("status") != "P")
+    two = orders.filter(F.col("status") != "F").withColumns(
+        {"amount": F.when(F.col("order_id").endswith("0"), F.col("amount") + 1).otherwise(F.col("amount")), "time": F.col("time") + 7}
+    )
+    for run, snapshot in (("run1", one), ("run1", one), ("run2", two), ("run2", two)):
+        pipelines.run_hist_union(
+            spark, snapshot, None, "orders", f"{root}/target", f"{root}/log", run, mode="snapshot", keys=["order_id"], changes=f"{root}/changes"
+        )
+    return root
+
+
+def q_hu_snapshot_run(spark, sf):
+    return tables.load(spark, f"{_snapshots(spark, sf)}/target")
+
+
+def q_hu_snapshot_changes(spark, sf):
+    return tables.load(spark, f"{_snapshots(spark, sf)}/changes").select("order_id", "status", "amount", "time", "change")
+
+
+JOB = ingest.Job("orders", {m: {"table_field": "updated_at", "source_field": "changed_at"} for m in ("hist", "inc")})
+HISTORY = ("1990-01-01 00:00:00", "1997-12-31 00:00:00")
+
+
+def _ingested(spark, sf):
+    """History that fails in a month of its second commit, its repeat, and the rolling load of what came after, twice."""
+    root, orders = _root(spark, "ingest"), view(spark, sf, "orders_all").withColumnRenamed("updated_at", "changed_at")
+    broken = orders.withColumn(
+        "amount", F.when(F.substring("changed_at", 1, 7) == "1996-05", F.raise_error(F.lit("the source went away"))).otherwise(F.col("amount"))
+    )
+    target, log = f"{root}/target", Ledger(f"{root}/ledger", AS_OF, "shop", "shop_ingest")
+    try:
+        ingest.run_ingest(spark, broken, JOB, target, log, "day1", "hist", HISTORY, months_at_once=48)
+    except Exception as fault:
+        if "the source went away" not in str(fault):
+            raise
+    ingest.run_ingest(spark, orders, JOB, target, log, "day2", "hist", HISTORY, months_at_once=48)
+    for run in ("day3", "day3"):
+        ingest.run_ingest(spark, orders, JOB, target, log, run)
+    return target, log
+
+
+def q_run_ingest(spark, sf):
+    target, _ = _ingested(spark, sf)
+    return tables.load(spark, target)
+
+
+def q_run_ingest_ledger(spark, sf):
+    _, log = _ingested(spark, sf)
+    rows = log.load(spark).filter(F.col("status").isin("SUCCESS", "ERROR"))
+    return rows.groupBy("source_name", "status").agg(F.count(F.lit(1)).alias("n"), F.sum("records_processed").alias("records"))
+
+
 def q_run_prep(spark, sf):
     """Prep pipeline over two days; rows that left the source disappear everywhere."""
     root = _root(spark, "prep")
@@ -208,7 +311,7 @@ def q_stream_upsert(spark, sf):
 
 
 def q_stream_dedupe(spark, sf):
-    root, dups = _root(spark, "str"), view(spark, sf, "dup_orders").filter(F.col("order_id").isNotNull())
+    root, dups = _root(spark, "str"), view(spark, sf, "dup_orders")
     path = _arrivals(spark, root, [dups])
     jobs.stream_dedupe(spark, path, dups.schema, ["order_id"], "3650 days", f"{root}/target", f"{root}/cp").awaitTermination()
     return spark.read.schema(dups.schema).parquet(f"{root}/target").select("order_id", "customer_id")
@@ -228,6 +331,14 @@ QUERIES = {
     "snk_bucketed": q_bucketed,
     "run_hist_union": q_run_hist_union,
     "run_staging": q_run_staging,
+    "run_staging_recovery": q_run_staging_recovery,
+    "run_append_recovery": q_run_append_recovery,
+    "run_union_recovery": q_run_union_recovery,
+    "hu_cast_run": q_hu_cast_run,
+    "hu_snapshot_run": q_hu_snapshot_run,
+    "hu_snapshot_changes": q_hu_snapshot_changes,
+    "run_ingest": q_run_ingest,
+    "run_ingest_ledger": q_run_ingest_ledger,
     "run_prep": q_run_prep,
     "run_unify": q_run_unify,
     "run_unification": q_run_unification,
@@ -240,6 +351,18 @@ _NO_DATE = "order_id, customer_id, status, amount, updated_at, time"
 _UNION = f"SELECT NULL AS incremental_date, {_NO_DATE} FROM orders_hist UNION ALL SELECT * FROM orders_inc"
 _OK = r"'^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$'"
 
+_RAISED = "CASE WHEN order_id LIKE '%0' THEN amount + 1 ELSE amount END"
+_DUCK_CUTS = [f"min(time) + (max(time) - min(time)) // 10 * {n}" for n in (3, 6)]
+
+
+def _staged(batch: str) -> str:
+    """Per order its newest row; of the rows without an order the newest of every batch."""
+    return f"""SELECT order_id, customer_id, CASE WHEN regexp_matches(order_email, {_OK}) THEN order_email END AS order_email_std, o_totalprice, time FROM shop_orders
+        UNION ALL SELECT NULL, customer_id, NULL, o_totalprice, time FROM (
+          SELECT *, row_number() OVER (PARTITION BY batch ORDER BY time DESC, customer_id DESC, o_totalprice DESC) AS rn
+          FROM (SELECT *, {batch} AS batch FROM dup_orders WHERE order_id IS NULL)) WHERE rn = 1"""
+
+
 ORACLES = {
     "src_read": "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders",
     "src_delimited": sql(
@@ -270,9 +393,39 @@ ORACLES = {
     ),
     "snk_bucketed": I.ident("SELECT unified_id, count(*) AS orders FROM en_shop_orders GROUP BY unified_id", I.ENRICHED),
     "run_hist_union": sql(_UNION, "orders_hist", "orders_inc"),
-    "run_staging": sql(
-        f"SELECT order_id, customer_id, CASE WHEN regexp_matches(order_email, {_OK}) THEN order_email END AS order_email_std, o_totalprice, time FROM shop_orders",
+    "run_staging": sql(_staged("CASE WHEN time <= (SELECT quantile_disc(time, 0.5) FROM dup_orders) THEN 0 ELSE 1 END"), "shop_orders", "dup_orders"),
+    "run_staging_recovery": sql(
+        _staged(f"CASE WHEN time <= (SELECT {_DUCK_CUTS[0]} FROM dup_orders) THEN 0 WHEN time <= (SELECT {_DUCK_CUTS[1]} FROM dup_orders) THEN 1 ELSE 2 END"),
         "shop_orders",
+        "dup_orders",
+    ),
+    "run_append_recovery": sql(
+        f"SELECT order_id, customer_id, CASE WHEN regexp_matches(order_email, {_OK}) THEN order_email END AS order_email_std, o_totalprice, time FROM dup_orders",
+        "dup_orders",
+    ),
+    "run_union_recovery": sql(_UNION, "orders_hist", "orders_inc"),
+    "hu_cast_run": sql(
+        """SELECT NULL AS incremental_date, CAST(order_id AS BIGINT) AS order_id, customer_id, status, CASE WHEN status = 'F' THEN amount END AS amount, time FROM orders_hist
+           UNION ALL SELECT incremental_date, CAST(order_id AS BIGINT), customer_id, status, amount, time FROM orders_inc""",
+        "orders_hist",
+        "orders_inc",
+    ),
+    "hu_snapshot_run": sql(f"SELECT * REPLACE ({_RAISED} AS amount, time + 7 AS time) FROM orders_all WHERE status <> 'F'", "orders_all"),
+    "hu_snapshot_changes": sql(
+        f"""SELECT order_id, status, amount, time, 'new' AS change FROM orders_all WHERE status <> 'P'
+            UNION ALL SELECT order_id, status, {_RAISED}, time + 7, CASE WHEN status = 'P' THEN 'new' ELSE 'changed' END FROM orders_all
+            WHERE status = 'P' OR (status <> 'F' AND order_id LIKE '%0')
+            UNION ALL SELECT order_id, status, amount, (SELECT max(time) + 7 FROM orders_all WHERE status <> 'F'), 'vanished' FROM orders_all WHERE status = 'F'""",
+        "orders_all",
+    ),
+    "run_ingest": sql(f"SELECT order_id, customer_id, status, amount, order_day, updated_at, CAST({AS_OF} AS BIGINT) AS time FROM orders_all", "orders_all"),
+    "run_ingest_ledger": sql(
+        """SELECT 'shop_' || strftime(m, '%Y-%m') AS source_name, 'SUCCESS' AS status, CAST(1 AS BIGINT) AS n, count(order_id) AS records
+           FROM range(TIMESTAMP '1990-01-01', TIMESTAMP '1998-01-01', INTERVAL 1 MONTH) t(m) LEFT JOIN orders_all ON substr(updated_at, 1, 7) = strftime(m, '%Y-%m') GROUP BY m
+           UNION ALL SELECT 'shop', 'SUCCESS', 1, count(*) FROM orders_all WHERE updated_at >= '1998-01-01'
+           UNION ALL SELECT 'shop_1994-01', 'ERROR', 1, 0
+           UNION ALL SELECT 'ingestion_runner', 'ERROR', 1, 0""",
+        "orders_all",
     ),
     "run_prep": sql(
         f"""SELECT customer_id, email, phone, CAST(CASE WHEN (customer_id, coalesce(email, '~'), coalesce(phone, '~')) IN (SELECT (customer_id, coalesce(email, '~'), coalesce(phone, '~')) FROM crm_profiles)
@@ -316,5 +469,10 @@ ORACLES = {
              'orders' AS source_system, '2024-02-01 00:00:00' AS load_timestamp FROM orders_all""",
         "orders_all",
     ),
-    "str_dedupe": sql("SELECT order_id, customer_id FROM shop_orders", "shop_orders"),
+    "str_dedupe": sql(
+        """SELECT order_id, customer_id FROM shop_orders
+           UNION ALL SELECT order_id, customer_id FROM (SELECT DISTINCT * FROM dup_orders WHERE order_id IS NULL)""",
+        "shop_orders",
+        "dup_orders",
+    ),
 }

@@ -154,7 +154,7 @@ def q_upsert(spark, sf):
 
 def q_upsert_pair(spark, sf):
     """Two key columns: ('1','23') and ('12','3') are different keys."""
-    return S.upsert(view(spark, sf, "orders_all"), _work(spark, sf).filter(F.col("amount") > 200000), ["order_id", "customer_id"])
+    return S.upsert(view(spark, sf, "orders_all"), _work(spark, sf), ["order_id", "customer_id"])
 
 
 def q_affected(spark, sf):
@@ -375,8 +375,8 @@ ORACLES = {
         ctes=_WORK,
     ),
     "stg_upsert_pair": sql(
-        """SELECT * FROM orders_all o WHERE NOT EXISTS (SELECT 1 FROM work w WHERE w.order_id = o.order_id AND w.customer_id = o.customer_id AND w.amount > 200000)
-           UNION ALL SELECT * FROM work WHERE amount > 200000""",
+        """SELECT * FROM orders_all o WHERE NOT EXISTS (SELECT 1 FROM work w WHERE w.order_id = o.order_id AND w.customer_id = o.customer_id)
+           UNION ALL SELECT * FROM work""",
         "orders_all",
         ctes=_WORK,
     ),

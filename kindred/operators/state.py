@@ -116,16 +116,18 @@ def ledger_row(
     counted: DataFrame,
     kind: str,
     as_of: int,
-    source: str = "ingestion_runner",
+    source: str | Column = "ingestion_runner",
     workflow: str = "ingestion_runner",
     table: str | None = None,
-    start_time: str | None = None,
-    end_time: str | None = None,
+    start_time: str | Column | None = None,
+    end_time: str | Column | None = None,
     error: str | None = None,
     job_id: str | None = None,
     job_url: str | None = None,
 ) -> DataFrame:
-    """One ledger row. ``counted`` is a one-row frame with ``records`` for the kinds that report them.
+    """One ledger row for every row of ``counted``, which has ``records`` for the kinds that report them.
+
+    Source and window may be columns of ``counted``.
 
     Kinds: started, success, success_no_window, error, runner_completed, runner_error.
     """
@@ -135,10 +137,10 @@ def ledger_row(
     zero = F.lit(0).cast("long")
     runner_id = lambda prefix: F.concat(F.lit(prefix), F.lit(as_of).cast("string"))
     shapes = {
-        "started": (F.concat(F.lit(f"{source}_{table}_"), now), "STARTED", now, text(None), zero),
-        "success": (F.concat(F.lit(f"{source}_{table}_"), now), "SUCCESS", text(start_time), text(end_time), records),
-        "success_no_window": (F.concat(F.lit(f"{source}_{table}_"), now), "SUCCESS", text(""), text(""), records),
-        "error": (F.concat(F.lit(f"{source}_"), now), "ERROR", text(None), now, zero),
+        "started": (F.concat(F.lit(source), F.lit(f"_{table}_"), now), "STARTED", now, text(None), zero),
+        "success": (F.concat(F.lit(source), F.lit(f"_{table}_"), now), "SUCCESS", text(start_time), text(end_time), records),
+        "success_no_window": (F.concat(F.lit(source), F.lit(f"_{table}_"), now), "SUCCESS", text(""), text(""), records),
+        "error": (F.concat(F.lit(source), F.lit("_"), now), "ERROR", text(None), now, zero),
         "runner_completed": (runner_id("ingestion_runner_"), "COMPLETED", text(None), now, records),
         "runner_error": (runner_id("ingestion_runner_error_"), "ERROR", text(None), now, zero),
     }

@@ -1,12 +1,12 @@
 """Stage jobs over stored tables: union, staging, preparation, unification.
 
-Data is committed before its watermark, and both under a run id, so a run that
-died half-way can be repeated.
+Data is committed together with the watermarks that have to follow it, all under
+a run id. So a run that died half-way can be repeated, or followed by another one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,7 @@ from kindred.operators import staging as S
 from kindred.operators import state
 from kindred.plans import canonical as K
 from kindred.plans.config import Config
+from kindred.plans.ledger import Ledger, logged
 from kindred.plans.master import master_table
 from kindred.plans.unify import Unified, unify
 from kindred.sources import tables
@@ -28,6 +29,18 @@ def _inc_log(spark: SparkSession, root: str) -> DataFrame:
     return tables.load(spark, root)
 
 
+def _settle(spark: SparkSession, target: str, inc_log: str) -> None:
+    """Write the watermarks of a run that died behind its data.
+
+    They were fixed before its load and published with its data, so rows that came
+    later stay for the next run, and a run under another id loads nothing twice.
+    """
+    _inc_log(spark, inc_log)
+    for log_run, rows in tables.marks(spark, target).items():
+        if not tables.has_run(spark, inc_log, log_run):
+            tables.append(spark.createDataFrame([tuple(r) for r in rows], state.INC_LOG_SCHEMA), inc_log, log_run)
+
+
 def run_hist_union(
     spark: SparkSession,
     inc: DataFrame | None,
@@ -37,28 +50,53 @@ def run_hist_union(
     inc_log: str,
     run_id: str,
     full: bool = False,
+    mode: str | None = None,
+    types: Mapping[str, str] | None = None,
+    keys: Sequence[str] = (),
+    changes: str | None = None,
+    ledger: Ledger | None = None,
     **align,
 ) -> None:
-    """Append what is new on either side, or rebuild the target; then move both watermarks.
-
-    A run id that has moved its watermarks is done and not repeated.
+    """Bring the union up to date and move both watermarks.
+
+    Modes: ``incremental`` appends what is new on either side, ``full`` rebuilds the target,
+    ``snapshot`` takes ``inc`` as the whole latest state, without history: with ``keys`` the rows
+    that are new, changed or vanished since the last snapshot are found by row hash
+    and appended to the table ``changes``, whose ``time`` later stages can follow. ``types`` casts
+    columns of both sides to one type first. A run id that has moved its watermarks is done
+    and not repeated.
     """
     inc, hist = H.with_missing_side(spark, inc, hist)
-    inc_name, hist_name, _ = H.derive_name_texts(name)
-    log, log_run = _inc_log(spark, inc_log), f"{run_id}-{inc_name}"
+    if types:
+        inc, hist = (H.cast_align(side, {c: t for c, t in types.items() if c in side.columns}) for side in (inc, hist))
+    mode = mode or ("full" if full else "incremental")
+    if mode not in ("incremental", "full", "snapshot"):
+        raise ValueError("mode must be incremental, full or snapshot")
+    inc_name, hist_name, target_name = H.derive_name_texts(name)
+    log_run = f"{run_id}-{inc_name}"
+    _settle(spark, target, inc_log)
     if tables.has_run(spark, inc_log, log_run):
         return
-    # Fixed before the load: rows that arrive meanwhile belong to the next run.
-    upto = {inc_name: state.max_time(inc), hist_name: state.max_time(hist)}
-    if full:
-        tables.swap_commit(H.hist_union_full(inc, hist, **align), target)
-    else:
-        marks = {n: state.read_watermark(log, n, H.PROJECT) for n in upto}
-        new_inc = state.new_rows(inc, marks[inc_name], upto[inc_name])
-        new_hist = state.new_rows(hist, marks[hist_name], upto[hist_name])
-        tables.append(H.hist_union_full(new_inc, new_hist, **align), target, run_id)
-    rows = [state.watermark_value_row(spark, n, H.PROJECT, v) for n, v in upto.items()]
-    tables.append(rows[0].unionByName(rows[1]), inc_log, log_run)
+    with logged(ledger, run_id, target_name, spark) as done:
+        # Fixed before the load: rows that arrive meanwhile belong to the next run.
+        sides = {inc_name: inc} if mode == "snapshot" else {inc_name: inc, hist_name: hist}
+        upto = {n: state.max_time(side) for n, side in sides.items()}
+        marks = {log_run: [[n, H.PROJECT, v] for n, v in upto.items()]}
+        if mode == "incremental":
+            log = _inc_log(spark, inc_log)
+            seen = {n: state.read_watermark(log, n, H.PROJECT) for n in upto}
+            new_inc = state.new_rows(inc, seen[inc_name], upto[inc_name])
+            new_hist = state.new_rows(hist, seen[hist_name], upto[hist_name])
+            tables.append(H.hist_union_full(new_inc, new_hist, **align), target, run_id, marks)
+            done.records = tables.run_count(spark, target, run_id) if ledger else 0
+        else:
+            if mode == "snapshot" and keys and changes:
+                before = tables.load(spark, target) if tables.exists(spark, target) else None
+                tables.append(H.snapshot_changes(inc, before, keys), changes, run_id)
+            whole = H.hist_union_snapshot(inc) if mode == "snapshot" else H.hist_union_full(inc, hist, **align)
+            tables.swap_commit(whole, target, run_id=run_id, marks=marks)
+            done.records = tables.load(spark, target).count() if ledger else 0
+        _settle(spark, target, inc_log)
 
 
 def run_staging(
@@ -73,28 +111,37 @@ def run_staging(
     mode: str = "incremental",
     project: str = "staging",
     buckets: int | None = None,
+    ledger: Ledger | None = None,
 ) -> str:
-    """Stage new rows and upsert them (append without a dedupe rule). Returns what was done."""
-    log, log_run = _inc_log(spark, inc_log), f"{run_id}-{project}-{name}"
+    """Stage new rows and upsert them (append without a dedupe rule). Returns what was done.
+
+    A run id that has moved its watermark is done; its repeat returns ``skipped``.
+    """
+    log_run = f"{run_id}-{project}-{name}"
+    _settle(spark, target, inc_log)
     if tables.has_run(spark, inc_log, log_run):
         return "skipped"
     upto = state.max_time(source)
     chosen = state.choose_mode(tables.exists(spark, target), mode)
     if chosen == "incremental":
-        mark = state.read_watermark(log, name, project)
-        if state.pending_count(source, mark).first()["inc_records"] == 0:
-            return "skipped"
+        mark = state.read_watermark(_inc_log(spark, inc_log), name, project)
         rows = state.new_rows(source, mark, upto)
     else:
         rows = source if upto is None else source.filter(F.col("time") <= upto)
-    staged = S.guard_types(S.stage(rows, rules, name, as_of))
-    if chosen == "full":
-        tables.swap_commit(staged, target)
-    elif rules.keys:
-        tables.upsert_table(staged, target, list(rules.keys), run_id, buckets)
-    else:
-        tables.append(staged, target, run_id)
-    tables.append(state.watermark_value_row(spark, name, project, upto or 0), inc_log, log_run)
+    pending = rows.count() if chosen == "incremental" or ledger else 1
+    if chosen == "incremental" and pending == 0:
+        return "skipped"
+    with logged(ledger, run_id, name, spark) as done:
+        done.records = pending
+        staged = S.guard_types(S.stage(rows, rules, name, as_of))
+        marks = {log_run: [[name, project, upto or 0]]}
+        if chosen == "full":
+            tables.swap_commit(staged, target, run_id=run_id, marks=marks)
+        elif rules.keys:
+            tables.upsert_table(staged, target, list(rules.keys), run_id, buckets, marks)
+        else:
+            tables.append(staged, target, run_id, marks)
+        _settle(spark, target, inc_log)
     return chosen
 
 

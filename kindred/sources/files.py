@@ -89,8 +89,11 @@ def read_delimited(
         reader["lineSep"] = NEWLINES.get(newline, newline)
     path = resolve_path(path, date)
     if multi_line:
-        # Ends of records are found by the parser, also \r\n.
-        rows = spark.read.schema(schema).options(**options | reader | {"multiLine": True}).csv(path)
+        # Left alone, the parser takes the first line end of a file, perhaps one inside quotes, for
+        # that of all records. Every record ends with LF here, and a CR before it is taken off below.
+        rows = spark.read.schema(schema).options(**{"lineSep": "\n"} | options | reader | {"multiLine": True}).csv(path)
+        if not newline:
+            rows = _without_cr(rows, names)
     else:
         # Whole lines, so that quotes can be counted; no line holds the noncharacter.
         rows = spark.read.schema(T.StructType([T.StructField(LINE, T.StringType())])).options(**reader | {"sep": NONE, "quote": ""}).csv(path)
@@ -132,6 +135,19 @@ def read_delimited(
     return kept.select(*typed, *(["source_file"] if with_file else []))
 
 
+def _without_cr(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The last field of every record without the CR of a CRLF behind it; empty is NULL."""
+    last = {}
+    for i, n in enumerate(names):
+        bare = F.nullif(F.regexp_replace(n, "\r$", ""), F.lit(""))
+        behind = [F.col(b).isNull() for b in names[i + 1 :]]
+        ends = F.lit(True)
+        for b in behind:
+            ends = ends & b
+        last[n] = F.when(ends, bare).otherwise(F.col(n))
+    return rows.withColumns(last)
+
+
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 

@@ -48,6 +48,10 @@ class Scratch:
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def bytes_of(self, name: str) -> int:
+        jpath, fs = hadoop_path(self.spark, self.path(name))
+        return fs.getContentSummary(jpath).getLength()
+
     def drop(self, name: str) -> None:
         """Remove a table that a later, fully written one has replaced."""
         jpath, fs = hadoop_path(self.spark, self.path(name))

@@ -31,13 +31,18 @@ MIN_BUCKETS = 16
 
 @dataclass(frozen=True)
 class Manifest:
-    """What a table is made of. ``parts`` has the folders of the base, of every run, and of every bucket."""
+    """What a table is made of. ``parts`` has the folders of the base, of every run, and of every bucket.
+
+    ``marks`` has, by name, what has to be written elsewhere once the last run's data is there (a
+    watermark, a ledger row). It is published with the data, so a repeat finds what the run had fixed.
+    """
 
     schema: str
     parts: dict[str, list[str]] = field(default_factory=dict)
     runs: list[str] = field(default_factory=list)
     keys: list[str] | None = None
     buckets: int | None = None
+    marks: dict[str, list] = field(default_factory=dict)
 
     @property
     def struct(self) -> T.StructType:
@@ -134,11 +139,12 @@ def load(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, root, manifest)
 
 
-def replace(df: DataFrame, root: str) -> None:
+def replace(df: DataFrame, root: str, run_id: str | None = None, marks: Mapping[str, list] | None = None) -> None:
     """New content and schema; the runs before it count no longer. Readers of the old version are not disturbed."""
     spark = df.sparkSession
     version, _ = _current(spark, root)
-    _publish(spark, root, version + 1, Manifest(_schema_text(df.schema), {BASE: [_write(df, root)]}))
+    runs = [] if run_id is None else [run_id]
+    _publish(spark, root, version + 1, Manifest(_schema_text(df.schema), {BASE: [_write(df, root)]}, runs, marks=dict(marks or {})))
 
 
 def create_if_absent(spark: SparkSession, root: str, schema: T.StructType | str) -> bool:
@@ -150,7 +156,7 @@ def create_if_absent(spark: SparkSession, root: str, schema: T.StructType | str)
     return True
 
 
-def append(df: DataFrame, root: str, run_id: str) -> None:
+def append(df: DataFrame, root: str, run_id: str, marks: Mapping[str, list] | None = None) -> None:
     """Add rows. Repeating a run id replaces the rows it added; a run that was compacted meanwhile is left as it is.
 
     New columns are added to the table, NULL in older rows; a change of type is refused.
@@ -166,7 +172,24 @@ def append(df: DataFrame, root: str, run_id: str) -> None:
     schema = _merged_schema(manifest.struct, df.schema, root)
     parts = manifest.parts | {part: [_write(df, root)]}
     runs = manifest.runs if run_id in manifest.runs else [*manifest.runs, run_id]
-    _publish(spark, root, version + 1, changed(manifest, schema=_schema_text(schema), parts=parts, runs=runs))
+    _publish(spark, root, version + 1, changed(manifest, schema=_schema_text(schema), parts=parts, runs=runs, marks=_marked(manifest, marks)))
+
+
+def _marked(manifest: Manifest, marks: Mapping[str, list] | None) -> dict[str, list]:
+    """Marks of this run take the place of the ones before, which its caller has seen to."""
+    return manifest.marks if marks is None else dict(marks)
+
+
+def marks(spark: SparkSession, root: str) -> dict[str, list]:
+    """What the last marked run left to be written elsewhere."""
+    _, manifest = _current(spark, root)
+    return {} if manifest is None else manifest.marks
+
+
+def run_count(spark: SparkSession, root: str, run_id: str) -> int:
+    """Rows that a run added, from the footers of its files; 0 once it is compacted."""
+    _, manifest = _current(spark, root)
+    return 0 if manifest is None or f"run:{run_id}" not in manifest.parts else _read(spark, root, manifest, [f"run:{run_id}"]).count()
 
 
 def has_run(spark: SparkSession, root: str, run_id: str) -> bool:
@@ -197,9 +220,9 @@ def vacuum(spark: SparkSession, root: str, keep: int = 1) -> None:
                     fs.delete(inner.getPath(), True)
 
 
-def swap_commit(df: DataFrame, root: str, keep: int = 1) -> None:
+def swap_commit(df: DataFrame, root: str, keep: int = 1, run_id: str | None = None, marks: Mapping[str, list] | None = None) -> None:
     """Replace, then remove all but the last ``keep`` older versions."""
-    replace(df, root)
+    replace(df, root, run_id, marks)
     vacuum(df.sparkSession, root, keep)
 
 
@@ -258,7 +281,9 @@ def _bytes_of(spark: SparkSession, root: str) -> int:
     return fs.getContentSummary(jpath).getLength() if fs.exists(jpath) else 0
 
 
-def upsert_table(work: DataFrame, root: str, keys: Sequence[str], run_id: str, buckets: int | None = None) -> None:
+def upsert_table(
+    work: DataFrame, root: str, keys: Sequence[str], run_id: str, buckets: int | None = None, marks: Mapping[str, list] | None = None
+) -> None:
     """Upsert into a stored table, rewriting only the key buckets the work rows touch.
 
     Rows with an all-empty key replace nothing. A run that is committed is not
@@ -289,6 +314,55 @@ def upsert_table(work: DataFrame, root: str, keys: Sequence[str], run_id: str, b
     # Rows without a key only ever accumulate.
     loose = rest.get("b-1", []) + parts.get("b-1", [])
     merged = rest | parts | ({"b-1": loose} if loose else {})
-    _publish(spark, root, version + 1, changed(manifest, parts=merged, runs=[*manifest.runs, run_id], keys=keys, buckets=wanted))
+    _publish(
+        spark, root, version + 1,
+        changed(manifest, parts=merged, runs=[*manifest.runs, run_id], keys=keys, buckets=wanted, marks=_marked(manifest, marks)),
+    )
+    vacuum(spark, root)
+    scratch.close()
+
+
+def replace_keys(added: DataFrame, gone: DataFrame, root: str, keys: Sequence[str], run_id: str, buckets: int | None = None) -> None:
+    """Remove the rows of the keys in ``gone``, then add rows, whatever their keys.
+
+    Only the key buckets of ``gone`` are rewritten; to the others the new rows are
+    added as further files. A run that is committed is not repeated. A new table gets
+    ``buckets``, or a number that follows from the size of ``added``.
+    """
+    spark, keys = added.sparkSession, list(keys)
+    create_if_absent(spark, root, added.schema)
+    version, manifest = _current(spark, root)
+    if run_id in manifest.runs:
+        return
+    if manifest.parts and manifest.keys != keys:
+        raise ValueError(f"{root} is kept by {manifest.keys}, not by {keys}")
+    manifest = changed(manifest, schema=_schema_text(_merged_schema(manifest.struct, added.schema, root)))
+    scratch = Scratch(spark, "replace-keys")
+    added = scratch.save(added, "added")
+    gone = scratch.save(gone.select(*keys).distinct(), "gone")
+    wanted = manifest.buckets or buckets or max(MIN_BUCKETS, -(-scratch.bytes_of("added") // BUCKET_BYTES))
+    touched = {f"b{r[0]}" for r in gone.select(_bucket_of(keys, wanted)).distinct().collect()} - {"b-1"}  # at most the buckets
+    touched &= set(manifest.parts)
+    kept = untouched_rows(_read(spark, root, manifest, sorted(touched)), gone, keys)
+    new = _write_buckets(kept.unionByName(added, allowMissingColumns=True), root, keys, wanted)
+    parts = {n: fs for n, fs in manifest.parts.items() if n not in touched}
+    for name, folders in new.items():
+        parts[name] = parts.get(name, []) + folders
+    _publish(spark, root, version + 1, changed(manifest, parts=parts, runs=[*manifest.runs, run_id], keys=keys, buckets=wanted))
     vacuum(spark, root)
     scratch.close()
+
+
+def load_keys(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
+    """Rows of a table kept by keys whose key is in ``wanted``; only their buckets are read."""
+    _, manifest = _current(spark, root)
+    if manifest is None or not manifest.buckets:
+        raise FileNotFoundError(f"no table kept by keys at {root}")
+    named = {f"b{r[0]}" for r in wanted.select(_bucket_of(manifest.keys, manifest.buckets)).distinct().collect()}  # at most the buckets
+    return _read(spark, root, manifest, sorted(named)).join(wanted.select(*manifest.keys).distinct(), manifest.keys, "left_semi")
+
+
+def folders(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """Folders of the current content by part: a folder that stays was not rewritten."""
+    _, manifest = _current(spark, root)
+    return {} if manifest is None else manifest.parts

@@ -76,7 +76,13 @@ def stream_dedupe(
     checkpoint: str,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Keep the first row per key seen within the lateness bound of ``time``."""
+    """Keep the first row per key seen within the lateness bound of ``time``.
+
+    Rows with a NULL in their key are no duplicates of each other, unless the whole row repeats.
+    """
     rows = read_arrivals(spark, arrivals, schema, max_files).withColumn("_event", F.timestamp_seconds("time"))
-    kept = rows.withWatermark("_event", lateness).dropDuplicatesWithinWatermark(list(keys)).drop("_event")
+    whole = F.xxhash64(*[F.coalesce(F.col(f"`{f.name}`").cast("string"), F.lit("\x00")) for f in schema.fields])
+    keyless = F.when(F.greatest(*[F.col(f"`{k}`").isNull() for k in keys], F.lit(False)), whole)
+    kept = rows.withColumn("_keyless", keyless).withWatermark("_event", lateness).dropDuplicatesWithinWatermark([*keys, "_keyless"])
+    kept = kept.drop("_event", "_keyless")
     return kept.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
