@@ -254,12 +254,17 @@ def q_incremental(spark, sf):
     return after.select("canonical_id", "id", "id_key_type", "id_first_seen_at", "id_last_seen_at")
 
 
+LEVELS = replace(
+    CFG,
+    keys=CFG.keys + (Key("person_id"),),
+    canonical_ids=(CanonicalId("person_id", ("email", "customer_id", "cookie_id")), CanonicalId("household_id", ("person_id", "phone"))),
+    master_tables=(),
+)
+
+
 def q_levels(spark, sf):
     """Person by e-mail and customer id, then household by person and phone."""
-    person = CanonicalId("person_id", ("email", "customer_id", "cookie_id"))
-    household = CanonicalId("household_id", ("person_id", "phone"))
-    cfg = replace(CFG, keys=CFG.keys + (Key("person_id"),), canonical_ids=(person, household), master_tables=())
-    done = unify_levels(sources(spark, sf), cfg, AS_OF)
+    done = unify_levels(sources(spark, sf), LEVELS, AS_OF)
     crm = done["household_id"].enriched["crm_profiles"]
     return crm.select("customer_id", "person_id", "household_id")
 

@@ -267,6 +267,51 @@ def q_run_unification(spark, sf):
     return R.check_outputs(tables.table_stats(spark, {n: f"{root}/{n}" for n in names}), expected)
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def _increments(spark, sf):
+    """Two thirds of every source in full, then two increments, the second one repeated; stored once a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _STORED:
+        return pipelines.run_unification(spark, I.sources(spark, sf), I.CFG, _STORED[key], AS_OF + 9, full=False, run_id="day2")[I.CID.name]
+    root, sources = _root(spark, "unify-delta"), I.sources(spark, sf)
+    cuts = {n: df.agg(*[F.expr(c) for c in _CUTS]).first() for n, df in sources.items()}
+    for i, run in enumerate(("full", "day1", "day2", "day2")):
+        arrived = {n: df if i > 1 else df.filter(F.col("time") <= cuts[n][i]) for n, df in sources.items()}
+        done = pipelines.run_unification(spark, arrived, I.CFG, root, AS_OF + i, full=run == "full", run_id=run, buckets=16)
+    _STORED[key] = root
+    return done[I.CID.name]
+
+
+def _members(lookup):
+    """Per canonical id its number of identifiers and the first of them, which do not depend on the id."""
+    first = F.min(F.struct("id_key_type", "id")).alias("f")
+    return lookup.groupBy("canonical_id").agg(F.count(F.lit(1)).alias("members"), first).select(
+        "canonical_id", "members", F.col("f.id").alias("first_id"), F.col("f.id_key_type").alias("first_type")
+    )
+
+
+def q_unification_delta(spark, sf):
+    """Profiles after increments are those of one full run."""
+    lookup = _increments(spark, sf).lookup
+    return lookup.join(_members(lookup), "canonical_id").select("id", "id_key_type", "members", "first_id", "first_type", "id_first_seen_at", "id_last_seen_at")
+
+
+def q_unification_delta_master(spark, sf):
+    """Master profiles after increments, named by their first identifier."""
+    done = _increments(spark, sf)
+    named = _members(done.lookup).select(F.col("canonical_id").alias(I.CID.name), "first_id", "first_type")
+    master = done.masters["customer_master"].join(named, I.CID.name).drop(I.CID.name)
+    return master.withColumn("top_emails", F.concat_ws("|", "top_emails"))
+
+
+def q_unification_levels(spark, sf):
+    """Two stored ids, the second one merging by the first."""
+    done = pipelines.run_unification(spark, I.sources(spark, sf), I.LEVELS, _root(spark, "unify-levels"), AS_OF, buckets=16)
+    return done["household_id"].enriched["crm_profiles"].select("customer_id", "person_id", "household_id")
+
+
 def q_bucketed(spark, sf):
     """Enriched orders in a catalog table bucketed by canonical id, joined without a shuffle of it."""
     name = f"bucketed_{uuid.uuid4().hex}"
@@ -342,6 +387,9 @@ QUERIES = {
     "run_prep": q_run_prep,
     "run_unify": q_run_unify,
     "run_unification": q_run_unification,
+    "run_unification_delta": q_unification_delta,
+    "run_unification_delta_master": q_unification_delta_master,
+    "run_unification_levels": q_unification_levels,
     "str_hist_union": q_stream_union,
     "str_stage_upsert": q_stream_upsert,
     "str_dedupe": q_stream_dedupe,
@@ -355,6 +403,10 @@ _RAISED = "CASE WHEN order_id LIKE '%0' THEN amount + 1 ELSE amount END"
 _DUCK_CUTS = [f"min(time) + (max(time) - min(time)) // 10 * {n}" for n in (3, 6)]
 
 
+_MEMBERS = """SELECT canonical_id, count(*) AS members, min({'t': id_key_type, 'i': id}).i AS first_id, min({'t': id_key_type, 'i': id}).t AS first_type
+  FROM lookup GROUP BY canonical_id"""
+
+
 def _staged(batch: str) -> str:
     """Per order its newest row; of the rows without an order the newest of every batch."""
     return f"""SELECT order_id, customer_id, CASE WHEN regexp_matches(order_email, {_OK}) THEN order_email END AS order_email_std, o_totalprice, time FROM shop_orders
@@ -463,6 +515,14 @@ ORACLES = {
         + ")",
         I.MASTER,
     ),
+    "run_unification_delta": I.ident(
+        f"""SELECT l.id, l.id_key_type, m.members, m.first_id, m.first_type, l.id_first_seen_at, l.id_last_seen_at FROM lookup l JOIN ({_MEMBERS}) m USING (canonical_id)""",
+        I.MASTER,
+    ),
+    "run_unification_delta_master": I.ident(
+        f"SELECT a.* EXCLUDE (n_top_emails, unified_id), m.first_id, m.first_type FROM master a JOIN ({_MEMBERS}) m ON a.unified_id = m.canonical_id", I.MASTER
+    ),
+    "run_unification_levels": I.ORACLES["idu_levels"],
     "str_hist_union": sql(_UNION, "orders_hist", "orders_inc"),
     "str_stage_upsert": sql(
         """SELECT * REPLACE (CASE status WHEN 'P' THEN amount + 1 ELSE amount END AS amount, CASE status WHEN 'P' THEN time + 1 ELSE time END AS time),

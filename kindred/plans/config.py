@@ -7,6 +7,8 @@ from collections import Counter
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import IllegalArgumentException
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from kindred.functions.hashing import key_masks
@@ -137,6 +139,22 @@ def from_dict(raw: Mapping) -> Config:
     )
 
 
+def pattern_fault(pattern: str) -> str | None:
+    """What is wrong with a pattern, by the compiler of the JVM where it will run; by Python's without a session."""
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        try:
+            session._jvm.java.util.regex.Pattern.compile(pattern)
+        except IllegalArgumentException as error:
+            return str(error).splitlines()[0]
+        return None
+    try:
+        re.compile(pattern)
+    except re.error as error:
+        return str(error)
+    return None
+
+
 def _repeated(names) -> list[str]:
     return sorted(n for n, c in Counter(names).items() if c > 1)
 
@@ -153,10 +171,8 @@ def check_config(cfg: Config, schemas: Mapping[str, T.StructType] | None = None)
     faults += [f"duplicate table {n}" for n in _repeated(table_names)]
     for key in cfg.keys:
         if key.valid_regexp:
-            try:
-                re.compile(key.valid_regexp)
-            except re.error as error:
-                faults.append(f"key {key.name}: bad regexp, {error}")
+            if fault := pattern_fault(key.valid_regexp):
+                faults.append(f"key {key.name}: bad regexp, {fault}")
     used = {kc.key for t in cfg.tables for kc in t.key_columns}
     for table in cfg.tables:
         if not table.key_columns:

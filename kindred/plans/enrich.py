@@ -22,15 +22,17 @@ def enrich(
     lookup: DataFrame,
     by_merge_order: bool = False,
     floor: int = HOT_FLOOR,
+    rows: int | None = None,
 ) -> DataFrame:
     """All rows and columns, plus the canonical id of the first valid key.
 
     A key the lookup does not know gets its own hash; a row without a valid key NULL.
+    ``rows`` is the number of rows, where the caller knows it.
     """
     structs = key_structs(cfg, canonical, table, by_merge_order)
     if not structs:
         return df.withColumn(canonical.name, F.lit(None).cast("string"))
-    rows = df.count()
+    rows = df.count() if rows is None else rows
     keyed = df.withColumn("_key", F.coalesce(*structs)).withColumns({"_id": F.col("_key.id"), "_ns": F.col("_key.ns")})
     known = lookup.select(F.col("id").alias("_id"), F.col("id_key_type").alias("_ns"), F.col("canonical_id").alias("_found"))
     joined = salted_join(keyed, known, ["_id", "_ns"], "left", floor=floor, total=rows)

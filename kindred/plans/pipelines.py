@@ -16,13 +16,12 @@ from kindred.operators import histunion as H
 from kindred.operators import prep as P
 from kindred.operators import staging as S
 from kindred.operators import state
-from kindred.plans import canonical as K
-from kindred.plans.config import Config
 from kindred.plans.ledger import Ledger, logged
-from kindred.plans.master import master_table
-from kindred.plans.unify import Unified, unify
+from kindred.plans.stored import expected_outputs, run_unification
 from kindred.sources import tables
 
+__all__ = ["PrepSource", "expected_outputs", "run_hist_union", "run_prep", "run_staging", "run_unification"]
+
 
 def _inc_log(spark: SparkSession, root: str) -> DataFrame:
     tables.create_if_absent(spark, root, state.INC_LOG_SCHEMA)
@@ -180,47 +179,6 @@ def run_prep(spark: SparkSession, sources: list[PrepSource], root: str, as_of: i
     return P.require_contact(P.apply_exclusions(unif, tables.load(spark, excl_root)))
 
 
-def run_unification(spark: SparkSession, sources: Mapping[str, DataFrame], cfg: Config, root: str, as_of: int) -> Unified:
-    """Unify and store every result under ``root``; later steps read the stored ones.
-
-    Stored are lookup, graph, key and table names, statistics, enriched tables,
-    masters and the configuration tables.
-    """
-    canonical = cfg.canonical_ids[0]
-    done = unify(sources, cfg, as_of, canonical)
-
-    def store(df: DataFrame, name: str) -> DataFrame:
-        tables.swap_commit(df, f"{root}/{name}")
-        return tables.load(spark, f"{root}/{name}")
-
-    name = canonical.name
-    lookup = store(done.lookup, f"{name}_lookup")
-    graph = store(done.graph, f"{name}_graph")
-    store(K.key_dim(spark, canonical), f"{name}_keys")
-    store(K.table_dim(spark, cfg), f"{name}_tables")
-    source_stats = store(done.source_stats, f"{name}_source_key_stats")
-    result_stats = store(done.result_stats, f"{name}_result_key_stats")
-    enriched = {
-        t.name: store(done.enriched[t.name], f"enriched_{t.name}") for t in cfg.tables
-    }
-    masters = {
-        m.name: store(master_table(m, enriched, lookup), m.name) for m in cfg.master_tables if m.canonical_id == name
-    }
-    store(K.unification_metadata(spark, cfg), "unification_metadata")
-    store(K.filter_lookup(spark, cfg), "filter_lookup")
-    store(K.column_lookup(spark, cfg), "column_lookup")
-    return Unified(lookup, graph, enriched, masters, source_stats, result_stats, done.metrics)
-
-
-def expected_outputs(spark: SparkSession, cfg: Config) -> DataFrame:
-    """Tables ``run_unification`` must leave behind: phase, table_name."""
-    name = cfg.canonical_ids[0].name
-    names = [f"{name}_{part}" for part in ("lookup", "graph", "keys", "tables", "source_key_stats", "result_key_stats")]
-    names += [f"enriched_{t.name}" for t in cfg.tables] + [m.name for m in cfg.master_tables if m.canonical_id == name]
-    names += ["unification_metadata", "filter_lookup", "column_lookup"]
-    return spark.createDataFrame([("unification", n) for n in names], "phase string, table_name string")
-
-
 def _with_columns(df: DataFrame, names: list[str]) -> DataFrame:
     """Add missing text columns, so that sources with different keys share one table."""
     return df.withColumns({n: F.lit(None).cast("string") for n in names if n not in df.columns})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
@@ -38,11 +38,15 @@ def unify(
     cfg: Config,
     as_of: int,
     canonical: CanonicalId | None = None,
-    max_steps: int = MAX_STEPS,
+    max_steps: int | None = None,
     floor: int = HOT_FLOOR,
 ) -> Unified:
-    """Resolve one canonical id over all tables. The config is checked first."""
+    """Resolve one canonical id over all tables. The config is checked first.
+
+    At most ``max_steps`` rounds, else the configured ``merge_iterations``; more would raise.
+    """
     canonical = canonical or cfg.canonical_ids[0]
+    max_steps = max_steps or canonical.merge_iterations or MAX_STEPS
     check_config(cfg, {name: df.schema for name, df in tables.items()})
     spark = next(iter(tables.values())).sparkSession
     scratch = Scratch(spark, "unify")
@@ -90,6 +94,15 @@ def unify_levels(tables: Mapping[str, DataFrame], cfg: Config, as_of: int, floor
     return results
 
 
+@dataclass
+class Delta:
+    """What new records change: rows of the touched profiles, the ids they had before, and ids that merged."""
+
+    lookup: DataFrame
+    touched: DataFrame
+    merged: DataFrame
+
+
 def resolve_incremental(
     previous: DataFrame,
     records: DataFrame,
@@ -103,19 +116,45 @@ def resolve_incremental(
 
     ``previous`` is the last lookup, ``records`` the newly extracted rows. Only
     profiles that a new record touches are resolved again; the others pass through.
-    Their earlier canonical ids enter as the leaders of their identifiers and
-    outrank all keys, the earliest first, so a component keeps its oldest id and
-    only components without one get a new hash.
+    """
+    members = lambda touched: salted_join(previous, touched, ["canonical_id"], "left_semi", floor=floor)
+    delta = resolve_delta(previous, members, records, canonical, table_count, as_of, max_steps=max_steps, floor=floor)
+    untouched = salted_join(previous, delta.touched, ["canonical_id"], "left_anti", floor=floor)
+    return delta.lookup.unionByName(untouched.select(*delta.lookup.columns)), delta.merged
+
+
+def resolve_delta(
+    previous: DataFrame,
+    members: Callable[[DataFrame], DataFrame],
+    records: DataFrame,
+    canonical: CanonicalId,
+    table_count: int,
+    as_of: int,
+    bridges: DataFrame | None = None,
+    max_steps: int = MAX_STEPS,
+    floor: int = HOT_FLOOR,
+) -> Delta:
+    """Resolve new records together with the profiles they touch.
+
+    ``members`` gives the rows of ``previous`` that have one of some canonical ids. ``bridges`` are identifiers
+    that became one elsewhere: ``ns``, ``old`` and ``new``. Earlier canonical ids enter as the
+    leaders of their identifiers and outrank all keys, the earliest first, so a component
+    keeps its oldest id and only components without one get a new hash.
     """
     scratch = Scratch(previous.sparkSession, "incremental")
-    fresh = scratch.save(pair_table(records, table_count), "fresh")
+    fresh = pair_table(records, table_count)
+    words = [c for c in fresh.columns if c.startswith("_w")]
+    if bridges is not None:
+        none = F.lit(None).cast("long")
+        ends = F.explode(F.array("old", "new")).alias("follower_id")
+        links = bridges.select(ends, F.col("ns").cast("long").alias("follower_ns"), F.col("new").alias("leader_id"), F.col("ns").cast("long").alias("leader_ns")).distinct()
+        fresh = fresh.unionByName(links.select("*", none.alias("first_at"), none.alias("last_at"), *[F.lit(0).cast("long").alias(w) for w in words]))
+    fresh = scratch.save(fresh, "fresh")
     # Leaders follow themselves, so the followers are all identifiers there are.
     arrived = fresh.select(F.col("follower_id").alias("id"), F.col("follower_ns").alias("id_key_type")).distinct()
     touched = previous.join(arrived, ["id", "id_key_type"], "left_semi").select("canonical_id").distinct()
     touched = scratch.save(touched, "touched")
-    untouched = salted_join(previous, touched, ["canonical_id"], "left_anti", floor=floor)
-    previous = scratch.save(salted_join(previous, touched, ["canonical_id"], "left_semi", floor=floor), "previous")
-    words = [c for c in fresh.columns if c.startswith("_w")]
+    previous = scratch.save(members(touched), "previous")
 
     def seen_bits(word: str) -> Column:
         offset = BITS * int(word.removeprefix("_w"))
@@ -171,4 +210,4 @@ def resolve_incremental(
         .select("old_canonical_id", "canonical_id")
         .distinct()
     )
-    return lookup.unionByName(untouched.select(*lookup.columns)), merged
+    return Delta(lookup, touched, merged)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kindred.operators.staging import key_is_empty, key_texts, untouched_rows
+from kindred.operators.staging import affected_rows, key_is_empty, key_texts, untouched_rows
 from kindred.sources.scratch import Scratch, hadoop_path
 
 BUCKET = "_bucket"
@@ -353,13 +353,22 @@ def replace_keys(added: DataFrame, gone: DataFrame, root: str, keys: Sequence[st
     scratch.close()
 
 
+def replace_by_keys(df: DataFrame, root: str, keys: Sequence[str], buckets: int, run_id: str) -> None:
+    """New content and schema, laid out for ``replace_keys``."""
+    spark, keys = df.sparkSession, list(keys)
+    version, _ = _current(spark, root)
+    parts = _write_buckets(df, root, keys, buckets)
+    _publish(spark, root, version + 1, Manifest(_schema_text(df.schema), parts, [run_id], keys, buckets))
+    vacuum(spark, root)
+
+
 def load_keys(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
     """Rows of a table kept by keys whose key is in ``wanted``; only their buckets are read."""
     _, manifest = _current(spark, root)
     if manifest is None or not manifest.buckets:
         raise FileNotFoundError(f"no table kept by keys at {root}")
     named = {f"b{r[0]}" for r in wanted.select(_bucket_of(manifest.keys, manifest.buckets)).distinct().collect()}  # at most the buckets
-    return _read(spark, root, manifest, sorted(named)).join(wanted.select(*manifest.keys).distinct(), manifest.keys, "left_semi")
+    return affected_rows(_read(spark, root, manifest, sorted(named - {"b-1"})), wanted, manifest.keys)
 
 
 def folders(spark: SparkSession, root: str) -> dict[str, list[str]]:
