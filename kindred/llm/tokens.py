@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import unicodedata
 from collections.abc import Iterable
 
@@ -19,9 +20,10 @@ import numpy as np
 #: White space by the Unicode property, as the pre-tokenizers see it.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-#: Pieces a worker remembers at most, and the longest piece worth it.
-MEMO = 900_000
+#: Bytes of pieces and ids that a worker remembers, the longest piece worth it, and bytes of an entry besides its text and ids.
+MEMO_BYTES = 200 << 20
 LONGEST = 64
+ENTRY_BYTES = 190
 
 END = 1
 _ENCODERS: dict[str, Encoder] = {}
@@ -52,11 +54,14 @@ def byte_alphabet() -> dict[int, str]:
 class Words:
     """Ids of single words straight from the library's model, past its splitting and normalizing.
 
-    For a word of Latin letters after one space or line end, perhaps with a full stop
-    or comma behind it, these have one outcome: the word and its mark are pre-tokens.
+    For a word of Latin letters after one space or line end, perhaps with a run of
+    ``MARKS`` behind it, these have one outcome: the word and the run are pre-tokens.
     """
 
-    PROBES = ["Word", " word", "\nÉté,", " naïve.", "x.", " Straße,", "\nB"]
+    #: Marks that no pre-token begins with in any other way (an apostrophe may, and special tokens have angles and bars).
+    MARKS = ".,;:!?*&#%$)"
+    LONGEST_RUN = 8
+    PROBES = ["Word", " word", "\nÉté,", " naïve.", "x.", " Straße,", "\nB", " end.***", " a&&&", "\nSo!!", " b.).", " c,###", " d;:?%%%"]
 
     def __init__(self, tokenizer):
         self.tokenizer, self.model, self.alphabet = tokenizer, tokenizer.model, byte_alphabet()
@@ -64,7 +69,7 @@ class Words:
         self.space = self.alphabet[32]
         #: A vocabulary without a normalizer keeps spaces and case, the other kind drops both.
         self.spaced = config["normalizer"] is None
-        self.marks = {m: self._ids(m) for m in ".,"}
+        self.runs: dict[str, list[int]] = {}
         self.line = self._ids("\n") if self.spaced else []
         self.works = all(self.ids(p) == self._ids(p) for p in self.PROBES)
 
@@ -73,10 +78,17 @@ class Words:
 
     def ids(self, piece: str) -> list[int] | None:
         """None where the piece is not such a word."""
-        head, mark = piece[0], self.marks.get(piece[-1])
-        word = piece[head in " \n" : len(piece) - (mark is not None)]
+        head = piece[0]
+        body = piece[1:] if head in " \n" else piece
+        word = body.rstrip(self.MARKS)
         if not word.isalpha():
             return None
+        marks = body[len(word) :]
+        run = self.runs.get(marks)
+        if run is None:
+            run = self._ids(marks) if marks else []
+            if len(marks) <= self.LONGEST_RUN and len(self.runs) < 100_000:
+                self.runs[marks] = run
         if not self.spaced:
             word = word.lower()
         if not word.isascii():
@@ -88,7 +100,32 @@ class Words:
         out = [t.id for t in self.model.tokenize(word)]
         if head == "\n":
             out = self.line + out
-        return out + mark if mark else out
+        return out + run if run else out
+
+
+class Memo(dict):
+    """Packed ids by piece; a piece that is not there is encoded when it is asked for.
+
+    When half of the bytes are used, what is there becomes the older half, and the
+    half before it goes. Pieces that are asked for again move up.
+    """
+
+    def __init__(self, encode, most: int = MEMO_BYTES):
+        super().__init__()
+        self.encode, self.most, self.held, self.older = encode, most, 0, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+        if len(piece) <= LONGEST:
+            self[piece] = ids
+            self.held += ENTRY_BYTES + len(piece) + len(ids)
+            if 2 * self.held > self.most:
+                self.older = dict(self)
+                self.clear()
+                self.held = 0
+        return ids
 
 
 class Encoder:
@@ -98,35 +135,20 @@ class Encoder:
         self.tokenizer = load(path)
         self.words = Words(self.tokenizer)
         self.kind = kind(path)
-        self.memo: dict[str, bytes] = {}
+        self.letter = "H" if self.kind.itemsize == 2 else "I"
+        self.memo = Memo(self.piece)
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of one piece, from the model or else from the whole library."""
+        ids = self.words.ids(piece) if self.words.works else None
+        if ids is None:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}{self.letter}", *ids)
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """Ids of every text, packed."""
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        cut = [PIECE.findall(t) if t else [] for t in texts]
-        got = [list(map(memo.get, pieces)) for pieces in cut]
-        open_texts = [i for i, ids in enumerate(got) if None in ids]
-        new = list({p for i in open_texts for p, ids in zip(cut[i], got[i]) if ids is None})
-        fresh: dict[str, bytes] = {}
-        pack, kind = np.array, self.kind
-        rest = new
-        if self.words.works:
-            rest = []
-            for p in new:
-                if (ids := self.words.ids(p)) is None:
-                    rest.append(p)
-                else:
-                    fresh[p] = pack(ids, dtype=kind).tobytes()
-        for i in range(0, len(rest), 10_000):
-            part = rest[i : i + 10_000]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                fresh[p] = pack(e.ids, dtype=kind).tobytes()
-        for i in open_texts:
-            got[i] = [fresh[p] if ids is None else ids for p, ids in zip(cut[i], got[i])]
-        memo.update((p, ids) for p, ids in fresh.items() if len(p) <= LONGEST)
-        return list(map(b"".join, got))
+        look = self.memo.__getitem__
+        return [b"".join(map(look, PIECE.findall(t))) if t else b"" for t in texts]
 
     def ids(self, packed: bytes) -> np.ndarray:
         return np.frombuffer(packed, dtype=self.kind)
