@@ -1,19 +1,18 @@
 """Near copies: documents whose sets of five-word shingles have a Jaccard similarity of at least 0.8.
 
-Every pair that reaches the similarity is found. Two such sets share at least 0.8
-of the larger one, so under any common order of the shingles they share one of
-their first n - ceil(0.8 n) + 1 (prefix filter). The order is by hash, with the
-shingles that are common in a sample of the documents last: it decides only how
-many pairs are verified, not which are found. Texts with equal sets meet before
-the index.
-
-Pairs are verified on the whole sets in two rounds. In the first every member of
-a key meets the two members behind it, which is linear and joins large groups of
-near copies. The second takes all pairs of a key that are not joined yet.
+Texts with equal sets meet by a digest. The others are put into buckets by bands of
+MinHash values: two sets of similarity s share one with probability 1 - (1 - s^6)^16,
+0.99 at 0.8 and more above. A bucket of any size yields a linear number of pairs, which
+are verified on whole sets: first every member with the bucket's smallest id, which
+joins a group of near copies at once; then, in ``ROUNDS`` further rounds, a member of
+each group with one of the first group of its bucket, other members and groups each time, and
+from the second round on in finer buckets of two bands. So pages that share a template are pairs only a few times each. Only ids travel in
+pairs; a set is sent once per pair that is really looked at.
 
 Defined results: texts of up to five words are one shingle; texts without words
 are equal; an id with several texts joins the groups of all; rows with a NULL id
-stay; an empty table gives no rows.
+stay; very long texts are hashed in blocks; ties go to the smaller id; columns of other
+names pass through, whatever they are called; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.common import map_batches
@@ -34,8 +33,8 @@ SHINGLE = 5
 #: Similarity as a fraction.
 PART, WHOLE = 4, 5
 SEED = 42
-#: Documents in the sample, its largest share, documents of the sample that make a shingle common, and shingles kept.
-SAMPLE_DOCS, SAMPLE_SHARE, COMMON_DOCS, MAX_COMMON = 20_000, 0.125, 4, 100_000
+#: Bands and values of each, shingles hashed at a time, and rounds after the first.
+BANDS, VALUES, BLOCK, ROUNDS = 16, 6, 4_096, 3
 
 
 def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -52,36 +51,35 @@ def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(np.array(hashes, dtype=np.uint64).view(np.int64))
 
 
-def common_shingles(rows: DataFrame) -> np.ndarray:
-    """Shingles of several documents of a sample, at most ``MAX_COMMON``."""
-    share = min(SAMPLE_SHARE, SAMPLE_DOCS / max(1, rows.count()))
-    sample = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
+def _permutations() -> tuple[np.ndarray, np.ndarray]:
+    """Multipliers (odd) and addends of the hash functions, from a fixed rule."""
+    numbers = [xxhash.xxh64_intdigest(str(i), SEED) for i in range(2 * BANDS * VALUES)]
+    return np.array(numbers[::2], dtype=np.uint64) | np.uint64(1), np.array(numbers[1::2], dtype=np.uint64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
-        for batch in batches:
-            for text in batch.column(1):
-                yield {"h": shingles(text.as_py())}
 
-    counted = map_batches(sample, run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= COMMON_DOCS)
-    return np.array(sorted(r.h for r in counted.orderBy(F.desc("n"), "h").limit(MAX_COMMON).collect()), dtype=np.int64)
+def bands(hashes: np.ndarray, by: np.ndarray, plus: np.ndarray) -> list[int]:
+    """One number per band of a set's least values."""
+    values = hashes.view(np.uint64)
+    least = np.full(len(by), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for i in range(0, len(values), BLOCK):
+        mixed = values[i : i + BLOCK, None] * by[None, :] + plus[None, :]
+        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(29))).min(axis=0))
+    rows = least.reshape(BANDS, VALUES)
+    return [xxhash.xxh64_intdigest(bytes([n]) + rows[n].tobytes(), SEED) - (1 << 63) for n in range(BANDS)]
 
 
-def prefixes(rows: DataFrame, common: np.ndarray) -> DataFrame:
-    """Per row: ``id``, the digest of its set, its size, and the shingles that it is indexed by."""
-    carried = rows.sparkSession.sparkContext.broadcast(common)
+def signatures(rows: DataFrame) -> DataFrame:
+    """Per row: ``id``, the digest of its set, its size, and its band numbers; none for a text without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
-        last = carried.value
+        by, plus = _permutations()
         for batch in batches:
             out: dict[str, list] = {"id": batch.column(0).to_pylist(), "digest": [], "n": [], "keys": []}
             for text in batch.column(1):
                 found = shingles(text.as_py())
-                n = len(found)
-                late = last[np.minimum(np.searchsorted(last, found), len(last) - 1)] == found if len(last) else np.zeros(n, dtype=bool)
-                ordered = np.concatenate([found[~late], found[late]])
                 out["digest"].append(xxhash.xxh3_128_digest(found.tobytes()))
-                out["n"].append(n)
-                out["keys"].append(ordered[: n - -(-PART * n // WHOLE) + 1].tolist())
+                out["n"].append(len(found))
+                out["keys"].append(bands(found, by, plus) if len(found) else [])
             yield out
 
     return map_batches(rows, run, "id long, digest binary, n int, keys array<long>")
@@ -97,47 +95,60 @@ def sets(rows: DataFrame) -> DataFrame:
     return map_batches(rows, run, "id long, hashes array<long>")
 
 
-def verified(pairs: DataFrame, rows: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def verified(pairs: DataFrame, whole: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """The pairs ``x``, ``y`` of at least the similarity."""
-    pairs = scratch.save(pairs, f"{name}-pairs")
-    named = pairs.select(F.col("x").alias("id")).union(pairs.select(F.col("y"))).distinct()
-    whole = scratch.save(sets(rows.join(named, "id", "left_semi")), f"{name}-sets")
-    one = pairs.join(whole.select(F.col("id").alias("x"), F.col("hashes").alias("hx")), "x")
-    two = one.join(whole.select(F.col("id").alias("y"), F.col("hashes").alias("hy")), "y")
+    two = pairs.join(whole.select(F.col("id").alias("y"), F.col("hashes").alias("hy")), "y").join(whole.select(F.col("id").alias("x"), F.col("hashes").alias("hx")), "x")
     sized = two.select("x", "y", (F.size("hx") + F.size("hy")).alias("both"), F.size(F.array_intersect("hx", "hy")).alias("shared"))
     return scratch.save(sized.filter(WHOLE * F.col("shared") >= PART * (F.col("both") - F.col("shared"))).select("x", "y"), f"{name}-links")
 
 
 def links(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Links ``x``, ``y`` that join exactly the ids of near copies."""
+    """Links ``x``, ``y`` that join the ids of near copies."""
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).filter(F.col("id").isNotNull())
-    found = scratch.save(prefixes(rows, common_shingles(rows)), "prefixes")
-    nodes = found.groupBy("digest").agg(F.min("id").alias("node"))
-    copies = scratch.save(found.select("id", "digest").join(nodes, "digest").filter("id <> node").select(F.col("id").alias("x"), F.col("node").alias("y")), "copies")
-    posted = found.join(nodes, (found["digest"] == nodes["digest"]) & (found["id"] == nodes["node"])).select("node", "n", F.explode("keys").alias("key"))
-    at = Window.partitionBy("key")
-    index = scratch.save(posted.distinct().withColumn("members", F.count(F.lit(1)).over(at)).filter("members > 1").drop("members"), "index")
-    # Of equal keys the smaller set comes first.
-    fits = lambda n, m: WHOLE * n >= PART * m
-    order = at.orderBy("n", "node")
-    behind = F.array(*[F.struct(F.lead("node", i).over(order).alias("y"), F.lead("n", i).over(order).alias("m")) for i in (1, 2)])
-    met = index.select("node", "n", behind.alias("behind")).select("node", "n", F.inline("behind")).filter(fits(F.col("n"), F.col("m")) & (F.col("node") != F.col("y")))
-    tried = met.select(F.least("node", "y").alias("x"), F.greatest("node", "y").alias("y")).distinct()
-    first = verified(tried, rows, scratch, "first").unionByName(copies)
-    stars = scratch.save(roots(first, scratch), "stars")
-    grouped = index.join(stars, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
-    spread = grouped.withColumns({"low": F.min("group").over(at), "high": F.max("group").over(at)}).filter("low < high").drop("low", "high")
-    open_ = scratch.save(spread, "open")
-    other = open_.select("key", F.col("node").alias("y"), F.col("n").alias("m"), F.col("group").alias("of_y"))
-    apart = (F.col("group") != F.col("of_y")) & (F.col("node") < F.col("y")) & fits(F.col("n"), F.col("m")) & fits(F.col("m"), F.col("n"))
-    rest = open_.join(other, (open_["key"] == other["key"]) & apart).select(F.col("node").alias("x"), "y").distinct()
-    known = scratch.spark.read.schema(rest.schema).parquet(scratch.path("first-pairs"))
-    second = verified(rest.join(known, ["x", "y"], "left_anti"), rows, scratch, "second")
-    return first.unionByName(second)
-
-
-def stage(docs: DataFrame) -> DataFrame:
+    found = scratch.save(signatures(rows), "signatures")
+    nodes = scratch.save(found.groupBy("digest").agg(F.min("id").alias("node")), "nodes")
+    copies = found.select("id", "digest").join(nodes, "digest").filter("id <> node").select(F.col("id").alias("x"), F.col("node").alias("y"))
+    joined = scratch.save(copies, "copies")
+    posted = found.join(nodes, (found["digest"] == nodes["digest"]) & (found["id"] == nodes["node"])).select("node", "n", "keys", F.explode("keys").alias("key"))
+    # The smallest id and the number of members of every bucket, without a window over it.
+    posted = scratch.save(posted.distinct(), "posted")
+    heads = posted.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("members")).filter("members > 1").drop("members")
+    index = scratch.save(posted.join(heads, "key"), "index")
+    # Sets of what has a bucket in common with another text, by its smallest id.
+    named = index.select(F.col("node").alias("id")).distinct()
+    whole = scratch.save(sets(rows.join(named, "id", "left_semi")), "sets")
+    for name in ("signatures", "nodes", "posted"):
+        scratch.drop(name)
+    fits = lambda n, m: (WHOLE * n >= PART * m) & (WHOLE * m >= PART * n)
+    sizes = index.select(F.col("node").alias("head"), F.col("n").alias("m")).distinct()
+    first = index.filter("node <> head").select("head", "node", "n").distinct().join(sizes, "head").filter(fits(F.col("n"), F.col("m")))
+    tried = scratch.save(first.select(F.col("head").alias("x"), F.col("node").alias("y")), "tried-0")
+    joined = joined.unionByName(verified(tried, whole, scratch, "round-0"))
+    for number in range(1, ROUNDS + 1):
+        stars = scratch.save(roots(joined, scratch), f"stars-{number}")
+        grouped = index.join(stars, "node", "left").select("key", "keys", "node", "n", F.coalesce("root", "node").alias("group"))
+        if number > 1:
+            # Finer buckets, of two bands at a time.
+            pairs = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.get("keys", i), F.get("keys", (i + number - 1) % BANDS)))
+            grouped = grouped.select("keys", "node", "n", "group").distinct().withColumn("key", F.explode(pairs))
+        # One member of each group in a bucket, another one in every round; the first group's is what the others are tried with.
+        one = grouped.groupBy("key", "group").agg(F.min(F.struct(F.xxhash64("node", F.lit(number)).alias("h"), "node", "n")).alias("m"))
+        lowest = one.groupBy("key").agg(F.min(F.struct(F.xxhash64("group", F.lit(number)).alias("h"), "group", "m")).alias("low"), F.count(F.lit(1)).alias("groups"))
+        met = one.join(lowest.filter("groups > 1"), "key").filter(F.col("group") != F.col("low.group")).filter(fits(F.col("m.n"), F.col("low.m.n")))
+        met = met.select(F.least("m.node", "low.m.node").alias("x"), F.greatest("m.node", "low.m.node").alias("y")).distinct()
+        new = scratch.save(met.join(tried, ["x", "y"], "left_anti"), f"tried-{number}")
+        joined = joined.unionByName(verified(new, whole, scratch, f"round-{number}"))
+        tried = tried.unionByName(new)
+    scratch.drop("sets")
+    scratch.drop("index")
+    return joined
+
+
+def stage(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without those that are near copies, also through others, of one with a smaller id."""
     scratch = Scratch(docs.sparkSession, "near-copies")
-    dropped = roots(links(docs, scratch), scratch).select(F.col("node").alias("_dropped"))
-    return docs.join(dropped, docs["doc_id"] == F.col("_dropped"), "left_anti")
+    dropped = roots(links(docs, scratch, doc_id, text), scratch).select(F.col("node").alias("_dropped"))
+    own = "_near_copy"
+    while own in docs.columns:
+        own += "_"
+    return docs.join(dropped.withColumnRenamed("_dropped", own), F.col(doc_id) == F.col(own), "left_anti")

@@ -34,7 +34,7 @@ def texts():
     return [(100 + i, t) for i, t in enumerate(out)] + [(None, " ".join(base)), (105, "an id that repeats with another text of its own")]
 
 
-def test_every_pair_is_found(spark):
+def test_groups_are_those_of_all_pairs(spark):
     rows = texts()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     scratch = Scratch(spark, "test-near-copies")
@@ -57,7 +57,25 @@ def test_pipeline_drops_near_copies_beyond_four_bits(spark):
     assert (brute.fingerprint(rows[0][1]) ^ brute.fingerprint(rows[1][1])).bit_count() > 4
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert simhash_index.stage(docs).count() == 2
-    for name, stage in corpus_pipeline.STAGES:
-        if "near" in name:
-            docs = stage(spark, docs, "")
+    docs = dict(corpus_pipeline.STAGES)["simhash near-dedup"](spark, docs, "")
     assert [r.doc_id for r in docs.collect()] == [1]
+
+
+def test_pages_of_one_template_are_few_pairs(spark):
+    rng = random.Random(2)
+    template = [f"t{i}" for i in range(430)]
+    rows = [(k, " ".join(template[:200] + [f"u{k}w{rng.randint(0, 900)}" for _ in range(130)] + template[200:])) for k in range(300)]
+    scratch = Scratch(spark, "test-template")
+    found = near_copies.links(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), scratch)
+    assert found.count() == 0
+    tried = sum(spark.read.parquet(scratch.path(f"tried-{n}")).count() for n in range(near_copies.ROUNDS + 1))
+    assert tried <= (near_copies.ROUNDS + 1) * near_copies.BANDS * len(rows) / 2
+
+
+def test_odd_columns_and_texts(spark):
+    long = " ".join(f"w{i % 7001}" for i in range(60_000))
+    rows = [(1, long, "a", "b"), (2, long + " end", "a", "b"), (3, None, None, None), (4, "", "", ""), (4, "", "", ""), (None, long, "c", "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _near_copy string, id string")
+    kept = near_copies.stage(docs)
+    assert kept.columns == docs.columns
+    assert sorted([r.doc_id for r in kept.collect()], key=str) == [1, 3, None]

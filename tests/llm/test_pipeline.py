@@ -1,12 +1,14 @@
 """Every stage of the pipeline against its brute-force version, on the smallest documents."""
 
 import os
+from itertools import combinations
 
 import pytest
 
 import corpus_pipeline
 from kindred.llm import line_frequency
 from tests.llm import brute
+from tests.llm.test_near_copies import sets, similar
 
 SF = "/root/testdata/sf0.001"
 
@@ -39,6 +41,12 @@ def test_stages(spark):
     df = go("simhash near-dedup", df)
     prints = [(r["doc_id"], brute.fingerprint(r["text"])) for r in rows]
     rows = [r for r, c in zip(rows, brute.components(prints)) if r["doc_id"] == c]
+    parent: dict = {}
+    shingled = [(r["doc_id"], sets(r["text"])) for r in rows]
+    for (i, a), (j, b) in combinations(shingled, 2):
+        if similar(a, b):
+            brute.join(parent, i, j)
+    rows = [r for r in rows if brute.find(parent, r["doc_id"]) == r["doc_id"]]
     assert key(r.asDict() for r in df.collect()) == key(rows)
 
     df = go("benchmark decontamination", df)
@@ -54,5 +62,11 @@ def test_stages(spark):
     assert ends == {p.doc_id: p.doc_tokens for p in pieces} and set(ends) == {r["doc_id"] for r in clean}
 
 
+def test_there_are_five_stages():
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality rules", "line dedup", "simhash near-dedup", "benchmark decontamination", "packing"
+    ]
+
+
 def test_run_is_the_stages(spark):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
