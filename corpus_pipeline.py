@@ -28,8 +28,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return simhash_index.stage(docs)
+    """One document of each group of near duplicates: by SimHash, and of those left by shingles of five words at 0.8 or more."""
+    scratch = Scratch(spark, "near-duplicates")
+    return near_copies.stage(scratch.save(simhash_index.stage(docs), "kept"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,11 +38,6 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return positional_index.stage(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-def near_copy_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies by five-word shingles."""
-    return near_copies.stage(docs)
-
-
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences."""
     return lexical_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -52,7 +48,6 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("line dedup", lines),
     ("simhash near-dedup", near_duplicates),
     ("benchmark decontamination", decontaminate),
-    ("near copies", near_copy_groups),
     ("packing", pack),
 ]
 
