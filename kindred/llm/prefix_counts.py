@@ -53,7 +53,9 @@ class PrefixCounter:
         tokens_of = [bytes(back[c] for c in t) for t in vocab if all(c in back for c in t)]
         self.longest = max(map(len, tokens_of))
         state = json.loads(self.tokenizer.to_str())
-        self.added: list[str] = [t["content"] for t in state.get("added_tokens", ())]
+        added = sorted((t["content"] for t in state.get("added_tokens", ())), key=len, reverse=True)
+        #: The leftmost added token, the longest of several.
+        self.whole = regex.compile("|".join(map(regex.escape, added))) if added else None
         # Rank of the merge that makes a token of two; what makes a pair break up is a merge of an earlier rank.
         self.merges = {}
         for rank, m in enumerate(state["model"]["merges"]):
@@ -157,17 +159,16 @@ class PrefixCounter:
 
     def counts(self, piece: str) -> list[int]:
         """Counts of all prefixes of a piece. An added token is one token once it is complete, and splits the text."""
-        for added in self.added:
-            if added in piece:
-                break
-        else:
-            return self.plain(piece)
-        found = min((piece.find(a), -len(a), a) for a in self.added if a in piece)
-        at, _, added = found
-        counts = self.plain(piece[:at] + added[:-1])
-        counts.append((counts[at - 1] if at else 0) + 1)
-        rest = piece[at + len(added) :]
-        return counts + [counts[-1] + c for c in (self.counts(rest) if rest else [])]
+        out: list[int] = []
+        base = at = 0
+        for found in self.whole.finditer(piece) if self.whole else ():
+            before, added = piece[at : found.start()], found[0]
+            own = self.plain(before + added[:-1])
+            out += [base + c for c in own]
+            base += (own[len(before) - 1] if before else 0) + 1
+            out.append(base)
+            at = found.end()
+        return out + [base + c for c in self.plain(piece[at:])] if at < len(piece) else out
 
     def changes(self, text: str | None) -> bytes:
         """Change of the count by each character of a text."""

@@ -21,7 +21,7 @@ import numpy as np
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: Bytes of pieces and ids that a worker remembers, the longest piece worth it, and bytes of an entry besides its text and ids.
-MEMO_BYTES = 200 << 20
+MEMO_BYTES = 140 << 20
 LONGEST = 64
 ENTRY_BYTES = 190
 
@@ -161,7 +161,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def chunks(values: list, most: int = 4_000_000) -> Iterable[list]:
+def chunks(values: list, most: int = 1_000_000) -> Iterable[list]:
     """Runs of texts of about ``most`` characters, so that a batch of long texts stays small in memory."""
     run, size = [], 0
     for v in values:

@@ -217,6 +217,14 @@ def test_prefix_counts_of_odd_strings():
         assert got == [len(counter.tokenizer.encode(t[: i + 1], add_special_tokens=False).ids) for i in range(len(t))], t
 
 
+def test_prefix_counts_of_many_added_tokens():
+    counter = prefix_counts.counter(BYTE)
+    text = "<|endoftext|>" * 5000 + "ab"
+    got = np.cumsum(np.frombuffer(counter.changes(text), np.int8), dtype=int)
+    assert got[-1] == len(counter.tokenizer.encode(text, add_special_tokens=False).ids) == 5001
+    assert got[12::13].tolist() == list(range(1, 5001))
+
+
 @pytest.mark.parametrize("shard_tokens", [1_000_000, 5_000])
 def test_packing(docs, rows, empty, shard_tokens):
     tokenizer = Tokenizer.from_file(BYTE)
