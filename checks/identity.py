@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,6 +76,16 @@ def master(spark, sf):
     return _stored(spark, sf, "master", lambda: M.master_table(CFG.master_tables[0], enriched(spark, sf), lookup(spark, sf)))
 
 
+PRIORITIES = (3, 1, 2, 4)
+
+
+def q_priorities(spark, sf):
+    """Leaders by a rank of the key types that differs from their merge order."""
+    ranked = dataclasses.replace(CID, key_priorities=PRIORITIES)
+    found = R.resolve(pairs(spark, sf), ranked, N, AS_OF).graph
+    return found.select("follower_id", "follower_ns", "leader_id", "leader_ns")
+
+
 def ids_text(name: str):
     return F.concat_ws(",", F.transform(name, lambda x: x.cast("string")))
 
@@ -515,6 +527,7 @@ def _levels_sql() -> str:
 
 QUERIES = {
     "idu_lookup": q_lookup,
+    "idu_priorities": q_priorities,
     "idu_extract": q_extract,
     "idu_edges": q_edges,
     "idu_loop_step": q_loop_step,
@@ -548,6 +561,10 @@ _META = " UNION ALL ".join(
 
 ORACLES = {
     "idu_lookup": ident("SELECT * EXCLUDE (rc) FROM lookup", LOOKUP),
+    "idu_priorities": ident(
+        f"""SELECT {split('l.fc', 'follower')}, {split('substr(min(b.code), 2)', 'leader')} FROM links l JOIN best b ON l.lc = b.lc GROUP BY l.fc""",
+        GRAPH.rstrip() + f""", best AS (SELECT x AS lc, min(CAST({list(PRIORITIES)}[CAST(substr(y, 1, 3) AS INT)] AS VARCHAR) || y) AS code FROM reach GROUP BY x)""",
+    ),
     "idu_extract": ident(
         "SELECT coalesce(array_to_string(list_transform(ids, lambda x: x.ns || ':' || x.id), '|'), '') AS ids, time, tid AS source_table_id FROM rec"
     ),

@@ -93,6 +93,29 @@ def q_long(spark, sf):
     return _long(spark, sf)
 
 
+LONG_KEYS = [
+    ("crm_profiles", "email", "customer_id", "email"),
+    ("shop_orders", "order_email", "customer_id", "email"),
+    ("web_events", "user_email", "cookie_id", "email"),
+    ("crm_profiles", "phone", "customer_id", "phone"),
+    ("crm_profiles", "customer_id", "email", "user_id"),
+    ("shop_orders", "customer_id", "order_id", "user_id"),
+    ("web_events", "customer_id", "cookie_id", "user_id"),
+]
+
+
+def _long_keys(spark, sf):
+    return P.prep_long_keys([(view(spark, sf, table), table, *rest) for table, *rest in LONG_KEYS])
+
+
+def q_long_keys(spark, sf):
+    return _long_keys(spark, sf)
+
+
+def q_dist_keys(spark, sf):
+    return P.key_distribution(_long_keys(spark, sf))
+
+
 def q_dist(spark, sf):
     return P.key_distribution(_long(spark, sf).withColumn("key_type", F.col("source_table")))
 
@@ -159,6 +182,8 @@ QUERIES = {
     "prep_contact": q_contact,
     "prep_long": q_long,
     "prep_dist": q_dist,
+    "prep_long_keys": q_long_keys,
+    "prep_dist_keys": q_dist_keys,
     "key_profile": q_key_profile,
     "key_profile_numbers": q_key_profile_numbers,
     "prep_exclude_numbers": q_exclude_numbers,
@@ -193,6 +218,12 @@ _LONG = " UNION ALL ".join(
     for t, c, i in (("crm_profiles", "email", "customer_id"), ("shop_orders", "order_email", "customer_id"), ("web_events", "user_email", "cookie_id"))
 )
 _WEB = ("crm_profiles", "shop_orders", "web_events")
+_TESTS = {"email": f"regexp_matches(COLUMN, {_RE})", "phone": r"regexp_matches(COLUMN, '^\s*\+?[0-9][0-9 ().-]{5,}$')", "user_id": "true"}
+_LONG_KEYS = " UNION ALL ".join(
+    f"""SELECT DISTINCT '{k}' AS key_type, '{t}' AS source_table, '{c}' AS source_column, lower(trim(CAST({c} AS VARCHAR))) AS key_value,
+        CAST({i} AS VARCHAR) AS source_id FROM {t} WHERE trim(CAST({c} AS VARCHAR)) <> '' AND {_TESTS[k].replace('COLUMN', c)}"""
+    for t, c, i, k in LONG_KEYS
+)
 
 
 def _profile(table: str, column: str) -> str:
@@ -242,6 +273,8 @@ ORACLES = {
     "prep_dist": sql(
         f"SELECT source_table AS key_type, count(DISTINCT key_value) AS unique_keys, count(*) AS total_records FROM ({_LONG}) GROUP BY 1", *_WEB
     ),
+    "prep_long_keys": sql(_LONG_KEYS, *_WEB),
+    "prep_dist_keys": sql(f"SELECT key_type, count(DISTINCT key_value) AS unique_keys, count(*) AS total_records FROM ({_LONG_KEYS}) GROUP BY 1", *_WEB),
     "key_profile": sql(
         " UNION ALL ".join(
             [_profile("crm_profiles", c) for c in ("customer_id", "email", "phone")] + [_profile("shop_orders", c) for c in ("customer_id", "order_email")]

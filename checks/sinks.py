@@ -155,6 +155,32 @@ def q_run_append_recovery(spark, sf):
     return tables.load(spark, f"{root}/target").select("order_id", "customer_id", "order_email_std", "o_totalprice", "time")
 
 
+def q_run_staging_json(spark, sf):
+    """Staging from a rules row that asks for all JSON keys; later rows bring a key that differs in case alone, and NULL keys."""
+    root, raw = _root(spark, "stg-json"), view(spark, sf, "raw_json")
+    cut = raw.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY time)")).first()[0]
+    late = F.when(F.col("time") > cut, F.lit('"City":"B",')).otherwise(F.lit(""))
+    rows = raw.withColumns(
+        {
+            "attributes": F.regexp_replace("attributes", F.lit('"empty":""'), F.concat(late, F.lit('"city":"a"'))),
+            "event_id": F.when(F.col("event_id") % 10 != 3, F.col("event_id")),
+        }
+    )
+    table = spark.createDataFrame(
+        [("shop", "events", "event_id", "time desc", '{"json": "all"}')],
+        "db_name string, table_name string, partition_columns string, order_by_columns string, additional_rules string",
+    )
+    rules = S.rules_from(S.load_rules(table, "shop", "events"))
+    for run, arrived in (("run1", rows.filter(F.col("time") <= cut)), ("run2", rows), ("run2", rows)):
+        pipelines.run_staging(
+            spark, arrived, "events", rules, f"{root}/target", f"{root}/inc_log", run, AS_OF, buckets=16, registry=f"{root}/json_keys"
+        )
+    staged = tables.load(spark, f"{root}/target")
+    return staged.select(
+        "event_id", "time", "attributes_city", "attributes_city_2", "attributes_k", "attributes_user_id", F.concat_ws(",", "attributes_tags").alias("tags")
+    )
+
+
 def _killed_and_repeated(spark, rows, rules, root):
     """A watermark that goes to a log of its own is one that was never written."""
     first, second = (rows.filter(F.col("time") <= cut) for cut in rows.agg(*[F.expr(c) for c in _CUTS]).first())
@@ -341,6 +367,19 @@ def q_stream_union(spark, sf):
     return spark.read.schema(inc.schema).parquet(f"{root}/target")
 
 
+def q_stream_union_stored(spark, sf):
+    """The same into a stored table, which is compacted between the steps."""
+    root, (inc, hist) = _root(spark, "str-stored"), views(spark, sf, "orders_inc", "orders_hist")
+    for step in (F.col("status") == "F", F.col("status") != "F"):
+        hist.filter(step).write.mode("append").parquet(f"{root}/hist")
+        inc.filter(step).write.mode("append").parquet(f"{root}/inc")
+        jobs.stream_hist_union(
+            spark, f"{root}/inc", inc.schema, f"{root}/hist", hist.schema, f"{root}/target", f"{root}/cp", stored=True
+        ).awaitTermination()
+        tables.compact(spark, f"{root}/target")
+    return tables.load(spark, f"{root}/target")
+
+
 def q_stream_upsert(spark, sf):
     """Every file is a batch; later batches replace rows of earlier ones."""
     root, orders = _root(spark, "str"), view(spark, sf, "orders_all")
@@ -362,6 +401,15 @@ def q_stream_dedupe(spark, sf):
     return spark.read.schema(dups.schema).parquet(f"{root}/target").select("order_id", "customer_id")
 
 
+def q_stream_dedupe_stored(spark, sf):
+    """Rows once per order in a stored table; a batch job reads the sums from it."""
+    root, dups = _root(spark, "str-stored"), view(spark, sf, "dup_orders")
+    path = _arrivals(spark, root, [dups, dups])
+    jobs.stream_dedupe(spark, path, dups.schema, ["order_id"], "3650 days", f"{root}/target", f"{root}/cp", stored=True).awaitTermination()
+    stored = tables.load(spark, f"{root}/target")
+    return stored.groupBy("customer_id").agg(F.count("order_id").alias("orders"), F.count(F.when(F.col("order_id").isNull(), 1)).alias("without"))
+
+
 QUERIES = {
     "src_read": q_read,
     "src_delimited": q_delimited,
@@ -376,6 +424,7 @@ QUERIES = {
     "snk_bucketed": q_bucketed,
     "run_hist_union": q_run_hist_union,
     "run_staging": q_run_staging,
+    "run_staging_json": q_run_staging_json,
     "run_staging_recovery": q_run_staging_recovery,
     "run_append_recovery": q_run_append_recovery,
     "run_union_recovery": q_run_union_recovery,
@@ -393,6 +442,8 @@ QUERIES = {
     "str_hist_union": q_stream_union,
     "str_stage_upsert": q_stream_upsert,
     "str_dedupe": q_stream_dedupe,
+    "str_hist_union_stored": q_stream_union_stored,
+    "str_dedupe_stored": q_stream_dedupe_stored,
 }
 
 _NO_DATE = "order_id, customer_id, status, amount, updated_at, time"
@@ -451,6 +502,19 @@ ORACLES = {
         "shop_orders",
         "dup_orders",
     ),
+    "run_staging_json": sql(
+        """SELECT event_id, time, upper(json_extract_string(j, '$.city')) AS attributes_city, upper(json_extract_string(j, '$.City')) AS attributes_city_2,
+             nullif(upper(json_extract_string(j, '$.k')), '') AS attributes_k, upper(json_extract_string(j, '$.user.id')) AS attributes_user_id,
+             coalesce(array_to_string(CAST(json_extract(j, '$.tags') AS VARCHAR[]), ','), '') AS tags
+           FROM (SELECT *, CASE WHEN json_valid(attributes) THEN attributes END AS j FROM best)""",
+        "raw_json",
+        ctes="""cut AS (SELECT quantile_disc(time, 0.5) AS c FROM raw_json),
+          made AS (SELECT CASE WHEN event_id % 10 <> 3 THEN event_id END AS event_id, time > c AS late, time,
+            replace(attributes, '"empty":""', CASE WHEN time > c THEN '"City":"B",' ELSE '' END || '"city":"a"') AS attributes FROM raw_json, cut),
+          best AS (SELECT event_id, time, attributes FROM made WHERE event_id IS NOT NULL
+            UNION ALL SELECT event_id, time, attributes FROM (
+              SELECT *, row_number() OVER (PARTITION BY late ORDER BY time DESC, attributes DESC NULLS LAST) AS rn FROM made WHERE event_id IS NULL) WHERE rn = 1)""",
+    ),
     "run_append_recovery": sql(
         f"SELECT order_id, customer_id, CASE WHEN regexp_matches(order_email, {_OK}) THEN order_email END AS order_email_std, o_totalprice, time FROM dup_orders",
         "dup_orders",
@@ -524,6 +588,14 @@ ORACLES = {
     ),
     "run_unification_levels": I.ORACLES["idu_levels"],
     "str_hist_union": sql(_UNION, "orders_hist", "orders_inc"),
+    "str_hist_union_stored": sql(_UNION, "orders_hist", "orders_inc"),
+    "str_dedupe_stored": sql(
+        """SELECT customer_id, count(order_id) AS orders, count(*) - count(order_id) AS without FROM (
+             SELECT order_id, customer_id FROM shop_orders
+             UNION ALL SELECT order_id, customer_id FROM (SELECT DISTINCT * FROM dup_orders WHERE order_id IS NULL)) GROUP BY 1""",
+        "shop_orders",
+        "dup_orders",
+    ),
     "str_stage_upsert": sql(
         """SELECT * REPLACE (CASE status WHEN 'P' THEN amount + 1 ELSE amount END AS amount, CASE status WHEN 'P' THEN time + 1 ELSE time END AS time),
              'orders' AS source_system, '2024-02-01 00:00:00' AS load_timestamp FROM orders_all""",

@@ -137,6 +137,34 @@ def prep_long(parts: Sequence[tuple[DataFrame, str, str, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+#: Pattern that a value of a key type has to meet; other key types take every text that is not empty.
+KEY_PATTERNS = {"email": EMAIL_PATTERN, "phone": r"^\s*\+?[0-9][0-9 ().-]{5,}$"}
+
+
+def prep_long_keys(parts: Sequence[tuple[DataFrame, str, str, str, str]], patterns: Mapping[str, str] = KEY_PATTERNS) -> DataFrame:
+    """Long form of keys of any type: each part is (table, its name, key column, id column, key type).
+
+    NULL, blank and, where the type has a pattern, other texts are left out. Keys of
+    any column type are compared as lower-case text.
+    """
+    frames = []
+    for df, table, column, id_column, key_type in parts:
+        text = F.col(column).cast("string")
+        valid = F.trim(text) != ""
+        if key_type in patterns:
+            valid = valid & text.rlike(patterns[key_type])
+        frames.append(
+            df.filter(valid).select(
+                F.lit(key_type).alias("key_type"),
+                F.lit(table).alias("source_table"),
+                F.lit(column).alias("source_column"),
+                F.lower(F.trim(text)).alias("key_value"),
+                F.col(id_column).cast("string").alias("source_id"),
+            ).distinct()
+        )
+    return reduce(DataFrame.unionByName, frames)
+
+
 def key_distribution(prep: DataFrame) -> DataFrame:
     """Per key type: distinct values and rows."""
     # Two plain aggregations; a value with very many rows is counted down first.

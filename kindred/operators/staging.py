@@ -133,8 +133,29 @@ def _json_type(keys: Sequence[tuple[Sequence[str], str]]) -> T.StructType:
 
 
 def json_column_names(name: str, keys: Sequence[tuple[Sequence[str], str]]) -> list[str]:
-    """The columns that ``json_flatten`` adds."""
-    return [J.json_column_name(name, path) for path, kind in keys if kind != "object"]
+    """The columns that ``json_flatten`` adds. Of paths that differ in case alone the first has the plain name, the others end in ``_2``, ``_3``, ..."""
+    out, seen = [], {}
+    for path, kind in keys:
+        if kind != "object":
+            alike = tuple(step.lower() for step in path)
+            seen[alike] = seen.get(alike, 0) + 1
+            out.append(J.json_column_name(name, path) + (f"_{seen[alike]}" if seen[alike] > 1 else ""))
+    return out
+
+
+def _by_position(kind: T.DataType) -> T.DataType:
+    """The same type with fields named by their place, for Spark finds fields of a struct whatever their case."""
+    if not isinstance(kind, T.StructType):
+        return kind
+    return T.StructType([T.StructField(f"f{i}", _by_position(f.dataType)) for i, f in enumerate(kind.fields)])
+
+
+def _at(col: Column, kind: T.DataType, path: Sequence[str]) -> Column:
+    """Value at a path in a column of ``_by_position(kind)``."""
+    for step in path:
+        i = kind.fieldNames().index(step)
+        col, kind = col.getField(f"f{i}"), kind[i].dataType
+    return col
 
 
 def json_flatten(df: DataFrame, name: str, keys: Sequence[tuple[Sequence[str], str]]) -> DataFrame:
@@ -142,7 +163,8 @@ def json_flatten(df: DataFrame, name: str, keys: Sequence[tuple[Sequence[str], s
 
     Every document is parsed once, whatever the number of keys. A key that is an
     object in some rows and a value in others gives its own column, NULL where it is
-    an object, and those of its children, read from its text.
+    an object, and those of its children, read from its text. Keys that differ in
+    case alone are different keys.
     """
     wanted = [(path, kind) for path, kind in keys if kind != "object"]
     names = json_column_names(name, wanted)
@@ -151,20 +173,15 @@ def json_flatten(df: DataFrame, name: str, keys: Sequence[tuple[Sequence[str], s
         raise ValueError(f"JSON keys of {name} give the same column twice: {sorted(clash)}")
     plain = {path[0] for path, _ in wanted if len(path) == 1}
     mixed = {path[0] for path, _ in wanted if len(path) == 2} & plain
-    whole = [(path, kind) for path, kind in wanted if path[0] not in mixed] + [([root], "scalar") for root in sorted(mixed)]
-    parsed = df.withColumn("_json", F.from_json(name, _json_type(whole)))
+    whole = _json_type([(path, kind) for path, kind in wanted if path[0] not in mixed] + [([root], "scalar") for root in sorted(mixed)])
+    parsed, below = df.withColumn("_json", F.from_json(name, whole).cast(_by_position(whole))), {}
     for i, root in enumerate(sorted(mixed)):
-        below = _json_type([([path[1]], kind) for path, kind in wanted if len(path) == 2 and path[0] == root])
-        parsed = parsed.withColumn(f"_json{i}", F.from_json(F.col("_json").getField(root), below))
-    at = {root: f"_json{i}" for i, root in enumerate(sorted(mixed))}
+        kind = _json_type([([path[1]], kind) for path, kind in wanted if len(path) == 2 and path[0] == root])
+        parsed = parsed.withColumn(f"_json{i}", F.from_json(_at(F.col("_json"), whole, [root]), kind).cast(_by_position(kind)))
+        below[root] = (F.col(f"_json{i}"), kind)
     out = []
     for (path, kind), column in zip(wanted, names):
-        if path[0] in mixed and len(path) == 2:
-            value = F.col(at[path[0]]).getField(path[1])
-        else:
-            value = F.col("_json")
-            for step in path:
-                value = value.getField(step)
+        value = _at(*below[path[0]], path[1:]) if path[0] in mixed and len(path) == 2 else _at(F.col("_json"), whole, path)
         if path[0] in mixed and len(path) == 1:
             value = F.when(~value.startswith("{"), value)
             value = F.from_json(value, T.ArrayType(T.StringType())) if kind == "array" else value
@@ -172,6 +189,35 @@ def json_flatten(df: DataFrame, name: str, keys: Sequence[tuple[Sequence[str], s
     return parsed.select(*df.columns, *out)
 
 
+#: Keys found in the JSON columns of a stored table, in the order of their discovery.
+KEY_REGISTRY_SCHEMA = "column_name string, k1 string, k2 string, kind string, place int"
+
+
+def new_json_keys(df: DataFrame, names: Sequence[str], registry: DataFrame) -> list[tuple[str, str, str | None, str, int]]:
+    """Rows to add to the registry for what ``df`` holds in its JSON columns.
+
+    A key keeps the kind it was found with, so that its column keeps its type; only
+    an object, which has no column of its own, may turn out to be a value as well.
+    """
+    known = {(r.column_name, r.k1, r.k2, r.kind) for r in registry.collect()}  # one row per output column
+    place, out = len(known), []
+    for name in names:
+        for path, kind in collect_json_keys(df, name):
+            k1, k2 = path[0], path[1] if len(path) == 2 else None
+            kinds = {k for k in ("object", "array", "scalar") if (name, k1, k2, k) in known}
+            if not kinds or (kinds == {"object"} and kind != "object"):
+                out.append((name, k1, k2, kind, place + len(out)))
+    return out
+
+
+def registered_paths(registry: DataFrame, names: Sequence[str]) -> dict[str, list[tuple[list[str], str]]]:
+    """What ``Rules.json`` takes, in registry order."""
+    found: dict[str, list[tuple[list[str], str]]] = {n: [] for n in names}
+    for r in sorted(registry.collect(), key=lambda r: r.place):
+        found.setdefault(r.column_name, []).append(([r.k1] if r.k2 is None else [r.k1, r.k2], r.kind))
+    return found
+
+
 def unnest(df: DataFrame, name: str, position: str | None = None) -> DataFrame:
     """One row per array element; rows with no element stay, with NULL."""
     others = [c for c in df.columns if c != name]
@@ -293,6 +339,11 @@ class Rules:
     find_json: bool = False
 
 
+def searched_columns(df: DataFrame, rules: Rules) -> list[str]:
+    """JSON columns whose keys have to be found in the data."""
+    return [n for n, kind in classify_columns(df.schema).items() if kind == "json" and n not in rules.json] if rules.find_json else []
+
+
 def stage(df: DataFrame, rules: Rules, source: str, as_of: int) -> DataFrame:
     """Clean, then join on cleaned columns, then de-duplicate. All columns are staged.
 
@@ -301,9 +352,8 @@ def stage(df: DataFrame, rules: Rules, source: str, as_of: int) -> DataFrame:
     """
     wanted = dict(rules.json)
     if rules.find_json:
-        for name, kind in classify_columns(df.schema).items():
-            if kind == "json" and name not in wanted:
-                wanted[name] = collect_json_keys(df, name)
+        for name in searched_columns(df, rules):
+            wanted[name] = collect_json_keys(df, name)
     kept = list(wanted)
     for name, keys in wanted.items():
         df = json_flatten(df, name, keys)

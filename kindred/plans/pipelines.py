@@ -7,7 +7,7 @@ a run id. So a run that died half-way can be repeated, or followed by another on
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,9 +111,12 @@ def run_staging(
     project: str = "staging",
     buckets: int | None = None,
     ledger: Ledger | None = None,
+    registry: str | None = None,
 ) -> str:
     """Stage new rows and upsert them (append without a dedupe rule). Returns what was done.
 
+    With ``registry``, a table beside the target, the JSON keys found so far are stored:
+    only new rows are searched, and a key keeps its column and type in every run.
     A run id that has moved its watermark is done; its repeat returns ``skipped``.
     """
     log_run = f"{run_id}-{project}-{name}"
@@ -132,6 +135,8 @@ def run_staging(
         return "skipped"
     with logged(ledger, run_id, name, spark) as done:
         done.records = pending
+        if registry:
+            rules = _with_registered_keys(spark, rows, rules, registry, log_run)
         staged = S.guard_types(S.stage(rows, rules, name, as_of))
         marks = {log_run: [[name, project, upto or 0]]}
         if chosen == "full":
@@ -144,6 +149,17 @@ def run_staging(
     return chosen
 
 
+def _with_registered_keys(spark: SparkSession, rows: DataFrame, rules: S.Rules, registry: str, run_id: str) -> S.Rules:
+    """Rules with every key of the registry, after adding the ones that these rows bring. A repeated run adds none."""
+    tables.create_if_absent(spark, registry, S.KEY_REGISTRY_SCHEMA)
+    searched = S.searched_columns(rows, rules)
+    if not tables.has_run(spark, registry, run_id):
+        fresh = S.new_json_keys(rows, searched, tables.load(spark, registry))
+        tables.append(spark.createDataFrame(fresh, S.KEY_REGISTRY_SCHEMA), registry, run_id)
+    found = S.registered_paths(tables.load(spark, registry), searched)
+    return replace(rules, json={**rules.json, **found}, find_json=False)
+
+
 @dataclass
 class PrepSource:
     name: str
@@ -165,14 +181,12 @@ def run_prep(spark: SparkSession, sources: list[PrepSource], root: str, as_of: i
             prep = P.prep_project(src.df, src.columns).withColumn("time", F.lit(as_of).cast("long"))
         tables.swap_commit(prep, prep_root)
         prep = tables.load(spark, prep_root)
-        if tables.exists(spark, input_root):
-            unif = P.input_cascade_delete(
-                _with_columns(tables.load(spark, input_root), aliases), prep, aliases, src.name
-            )
-        else:
-            text = [f"{a} string" for a in aliases]
-            unif = spark.createDataFrame([], ", ".join([*text, "time bigint", "source string", "ingest_time bigint"]))
-        tables.swap_commit(P.input_append(prep, unif, aliases, src.name), input_root)
+        # The input is kept by source, so the rows of the others are neither read nor written.
+        text = ", ".join(f"{a} string" for a in aliases)
+        tables.create_if_absent(spark, input_root, f"{text}, time bigint, source string, ingest_time bigint")
+        held = _with_columns(tables.load_part(spark, input_root, src.name), aliases)
+        mine = P.input_cascade_delete(held, prep, aliases, src.name)
+        tables.replace_part(P.input_append(prep, mine, aliases, src.name), input_root, src.name)
     unif = _with_columns(tables.load(spark, input_root), ["email", "phone"])
     excl = P.extend_exclusions(tables.load(spark, excl_root), P.find_masked(unif), "unif_input")
     tables.swap_commit(excl, excl_root)

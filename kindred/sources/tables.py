@@ -24,6 +24,8 @@ from kindred.sources.scratch import Scratch, hadoop_path
 
 BUCKET = "_bucket"
 BASE = "base"
+#: Start of the names of parts that are replaced one by one.
+PART = "part:"
 #: Size of a key bucket, from which the number of buckets follows, and the fewest of them.
 BUCKET_BYTES = 256 << 20
 MIN_BUCKETS = 16
@@ -147,6 +149,27 @@ def replace(df: DataFrame, root: str, run_id: str | None = None, marks: Mapping[
     _publish(spark, root, version + 1, Manifest(_schema_text(df.schema), {BASE: [_write(df, root)]}, runs, marks=dict(marks or {})))
 
 
+def replace_part(df: DataFrame, root: str, part: str) -> None:
+    """New rows for one named part; the folders of all other parts stay. New columns are added, NULL in the other parts."""
+    spark = df.sparkSession
+    create_if_absent(spark, root, df.schema)
+    version, manifest = _current(spark, root)
+    if manifest.buckets:
+        raise ValueError(f"{root} is kept by upserts, not by parts")
+    schema = _merged_schema(manifest.struct, df.schema, root)
+    parts = manifest.parts | {f"{PART}{part}": [_write(df, root)]}
+    _publish(spark, root, version + 1, changed(manifest, schema=_schema_text(schema), parts=parts))
+    vacuum(spark, root)
+
+
+def load_part(spark: SparkSession, root: str, part: str) -> DataFrame:
+    """Content of one named part; empty if there is none."""
+    _, manifest = _current(spark, root)
+    if manifest is None:
+        raise FileNotFoundError(f"no table at {root}")
+    return _read(spark, root, manifest, [f"{PART}{part}"])
+
+
 def create_if_absent(spark: SparkSession, root: str, schema: T.StructType | str) -> bool:
     """Empty table with the schema; False when there is one already."""
     if exists(spark, root):
@@ -227,15 +250,16 @@ def swap_commit(df: DataFrame, root: str, keep: int = 1, run_id: str | None = No
 
 
 def compact(spark: SparkSession, root: str) -> None:
-    """Rewrite many small files as files of the advisory partition size. Runs, keys and buckets stay."""
+    """Rewrite many small files as files of the advisory partition size. Runs, keys, buckets and named parts stay."""
     version, manifest = _current(spark, root)
     if manifest is None:
         raise FileNotFoundError(f"no table at {root}")
-    rows = _read(spark, root, manifest)
     if manifest.buckets:
-        parts = _write_buckets(rows, root, manifest.keys, manifest.buckets)
+        parts = _write_buckets(_read(spark, root, manifest), root, manifest.keys, manifest.buckets)
     else:
-        parts = {BASE: [_write(rows.hint("rebalance"), root)]}
+        named = {n: [n] for n in manifest.parts if n.startswith(PART)}
+        groups = named | {BASE: [n for n in manifest.parts if n not in named]}
+        parts = {n: [_write(_read(spark, root, manifest, ns).hint("rebalance"), root)] for n, ns in groups.items() if ns or not named}
     _publish(spark, root, version + 1, changed(manifest, parts=parts))
     vacuum(spark, root)
 

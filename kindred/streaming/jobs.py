@@ -25,6 +25,30 @@ def read_arrivals(spark: SparkSession, path: str, schema: T.StructType, max_file
     return reader.parquet(path)
 
 
+def write_arrivals(rows: DataFrame, target: str, checkpoint: str, stored: bool) -> StreamingQuery:
+    """Append a stream to a parquet folder, or to a stored table that batch jobs read.
+
+    The batches of a stored table are committed under run ids made of the name of the
+    checkpoint folder and the number of the batch. A batch that is written but was not
+    checkpointed is repeated and adds nothing.
+    """
+    stream = checkpoint.rstrip("/").rsplit("/", 1)[-1]
+
+    def write(batch: DataFrame, number: int) -> None:
+        run_id = f"{stream}-batch{number}"
+        if tables.has_run(batch.sparkSession, target, run_id):
+            # The stream's state still has to take in the batch.
+            batch.write.format("noop").mode("overwrite").save()
+        else:
+            tables.append(batch, target, run_id)
+
+    if not stored:
+        writer = rows.writeStream.format("parquet").option("path", target)
+    else:
+        writer = rows.writeStream.foreachBatch(write)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def stream_hist_union(
     spark: SparkSession,
     inc_path: str,
@@ -35,6 +59,7 @@ def stream_hist_union(
     checkpoint: str,
     defaults: Mapping[str, Column] | None = None,
     max_files: int | None = None,
+    stored: bool = False,
 ) -> StreamingQuery:
     """Append what arrived on either side to the target, under the incremental schema.
 
@@ -42,7 +67,7 @@ def stream_hist_union(
     """
     inc = read_arrivals(spark, inc_path, inc_schema, max_files)
     hist = align_to(read_arrivals(spark, hist_path, hist_schema, max_files), inc_schema, defaults)
-    return hist.unionByName(inc).writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return write_arrivals(hist.unionByName(inc), target, checkpoint, stored)
 
 
 def stream_stage_upsert(
@@ -75,6 +100,7 @@ def stream_dedupe(
     target: str,
     checkpoint: str,
     max_files: int | None = None,
+    stored: bool = False,
 ) -> StreamingQuery:
     """Keep the first row per key seen within the lateness bound of ``time``.
 
@@ -84,5 +110,4 @@ def stream_dedupe(
     whole = F.xxhash64(*[F.coalesce(F.col(f"`{f.name}`").cast("string"), F.lit("\x00")) for f in schema.fields])
     keyless = F.when(F.greatest(*[F.col(f"`{k}`").isNull() for k in keys], F.lit(False)), whole)
     kept = rows.withColumn("_keyless", keyless).withWatermark("_event", lateness).dropDuplicatesWithinWatermark([*keys, "_keyless"])
-    kept = kept.drop("_event", "_keyless")
-    return kept.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return write_arrivals(kept.drop("_event", "_keyless"), target, checkpoint, stored)

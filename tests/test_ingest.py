@@ -425,3 +425,39 @@ def test_replaced_keys_leave_other_buckets_alone(spark, tmp_path):
     want = {(str(i), i) for i in range(400) if i not in (3, 5)} | {("3", -3), ("new", -1), (None, -2), ("7", -7)}
     assert set(map(tuple, tables.load(spark, root).collect())) == want
     assert set(map(tuple, tables.load_keys(spark, root, added.filter("k = '7'")).collect())) == {("7", 7), ("7", -7)}
+
+
+def test_prep_writes_only_the_part_of_its_source(spark, root):
+    source = lambda name, *mails: pipelines.PrepSource(name, spark.createDataFrame([(m,) for m in mails], "mail string"), {"mail": "email"})
+    pipelines.run_prep(spark, [source("a", "1@x", "2@x"), source("b", "3@x")], root, 100)
+    before = tables.folders(spark, f"{root}/unif_input")
+    got = pipelines.run_prep(spark, [source("a", "2@x", "4@x")], root, 200)
+    after = tables.folders(spark, f"{root}/unif_input")
+    assert sorted((r.source, r.email, r.time) for r in got.collect()) == [("a", "2@x", 100), ("a", "4@x", 200), ("b", "3@x", 100)]
+    assert before["part:b"] == after["part:b"] and before["part:a"] != after["part:a"]
+    # Compaction keeps the parts, so the next run still replaces one of them.
+    tables.compact(spark, f"{root}/unif_input")
+    got = pipelines.run_prep(spark, [source("b")], root, 300)
+    assert sorted((r.source, r.email) for r in got.collect()) == [("a", "2@x"), ("a", "4@x")]
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_stored_stream_repeats_a_batch_that_died_before_its_checkpoint(spark, root, monkeypatch, compacted):
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("time", T.LongType())])
+    spark.createDataFrame([("a", 100), ("b", 101)], schema).write.parquet(f"{root}/in")
+    go = lambda: jobs.stream_dedupe(spark, f"{root}/in", schema, ["id"], "1 hour", f"{root}/out", f"{root}/cp", stored=True).awaitTermination()
+    real = tables.append
+
+    def dies(*args):
+        real(*args)
+        raise RuntimeError("killed behind the data")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "append", dies)
+        with pytest.raises(Exception, match="killed behind the data"):
+            go()
+    if compacted:
+        tables.compact(spark, f"{root}/out")
+    spark.createDataFrame([("a", 160), ("c", 161)], schema).write.mode("append").parquet(f"{root}/in")
+    go()
+    assert rows(tables.load(spark, f"{root}/out")) == [("a", 100), ("b", 101), ("c", 161)]

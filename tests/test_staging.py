@@ -107,6 +107,32 @@ def test_json_keys_must_not_clash(spark):
         S.collect_json_keys(df, "j", limit=1)
 
 
+def test_json_keys_that_differ_in_case(spark):
+    """Each has a column of its own, below an object as well."""
+    df = spark.createDataFrame([('{"City":"a","city":"b","n":{"X":1,"x":[2]}}',), ('{"city":"c","n":"t"}',), ("broken",), (None,)], "j string")
+    flat = S.json_flatten(df, "j", S.collect_json_keys(df, "j"))
+    got = [(r.j_city, r.j_city_2, r.j_n, r.j_n_x, r.j_n_x_2) for r in flat.collect()]
+    assert got == [("A", "B", None, "1", ["2"]), (None, "C", "T", None, None), (None,) * 5, (None,) * 5]
+
+
+def test_key_registry_keeps_columns(spark):
+    """A key found later comes behind the known ones, and a known one keeps its kind, whatever later rows hold."""
+    registry = spark.createDataFrame([], S.KEY_REGISTRY_SCHEMA)
+    batches = ['{"b":"1","l":["x"],"o":{"k":1}}', '{"B":"2","l":"text","o":"plain","a":"3"}', '{"l":["y"],"o":{"k":2}}', None, "broken"]
+    for text in batches:
+        fresh = S.new_json_keys(spark.createDataFrame([(text,)], "j string"), ["j"], registry)
+        registry = registry.union(spark.createDataFrame(fresh, S.KEY_REGISTRY_SCHEMA))
+    assert [(r.k1, r.k2, r.kind) for r in registry.orderBy("place").collect()] == [
+        ("b", None, "scalar"), ("l", None, "array"), ("o", None, "object"), ("o", "k", "scalar"), ("B", None, "scalar"), ("a", None, "scalar"), ("o", None, "scalar"),
+    ]
+    df = spark.createDataFrame([(t,) for t in batches], "j string")
+    flat = S.json_flatten(df, "j", S.registered_paths(registry, ["j"])["j"])
+    assert flat.columns == ["j", "j_b", "j_l", "j_o_k", "j_b_2", "j_a", "j_o"]
+    assert [tuple(r)[1:] for r in flat.collect()] == [
+        ("1", ["x"], "1", None, None, None), (None, None, None, "2", "3", "PLAIN"), (None, ["y"], "2", None, None, None), (None,) * 6, (None,) * 6,
+    ]
+
+
 def test_json_key_of_two_kinds(spark):
     """An object in some rows and a text in others gives its own column and those of its children."""
     df = spark.createDataFrame([('{"o":{"k":"v"},"x":"1"}',), ('{"o":"plain"}',), (None,)], "j string")
