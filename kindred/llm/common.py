@@ -16,6 +16,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 #: Java patterns of what stands between words.
 SPACES = r"[\x20\x09-\x0D]+"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: A word between such, without steps back.
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]++"
 
 #: ASCII only: letters to lower case, every other byte that is no letter or digit to a space.
 WORD_BYTES = bytes(

@@ -1,7 +1,9 @@
 """License notices: exact phrases, and an exact set-similarity join with templates.
 
-A text block (a line) meets a template if it holds at least ``CONTAINMENT`` of the
-template's distinct words. Template words are ordered by their frequency in the
+A text block is a window of words that moves by half its length, over line ends as well,
+so that a notice lies whole in a block however it is wrapped; half a window is as
+long as the longest template. A block meets a template if it holds at least
+``CONTAINMENT`` of the template's distinct words. Template words are ordered by their frequency in the
 whole corpus, rarest first. A template of n words with a needed overlap of a has
 the prefix of its n - a + 1 rarest words, one of which every matching block must
 hold (prefix filter); a block with fewer than a words of the templates cannot match
@@ -16,7 +18,8 @@ word counts are found in the row.
 
 Defined results: a NULL or empty text has no words, no places and no labels, score
 0; rows that repeat an id are judged one by one; ties of words in frequency are
-ordered by the word; no templates leave the phrases only.
+ordered by the word; no templates leave the phrases only; a text of any length is cut
+into its blocks in one pass; other columns of the table are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.common import NOT_WORD, let, null_safe_join, row_key
+from kindred.llm.common import NOT_WORD, WORD, let, null_safe_join, row_key
 from kindred.sources.scratch import Scratch
 
 CONTAINMENT = 0.8
@@ -60,6 +63,11 @@ def needed(n: int, containment: float = CONTAINMENT) -> int:
     return math.ceil(n * containment - 1e-9)
 
 
+def stride(templates: list[tuple[str, str]]) -> int:
+    """Words by which blocks move; a block has twice as many."""
+    return max((len(text.split()) for _, text in templates), default=1)
+
+
 def vocabulary(templates: list[tuple[str, str]]) -> list[str]:
     found = sorted({w for _, text in templates for w in text.split()})
     if len(found) > MAX_TEMPLATE_WORDS:
@@ -81,27 +89,33 @@ def extract(
     text: str = "text",
 ) -> DataFrame:
     """The one pass over the texts: ``id``, ``row``, ``n_words``, ``places`` ((label, word) of every phrase) and
-    ``blocks``, the distinct template words of every line that holds enough of them to match any template."""
-    vocab = vocabulary(templates)
+    ``blocks``, the distinct template words, space-joined, of every block that holds enough of them to match any template."""
+    vocab, step = vocabulary(templates), stride(templates)
     least = max(1, min((needed(len(set(t.split())), containment) for _, t in templates), default=1))
     known = (lambda w: w.isin(vocab)) if vocab else (lambda w: F.lit(False))
     rows = docs.select(F.col(doc_id).alias("id"), row_key(F.col(text)).alias("row"), lowered(F.col(text)).alias("lower"))
 
-    def of_lines(lines: Column) -> Column:
-        # Only the ends of a split can be empty.
-        ends = lambda p: (p[0] == "").cast("int") + (F.element_at(p, -1) == "").cast("int")
-        n_words = F.aggregate(lines, F.lit(0).cast("long"), lambda n, p: n + F.greatest(F.lit(0), F.size(p) - ends(p)))
-        held = F.filter(F.transform(lines, lambda p: F.array_distinct(F.filter(p, known))), lambda h: F.size(h) >= least)
-        return F.struct(n_words.alias("n_words"), F.array_distinct(held).alias("blocks"))
-
-    lines = F.transform(F.split("lower", "\n"), lambda line: F.split(line, NOT_WORD, -1))
+    # Half blocks: as many words as a block moves by, the last one may have fewer.
+    halves = F.regexp_extract_all("lower", F.lit(f"(?:{WORD}(?:{NOT_WORD}+)?+){{1,{step}}}+"), 0)
+    split = lambda half: F.split(half, NOT_WORD, -1)
+
+    def of_halves(halves: Column) -> Column:
+        # Only the ends of a split can be empty, here the last.
+        last = let(split(F.element_at(halves, -1)), lambda p: F.size(p) - (F.element_at(p, -1) == "").cast("int"))
+        n_words = F.when(F.size(halves) > 0, (F.size(halves) - 1) * step + last).otherwise(0).cast("long")
+        held = F.transform(halves, lambda half: F.array_distinct(F.filter(split(half), known)))
+        none = F.array().cast("array<string>")
+        whole = lambda held: F.transform(held, lambda h, i: F.array_sort(F.array_union(h, F.coalesce(F.get(held, i + 1), none))))
+        enough = F.filter(let(held, whole), lambda b: F.size(b) >= least)
+        # As text, for texts are told apart by hash.
+        return F.struct(n_words.alias("n_words"), F.array_distinct(F.transform(enough, lambda b: F.array_join(b, " "))).alias("blocks"))
 
     def labelled(phrase: str, label: str) -> Column:
         return F.transform(_places(F.col("lower"), phrase), lambda w: F.struct(F.lit(label).alias("label"), w.alias("word")))
 
     none = F.array().cast("array<struct<label:string,word:int>>")
     places = reduce(F.concat, [labelled(p, label) for p, label in phrases.items()], none)
-    return rows.select("id", "row", let(lines, of_lines).alias("l"), places.alias("places")).select("id", "row", "l.*", "places")
+    return rows.select("id", "row", let(halves, of_halves).alias("l"), places.alias("places")).select("id", "row", "l.*", "places")
 
 
 def frequencies(blocks: DataFrame, vocab: list[str]) -> list[str]:
@@ -160,7 +174,7 @@ def scan(
     """Per row: id, n_words, n_base, first_word, last_word, base_labels, labels, score (1 for a phrase, else the largest containment)."""
     scratch = Scratch(docs.sparkSession, "licenses")
     base = scratch.save(extract(docs, phrases, templates, containment, doc_id, text), "extracted")
-    held = base.select("id", "row", F.explode("blocks").alias("held"))
+    held = base.select("id", "row", F.explode("blocks").alias("block")).select("id", "row", F.split("block", " ").alias("held"))
     order = frequencies(held, vocabulary(templates))
     pairs = similar(held, order, templates, containment)
     # At most the labels of the templates per document.

@@ -112,6 +112,7 @@ FROM d LEFT JOIN covered USING (rn) LEFT JOIN named USING (rn)
 """
 
 _phrases = ", ".join(f"('{label}', {phrase.split()!r})" for phrase, label in license_join.PHRASES.items())
+_stride = license_join.stride(license_join.TEMPLATES)
 _templates = ", ".join(f"('{label}', {sorted(set(text.split()))!r})" for label, text in license_join.TEMPLATES)
 
 LICENSE_JOIN = rf"""
@@ -122,7 +123,7 @@ places AS (
   SELECT rn, label, i - 1 AS word
   FROM (SELECT rn, w, unnest(range(1, len(w) + 1)) AS i FROM d) JOIN phrases ON w[i] = p[1] WHERE w[i:i + len(p) - 1] = p
 ),
-blocks AS (SELECT rn, list_distinct({_words("line")}) AS b FROM (SELECT rn, unnest(string_split(text, chr(10))) AS line FROM d)),
+blocks AS (SELECT rn, list_distinct(w[i + 1:i + {2 * _stride}]) AS b FROM (SELECT rn, w, unnest(range(0, len(w), {_stride})) AS i FROM d)),
 pairs AS (
   SELECT rn, label, len(list_intersect(b, t)) / len(t)::DOUBLE AS containment FROM blocks, templates
   WHERE len(list_intersect(b, t)) >= ceil(len(t) * {license_join.CONTAINMENT} - 1e-9)

@@ -131,8 +131,9 @@ def licences(text, phrases, templates, least=0.8):
     w = alnum(text)
     places = [(label, i) for p, label in phrases.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
     found, best = set(), 0.0
-    for line in (text or "").split("\n"):
-        block = set(alnum(line))
+    step = max((len(t.split()) for _, t in templates), default=1)
+    for start in range(0, len(w), step):
+        block = set(w[start : start + 2 * step])
         for label, t in templates:
             t = set(t.split())
             share = len(block & t) / len(t)

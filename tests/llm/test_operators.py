@@ -1,6 +1,7 @@
 """Every operator against its brute-force version, on rows that are odd in every way."""
 
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -270,3 +271,18 @@ def test_license_join(docs, rows, empty):
     assert any(w[6] and not w[5] for w in want)
     assert license_join.scan(docs, templates=[]).filter("labels <> base_labels").count() == 0
     assert license_join.scan(empty).count() == 0
+
+
+def test_wrapped_notices(spark):
+    """A notice wrapped at 70 columns, as a comment or not, is found like the same text on one line."""
+    wanted = {label: max((t for x, t in license_join.TEMPLATES if x == label), key=len) for label in ("mit", "gpl", "bsd", "mpl-2")}
+    rows = []
+    for lead, label in [("", "mit"), (" * ", "gpl"), ("# ", "bsd"), ("// ", "mpl-2"), ("", "gpl")]:
+        lines = textwrap.wrap(wanted[label], 70 - len(lead))
+        assert len(lines) > 1
+        rows.append((label, prose(len(rows), 400) + "\n" + "\n".join(lead + x for x in lines) + "\n" + prose(99, 33 * len(rows))))
+    # Words of a template far from each other are no notice.
+    rows.append(("", (" " + "filler " * 60).join(wanted["bsd"].split())))
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.id: (r.labels, r.score) for r in license_join.scan(docs).collect()}
+    assert got == {i: (label, 1.0 if label else 0.0) for i, (label, _) in enumerate(rows)}
