@@ -105,10 +105,21 @@ wins AS (SELECT DISTINCT item_id, m, w[i:i + m - 1] AS win FROM (SELECT *, unnes
 places AS (SELECT rn, i, m, w[i:i + m - 1] AS win FROM (SELECT rn, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM items))),
 hits AS (SELECT rn, i, places.m, item_id FROM places JOIN wins ON places.m = wins.m AND places.win = wins.win),
 covered AS (SELECT rn, count(DISTINCT p) AS n_hit FROM (SELECT rn, unnest(range(i, i + m)) AS p FROM hits) GROUP BY rn),
-named AS (SELECT rn, list_sort(list_distinct(list(item_id::VARCHAR))) AS names FROM hits GROUP BY rn)
-SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(names), 0) AS n_items, sha256(coalesce(array_to_string(names, ','), '')) AS items_sha256,
+named AS (SELECT rn, list_sort(list_distinct(list(item_id::VARCHAR))) AS names FROM hits GROUP BY rn),
+sized AS (SELECT row_number() OVER () AS item, w, least({positional_index.TERM}, len(w)) AS s FROM items),
+terms AS (SELECT item, s, i AS place, w[i:i + s - 1] AS term, len(w) - s + 1 AS n FROM (SELECT *, unnest(range(1, len(w) - s + 2)) AS i FROM sized)),
+shifts AS (
+  SELECT rn, item, n, place, floor((i - place) / {positional_index.SLOP + 1}::DOUBLE)::BIGINT AS bin
+  FROM (SELECT rn, i, s, w[i:i + s - 1] AS term FROM (SELECT rn, w, s, unnest(range(1, len(w) - s + 2)) AS i FROM d, (SELECT DISTINCT s FROM sized))) JOIN terms USING (s, term)
+),
+close AS (
+  SELECT DISTINCT rn, item FROM (SELECT rn, item, n, place, unnest([bin - 1, bin]) AS bin FROM shifts)
+  GROUP BY rn, item, n, bin HAVING count(DISTINCT place) >= ceil({positional_index.NEAR_SHARE} * n - 1e-9)
+),
+near AS (SELECT rn, count(*) AS n_near FROM close GROUP BY rn)
+SELECT coalesce(n_near, 0) AS n_near_items, doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(names), 0) AS n_items, sha256(coalesce(array_to_string(names, ','), '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND {positional_index.SHARE} * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN covered USING (rn) LEFT JOIN named USING (rn)
+FROM d LEFT JOIN covered USING (rn) LEFT JOIN named USING (rn) LEFT JOIN near USING (rn)
 """
 
 _phrases = ", ".join(f"('{label}', {phrase.split()!r})" for phrase, label in license_join.PHRASES.items())

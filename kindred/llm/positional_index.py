@@ -7,8 +7,12 @@ counts of the whole corpus, and only the postings of these are shifted by their
 place in the item to give alignments (document, item, shift). The alignments found
 are intersected with the shifted postings of the item's other terms; a run of
 neighbouring terms long enough is an exact match of the phrase, word by word.
-Nothing is looked up in the texts again. The rarest terms of an item that occur
-near each other at different shifts are its proximity matches.
+Nothing is looked up in the texts again.
+
+A proximity match holds a share of an item's terms at shifts that differ by little: its
+words stand near each other as in the item, with some changed, added or left out.
+Of an item with n terms of which m are asked for, one of the n - m + 1 rarest must
+occur; the documents with such a term meet the postings of the item's other terms.
 
 Test items are taken in blocks of at most ``BLOCK_WORDS`` words on average, one scan
 each, so that what a scan carries along (the block's terms) has a bound whatever
@@ -18,12 +22,15 @@ the few item places that name them, a join that AQE broadcasts by size or splits
 Defined results: a NULL or empty text has no words, no hits and is not
 contaminated; an item without words never occurs; an item without an id is matched
 but not named; rows that repeat an id are judged by their own text each; an empty
-benchmark contaminates nothing.
+benchmark contaminates nothing, and no documents give no rows; a text of any length is
+scanned whole by the task that reads it; other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +44,9 @@ from kindred.sources.scratch import Scratch
 WINDOW = 13
 TERM = 3
 SHARE = 20
+#: Proximity: shifts fall into bins of ``SLOP`` + 1, two neighbouring bins are taken together and must hold this share of an item's terms.
+SLOP = 10
+NEAR_SHARE = 0.5
 #: Words of test items per scan.
 BLOCK_WORDS = 250_000
 
@@ -192,42 +202,51 @@ class Index:
             *DOC, "item", (F.col("a") + F.col("shift")).alias("first"), (F.col("b") + F.col("shift") + F.col("size") - 1).alias("last")
         )
 
-    def near(self, slop: int = 10) -> DataFrame:
-        """Proximity matches: documents in which the two rarest terms of an item, by corpus count, stand at most
-        ``slop`` words further apart or closer than in the item: document, ``item``, ``first``, ``second``, ``off``."""
-        pairs = []
+    def near(self, scratch: Scratch, name: str, slop: int = SLOP, share: float = NEAR_SHARE) -> DataFrame:
+        """Proximity matches, once per document and ``item``. An item found whole is one of them."""
+        first, rest, needs = [], [], []
         for number, _, _, _, places in self.block.items:
-            known = sorted({t: i for i, t in reversed(list(enumerate(places))) if self.counts.get(t)}.items(), key=lambda x: self.counts[x[0]])
-            if len(known) > 1:
-                pairs.append((number, *known[0], *known[1]))
-        named = self.spark.createDataFrame(pairs, "item int, t1 long, i1 int, t2 long, i2 int")
-        one = self.postings.join(named, F.col("term") == F.col("t1")).select(*DOC, "item", "t2", "i1", "i2", F.explode("positions").alias("p1"))
-        # Equal width of slop + 1 makes near shifts meet in the same or a neighbouring bin.
-        width = F.lit(slop + 1)
-        one = one.select("*", F.floor((F.col("p1") - F.col("i1")) / width).alias("bin"))
-        one = one.select("*", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("at"))
-        two = self.postings.join(named, F.col("term") == F.col("t2")).select(
-            F.col("id").alias("id2"), F.col("row").alias("row2"), F.col("item").alias("item2"), F.col("i2").alias("j2"), F.explode("positions").alias("p2")
-        )
-        two = two.withColumn("bin2", F.floor((F.col("p2") - F.col("j2")) / width))
-        on = F.col("id").eqNullSafe(F.col("id2")) & (F.col("row") == F.col("row2")) & (F.col("item") == F.col("item2")) & (F.col("at") == F.col("bin2"))
-        off = (F.col("p2") - F.col("j2")) - (F.col("p1") - F.col("i1"))
-        met = one.join(two, on).select(*DOC, "item", F.col("p1").alias("first"), F.col("p2").alias("second"), off.alias("off"))
-        return met.filter(F.abs("off") <= slop).distinct()
+            need = max(1, math.ceil(share * len(places) - 1e-9))
+            count = [self.counts.get(t, 0) for t in places]
+            known = [i for i in range(len(places)) if count[i]]
+            if len(known) >= need:
+                order = sorted(range(len(places)), key=lambda i: (count[i], i))
+                first += [(number, places[i]) for i in order[: len(places) - need + 1] if count[i]]
+                rest += [(number, i, places[i]) for i in known]
+                needs.append((number, need))
+        rare = self.spark.createDataFrame(first, "item int, term long").distinct()
+        some = scratch.save(self.postings.join(rare, "term").select(*DOC, "item").distinct(), f"{name}-near")
+        asked = some.join(self.spark.createDataFrame(rest, "item int, place int, term long"), "item")
+        met = null_safe_join(asked, self.postings, [*DOC, "term"])
+        shifts = met.select(*DOC, "item", "place", F.explode("positions").alias("position"))
+        low = F.floor((F.col("position") - F.col("place")) / F.lit(slop + 1))
+        bins = shifts.select(*DOC, "item", "place", F.explode(F.array(low - 1, low)).alias("bin")).distinct()
+        held = bins.groupBy(*DOC, "item", "bin").agg(F.count(F.lit(1)).alias("n"))
+        asked_for = self.spark.createDataFrame(needs, "item int, need int")
+        return held.join(asked_for, "item").filter(F.col("n") >= F.col("need")).select(*DOC, "item").distinct()
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", block_words: int = BLOCK_WORDS
+    docs: DataFrame,
+    benchmark: DataFrame,
+    doc_id: str = "doc_id",
+    item_id: str = "item_id",
+    text: str = "text",
+    block_words: int = BLOCK_WORDS,
+    near: bool = False,
 ) -> DataFrame:
-    """Per row: id, row, n_words, n_hit, n_items, items_sha256, contaminated."""
+    """Per row: id, row, n_words, n_hit, n_items, items_sha256, contaminated; with ``near`` also n_near_items, the
+    number of items with a proximity match."""
     scratch = Scratch(docs.sparkSession, "contamination")
-    all_docs, hits = None, []
+    all_docs, hits, close = None, [], []
     for number, items in enumerate(blocks_of(benchmark, item_id, text, block_words)):
         block = TestBlock(items)
         index = Index(docs, block, scratch, f"block{number}", doc_id=doc_id, text=text)
         all_docs = all_docs or index.docs
         names = docs.sparkSession.createDataFrame([(i, None if v is None else str(v)) for i, v in enumerate(block.ids)], "item int, name string")
         hits.append(index.matches(scratch, f"block{number}").join(names, "item").select(*DOC, "name", "first", "last"))
+        if near:
+            close.append(index.near(scratch, f"block{number}").select(*DOC))
     found = hits[0]
     for more in hits[1:]:
         found = found.unionByName(more)
@@ -241,6 +260,11 @@ def contamination(
     joined = null_safe_join(all_docs, null_safe_join(covered, named, DOC), DOC, "left")
     none = F.array().cast("array<string>")
     out = joined.withColumns({"n_hit": F.coalesce("n_hit", F.lit(0).cast("long")), "names": F.coalesce("names", none)})
+    added = []
+    if near:
+        counted = reduce(DataFrame.unionByName, close).groupBy(*DOC).agg(F.count(F.lit(1)).alias("n_near"))
+        out = null_safe_join(out, counted, DOC, "left")
+        added = [F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near_items")]
     return out.select(
         *DOC,
         "n_words",
@@ -248,6 +272,7 @@ def contamination(
         F.size("names").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "names"), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        *added,
     )
 
 

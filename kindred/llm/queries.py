@@ -64,7 +64,7 @@ def token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = positional_index.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    rows = positional_index.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), near=True)
     return rows.withColumnRenamed("id", "doc_id").drop("row")
 
 

@@ -142,3 +142,21 @@ def licences(text, phrases, templates, least=0.8):
                 best = max(best, share)
     base, at = {x for x, _ in places}, [i for _, i in places]
     return len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)), ",".join(sorted(base | found)), 1.0 if at else best
+
+
+def near_items(text, items, slop=10, share=0.5, size=3):
+    """Number of items of whose terms a share stands in the text at shifts of two neighbouring bins."""
+    w, found = alnum(text), 0
+    for item in items:
+        t = alnum(item)
+        k = min(size, len(t))
+        places = [t[i : i + k] for i in range(len(t) - k + 1)] if t else []
+        bins = {}
+        for place, term in enumerate(places):
+            for at in range(len(w) - k + 1):
+                if w[at : at + k] == term:
+                    low = (at - place) // (slop + 1)
+                    bins.setdefault(low, set()).add(place)
+                    bins.setdefault(low - 1, set()).add(place)
+        found += any(len(b) >= share * len(places) for b in bins.values())
+    return found

@@ -185,11 +185,24 @@ def test_decontamination(spark, docs, rows, empty):
     assert positional_index.contamination(empty, bench).count() == 0
 
 
-def test_proximity(spark):
-    docs = spark.createDataFrame([(1, "a b c x y d e f"), (2, "a b c " + "z " * 40 + "d e f")], "doc_id long, text string")
-    index = positional_index.Index(docs, positional_index.TestBlock([(1, "a b c d e f")]), Scratch(spark, "test-near"), "b")
-    assert {(r.id, abs(r.off)) for r in index.near(slop=5).collect()} == {(1, 2)}
-    assert index.matches(Scratch(spark, "test-near"), "b").count() == 0
+def test_proximity(spark, docs, rows, empty):
+    long = "a b c d e f g h i j k l m n o p q r s t"
+    texts = [
+        "a b c x y d e f", "a b c " + "z " * 40 + "d e f", None, "", "quick brown fox", "brown fox quick",
+        "a b c d e CHANGED g h i j k CHANGED m n o p q r s t", long, "x " * 300 + long.replace("f g", "f and g") + " x" * 300, " ".join(reversed(long.split())), "a b c " * 200,
+    ]
+    items = [*ITEMS, (6, "a b c d e f"), (7, long), (8, "a b a b a b c")]
+    mine = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(1, texts[6]), (None, long)], "doc_id long, text string")
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    want = [(i, brute.near_items(t, [x for _, x in items])) for i, t in [*enumerate(texts), (1, texts[6]), (None, long)]]
+    assert {n for _, n in want} >= {0, 1, 2}
+    for words in (250_000, 3):
+        got = positional_index.contamination(mine, tests, block_words=words, near=True).collect()
+        assert by_row(got, "id", "n_near_items") == sorted(want, key=repr)
+    got = positional_index.contamination(docs, tests, near=True).collect()
+    assert by_row(got, "id", "n_near_items") == sorted([(r[0], brute.near_items(r[1], [x for _, x in items])) for r in rows], key=repr)
+    assert positional_index.contamination(empty, tests, near=True).count() == 0
+    assert positional_index.contamination(mine, tests.limit(0), near=True).filter("n_near_items > 0").count() == 0
 
 
 def test_prefix_counts(docs, rows, empty):
