@@ -216,7 +216,7 @@ def table(docs: DataFrame, path: str, limit: int = LIMIT, doc_id: str = "doc_id"
         press = zstandard.ZstdCompressor(level=1, write_content_size=True)
         for batch in batches:
             ids, at = batch.column(0), 0
-            for texts in tokens.chunks(batch.column(1).to_pylist()):
+            for texts in tokens.chunks(batch.column(1)):
                 n_bytes, n_tokens, cut, tables = [], [], [], []
                 for t in texts:
                     changes = count.changes(t)

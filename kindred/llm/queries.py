@@ -60,7 +60,7 @@ def token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "token-store")
     root = scratch.path("store")
     token_store.write(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), root, scratch)
-    return token_store.digests(token_store.read(spark, root))
+    return token_store.read(spark, root, sums=True)
 
 
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

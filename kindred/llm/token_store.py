@@ -45,6 +45,7 @@ BLOCKS = (
     "doc_ids array<long>, offsets array<long>, n_tokens array<long>, start long, tokens long, data binary"
 )
 DECODED = "doc_id long, start long, n_tokens long, ids binary, width int"
+SUMS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", end: int = tokens.END) -> DataFrame:
@@ -55,7 +56,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
         last = np.array([end], dtype=enc.kind).tobytes()
         for batch in batches:
             ids, at = batch.column(0), 0
-            for texts in tokens.chunks(batch.column(1).to_pylist()):
+            for texts in tokens.chunks(batch.column(1)):
                 packed = [p + last for p in enc.encode(texts)]
                 yield {"doc_id": ids.slice(at, len(texts)), "packed": packed, "bytes": [len(p) for p in packed]}
                 at += len(texts)
@@ -93,7 +94,7 @@ def frames(docs: DataFrame, path: str, dictionary: bytes, doc_id: str = "doc_id"
         last = np.array([end], dtype=enc.kind).tobytes()
         for batch in batches:
             ids, at = batch.column(0), 0
-            for texts in tokens.chunks(batch.column(1).to_pylist()):
+            for texts in tokens.chunks(batch.column(1)):
                 packed = [p + last for p in enc.encode(texts)]
                 n = [len(p) // enc.kind.itemsize for p in packed]
                 yield {"doc_id": ids.slice(at, len(texts)), "n_tokens": n, "frame": [press.compress(p) for p in packed]}
@@ -158,29 +159,38 @@ def write(docs: DataFrame, path: str, root: str, scratch: Scratch, **columns) ->
     spark.createDataFrame(meta, "sha256 string, dictionary binary, width int").coalesce(1).write.mode("overwrite").parquet(f"{root}/dictionary")
 
 
-def _decode(frames: DataFrame, dictionary: bytes, digest: str, wanted: Sequence[int] | None) -> DataFrame:
+def _decode(frames: DataFrame, dictionary: bytes, digest: str, wanted: Sequence[int] | None, sums: bool) -> DataFrame:
     only = None if wanted is None else set(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         press = _decompressor(dictionary)
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["dictionary"] != digest:
-                    raise ValueError("a block names another dictionary than the store's")
-                starts = row["start"] + np.concatenate(([0], np.cumsum(row["n_tokens"])))
-                take = [i for i, d in enumerate(row["doc_ids"]) if only is None or d in only]
-                at = row["offsets"]
-                yield {
-                    "doc_id": [row["doc_ids"][i] for i in take], "start": [int(starts[i]) for i in take],
-                    "n_tokens": [row["n_tokens"][i] for i in take],
-                    "ids": [press.decompress(row["data"][at[i] : at[i + 1]]) for i in take], "width": [row["width"]] * len(take),
-                }
-
-    return map_batches(frames.select("doc_ids", "offsets", "n_tokens", "start", "dictionary", "width", "data"), run, DECODED)
-
-
-def read(spark: SparkSession, root: str, doc_ids: Sequence[int] | None = None) -> DataFrame:
-    """All documents of a store, or the named ones: then only their blocks are read and only their frames decompressed."""
+        # A block at a time: a batch of blocks and all that is packed in it would be many times as large.
+        for row in (batch.slice(i, 1).to_pylist()[0] for batch in batches for i in range(batch.num_rows)):
+            if row["dictionary"] != digest:
+                raise ValueError("a block names another dictionary than the store's")
+            starts = row["start"] + np.concatenate(([0], np.cumsum(row["n_tokens"])))
+            take = [i for i, d in enumerate(row["doc_ids"]) if only is None or d in only]
+            at, width = row["offsets"], row["width"]
+            ids = (press.decompress(row["data"][at[i] : at[i + 1]]) for i in take)
+            out = {
+                "doc_id": [row["doc_ids"][i] for i in take], "start": [int(starts[i]) for i in take],
+                "n_tokens": [row["n_tokens"][i] for i in take],
+            }
+            if sums:
+                out["ids_crc32"] = [zlib.crc32(np.frombuffer(p, dtype=f"<u{width}").astype("<u4").tobytes()) for p in ids]
+            else:
+                out |= {"ids": list(ids), "width": [width] * len(take)}
+            yield out
+
+    rows = frames.select("doc_ids", "offsets", "n_tokens", "start", "dictionary", "width", "data")
+    return map_batches(rows, run, SUMS if sums else DECODED)
+
+
+def read(spark: SparkSession, root: str, doc_ids: Sequence[int] | None = None, sums: bool = False) -> DataFrame:
+    """All documents of a store, or the named ones: then only their blocks are read and only their frames decompressed.
+
+    With ``sums`` the CRC-32 of every document's ids as unsigned 32-bit integers stands in place of the ids.
+    """
     meta = spark.read.parquet(f"{root}/dictionary").first()
     rows = spark.read.schema(BLOCKS).parquet(f"{root}/blocks")
     if doc_ids is not None:
@@ -190,19 +200,4 @@ def read(spark: SparkSession, root: str, doc_ids: Sequence[int] | None = None) -
         rows = rows.filter(near)
     bases = spark.read.schema("part int, base long").parquet(f"{root}/parts")
     rows = rows.join(bases, "part").withColumn("start", F.col("start") + F.col("base"))
-    return _decode(rows, bytes(meta["dictionary"]), meta["sha256"], doc_ids)
-
-
-def digests(decoded: DataFrame) -> DataFrame:
-    """``ids_crc32`` of every document's ids as unsigned 32-bit integers, in place of the ids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
-        for batch in batches:
-            kinds = batch.column("width").to_pylist()
-            sums = [
-                zlib.crc32(np.frombuffer(p, dtype=f"<u{w}").astype("<u4").tobytes())
-                for p, w in zip(batch.column("ids").to_pylist(), kinds)
-            ]
-            yield {"doc_id": batch.column("doc_id"), "start": batch.column("start"), "n_tokens": batch.column("n_tokens"), "ids_crc32": sums}
-
-    return map_batches(decoded, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _decode(rows, bytes(meta["dictionary"]), meta["sha256"], doc_ids, sums)

@@ -16,6 +16,8 @@ import unicodedata
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: White space by the Unicode property, as the pre-tokenizers see it.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -161,14 +163,12 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def chunks(values: list, most: int = 1_000_000) -> Iterable[list]:
-    """Runs of texts of about ``most`` characters, so that a batch of long texts stays small in memory."""
-    run, size = [], 0
-    for v in values:
-        run.append(v)
-        size += len(v or "") + 1
-        if size > most:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+def chunks(column: pa.Array, most: int = 1_000_000) -> Iterable[list]:
+    """Runs of the texts of a column of about ``most`` bytes; a batch of long texts is never held as Python strings at once."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    at = 0
+    while at < len(column):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield column.slice(at, to - at).to_pylist()
+        at = to
