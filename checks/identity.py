@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
-
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,7 @@ from checks.fixtures import AS_OF, identity_config, sql, views
 from kindred.functions.hashing import KEY_MASKS, canonical_hash, mask_of
 from kindred.functions.keyrules import key_valid
 from kindred.operators import prep as P
+from kindred.plans import bucketed as B
 from kindred.plans import canonical as K
 from kindred.plans import enrich as E
 from kindred.plans import extract as X
@@ -21,7 +22,7 @@ from kindred.plans import resolve as R
 from kindred.plans import stats as S
 from kindred.plans.config import CanonicalId, Key
 from kindred.plans.unify import resolve_incremental, unify_levels
-from kindred.sources.scratch import Scratch
+from kindred.sources.scratch import Scratch, checkpoint_root
 
 CFG = identity_config()
 CID = CFG.canonical_ids[0]
@@ -142,6 +143,26 @@ def q_enrich(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _published(spark, sf):
+    name = f"lookup_{uuid.uuid4().hex}"
+    return B.publish_lookup(lookup(spark, sf), name, buckets=16, path=f"{checkpoint_root(spark)}/{name}")
+
+
+def q_enrich_bucketed(spark, sf):
+    """Enrichment from a lookup that lies in buckets of its keys."""
+    src, found = sources(spark, sf), _published(spark, sf)
+    parts = []
+    for t, row_id in zip(CFG.tables, ("customer_id", "order_id", "event_id")):
+        df = B.enrich_bucketed(src[t.name], CFG, CID, t, found)
+        parts.append(df.select(F.lit(t.name).alias("table_name"), F.col(row_id).cast("string").alias("row_id"), "time", CID.name))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_master_bucketed(spark, sf):
+    df = B.master_bucketed(spark, CFG.master_tables[0], enriched(spark, sf), _published(spark, sf))
+    return df.withColumn("top_emails", F.concat_ws("|", "top_emails"))
+
+
 def q_enrich_unknown(spark, sf):
     """The fallback: enrich the orders against a lookup of the other two tables only."""
     src = sources(spark, sf)
@@ -536,6 +557,8 @@ QUERIES = {
     "idu_source_stats": q_source_stats,
     "idu_result_stats": q_result_stats,
     "idu_enrich": q_enrich,
+    "idu_enrich_bucketed": q_enrich_bucketed,
+    "idu_master_bucketed": q_master_bucketed,
     "idu_enrich_unknown": q_enrich_unknown,
     "idu_enrich_excl": q_enrich_excl,
     "idu_master_value": q_master_value,
@@ -585,6 +608,8 @@ ORACLES = {
     "idu_source_stats": ident(_source_stats_sql(), _SEEN),
     "idu_result_stats": ident(_result_stats_sql(), _RESULT),
     "idu_enrich": ident(_enrich_union(), ENRICHED),
+    "idu_enrich_bucketed": ident(_enrich_union(), ENRICHED),
+    "idu_master_bucketed": ident("SELECT * EXCLUDE (n_top_emails) FROM master", MASTER),
     "idu_enrich_unknown": ident("SELECT order_id, unified_id FROM en_shop_orders", _UNKNOWN),
     "idu_enrich_excl": ident(
         """SELECT c.*, k.canonical_id AS unified_id FROM cleaned c LEFT JOIN lookup k

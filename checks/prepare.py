@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.fixtures import AS_OF, sql, view, views
 from kindred.operators import keys as K
 from kindred.operators import prep as P
+from kindred.operators import sketches as SK
+from kindred.sources import tables
+from kindred.sources.scratch import checkpoint_root
 
 COLUMNS = {"customer_id": "customer_id", "email": "email", "phone": "phone"}
 EXCLUSION_SCHEMA = "key_value string, key_name string, tbls array<string>, note string"
@@ -146,6 +151,34 @@ def q_key_overlap(spark, sf):
     return K.key_overlap({"crm": (crm, "email"), "shop": (orders, "order_email"), "web": (web, "user_email")})
 
 
+_SKETCHED = {"crm_profiles": {"email": "email", "customer_id": "user_id"}, "shop_orders": {"order_email": "email", "customer_id": "user_id"}, "web_events": {"user_email": "email"}}
+
+
+def _sketches(spark, sf):
+    """Sketches of two loads of every table; the second one is repeated, which adds nothing."""
+    root = f"{checkpoint_root(spark)}/sketches-{uuid.uuid4().hex}"
+    sources = dict(zip(_SKETCHED, views(spark, sf, *_SKETCHED)))
+    for table, columns in _SKETCHED.items():
+        late = F.pmod(F.xxhash64("time", *columns), F.lit(2)) == 1
+        for run, rows in (("day1", ~late), ("day2", late), ("day2", late)):
+            SK.record_sketches(sources[table].filter(rows), table, columns, root, run)
+    return sources, SK.merge_sketches(tables.load(spark, root))
+
+
+def q_key_overlap_estimate(spark, sf):
+    return SK.overlap_estimate(_sketches(spark, sf)[1])
+
+
+def q_key_profile_estimate(spark, sf):
+    return SK.profile_estimate(_sketches(spark, sf)[1])
+
+
+def q_key_overlap_ranked(spark, sf):
+    """Exact overlaps of the pairs whose estimate reaches half of the smaller side."""
+    sources, merged = _sketches(spark, sf)
+    return SK.exact_overlap(sources, SK.worthwhile(SK.overlap_estimate(merged), 50))
+
+
 def q_key_detect(spark, sf):
     """Identifier columns of the tables, with the number of distinct values behind each."""
     names = ("crm_profiles", "shop_orders", "web_events", "raw_contacts", "part")
@@ -188,6 +221,9 @@ QUERIES = {
     "key_profile_numbers": q_key_profile_numbers,
     "prep_exclude_numbers": q_exclude_numbers,
     "key_overlap": q_key_overlap,
+    "key_overlap_estimate": q_key_overlap_estimate,
+    "key_overlap_ranked": q_key_overlap_ranked,
+    "key_profile_estimate": q_key_profile_estimate,
     "key_detect": q_key_detect,
     "key_excluded": q_key_excluded,
 }
@@ -237,6 +273,24 @@ def _overlap(a: str, b: str) -> str:
         FROM (SELECT (SELECT count(*) FROM v_{a}) AS na, (SELECT count(*) FROM v_{b}) AS nb, (SELECT count(*) FROM v_{a} JOIN v_{b} USING (v)) AS s)"""
 
 
+_COLUMNS = [(t, c, kind) for t, columns in _SKETCHED.items() for c, kind in columns.items()]
+
+
+def _pairs_sql(condition: str, *columns: str) -> str:
+    """Exact overlaps of all pairs of columns of a kind."""
+    pct = "CAST(round(CAST(shared * 100.0 / nullif({n}, 0) AS DECIMAL(18, 8)), 2) AS DOUBLE)"
+    parts = [
+        f"""SELECT '{k}' AS identifier_type, '{a}' AS table_a, '{ca}' AS column_a, '{b}' AS table_b, '{cb}' AS column_b,
+            (SELECT count(DISTINCT {ca}) FROM {a}) AS values_a, (SELECT count(DISTINCT {cb}) FROM {b}) AS values_b,
+            (SELECT count(*) FROM (SELECT DISTINCT {ca} AS v FROM {a}) JOIN (SELECT DISTINCT {cb} AS v FROM {b}) USING (v)) AS shared"""
+        for a, ca, k in _COLUMNS
+        for b, cb, kb in _COLUMNS
+        if k == kb and a < b
+    ]
+    more = "".join(f", {c}" for c in columns)
+    return f"SELECT *{more}, {pct.format(n='values_a')} AS coverage_a_pct, {pct.format(n='values_b')} AS coverage_b_pct FROM ({' UNION ALL '.join(parts)}) WHERE {condition}"
+
+
 ORACLES = {
     "prep_project": sql(
         """SELECT DISTINCT customer_id AS cust, order_email AS email, CAST(order_id AS VARCHAR) AS ord FROM shop_orders
@@ -290,6 +344,16 @@ ORACLES = {
         )
     ),
     "prep_exclude_numbers": sql("SELECT o_orderkey, CASE WHEN o_custkey % 7 <> 0 THEN o_custkey END AS phone FROM orders"),
+    # Tables below 2^14 values: the estimates are exact.
+    "key_overlap_estimate": sql(_pairs_sql("true", "CAST(0 AS BIGINT) AS error"), *_SKETCHED),
+    "key_overlap_ranked": sql(_pairs_sql("shared > 0 AND 2 * shared >= least(values_a, values_b)"), *_SKETCHED),
+    "key_profile_estimate": sql(
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{k}' AS identifier_type, count(DISTINCT {c}) AS unique_count, count(*) AS row_count, count(*) - count({c}) AS null_count FROM {t}"
+            for t, c, k in _COLUMNS
+        ),
+        *_SKETCHED,
+    ),
     "key_overlap": sql(
         " UNION ALL ".join([_overlap("crm", "shop"), _overlap("crm", "web"), _overlap("shop", "web")]),
         *_WEB,

@@ -43,7 +43,7 @@ def is_comparable(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
-def _spread(df: DataFrame) -> Column:
+def row_spread(df: DataFrame) -> Column:
     """A number that differs between rows and stays the same when a task is repeated."""
     names = [f"`{f.name}`" for f in df.schema.fields if is_comparable(f.dataType)]
     return F.xxhash64(*names, F.spark_partition_id())
@@ -86,5 +86,5 @@ def salted_join(
     else:
         right = right.withColumn("_salt", F.lit(0))
     ways = F.when(_any_null(on), F.lit(-(-total // floor))).otherwise(ways)
-    left = left.withColumn("_salt", F.pmod(_spread(left), ways).cast("int"))
+    left = left.withColumn("_salt", F.pmod(row_spread(left), ways).cast("int"))
     return left.join(right, [*on, "_salt"], how).select(*columns)

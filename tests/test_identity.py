@@ -1,6 +1,8 @@
 """Golden cases, brute force and properties of the unification."""
 
 import random
+import re
+import uuid
 from dataclasses import replace
 
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions.hashing import KEY_MASKS, canonical_hash, key_masks
 from kindred.functions.keyrules import key_valid
+from kindred.plans import bucketed as B
 from kindred.plans import canonical as K
 from kindred.plans import enrich as E
 from kindred.plans import extract as X
@@ -391,3 +394,71 @@ def test_patterns_are_checked_where_they_run(spark):
     assert pattern_fault(r"\p{IsLatin}+[a-z&&[^b]]") is None  # not a pattern in Python
     assert pattern_fault("(?P<x>a)") is not None  # one in Python only
     assert pattern_fault("(a") is not None
+
+
+def person_config():
+    return from_dict(
+        {
+            "keys": [{"name": "email"}, {"name": "customer_id"}],
+            "tables": [{"table": "crm", "key_columns": [{"column": c, "key": c} for c in ("email", "customer_id")]}],
+            "canonical_ids": [{"name": "person", "merge_by_keys": ["email", "customer_id"]}],
+            "master_tables": [
+                {"name": "people", "canonical_id": "person", "attributes": [{"name": "last_address", "source_columns": [{"table": "crm", "column": "address"}]}]}
+            ],
+        }
+    )
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def side_of(plan, table):
+    """The operators between a table's scan and the join above it."""
+    lines = plan.split("\n")
+    depth = lambda line: len(re.match(r"[ :+|*-]*", line)[0])
+    out = []
+    for i, line in enumerate(lines):
+        if "Scan parquet" in line and table in line:
+            below = depth(line)
+            for above in reversed(lines[:i]):
+                if depth(above) < below:
+                    below = depth(above)
+                    if "Join" in above:
+                        break
+                    out.append(above)
+    return out
+
+
+@pytest.fixture
+def merge_joins(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("floor", [1_000_000, 10])
+def test_bucketed_lookup(spark, tmp_path, merge_joins, floor):
+    people = [(f"e{i}", f"c{i}", f"a{i // 2}", 10 + i) for i in range(60)]
+    # A hot known key, a hot unknown one, many rows without a key.
+    hot = [("e1", None, None, 90 + i) for i in range(50)] + [("new", None, None, 90 + i) for i in range(40)] + [(None, None, "x", 90)] * 40
+    done = unify({"crm": contacts(spark, people)}, person_config(), as_of=AS_OF)
+    cfg = person_config()
+    canonical, table = cfg.canonical_ids[0], cfg.tables[0]
+    name = f"lookup_{uuid.uuid4().hex}"
+    found = B.publish_lookup(done.lookup, name, buckets=8, path=str(tmp_path / name))
+    arrived = contacts(spark, people + hot)
+    want = E.enrich(arrived, cfg, canonical, table, done.lookup)
+    got = B.enrich_bucketed(arrived, cfg, canonical, table, found, floor=floor)
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    sides = side_of(plan_of(B.enrich_bucketed(arrived, cfg, canonical, table, found)), found.by_key)
+    assert sides and not any("Exchange" in line for line in sides)
+    master = cfg.master_tables[0]
+    plain = M.master_table(master, {"crm": want}, done.lookup)
+    made = B.master_bucketed(spark, master, {"crm": got}, found)
+    assert sorted(map(repr, made.collect())) == sorted(map(repr, plain.collect())) and plain.count() == 60
+    sides = side_of(plan_of(made), found.by_id)
+    assert sides and not any("Exchange" in line for line in sides)
+    spark.sql(f"DROP TABLE {found.by_key}")
+    spark.sql(f"DROP TABLE {found.by_id}")
