@@ -8,19 +8,21 @@ dealt out by ranges of it, so that similar texts share a shard and a group of co
 size is spread over as many shards as it needs. Each shard holds a BM25 inverted
 index over its texts; the terms are token ids, so the document frequencies of the
 whole corpus are one array as long as the vocabulary. A seed document asks the
-index for its nearest unused texts, which fill its window best first. Where the
+index with all its ids for its nearest unused texts, which fill its window best first. Where the
 next one does not fit it is cut; what is left of it stays in the index. So only
 the last sequence of a shard is padded, and the padding is under one sequence per
 ``SHARD_TOKENS``.
 
 Defined results: a NULL or empty text is the end id alone; rows that repeat an id
-are documents of their own, also with the same text; an empty table gives no rows.
+are documents of their own, also with the same text; equal scores go by the order of
+the shard; very long texts fill windows of their own but for their rest; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +34,10 @@ from kindred.llm.common import map_batches
 from kindred.sources.scratch import Scratch
 
 WINDOW = 2048
-#: Tokens per shard, ids that a seed asks with, and the usual BM25 constants.
+#: Tokens per shard, ids that make the locality key, neighbours that are sorted at first, and the usual BM25 constants.
 SHARD_TOKENS = 1_000_000
-QUERY_TERMS = 32
+KEY_TERMS = 32
+FIRST = 64
 K1, B = 1.2, 0.75
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, seq long, offset long"
@@ -77,9 +80,9 @@ def distinct_ids(ids: np.ndarray, marks: np.ndarray) -> np.ndarray:
 
 def telling_terms(terms: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """The ids of highest inverse frequency of a text."""
-    if len(terms) <= QUERY_TERMS:
+    if len(terms) <= KEY_TERMS:
         return terms
-    return terms[np.argpartition(-idf[terms], QUERY_TERMS)[:QUERY_TERMS]]
+    return terms[np.argpartition(-idf[terms], KEY_TERMS)[:KEY_TERMS]]
 
 
 def _crc(ids: np.ndarray) -> int:
@@ -138,61 +141,50 @@ class Shard:
         self.text, self.weight = text[order], weight[order]
         self.heads = np.searchsorted(term[order], np.arange(len(idf) + 1))
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused texts that share a telling id with the seed, best first."""
-        terms = self.terms[seed]
-        terms = telling_terms(terms, self.idf)
-        spans = [slice(self.heads[t], self.heads[t + 1]) for t in terms.tolist()]
+    def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
+        """All unused texts that share an id with the seed, best first; equal scores in the order of the shard."""
+        spans = [slice(self.heads[t], self.heads[t + 1]) for t in self.terms[seed].tolist()]
         scores = np.bincount(
             np.concatenate([self.text[s] for s in spans]),
             weights=np.concatenate([self.weight[s] for s in spans]),
             minlength=len(self.rests),
         )
-        found = np.nonzero((scores > 0) & unused)[0]
-        return found[np.argsort(-scores[found], kind="stable")]
+        found = np.flatnonzero((scores > 0) & unused)
+        # A window takes few: the others are sorted only if they are asked for.
+        least = np.partition(scores[found], -FIRST)[-FIRST] if len(found) > FIRST else 0.0
+        for some in (found[scores[found] >= least], found[scores[found] < least]):
+            yield from some[np.argsort(-scores[some], kind="stable")].tolist()
 
     def pack(self, window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:
         """(text, first id, length, sequence, offset) of every piece."""
         unused = np.ones(len(self.rests), dtype=bool)
         taken = np.zeros(len(self.rests), dtype=np.int64)  # ids of each text already placed
         seq, room, following = -1, 0, 0
-        pending: list[int] = []
         cut: int | None = None
         while True:
-            if room == 0 or not pending:
-                if cut is None and room == 0:
-                    # A new seed: the next text in locality order.
-                    while following < len(unused) and not unused[following]:
-                        following += 1
-                    if following == len(unused):
-                        return
-                    seed = following
-                elif cut is not None:
-                    seed, cut = cut, None
-                else:
-                    # The neighbours ran out before the window was full.
-                    while following < len(unused) and not unused[following]:
-                        following += 1
-                    if following == len(unused):
-                        return
-                    seed = following
-                if room == 0:
-                    seq, room = seq + 1, window
-                unused[seed] = False
-                pending = [seed, *self.neighbours(seed, unused).tolist()]
-            text = pending.pop(0)
-            if text != seed and not unused[text]:
-                continue
-            unused[text] = False
-            first = int(taken[text])
-            length = min(room, int(self.lengths[text]) - first)
-            yield text, first, length, seq, window - room
-            taken[text] += length
-            room -= length
-            if taken[text] < self.lengths[text]:
-                cut = text  # the window is full; its rest seeds the next one
+            if cut is not None:
+                seed, cut = cut, None
+            else:
+                # A new seed: the next text in locality order, also where the neighbours ran out before the window was full.
+                while following < len(unused) and not unused[following]:
+                    following += 1
+                if following == len(unused):
+                    return
+                seed = following
             if room == 0:
-                pending = []
+                seq, room = seq + 1, window
+            unused[seed] = False
+            for text in chain([seed], self.neighbours(seed, unused)):
+                unused[text] = False
+                first = int(taken[text])
+                length = min(room, int(self.lengths[text]) - first)
+                yield text, first, length, seq, window - room
+                taken[text] += length
+                room -= length
+                if taken[text] < self.lengths[text]:
+                    cut = text  # the window is full; its rest seeds the next one
+                if room == 0:
+                    break
 
 
 def pack_rests(rests: DataFrame, kind: np.dtype, idf: np.ndarray, mean: float, window: int = WINDOW) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 import textwrap
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -299,3 +300,27 @@ def test_wrapped_notices(spark):
     docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
     got = {r.id: (r.labels, r.score) for r in license_join.scan(docs).collect()}
     assert got == {i: (label, 1.0 if label else 0.0) for i, (label, _) in enumerate(rows)}
+
+
+def test_neighbours_are_those_of_whole_queries():
+    """Every text of a shard by BM25 over all ids of the seed, against a plain loop."""
+    rng = np.random.default_rng(3)
+    rests = [rng.zipf(1.3, int(n)).clip(1, 199).astype(np.uint16) for n in rng.integers(1, 300, 150)]
+    rests += [rests[0], rests[0]]
+    found = np.zeros(200, dtype=np.int64)
+    for r in rests:
+        found[np.unique(r)] += 1
+    idf, mean = lexical_packing.inverse_frequency(found, len(rests)), float(np.mean([len(r) for r in rests]))
+    shard = lexical_packing.Shard(rests, idf, mean)
+    unused = rng.random(len(rests)) < 0.9
+    for seed in range(0, len(rests), 7):
+        scores = {}
+        for i, r in enumerate(rests):
+            counts = Counter(r.tolist())
+            norm = lexical_packing.K1 * (1 - lexical_packing.B + lexical_packing.B * len(r) / mean)
+            score = sum(float(idf[t]) * n * (lexical_packing.K1 + 1) / (n + norm) for t, n in counts.items() if t in set(rests[seed].tolist()))
+            if unused[i] and score > 0:
+                scores[i] = score
+        got = list(shard.neighbours(seed, unused))
+        assert sorted(got) == sorted(scores)
+        assert all(scores[a] >= scores[b] - 1e-3 for a, b in zip(got, got[1:]))
