@@ -59,7 +59,7 @@ def graph0(spark, sf):
 
 
 def graph(spark, sf):
-    return _stored(spark, sf, "graph", lambda: R.resolve(pairs(spark, sf), CID, N, AS_OF).graph)
+    return _stored(spark, sf, "graph", lambda: R.resolve(pairs(spark, sf), CID, N, AS_OF, saved=True, written=False).graph)
 
 
 def lookup(spark, sf):

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 # Rows of one key that a task takes; a key with more is cut into pieces of this size.
 # There are at most (rows / HOT_FLOOR) such keys: a hundred thousand in 10^11 rows.
 HOT_FLOOR = 1_000_000
+# Rows are first counted by this many hashes of their keys, or more where the table is larger.
+PLACES = 1 << 16
 
 
 def _any_null(on: Sequence[str]) -> Column:
@@ -24,14 +26,23 @@ def hot_keys(df: DataFrame, on: Sequence[str], total: int, floor: int = HOT_FLOO
     """Keys of more than ``floor`` rows and the number of pieces of that size each needs; None if there are none.
 
     At most ``total / floor`` rows by construction. Where ``total`` is no more than
-    ``floor`` there can be none, and nothing is counted.
+    ``floor`` there can be none, and nothing is counted. Else rows are counted by a hash of
+    their key, which moves a few numbers only: no key has more rows than its hash. Keys
+    themselves are counted where a hash has more than ``floor`` rows.
     """
     if total <= floor:
         return None
-    counts = df.filter(~_any_null(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    found = counts.filter(F.col("_n") > floor).withColumn("_ways", F.ceil(F.col("_n") / floor).cast("int")).drop("_n")
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    spark, places = df.sparkSession, max(PLACES, 4 * -(-total // floor))
+    keyed = df.filter(~_any_null(on)).select(*on, F.pmod(F.xxhash64(*on), F.lit(places)).alias("_place"))
+    crowded = keyed.groupBy("_place").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > floor).select("_place")
+    found = crowded.collect()
+    if not found:
+        return None
+    crowded = spark.createDataFrame(found, crowded.schema)
+    counts = keyed.join(F.broadcast(crowded), "_place", "left_semi").groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > floor).withColumn("_ways", F.ceil(F.col("_n") / floor).cast("int")).drop("_n")
+    rows = hot.collect()
+    return spark.createDataFrame(rows, hot.schema) if rows else None
 
 
 def is_comparable(kind: T.DataType) -> bool:
@@ -56,6 +67,7 @@ def salted_join(
     how: str = "inner",
     floor: int = HOT_FLOOR,
     total: int | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """Equi-join of a possibly skewed ``left`` with ``right``; ``how`` is inner, left,
     left_semi or left_anti.
@@ -63,7 +75,9 @@ def salted_join(
     Hot keys of ``left`` are cut into pieces and the matching ``right`` rows are
     repeated once per piece. Rows with a NULL key match nothing and are spread.
     ``left`` should be cheap to count (a scan or a saved table), or the caller
-    passes ``total``, its number of rows or an upper bound near it.
+    passes ``total``, its number of rows or an upper bound near it. ``largest`` is the
+    number of rows of its most frequent key or an upper bound, where the caller knows it:
+    up to ``floor``, keys are not counted.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how!r} is not supported")
@@ -73,7 +87,7 @@ def salted_join(
     if not keeps_unmatched:
         left = left.filter(~_any_null(on))
     total = left.count() if total is None else total
-    hot = hot_keys(left, on, total, floor)
+    hot = None if largest is not None and largest <= floor else hot_keys(left, on, total, floor)
     if hot is None and (not keeps_unmatched or total <= floor):
         return left.join(right, on, how).select(*columns)
 
@@ -86,5 +100,6 @@ def salted_join(
     else:
         right = right.withColumn("_salt", F.lit(0))
     ways = F.when(_any_null(on), F.lit(-(-total // floor))).otherwise(ways)
-    left = left.withColumn("_salt", F.pmod(row_spread(left), ways).cast("int"))
+    # Most rows have one way, and their columns are not hashed.
+    left = left.withColumn("_salt", F.when(ways == 1, F.lit(0)).otherwise(F.pmod(row_spread(left), ways).cast("int")))
     return left.join(right, [*on, "_salt"], how).select(*columns)

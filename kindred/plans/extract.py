@@ -73,9 +73,10 @@ def pair_table(records: DataFrame, table_count: int) -> DataFrame:
     The leader of a record is its first valid key. Only flat values are
     aggregated, so equal links collapse before the shuffle.
     """
-    links = records.filter(F.size("id_ns_array") > 0).select(
-        F.explode("id_ns_array").alias("f"), F.col("id_ns_array")[0].alias("l"), "time", "source_table_id"
-    )
+    # The outer form: Spark puts a test of the array below any other, which finds all keys of a row twice.
+    links = records.select(
+        F.explode_outer("id_ns_array").alias("f"), F.get("id_ns_array", F.lit(0)).alias("l"), "time", "source_table_id"
+    ).filter(F.col("f").isNotNull())
     return links.groupBy(
         F.col("f.id").alias("follower_id"),
         F.col("f.ns").alias("follower_ns"),
@@ -88,13 +89,14 @@ def _word_names(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c.startswith("_w")]
 
 
+def follower_columns(pairs: DataFrame) -> list[Column]:
+    """Aggregates over the links of a follower: its times and tables."""
+    return [F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"), *[F.bit_or(w).alias(w) for w in _word_names(pairs)]]
+
+
 def follower_table(pairs: DataFrame) -> DataFrame:
     """One row per follower with its times and tables over all its links."""
-    return pairs.groupBy("follower_id", "follower_ns").agg(
-        F.min("first_at").alias("first_at"),
-        F.max("last_at").alias("last_at"),
-        *[F.bit_or(w).alias(w) for w in _word_names(pairs)],
-    )
+    return pairs.groupBy("follower_id", "follower_ns").agg(*follower_columns(pairs))
 
 
 def edges(pairs: DataFrame, table_count: int, as_of: int) -> DataFrame:

@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.operators.skew import HOT_FLOOR, salted_join
 from kindred.plans.config import CanonicalId
-from kindred.plans.extract import follower_table, table_id_array
+from kindred.plans.extract import follower_columns, table_id_array
 from kindred.sources.scratch import Scratch
 
 MAX_STEPS = 30
@@ -122,18 +122,18 @@ def loop_to_fixpoint(
 
 
 def number_leaders(pairs: DataFrame, canonical: CanonicalId, seniority: DataFrame | None = None) -> DataFrame:
-    """Distinct leaders with a long ``rank`` that sorts like (priority, seniority, id).
+    """Distinct leaders with their number of links and a long ``rank`` that sorts like (priority, seniority, id).
 
     A global sort followed by partition-wise numbering keeps the order without
     a single-task window.
     """
-    leaders = pairs.select(*LEADER).distinct()
+    leaders = pairs.groupBy(*LEADER).agg(F.count(F.lit(1)).alias("links"))
     order = [leader_priority(canonical)]
     if seniority is not None:
         leaders = leaders.join(seniority, LEADER, "left")
         order.append(F.coalesce("seniority", F.lit(0)))
     ranked = leaders.orderBy(*order, "leader_id", "leader_ns")
-    return ranked.select(*LEADER, F.monotonically_increasing_id().alias("rank"))
+    return ranked.select(*LEADER, "links", F.monotonically_increasing_id().alias("rank"))
 
 
 def _node_state(graph: DataFrame) -> DataFrame:
@@ -145,11 +145,26 @@ def _node_state(graph: DataFrame) -> DataFrame:
     return both.groupBy("u").agg(F.min("v").alias("v"), F.sum("below").alias("below"), F.sum("above").alias("above"))
 
 
-def _progress(graph: DataFrame) -> tuple[int, int]:
-    """Edges, and nodes that keep the graph from being a set of stars around smallest nodes."""
+def _progress(graph: DataFrame) -> tuple[int, int, int]:
+    """Edges, nodes that keep the graph from being a set of stars around smallest nodes, and the most neighbours of a node."""
     is_open = (F.col("below") > 1) | ((F.col("below") > 0) & (F.col("above") > 0))
-    row = _node_state(graph).agg(F.coalesce(F.sum("below"), F.lit(0)).alias("edges"), F.count_if(is_open).alias("open")).first()
-    return row["edges"], row["open"]
+    count = lambda c: F.coalesce(c, F.lit(0))
+    row = _node_state(graph).agg(
+        count(F.sum("below")).alias("edges"), F.count_if(is_open).alias("open"), count(F.max(F.col("below") + F.col("above"))).alias("widest")
+    ).first()
+    return row["edges"], row["open"], row["widest"]
+
+
+def both_stars(graph: DataFrame) -> DataFrame:
+    """Large star and small star in one pass, for a graph whose nodes all have few neighbours.
+
+    The neighbours of a node meet in one window instead of a join with their minimum. No
+    window is larger than the neighbourhood of a node: the first star adds no edges to one.
+    """
+    both = graph.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(graph.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    around = both.withColumn("m", F.least("u", F.min("v").over(Window.partitionBy("u"))))
+    wide = around.filter(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
+    return _small_ends(wide.withColumn("m", F.min("b").over(Window.partitionBy("a"))))
 
 
 def large_star(graph: DataFrame, floor: int = HOT_FLOOR, total: int | None = None) -> DataFrame:
@@ -161,26 +176,33 @@ def large_star(graph: DataFrame, floor: int = HOT_FLOOR, total: int | None = Non
 def small_star(graph: DataFrame, floor: int = HOT_FLOOR, total: int | None = None) -> DataFrame:
     """Every node and its smaller neighbours are linked to the smallest of them."""
     lowest = graph.groupBy("a").agg(F.min("b").alias("m"))
-    joined = salted_join(graph, lowest, ["a"], floor=floor, total=total)
+    return _small_ends(salted_join(graph, lowest, ["a"], floor=floor, total=total))
+
+
+def _small_ends(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) with ``m``, the smallest neighbour of a: both ends are linked to it."""
     ends = F.array(
         F.struct(F.col("a").alias("a"), F.col("m").alias("b")),
         F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
     )
-    return joined.select(F.inline(ends)).filter(F.col("a") != F.col("b")).distinct()
+    return edges.select(F.inline(ends)).filter(F.col("a") != F.col("b")).distinct()
 
 
 def contract(graph: DataFrame, scratch: Scratch, max_steps: int = MAX_STEPS, floor: int = HOT_FLOOR) -> tuple[DataFrame, list[dict]]:
-    """Component stars (node a, root b) of an edge table of longs with a > b."""
+    """Component stars (node a, root b) of an edge table of longs with a > b; metrics, with the most neighbours of a node."""
     current, metrics = scratch.save(graph, "contract0"), []
     for step in range(1, max_steps + 1):
-        edge_count, pending = _progress(current)
-        metrics.append({"iteration": step, "edge_count": edge_count, "updated_count": pending})
+        edge_count, pending, widest = _progress(current)
+        metrics.append({"iteration": step, "edge_count": edge_count, "updated_count": pending, "widest": widest})
         if pending == 0:
             return current, metrics
-        # The second half reads this twice.
-        wide = scratch.save(large_star(current, floor, edge_count), f"large{step}")
-        current = scratch.save(small_star(wide, floor, edge_count), f"contract{step}")
-        scratch.drop(f"large{step}")
+        if widest <= floor:
+            current = scratch.save(both_stars(current), f"contract{step}")
+        else:
+            # The second half reads this twice.
+            wide = scratch.save(large_star(current, floor, edge_count), f"large{step}")
+            current = scratch.save(small_star(wide, floor, edge_count), f"contract{step}")
+            scratch.drop(f"large{step}")
         scratch.drop(f"contract{step - 1}")
     raise NotConverged(metrics)
 
@@ -194,33 +216,44 @@ def resolve(
     floor: int = HOT_FLOOR,
     seniority: DataFrame | None = None,
     saved: bool = False,
+    written: bool = True,
 ) -> Resolution:
-    """Final graph from the link table of ``extract.pair_table``; ``saved`` tells that it is a written table already."""
+    """Final graph from the link table of ``extract.pair_table``; ``saved`` tells that it is a written table already.
+
+    With ``written=False`` the graph is left for the caller to write.
+    """
     scratch = Scratch(pairs.sparkSession, "resolve")
     pairs = pairs if saved else scratch.save(pairs, "pairs")
     # No table below has more rows than there are links.
     total = pairs.count()
     leaders = scratch.save(number_leaders(pairs, canonical, seniority), "leaders")
+    # Most links of a leader: no leader has more followers, whether it is their only or their smallest one.
+    busiest = leaders.agg(F.coalesce(F.max("links"), F.lit(0))).first()[0]
 
-    ranked = salted_join(pairs.select(*FOLLOWER, *LEADER), leaders, LEADER, floor=floor, total=total)
-    ranked = ranked.select(*FOLLOWER, "rank")
-    ranked = scratch.save(ranked, "ranked")
-    lowest = ranked.groupBy(*FOLLOWER).agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
+    ranked = salted_join(pairs, leaders.select(*LEADER, "rank"), LEADER, floor=floor, total=total, largest=busiest)
+    ranked = scratch.save(ranked.drop(*LEADER), "ranked")
+    lowest = ranked.groupBy(*FOLLOWER).agg(
+        F.min("rank").alias("low"), F.max("rank").alias("high"), F.count(F.lit(1)).alias("links"), *follower_columns(pairs)
+    )
     lowest = scratch.save(lowest, "lowest")
 
-    # Leaders that share a follower belong together; most followers have one leader only.
-    shared = lowest.filter(F.col("low") < F.col("high")).select(*FOLLOWER, "low")
-    joint = salted_join(ranked, shared, FOLLOWER, floor=floor, total=total).filter(F.col("rank") > F.col("low"))
-    links = joint.select(F.col("rank").alias("a"), F.col("low").alias("b")).distinct()
-    stars, metrics = contract(links, scratch, max_steps, floor)
+    # Leaders that share a follower belong together; most followers have one leader only, and two need no second look.
+    most = lowest.agg(F.coalesce(F.max("links"), F.lit(0))).first()[0]
+    links = lowest.filter(F.col("links") == 2).select(F.col("high").alias("a"), F.col("low").alias("b"))
+    if most > 2:
+        shared = lowest.filter(F.col("links") > 2).select(*FOLLOWER, "low")
+        joint = salted_join(ranked.select(*FOLLOWER, "rank"), shared, FOLLOWER, floor=floor, total=total, largest=most)
+        links = links.unionByName(joint.filter(F.col("rank") > F.col("low")).select(F.col("rank").alias("a"), F.col("low").alias("b")))
+    stars, metrics = contract(links.distinct(), scratch, max_steps, floor)
 
     winner = leaders.select(F.col("rank").alias("root"), *LEADER)
     roots = leaders.select("rank").join(stars.select(F.col("a").alias("rank"), F.col("b").alias("root")), "rank", "left")
     roots = scratch.save(roots.select("rank", F.coalesce("root", "rank").alias("root")), "roots")
-    finals = salted_join(roots, winner, ["root"], floor=floor, total=total).select(F.col("rank").alias("low"), *LEADER)
+    # The stars' nodes and the root itself.
+    finals = salted_join(roots, winner, ["root"], floor=floor, total=total, largest=metrics[-1]["widest"] + 1)
+    finals = finals.select(F.col("rank").alias("low"), *LEADER)
 
-    placed = salted_join(lowest.select(*FOLLOWER, "low"), finals, ["low"], floor=floor, total=total).drop("low")
-    graph = follower_table(pairs).join(placed, FOLLOWER).select(
+    graph = salted_join(lowest, finals, ["low"], floor=floor, total=total, largest=busiest).select(
         *FOLLOWER,
         *LEADER,
         F.col("first_at").alias("follower_first_seen_at"),
@@ -228,9 +261,8 @@ def resolve(
         table_id_array(table_count).alias("follower_source_table_ids"),
         F.lit(as_of).cast("long").alias("follower_last_processed_at"),
     )
-    graph = scratch.save(graph, "graph")
-    for name in ("ranked", "lowest", "roots"):
-        scratch.drop(name)
+    if written:
+        graph = scratch.save(graph, "graph")
+        for name in ("ranked", "lowest", "roots"):
+            scratch.drop(name)
     return Resolution(graph, metrics)
-
-

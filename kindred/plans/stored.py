@@ -130,7 +130,7 @@ def _full(spark: SparkSession, sources: Mapping[str, DataFrame], cfg: Config, ro
         check_config(one, {name: df.schema for name, df in rows.items()})
         name = level.name
         pairs = scratch.save(pair_table(extract_all(rows, one, level), count), f"{name}-pairs")
-        result = resolve(pairs, level, count, as_of, level.merge_iterations or MAX_STEPS, saved=True)
+        result = resolve(pairs, level, count, as_of, level.merge_iterations or MAX_STEPS, saved=True, written=False)
         tables.swap_commit(result.graph, f"{root}/{name}_graph")
         graph = tables.load(spark, f"{root}/{name}_graph")
         tables.replace_by_keys(K.lookup_table(graph, level), f"{root}/{name}_lookup", ["canonical_id"], _buckets(graph.count(), buckets), run_id)
@@ -249,6 +249,7 @@ def _finish(spark: SparkSession, cfg: Config, root: str) -> None:
             continue
         as_of = tables.load(spark, plan).first()["as_of"]
         work = lambda name: spark.read.parquet(_work(spark, root, run_id, name))  # noqa: B023, E731
+        scratch = Scratch(spark, "unify-publish")
         earlier: list[CanonicalId] = []
         for level in levels_of(cfg):
             name = level.name
@@ -266,7 +267,8 @@ def _finish(spark: SparkSession, cfg: Config, root: str) -> None:
             n = m.canonical_id
             now = [work(f"{t.name}-ids").filter(F.col("level") == n).select(F.col("id").alias(n)) for t in cfg.tables]
             now.append(work(f"{n}-merged").select(F.col("canonical_id").alias(n)))
-            changed_ids = reduce(DataFrame.unionByName, now).distinct()
+            # Written once: every attribute of the master reads the rows of these ids.
+            changed_ids = scratch.save(reduce(DataFrame.unionByName, now).distinct(), f"{m.name}-ids")
             of_them = {t.name: tables.load(spark, f"{root}/enriched_{t.name}").join(changed_ids, n, "left_semi") for t in cfg.tables}
             made = master_table(m, of_them, work(f"{n}-lookup"))
             gone = changed_ids.unionByName(work(f"{n}-merged").select(F.col("old_canonical_id").alias(n)))
@@ -275,6 +277,7 @@ def _finish(spark: SparkSession, cfg: Config, root: str) -> None:
             lookup = tables.load(spark, f"{root}/{level.name}_lookup")
             _store(spark, result_key_stats(_as_graph(lookup), cfg, level, as_of), f"{root}/{level.name}_result_key_stats")
         tables.append(spark.createDataFrame([tuple(r) for r in marks], state.INC_LOG_SCHEMA), inc_log, run_id)
+        scratch.close()
 
 
 def expected_outputs(spark: SparkSession, cfg: Config) -> DataFrame:

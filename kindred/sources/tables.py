@@ -362,9 +362,12 @@ def replace_keys(added: DataFrame, gone: DataFrame, root: str, keys: Sequence[st
         raise ValueError(f"{root} is kept by {manifest.keys}, not by {keys}")
     manifest = changed(manifest, schema=_schema_text(_merged_schema(manifest.struct, added.schema, root)))
     scratch = Scratch(spark, "replace-keys")
-    added = scratch.save(added, "added")
     gone = scratch.save(gone.select(*keys).distinct(), "gone")
-    wanted = manifest.buckets or buckets or max(MIN_BUCKETS, -(-scratch.bytes_of("added") // BUCKET_BYTES))
+    wanted = manifest.buckets or buckets
+    if not wanted:
+        # The number follows from the size; else the rows are read once, below.
+        added = scratch.save(added, "added")
+        wanted = max(MIN_BUCKETS, -(-scratch.bytes_of("added") // BUCKET_BYTES))
     touched = {f"b{r[0]}" for r in gone.select(_bucket_of(keys, wanted)).distinct().collect()} - {"b-1"}  # at most the buckets
     touched &= set(manifest.parts)
     kept = untouched_rows(_read(spark, root, manifest, sorted(touched)), gone, keys)
