@@ -163,10 +163,17 @@ def stage(docs: DataFrame) -> DataFrame:
     Of rows that repeat an id the one with the smallest text stays; rows without an
     id cannot be told apart and stay unless their group has a document with one.
     """
-    wanted = components(docs).filter(F.col("component").isNull() | (F.col("id") == F.col("component"))).select("id").distinct()
+    found = components(docs).filter(F.col("component").isNull() | (F.col("id") == F.col("component")))
+    # Read twice below.
+    wanted = Scratch(docs.sparkSession, "simhash-stage").save(found.groupBy("id").agg(F.count(F.lit(1)).alias("rows")), "wanted")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    wrapped = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), row.alias("_doc"))
-    kept = wrapped.join(wanted, wrapped["_id"].eqNullSafe(wanted["id"]), "left_semi")
-    first = Window.partitionBy("_id").orderBy("_text")
+    wrapped = docs.select(F.col("doc_id").alias("_id"), row.alias("_doc"))
+    # An id of one row needs no order, so its text is not moved for one.
+    alone = wanted.filter((F.col("rows") == 1) & F.col("id").isNotNull())
+    single = wrapped.join(alone, wrapped["_id"] == alone["id"], "left_semi").select("_doc.*")
+    several = wanted.filter((F.col("rows") > 1) | F.col("id").isNull())
+    kept = wrapped.join(several, wrapped["_id"].eqNullSafe(several["id"]), "left_semi")
+    first = Window.partitionBy("_id").orderBy("_doc.text")
     ranked = kept.withColumn("_rank", F.row_number().over(first))
-    return ranked.filter((F.col("_rank") == 1) | F.col("_id").isNull()).select("_doc.*")
+    ranked = ranked.filter((F.col("_rank") == 1) | F.col("_id").isNull()).select("_doc.*")
+    return single.unionByName(ranked)

@@ -94,3 +94,13 @@ def test_replaced_keys_are_written_once(spark, tmp_path, monkeypatch):
     tables.replace_keys(added, added, root, ["id"], "day1")
     assert sorted((r.id, r.v) for r in tables.load(spark, root).collect()) == [(i, int(i >= 5)) for i in range(25)]
     assert saved == ["gone"]
+
+
+def test_documents_with_an_id_of_their_own_are_not_ordered(spark):
+    """Only rows that share an id, or have none, go through the window; each distinct text of the others stays."""
+    simhash_index = pytest.importorskip("kindred.llm.simhash_index")
+    words = ["red fox runs far", "blue whale sings low", "green tree grows tall", "old clock ticks on"]
+    rows = [(1, words[0]), (2, words[1]), (2, words[2]), (3, words[3]), (4, words[0]), (5, words[3]), (None, "nobody knows this one here")]
+    kept = simhash_index.stage(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect())[-3:] == [(1, words[0]), (2, words[1]), (3, words[3])]
+    assert "Union" in kept._jdf.queryExecution().optimizedPlan().toString()
