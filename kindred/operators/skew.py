@@ -22,6 +22,16 @@ def _any_null(on: Sequence[str]) -> Column:
     return test
 
 
+def crowded_places(df: DataFrame, on: Sequence[str], places: int, floor: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` with the place of their key, and the places of more than ``floor`` rows.
+
+    NULL keys have a place of their own, NULL. A test of the keys, or of the place, would be pushed
+    to the scan, where Spark computes the keys again for each of its terms.
+    """
+    keyed = df.select(*on, F.when(~_any_null(on), F.pmod(F.xxhash64(*on), F.lit(places))).alias("_place"))
+    return keyed, keyed.groupBy("_place").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > floor).select("_place")
+
+
 def hot_keys(df: DataFrame, on: Sequence[str], total: int, floor: int = HOT_FLOOR) -> DataFrame | None:
     """Keys of more than ``floor`` rows and the number of pieces of that size each needs; None if there are none.
 
@@ -33,9 +43,8 @@ def hot_keys(df: DataFrame, on: Sequence[str], total: int, floor: int = HOT_FLOO
     if total <= floor:
         return None
     spark, places = df.sparkSession, max(PLACES, 4 * -(-total // floor))
-    keyed = df.filter(~_any_null(on)).select(*on, F.pmod(F.xxhash64(*on), F.lit(places)).alias("_place"))
-    crowded = keyed.groupBy("_place").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > floor).select("_place")
-    found = crowded.collect()
+    keyed, crowded = crowded_places(df, on, places, floor)
+    found = [row for row in crowded.collect() if row["_place"] is not None]
     if not found:
         return None
     crowded = spark.createDataFrame(found, crowded.schema)

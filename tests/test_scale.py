@@ -25,6 +25,17 @@ def test_keys_are_counted_where_their_hash_is_crowded(spark, monkeypatch):
         assert skew.hot_keys(df, ["k"], 35, floor=9) is None
 
 
+def test_places_are_counted_without_a_second_look_at_the_keys(spark):
+    """A test of computed keys below the count made Spark compute them once per term of it."""
+    df = spark.range(20).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("mail"))
+    key = F.when(F.col("mail").rlike("k.*"), F.struct(F.col("mail").alias("id"), F.lit(1).alias("ns")))
+    keyed = df.withColumn("_key", F.coalesce(key)).select(F.col("_key.id").alias("_id"), F.col("_key.ns").alias("_ns"))
+    _, crowded = skew.crowded_places(keyed, ["_id", "_ns"], 16, 0)
+    plan = crowded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 1
+    assert plan.count("Filter") == 1 and plan.index("Filter") < plan.index("Aggregate")
+
+
 def test_known_frequency_needs_no_count(spark, monkeypatch):
     monkeypatch.setattr(skew, "hot_keys", lambda *a, **k: pytest.fail("keys were counted"))
     left = spark.createDataFrame([("a", i) for i in range(9)] + [(None, 9)], "k string, v int")
