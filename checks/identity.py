@@ -66,11 +66,13 @@ def lookup(spark, sf):
     return _stored(spark, sf, "lookup", lambda: K.lookup_table(graph(spark, sf), CID))
 
 
+def enriched_one(spark, sf, table: str) -> DataFrame:
+    t = CFG.tables[TABLES.index(table)]
+    return _stored(spark, sf, f"enriched-{table}", lambda: E.enrich(sources(spark, sf)[table], CFG, CID, t, lookup(spark, sf)))
+
+
 def enriched(spark, sf) -> dict[str, DataFrame]:
-    src, found = sources(spark, sf), lookup(spark, sf)
-    return {
-        t.name: _stored(spark, sf, f"enriched-{t.name}", lambda t=t: E.enrich(src[t.name], CFG, CID, t, found)) for t in CFG.tables
-    }
+    return {name: enriched_one(spark, sf, name) for name in TABLES}
 
 
 def master(spark, sf):
@@ -196,11 +198,11 @@ def q_enrich_excl(spark, sf):
 
 
 def q_master_value(spark, sf):
-    return M.master_value(enriched(spark, sf)["shop_orders"], CID.name, "order_email", "time", "last_email")
+    return M.master_value(enriched_one(spark, sf, "shop_orders"), CID.name, "order_email", "time", "last_email")
 
 
 def q_order_first(spark, sf):
-    return M.master_value(enriched(spark, sf)["shop_orders"], CID.name, "customer_id", "time", "first_customer", newest=False)
+    return M.master_value(enriched_one(spark, sf, "shop_orders"), CID.name, "customer_id", "time", "first_customer", newest=False)
 
 
 def q_master_array(spark, sf):
@@ -215,7 +217,7 @@ def q_master(spark, sf):
 
 
 def q_master_counts(spark, sf):
-    df = M.master_counts(enriched(spark, sf)["shop_orders"], CID.name, "customer_id", "all_user_ids", "order_count")
+    df = M.master_counts(enriched_one(spark, sf, "shop_orders"), CID.name, "customer_id", "all_user_ids", "order_count")
     joined = master(spark, sf).select(CID.name).join(df, CID.name)
     return joined.withColumn("all_user_ids", F.concat_ws("|", "all_user_ids"))
 

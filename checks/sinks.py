@@ -342,7 +342,7 @@ def q_bucketed(spark, sf):
     """Enriched orders in a catalog table bucketed by canonical id, joined without a shuffle of it."""
     name = f"bucketed_{uuid.uuid4().hex}"
     path = _root(spark, "bucketed")
-    enriched = I.enriched(spark, sf)["shop_orders"]
+    enriched = I.enriched_one(spark, sf, "shop_orders")
     tables.write_bucketed(enriched, name, [I.CID.name], buckets=16, path=path)
     per_id = spark.table(name).groupBy(I.CID.name).agg(F.count(F.lit(1)).alias("orders"))
     return per_id

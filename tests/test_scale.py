@@ -36,6 +36,15 @@ def test_places_are_counted_without_a_second_look_at_the_keys(spark):
     assert plan.count("Filter") == 1 and plan.index("Filter") < plan.index("Aggregate")
 
 
+def test_one_enriched_table_does_not_make_the_others(spark, monkeypatch):
+    from checks import identity as I
+
+    asked = []
+    monkeypatch.setattr(I, "_stored", lambda spark, sf, name, make: asked.append(name) or name)
+    assert I.enriched_one(spark, "nowhere", "shop_orders") == "enriched-shop_orders"
+    assert asked == ["enriched-shop_orders"]
+
+
 def test_known_frequency_needs_no_count(spark, monkeypatch):
     monkeypatch.setattr(skew, "hot_keys", lambda *a, **k: pytest.fail("keys were counted"))
     left = spark.createDataFrame([("a", i) for i in range(9)] + [(None, 9)], "k string, v int")
