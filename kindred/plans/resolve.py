@@ -51,14 +51,25 @@ def leader_priority(canonical: CanonicalId, ns: str = "leader_ns") -> Column:
 # -- the definition, one whole-graph step at a time ---------------------------
 
 
-def loop_step(graph: DataFrame, canonical: CanonicalId, as_of: int, floor: int = HOT_FLOOR) -> DataFrame:
+def loop_step(graph: DataFrame, canonical: CanonicalId, as_of: int, floor: int = HOT_FLOOR, scratch: Scratch | None = None) -> DataFrame:
     """One step: every leader follows itself; each older leader is replaced by the
-    smallest leader it shares a follower with."""
+    smallest leader it shares a follower with.
+
+    The links of the step are written to ``links`` of ``scratch``, since they are read several times.
+    """
+    scratch = scratch or Scratch(graph.sparkSession, "step")
     rows = graph.count()
     leaders = graph.select(*[F.col(c).alias(f) for c, f in zip(LEADER, FOLLOWER)]).distinct()
-    own = salted_join(graph.drop(*LEADER), leaders, FOLLOWER, floor=floor, total=rows)
+    # A leader follows itself in one row, however many links it has.
+    followers = graph.groupBy(*FOLLOWER).agg(
+        F.min("follower_first_seen_at").alias("follower_first_seen_at"),
+        F.max("follower_last_seen_at").alias("follower_last_seen_at"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("follower_source_table_ids")))).alias("follower_source_table_ids"),
+        F.max("follower_last_processed_at").alias("follower_last_processed_at"),
+    )
+    own = followers.join(leaders, FOLLOWER, "left_semi")
     own = own.withColumns({"leader_id": F.col("follower_id"), "leader_ns": F.col("follower_ns")})
-    links = graph.unionByName(own)
+    links = scratch.save(graph.unionByName(own), "links")
     leader = F.struct(leader_priority(canonical).alias("prio"), F.col("leader_id").alias("id"), F.col("leader_ns").alias("ns"))
     flat = links.select(*FOLLOWER, leader.alias("leader"))
     newest = flat.groupBy(*FOLLOWER).agg(F.min("leader").alias("newest"))
@@ -106,7 +117,8 @@ def loop_to_fixpoint(
     scratch = Scratch(graph.sparkSession, "loop")
     prev, metrics = scratch.save(graph, "step0"), []
     for step in range(1, (fixed_steps or max_steps) + 1):
-        curr = scratch.save(loop_step(prev, canonical, as_of), f"step{step}")
+        curr = scratch.save(loop_step(prev, canonical, as_of, scratch=scratch), f"step{step}")
+        scratch.drop("links")
         updated = changed_links(prev, curr).count()
         metrics.append({"iteration": step, "edge_count": curr.count(), "updated_count": updated})
         scratch.drop(f"step{step - 1}")

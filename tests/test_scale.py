@@ -36,6 +36,18 @@ def test_places_are_counted_without_a_second_look_at_the_keys(spark):
     assert plan.count("Filter") == 1 and plan.index("Filter") < plan.index("Aggregate")
 
 
+def test_loop_step_reads_its_links_from_a_written_table(spark):
+    """The links with the leaders' own rows went through their join five times a step."""
+    rows = [("a", 1, "a", 1), ("b", 1, "a", 1), ("b", 1, "c", 1), ("c", 1, "c", 1), ("d", 1, "c", 1)]
+    graph = spark.createDataFrame(rows, "follower_id string, follower_ns long, leader_id string, leader_ns long")
+    graph = graph.withColumns({c: F.lit(5).cast("long") for c in ("follower_first_seen_at", "follower_last_seen_at", "follower_last_processed_at")})
+    graph = graph.withColumn("follower_source_table_ids", F.array(F.lit(1).cast("long")))
+    step = R.loop_step(graph, CID, AS_OF)
+    plan = step._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan and "LocalRelation" not in plan and "LogicalRDD" not in plan
+    assert sorted((r.follower_id, r.leader_id) for r in step.collect()) == [("a", "a"), ("b", "a"), ("c", "a"), ("d", "a")]
+
+
 def test_one_enriched_table_does_not_make_the_others(spark, monkeypatch):
     from checks import identity as I
 
