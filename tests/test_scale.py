@@ -48,6 +48,22 @@ def test_loop_step_reads_its_links_from_a_written_table(spark):
     assert sorted((r.follower_id, r.leader_id) for r in step.collect()) == [("a", "a"), ("b", "a"), ("c", "a"), ("d", "a")]
 
 
+def test_small_partitions_are_hashed_instead_of_sorting_both_sides(spark):
+    left, right = (spark.range(2000).select((F.col("id") % 500).alias("k"), F.col("id").alias(v)) for v in "ab")
+    joined = left.hint("rebalance").join(right.groupBy("k").agg(F.max("b").alias("b")), "k", "left")
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert adaptive is None
+        assert sorted(r["b"] for r in joined.collect())[-1] == 1999
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    final = plan.split("Initial Plan")[0]
+    assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
+
+
 def test_one_enriched_table_does_not_make_the_others(spark, monkeypatch):
     from checks import identity as I
 
