@@ -58,12 +58,15 @@ def _table_words(table_count: int) -> list[Column]:
     return words
 
 
+def table_bits(table_count: int) -> list[Column]:
+    """Per table: is it in the bit sets?"""
+    places = [divmod(t, BITS) for t in range(table_count)]
+    return [F.col(f"_w{word}").bitwiseAND(F.lit(1 << bit)) != 0 for word, bit in places]
+
+
 def table_id_array(table_count: int) -> Column:
     """Ascending array of the table ids in the bit sets."""
-    bits = []
-    for t in range(table_count):
-        word, bit = divmod(t, BITS)
-        bits.append(F.when(F.col(f"_w{word}").bitwiseAND(F.lit(1 << bit)) != 0, F.lit(t + 1).cast("long")))
+    bits = [F.when(is_seen, F.lit(t + 1).cast("long")) for t, is_seen in enumerate(table_bits(table_count))]
     return F.filter(F.array(*bits), lambda x: x.isNotNull())
 
 

@@ -34,10 +34,16 @@ class NotConverged(RuntimeError):
 
 @dataclass
 class Resolution:
-    """Final graph, one row per follower, and one metrics row per step."""
+    """Final graph, one row per follower, and one metrics row per step.
+
+    ``seen`` and ``followers``, where they are kept, have the tables of every link's follower by ``rank``
+    of the leader, and of every follower, as bit sets.
+    """
 
     graph: DataFrame
     metrics: list[dict] = field(default_factory=list)
+    seen: DataFrame | None = None
+    followers: DataFrame | None = None
 
 
 def leader_priority(canonical: CanonicalId, ns: str = "leader_ns") -> Column:
@@ -232,7 +238,7 @@ def resolve(
 ) -> Resolution:
     """Final graph from the link table of ``extract.pair_table``; ``saved`` tells that it is a written table already.
 
-    With ``written=False`` the graph is left for the caller to write.
+    With ``written=False`` the graph is left for the caller to write, and the tables of links and followers are kept.
     """
     scratch = Scratch(pairs.sparkSession, "resolve")
     pairs = pairs if saved else scratch.save(pairs, "pairs")
@@ -252,9 +258,12 @@ def resolve(
     # Leaders that share a follower belong together; most followers have one leader only, and two need no second look.
     most = lowest.agg(F.coalesce(F.max("links"), F.lit(0))).first()[0]
     links = lowest.filter(F.col("links") == 2).select(F.col("high").alias("a"), F.col("low").alias("b"))
+    words = [c for c in pairs.columns if c.startswith("_w")]
+    seen = lowest.select(F.explode(F.when(F.col("links") > 1, F.array("low", "high")).otherwise(F.array("low"))).alias("rank"), *words)
     if most > 2:
-        shared = lowest.filter(F.col("links") > 2).select(*FOLLOWER, "low")
+        shared = lowest.filter(F.col("links") > 2).select(*FOLLOWER, "low", *words)
         joint = salted_join(ranked.select(*FOLLOWER, "rank"), shared, FOLLOWER, floor=floor, total=total, largest=most)
+        seen = seen.unionByName(joint.select("rank", *words))
         links = links.unionByName(joint.filter(F.col("rank") > F.col("low")).select(F.col("rank").alias("a"), F.col("low").alias("b")))
     stars, metrics = contract(links.distinct(), scratch, max_steps, floor)
 
@@ -277,4 +286,5 @@ def resolve(
         graph = scratch.save(graph, "graph")
         for name in ("ranked", "lowest", "roots"):
             scratch.drop(name)
-    return Resolution(graph, metrics)
+        return Resolution(graph, metrics)
+    return Resolution(graph, metrics, seen, lowest.select("follower_ns", *words))

@@ -25,11 +25,11 @@ from kindred.operators import state
 from kindred.plans import canonical as K
 from kindred.plans.config import CanonicalId, Config, KeyColumn, check_config
 from kindred.plans.enrich import enrich
-from kindred.plans.extract import edges, extract_all, pair_table
+from kindred.plans.extract import extract_all, pair_table
 from kindred.plans.ledger import Ledger, logged
 from kindred.plans.master import master_table
 from kindred.plans.resolve import MAX_STEPS, resolve
-from kindred.plans.stats import result_key_stats, source_key_stats
+from kindred.plans.stats import result_key_stats, source_key_stats_of_ranks
 from kindred.plans.unify import Unified, resolve_delta
 from kindred.sources import tables
 from kindred.sources.scratch import Scratch
@@ -135,7 +135,7 @@ def _full(spark: SparkSession, sources: Mapping[str, DataFrame], cfg: Config, ro
         graph = tables.load(spark, f"{root}/{name}_graph")
         tables.replace_by_keys(K.lookup_table(graph, level), f"{root}/{name}_lookup", ["canonical_id"], _buckets(graph.count(), buckets), run_id)
         lookup = K.assert_one_canonical_per_id(tables.load(spark, f"{root}/{name}_lookup"))
-        _store(spark, source_key_stats(edges(pairs, count, as_of), one, level, as_of), f"{root}/{name}_source_key_stats")
+        _store(spark, source_key_stats_of_ranks(result.seen, result.followers, one, level, as_of), f"{root}/{name}_source_key_stats")
         _store(spark, result_key_stats(graph, one, level, as_of), f"{root}/{name}_result_key_stats")
         _store(spark, K.key_dim(spark, level), f"{root}/{name}_keys")
         _store(spark, K.table_dim(spark, cfg), f"{root}/{name}_tables")

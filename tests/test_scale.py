@@ -152,3 +152,34 @@ def test_documents_with_an_id_of_their_own_are_not_ordered(spark):
     kept = simhash_index.stage(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted((r.doc_id or 0, r.text) for r in kept.collect())[-3:] == [(1, words[0]), (2, words[1]), (3, words[3])]
     assert "Union" in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_source_stats_of_ranks_are_those_of_the_graph(spark):
+    """From what resolving has made already, without joining every link with its follower again."""
+    from kindred.plans import stats
+
+    rng = random.Random(5)
+    rows = []
+    for _ in range(400):
+        ids = rng.sample([(f"e{i}", 1) for i in range(60)] + [(f"c{i}", 2) for i in range(40)] + [("hub", 3)], rng.randint(1, 3))
+        rows.append((sorted(ids, key=lambda x: x[1]), rng.randint(1, 99), rng.randint(1, len(CFG.tables))))
+    records = spark.createDataFrame(rows, f"id_ns_array array<{X.ID_TYPE}>, time long, source_table_id long")
+    pairs = Scratch(spark, "test").save(X.pair_table(records, len(CFG.tables)), "pairs")
+    assert pairs.groupBy("follower_id", "follower_ns").count().filter("count > 2").count() and pairs.count() > 100
+    done = R.resolve(pairs, CID, len(CFG.tables), AS_OF, saved=True, written=False)
+    expected = stats.source_key_stats(X.edges(pairs, len(CFG.tables), AS_OF), CFG, CID, AS_OF)
+    found = stats.source_key_stats_of_ranks(done.seen, done.followers, CFG, CID, AS_OF)
+    assert found.columns == expected.columns and found.dtypes == expected.dtypes
+    assert sorted(found.collect()) == sorted(expected.collect())
+
+
+def test_small_partitions_are_not_merged_down_to_one_per_core(spark):
+    """One task more than cores is a second round of tasks."""
+    from kindred.session import configure
+
+    name = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
+    before = spark.conf.get(name, None)
+    try:
+        assert int(configure(spark).conf.get(name)) >= 2 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
