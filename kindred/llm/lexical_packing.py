@@ -2,9 +2,9 @@
 
 Every window of a long document that it fills alone is a sequence of its own,
 made where the document is read. What is left (whole short documents, and the
-rests of long ones) is packed in shards of bounded size: rests are ordered by a
-locality key, the smallest hash among their ids of highest inverse frequency, and
-dealt out by ranges of it, so that similar texts share a shard and a group of copies of any
+rests of long ones) is packed in shards of bounded size: rests have a
+locality key, the smallest hash among their ids of highest inverse frequency, and are
+dealt out by ranges of it that hold equally many ids, so that similar texts share a shard and a group of copies of any
 size is spread over as many shards as it needs. Each shard holds a BM25 inverted
 index over its texts; the terms are token ids, so the document frequencies of the
 whole corpus are one array as long as the vocabulary. A seed document asks the
@@ -26,7 +26,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.llm import token_store, tokens
@@ -47,6 +47,7 @@ def frequencies(encoded: DataFrame, size: int, kind: np.dtype) -> tuple[np.ndarr
     """Documents containing each id, documents, and their mean length, over the whole corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
+        tokens.forget()
         found, docs, total = np.zeros(size, dtype=np.int64), 0, 0
         marks = np.zeros(size, dtype=bool)
         for batch in batches:
@@ -116,7 +117,9 @@ def split(encoded: DataFrame, kind: np.dtype, idf: np.ndarray, window: int = WIN
                 if full < len(ids):
                     distinct = distinct_ids(ids, marks)
                     telling = telling_terms(distinct, idf)
-                    add(doc, full, ids[full:], len(ids), None, int(_mixed(telling).min()), ids[full:].tobytes())
+                    # Its number tells it from rests of the same document id and text.
+                    add(doc, full, ids[full:], len(ids), seq, int(_mixed(telling).min()), ids[full:].tobytes())
+                    seq += 1
             yield out
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, seq long, near long, rest binary"
@@ -191,6 +194,8 @@ def pack_rests(rests: DataFrame, kind: np.dtype, idf: np.ndarray, mean: float, w
     """One shard per partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
+        # A worker that has encoded before would hold its pieces beside the shard.
+        tokens.forget()
         rows = [r for batch in batches for r in zip(*[c.to_pylist() for c in batch.columns])]
         if not rows:
             return
@@ -206,6 +211,25 @@ def pack_rests(rests: DataFrame, kind: np.dtype, idf: np.ndarray, mean: float, w
     return map_batches(rests.select("doc_id", "start", "doc_tokens", F.spark_partition_id().alias("part"), "rest"), run, PIECES)
 
 
+def dealt(rests: DataFrame, shard_tokens: int) -> DataFrame:
+    """The rests, one shard per partition, in the order of the locality key.
+
+    A key is the hash of one id, so the tokens of every key are at most as many numbers as the
+    vocabulary. Laid end to end in key order they give a shard to every place; a rest takes its place
+    among those of its key by a hash. A shard so has about ``shard_tokens``, whatever the lengths of its rests.
+    """
+    spread = F.xxhash64("doc_id", "ids_crc32", "part", "seq")
+    total = rests.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
+    shards = max(1, -(-total // shard_tokens))
+    before = Window.orderBy("near").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rests.groupBy("near").agg(F.sum("length").alias("_size"))
+    starts = sizes.select("near", "_size", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    place = F.col("_start") + F.col("_size") * (F.pmod(spread, F.lit(1 << 20)) / F.lit(1 << 20))
+    shard = F.least(F.floor(place * F.lit(shards) / F.lit(max(total, 1))), F.lit(shards - 1)).cast("int")
+    placed = rests.join(F.broadcast(starts), "near").withColumn("_shard", shard).drop("_size", "_start")
+    return placed.repartitionById(shards, F.col("_shard")).drop("_shard").sortWithinPartitions("near", spread, "doc_id", "start")
+
+
 def pack(docs: DataFrame, path: str, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS, **columns) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     scratch = Scratch(docs.sparkSession, "packing")
@@ -214,14 +238,10 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, shard_tokens: int = S
     found, n_docs, mean = frequencies(encoded, size, kind)
     idf = inverse_frequency(found, n_docs)
     cut = scratch.save(split(encoded, kind, idf, window), "cut")
-    rests = cut.filter(F.col("rest").isNotNull())
-    total = rests.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
-    shards = max(1, -(-total // shard_tokens))
-    spread = F.xxhash64("doc_id", "ids_crc32")
-    dealt = rests.repartitionByRange(shards, F.col("near"), spread).sortWithinPartitions("near", spread, "doc_id", "start")
+    rests = dealt(cut.filter(F.col("rest").isNotNull()), shard_tokens)
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     # Even numbers for full windows, odd ones for packed shards; a partition has fewer than 2^32 sequences.
     number = lambda odd: (F.shiftleft(F.shiftleft(F.col("part").cast("long"), 32) + F.col("seq"), 1) + odd).alias("sequence_id")
     full = cut.filter(F.col("rest").isNull()).select(*columns[:5], number(0), F.lit(0).cast("long").alias("offset"))
-    packed = pack_rests(dealt, kind, idf, mean, window).select(*columns[:5], number(1), "offset")
+    packed = pack_rests(rests, kind, idf, mean, window).select(*columns[:5], number(1), "offset")
     return full.unionByName(packed)

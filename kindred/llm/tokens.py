@@ -163,6 +163,11 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def forget() -> None:
+    """Give up the worker's encoders and what they remember; for tasks that come after all encoding."""
+    _ENCODERS.clear()
+
+
 def chunks(column: pa.Array, most: int = 1_000_000) -> Iterable[list]:
     """Runs of the texts of a column of about ``most`` bytes; a batch of long texts is never held as Python strings at once."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)

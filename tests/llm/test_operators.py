@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from kindred.llm import (
@@ -324,3 +325,31 @@ def test_neighbours_are_those_of_whole_queries():
         got = list(shard.neighbours(seed, unused))
         assert sorted(got) == sorted(scores)
         assert all(scores[a] >= scores[b] - 1e-3 for a, b in zip(got, got[1:]))
+
+
+def test_shards_hold_equally_many_tokens(spark):
+    """Ranges of equally many rows put all long rests into one shard; so did rests without an id and of one text."""
+    row = lambda i, doc, n, near: (doc, 0, n, 7, n, 0, i, near, b"")
+    rows = [row(i, i, 1, 1) for i in range(4000)] + [row(i, i, 100, 2) for i in range(4000, 4400)] + [row(i, None, 10, 3) for i in range(4400, 8400)]
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, seq long, near long, rest binary"
+    found = lexical_packing.dealt(spark.createDataFrame(rows, schema), 8400)
+    parts = found.groupBy(F.spark_partition_id().alias("p")).agg(F.sum("length").alias("n"), F.count("*").alias("rows")).collect()
+    assert sum(r["n"] for r in parts) == 84_000 and sum(r["rows"] for r in parts) == 8400
+    assert found.rdd.getNumPartitions() == 10 and max(r["n"] for r in parts) < 1.5 * 8400
+
+
+def test_a_worker_packs_without_the_pieces_it_has_encoded(spark, monkeypatch):
+    from kindred.llm import tokens
+
+    monkeypatch.setattr(tokens, "_ENCODERS", {})
+    before = tokens.encoder(BYTE).encode(["some words, again some words"])
+    monkeypatch.setattr(lexical_packing, "map_batches", lambda df, run, schema: run(iter(())))
+    assert list(lexical_packing.pack_rests(Rests(), np.dtype("<u2"), np.zeros(0), 1.0)) == [] and not tokens._ENCODERS
+    assert tokens.encoder(BYTE).encode(["some words, again some words"]) == before
+
+
+class Rests:
+    """Stands for a table of rests."""
+
+    def select(self, *columns):
+        return self
