@@ -34,10 +34,12 @@ from kindred.llm.common import map_batches
 from kindred.sources.scratch import Scratch
 
 WINDOW = 2048
-#: Tokens per shard, ids that make the locality key, neighbours that are sorted at first, and the usual BM25 constants.
+#: Tokens per shard, ids that make the locality key, neighbours that are sorted at first, the part of a shard's texts
+#: (one in so many) that makes a term common, and the usual BM25 constants.
 SHARD_TOKENS = 1_000_000
 KEY_TERMS = 32
 FIRST = 64
+COMMON = 4
 K1, B = 1.2, 0.75
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, seq long, offset long"
@@ -49,11 +51,10 @@ def frequencies(encoded: DataFrame, size: int, kind: np.dtype) -> tuple[np.ndarr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         tokens.forget()
         found, docs, total = np.zeros(size, dtype=np.int64), 0, 0
-        marks = np.zeros(size, dtype=bool)
         for batch in batches:
             for packed in batch.column(0).to_pylist():
                 ids = np.frombuffer(packed, dtype=kind)
-                found[distinct_ids(ids, marks)] += 1
+                found[distinct_ids(ids)] += 1
                 docs, total = docs + 1, total + len(ids)
         at = np.nonzero(found)[0]
         yield {"term": [-2, -1, *at.tolist()], "n": [docs, total, *found[at].tolist()]}
@@ -71,12 +72,17 @@ def inverse_frequency(found: np.ndarray, docs: int) -> np.ndarray:
     return np.log1p((docs - found + 0.5) / (found + 0.5)).astype(np.float32)
 
 
-def distinct_ids(ids: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    """The distinct ids in order; ``marks`` has a place for every id and is left as it came."""
-    marks[ids] = True
-    found = np.flatnonzero(marks)
-    marks[found] = False
-    return found
+def distinct_ids(ids: np.ndarray) -> np.ndarray:
+    """The distinct ids in order."""
+    ordered = np.sort(ids)
+    return ordered[_firsts(ordered)]
+
+
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Marks the first of equal neighbours."""
+    out = np.ones(len(ordered), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=out[1:])
+    return out
 
 
 def telling_terms(terms: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -100,7 +106,6 @@ def split(encoded: DataFrame, kind: np.dtype, idf: np.ndarray, window: int = WIN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         seq, part = 0, 0
-        marks = np.zeros(len(idf), dtype=bool)
         for batch in batches:
             out: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "seq", "near", "rest")}
 
@@ -115,7 +120,7 @@ def split(encoded: DataFrame, kind: np.dtype, idf: np.ndarray, window: int = WIN
                     add(doc, at, ids[at : at + window], len(ids), seq, None, None)
                     seq += 1
                 if full < len(ids):
-                    distinct = distinct_ids(ids, marks)
+                    distinct = distinct_ids(ids)
                     telling = telling_terms(distinct, idf)
                     # Its number tells it from rests of the same document id and text.
                     add(doc, full, ids[full:], len(ids), seq, int(_mixed(telling).min()), ids[full:].tobytes())
@@ -132,26 +137,41 @@ class Shard:
     def __init__(self, rests: list[np.ndarray], idf: np.ndarray, mean: float):
         self.rests, self.idf = rests, idf
         self.lengths = np.array([len(r) for r in rests], dtype=np.int64)
+        # Text and term of every id, in order.
+        both = np.repeat(np.arange(len(rests)) << 32, self.lengths) + np.concatenate(rests)
+        both.sort()
+        at = np.flatnonzero(_firsts(both))
+        tf = np.diff(at, append=len(both)).astype(np.float32)
+        text, term = both[at] >> 32, both[at] & 0xFFFFFFFF
+        self.terms = np.split(term, np.searchsorted(text, np.arange(1, len(rests))))
         # Postings by term: text and weight, as one array per term.
-        terms = [np.unique(r, return_counts=True) for r in rests]
-        self.terms = [t for t, _ in terms]
-        term = np.concatenate(self.terms).astype(np.int64)
-        text = np.repeat(np.arange(len(rests)), [len(t) for t in self.terms])
-        tf = np.concatenate([c for _, c in terms]).astype(np.float32)
         norm = K1 * (1 - B + B * self.lengths[text] / max(mean, 1.0))
         weight = (idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)
         order = np.argsort(term, kind="stable")
         self.text, self.weight = text[order], weight[order]
         self.heads = np.searchsorted(term[order], np.arange(len(idf) + 1))
+        # The weights of a common term are also a row over all texts; in all these are at most COMMON as many numbers as postings.
+        common = np.flatnonzero(COMMON * np.diff(self.heads) >= len(rests))
+        self.row = np.full(len(idf), -1)
+        self.row[common] = np.arange(len(common))
+        often = self.row[term] >= 0
+        self.rows = np.zeros((len(common), len(rests)), dtype=np.float32)
+        self.rows[self.row[term[often]], text[often]] = weight[often]
+
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of every text for all ids of the seed."""
+        terms = self.terms[seed]
+        row = self.row[terms]
+        rare = terms[row < 0]
+        first = self.heads[rare]
+        size = self.heads[rare + 1] - first
+        at = np.arange(size.sum()) + np.repeat(first - np.cumsum(size) + size, size)
+        found = np.bincount(self.text[at], weights=self.weight[at], minlength=len(self.rests))
+        return found + self.rows[row[row >= 0]].sum(axis=0)
 
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
         """All unused texts that share an id with the seed, best first; equal scores in the order of the shard."""
-        spans = [slice(self.heads[t], self.heads[t + 1]) for t in self.terms[seed].tolist()]
-        scores = np.bincount(
-            np.concatenate([self.text[s] for s in spans]),
-            weights=np.concatenate([self.weight[s] for s in spans]),
-            minlength=len(self.rests),
-        )
+        scores = self.scores(seed)
         found = np.flatnonzero((scores > 0) & unused)
         # A window takes few: the others are sorted only if they are asked for.
         least = np.partition(scores[found], -FIRST)[-FIRST] if len(found) > FIRST else 0.0

@@ -56,7 +56,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
         last = np.array([end], dtype=enc.kind).tobytes()
         for batch in batches:
             ids, at = batch.column(0), 0
-            for texts in tokens.chunks(batch.column(1)):
+            for texts in tokens.runs(batch.column(1)):
                 packed = [p + last for p in enc.encode(texts)]
                 yield {"doc_id": ids.slice(at, len(texts)), "packed": packed, "bytes": [len(p) for p in packed]}
                 at += len(texts)
@@ -94,7 +94,7 @@ def frames(docs: DataFrame, path: str, dictionary: bytes, doc_id: str = "doc_id"
         last = np.array([end], dtype=enc.kind).tobytes()
         for batch in batches:
             ids, at = batch.column(0), 0
-            for texts in tokens.chunks(batch.column(1)):
+            for texts in tokens.runs(batch.column(1)):
                 packed = [p + last for p in enc.encode(texts)]
                 n = [len(p) // enc.kind.itemsize for p in packed]
                 yield {"doc_id": ids.slice(at, len(texts)), "n_tokens": n, "frame": [press.compress(p) for p in packed]}

@@ -2,8 +2,9 @@
 
 The pre-tokenizers used here never join the end of a word with white space after
 it. So a text can be cut before every run of white space, and its ids are those of
-its pieces one after the other. Each Python worker keeps the ids of the pieces it
-has met; the library is asked for new pieces only.
+its pieces one after the other. A run of texts is cut as one array of bytes, and its
+distinct pieces are found in Arrow. Each Python worker keeps the ids of the pieces it
+has met, as Arrow arrays too; the library is asked for new pieces only.
 """
 
 from __future__ import annotations
@@ -11,9 +12,9 @@ from __future__ import annotations
 import json
 import os
 import re
-import struct
 import unicodedata
-from collections.abc import Iterable
+from array import array
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +23,23 @@ import pyarrow.compute as pc
 #: White space by the Unicode property, as the pre-tokenizers see it.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-#: Bytes of pieces and ids that a worker remembers, the longest piece worth it, and bytes of an entry besides its text and ids.
-MEMO_BYTES = 140 << 20
+#: Pieces that a worker remembers, the longest one worth it, and bytes of texts that are cut and looked up at a time.
+MEMO_PIECES = 1_500_000
 LONGEST = 64
-ENTRY_BYTES = 190
+RUN_BYTES = 16 << 20
+#: What a piece counts for one run of texts later.
+FADING = 0.9
+
+#: Marks that no pre-token begins with in any other way (an apostrophe may, and special tokens have angles and bars).
+MARKS = ".,;:!?*&#%$)"
+
+#: Per byte: 1 for white space, 2 where a longer character that may be white space begins, 3 for marks, 4 for A-Z and a-z.
+_LONG_WHITE = [c.encode() for c in map(chr, range(0x80, 0x3001)) if re.match(f"[{WHITE}]", c)]
+_KINDS = np.zeros(256, dtype=np.uint8)
+_KINDS[[b for b in range(128) if re.match(f"[{WHITE}]", chr(b))]] = 1
+_KINDS[[c[0] for c in _LONG_WHITE]] = 2
+_KINDS[list(MARKS.encode())] = 3
+_KINDS[[b for b in range(128) if chr(b).isalpha()]] = 4
 
 END = 1
 _ENCODERS: dict[str, Encoder] = {}
@@ -60,8 +74,6 @@ class Words:
     ``MARKS`` behind it, these have one outcome: the word and the run are pre-tokens.
     """
 
-    #: Marks that no pre-token begins with in any other way (an apostrophe may, and special tokens have angles and bars).
-    MARKS = ".,;:!?*&#%$)"
     LONGEST_RUN = 8
     PROBES = ["Word", " word", "\nÉté,", " naïve.", "x.", " Straße,", "\nB", " end.***", " a&&&", "\nSo!!", " b.).", " c,###", " d;:?%%%"]
 
@@ -82,7 +94,7 @@ class Words:
         """None where the piece is not such a word."""
         head = piece[0]
         body = piece[1:] if head in " \n" else piece
-        word = body.rstrip(self.MARKS)
+        word = body.rstrip(MARKS)
         if not word.isalpha():
             return None
         marks = body[len(word) :]
@@ -105,29 +117,67 @@ class Words:
         return out + run if run else out
 
 
-class Memo(dict):
-    """Packed ids by piece; a piece that is not there is encoded when it is asked for.
+def cuts(data: np.ndarray, offsets: np.ndarray, marks: bool) -> np.ndarray:
+    """Where pieces begin in the UTF-8 bytes of texts: at every text that is not empty and every run of white space.
 
-    When half of the bytes are used, what is there becomes the older half, and the
-    half before it goes. Pieces that are asked for again move up.
+    With ``marks`` (see ``Words``) also at a mark that ends a piece of nothing else but letters after a space or line end.
+    """
+    kinds = _KINDS[data]
+    white = kinds == 1
+    lead = np.flatnonzero(kinds == 2)
+    for length in (2, 3):
+        code = sum(data[np.minimum(lead + i, len(data) - 1)].astype(np.int32) << 8 * (length - 1 - i) for i in range(length))
+        wide = lead[np.isin(code, [int.from_bytes(c) for c in _LONG_WHITE if len(c) == length])]
+        for i in range(length):
+            white[wide + i] = True
+    begins = white.copy()
+    begins[1:] &= ~white[:-1]
+    begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    starts = np.flatnonzero(begins)
+    if not marks:
+        return starts
+    last = np.append(starts[1:], len(data)) - 1
+    marked = np.flatnonzero((kinds[last] == 3) & (last - starts > 1))
+    first, last = starts[marked], last[marked]
+    others = np.cumsum(kinds != 4, dtype=np.int32)
+    plain = (others[last - 1] == others[first]) & ((kinds[first] == 4) | (data[first] == 32) | (data[first] == 10))
+    begins[last[plain]] = True
+    return np.flatnonzero(begins)
+
+
+class Memo:
+    """Packed ids by piece; those of pieces that are not there are made when they are asked for.
+
+    Beyond ``most`` pieces, those met in many runs of texts or lately stay.
     """
 
-    def __init__(self, encode, most: int = MEMO_BYTES):
-        super().__init__()
-        self.encode, self.most, self.held, self.older = encode, most, 0, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            ids = self.encode(piece)
-        if len(piece) <= LONGEST:
-            self[piece] = ids
-            self.held += ENTRY_BYTES + len(piece) + len(ids)
-            if 2 * self.held > self.most:
-                self.older = dict(self)
-                self.clear()
-                self.held = 0
-        return ids
+    def __init__(self, make: Callable[[list[str]], pa.Array], most: int = MEMO_PIECES):
+        self.make, self.most = make, most
+        self.pieces, self.packed = pa.array([], pa.string()), pa.array([], pa.binary())
+        self.score = np.empty(0, dtype=np.float32)
+
+    def of(self, pieces: pa.Array) -> pa.Array:
+        """Packed ids of distinct pieces, in their order."""
+        # The pieces asked for are hashed, not the many more that are known.
+        met = pc.fill_null(pc.index_in(self.pieces, value_set=pieces), -1).to_numpy()
+        known = np.flatnonzero(met >= 0)
+        at = np.full(len(pieces), -1, dtype=np.int64)
+        at[met[known]] = known
+        new = pieces.take(pa.array(np.flatnonzero(at < 0)))
+        at[at < 0] = len(self.pieces) + np.arange(len(new))
+        held, packed = pa.concat_arrays([self.pieces, new]), pa.concat_arrays([self.packed, self.make(new.to_pylist())])
+        self.score = np.concatenate([self.score * np.float32(FADING), np.zeros(len(new), dtype=np.float32)])
+        self.score[at] += 1
+        self.keep(held, packed)
+        return packed.take(pa.array(at))
+
+    def keep(self, pieces: pa.Array, packed: pa.Array) -> None:
+        stay = np.flatnonzero(pc.binary_length(pieces).to_numpy() <= LONGEST)
+        if len(stay) > self.most:
+            stay = np.sort(stay[np.argpartition(-self.score[stay], self.most * 2 // 3)[: self.most * 2 // 3]])
+        if len(stay) < len(pieces):
+            pieces, packed, self.score = pieces.take(pa.array(stay)), packed.take(pa.array(stay)), self.score[stay]
+        self.pieces, self.packed = pieces, packed
 
 
 class Encoder:
@@ -138,19 +188,40 @@ class Encoder:
         self.words = Words(self.tokenizer)
         self.kind = kind(path)
         self.letter = "H" if self.kind.itemsize == 2 else "I"
-        self.memo = Memo(self.piece)
-
-    def piece(self, piece: str) -> bytes:
-        """Ids of one piece, from the model or else from the whole library."""
-        ids = self.words.ids(piece) if self.words.works else None
-        if ids is None:
-            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}{self.letter}", *ids)
-
-    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
+        self.memo = Memo(self.make)
+
+    def make(self, pieces: list[str]) -> pa.Array:
+        """Packed ids of pieces, from the model or else from the whole library."""
+        flat, ends = array(self.letter), [0]
+        for piece in pieces:
+            ids = self.words.ids(piece) if self.words.works else None
+            flat.extend(self.tokenizer.encode(piece, add_special_tokens=False).ids if ids is None else ids)
+            ends.append(len(flat))
+        offsets = np.array(ends, dtype=np.int64) * self.kind.itemsize
+        data = np.frombuffer(flat, dtype=f"=u{self.kind.itemsize}").astype(self.kind) if flat else np.empty(0, dtype=self.kind)
+        return pa.Array.from_buffers(pa.binary(), len(pieces), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+
+    def encode(self, texts: Iterable[str | None] | pa.Array) -> list[bytes]:
         """Ids of every text, packed."""
-        look = self.memo.__getitem__
-        return [b"".join(map(look, PIECE.findall(t))) if t else b"" for t in texts]
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        return [packed for run in runs(pc.fill_null(column.cast(pa.string()), "")) for packed in self.run(run)]
+
+    def run(self, texts: pa.Array) -> list[bytes]:
+        """Ids of every text of an array of strings without NULLs, packed."""
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        if offsets[0] == offsets[-1]:
+            return [b""] * len(texts)
+        data = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        starts = cuts(data, offsets, self.words.works)
+        ends = np.append(starts, len(data)).astype(np.int32)
+        met = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(data)).dictionary_encode()
+        ids = self.memo.of(met.dictionary).take(met.indices)
+        _, places, packed = ids.buffers()
+        places = np.frombuffer(places, dtype=np.int32)[np.searchsorted(starts, offsets)].tolist()
+        view = memoryview(packed) if packed is not None else b""
+        return [bytes(view[a:b]) for a, b in zip(places, places[1:])]
 
     def ids(self, packed: bytes) -> np.ndarray:
         return np.frombuffer(packed, dtype=self.kind)
@@ -168,12 +239,19 @@ def forget() -> None:
     _ENCODERS.clear()
 
 
-def chunks(column: pa.Array, most: int = 1_000_000) -> Iterable[list]:
-    """Runs of the texts of a column of about ``most`` bytes; a batch of long texts is never held as Python strings at once."""
+def runs(column: pa.Array, most: int = RUN_BYTES) -> Iterable[pa.Array]:
+    """Slices of a column of texts, alike and of about ``most`` bytes at most."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    each = -(-int(ends[-1]) // -(-int(ends[-1]) // most)) if len(ends) else most
     at = 0
     while at < len(column):
         before = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
-        yield column.slice(at, to - at).to_pylist()
+        to = max(at + 1, int(np.searchsorted(ends, before + each, side="right")))
+        yield column.slice(at, to - at)
         at = to
+
+
+def chunks(column: pa.Array, most: int = 1_000_000) -> Iterable[list]:
+    """The same as lists; a batch of long texts is never held as Python strings at once."""
+    for run in runs(column, most):
+        yield run.to_pylist()

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -173,6 +174,42 @@ def test_token_store(spark, docs, rows, empty):
     assert token_store.read(spark, scratch.path("empty")).count() == 0
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_pieces_are_cut_as_the_library_sees_white_space(path):
+    from kindred.llm import tokens
+
+    rng = random.Random(8)
+    texts = [None, "", " ", "\u0085", "a\u00a0 b\u3000\u2003c", "x\u200b y\u1680z", "é\u00e9", "don't\x1cyou", "<|endoftext|> a<|endoftext|>", "w" * 400 + " v"]
+    texts += ["".join(rng.choice("ab ,'s\n\tréll<|> e0 .\u00a0\u2028\u205f\u3000\x85é日") for _ in range(rng.randint(0, 60))) for _ in range(500)]
+    encoder, tokenizer = tokens.Encoder(path), Tokenizer.from_file(path)
+    want = [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, dtype="<u2").tobytes() for t in texts]
+    assert encoder.encode(texts) == want
+    encoder.memo.most = 30
+    assert [encoder.encode([t])[0] for t in texts] == want and len(encoder.memo.pieces) <= 30
+    assert encoder.encode(pa.array(texts).slice(7, 90)) == want[7:97]
+
+
+def test_half_a_million_pieces_are_asked_for_once():
+    """More than the pieces that were remembered when each was a Python string."""
+    from kindred.llm import tokens
+
+    encoder, asked = tokens.Encoder(WORD), 0
+    ids = encoder.words.ids
+
+    def counted(piece):
+        nonlocal asked
+        asked += 1
+        return ids(piece)
+
+    encoder.words.ids = counted
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [" ".join(a + b + c + d for c in letters for d in letters) for a in letters for b in letters[:20]] + ["plus " + "qu" * 20]
+    texts += [" ".join(a + b + c + d + "e" for c in letters for d in letters) for a in letters for b in letters[:9]]
+    first = encoder.encode(texts)
+    once = asked
+    assert once > 500_000 and encoder.encode(texts) == first and asked == once
+
+
 def test_decontamination(spark, docs, rows, empty):
     bench = spark.createDataFrame([(*i, "x") for i in ITEMS], "item_id long, text string, term string")
     names = ("id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -327,6 +364,25 @@ def test_neighbours_are_those_of_whole_queries():
         assert all(scores[a] >= scores[b] - 1e-3 for a, b in zip(got, got[1:]))
 
 
+def test_common_terms_are_scored_as_rows():
+    """Of a term that many texts have, no list of postings is walked for a seed; scores and their order stay."""
+    rng = np.random.default_rng(4)
+    rests = [np.concatenate([rng.permutation(60), 60 + rng.integers(0, 5000, 20)]).astype(np.uint16) for _ in range(200)]
+    rests += [rests[3], rests[3], np.array([5100], dtype=np.uint16)]
+    found = np.bincount(np.concatenate([np.unique(r) for r in rests]), minlength=5200)
+    idf = lexical_packing.inverse_frequency(found, len(rests))
+    shard = lexical_packing.Shard(rests, idf, 80.0)
+    assert (shard.row[:60] >= 0).all() and shard.rows.size <= lexical_packing.COMMON * len(shard.text)
+    for seed in (0, 3, 202):
+        want = np.zeros(len(rests))
+        for t in np.unique(rests[seed]).tolist():
+            span = slice(shard.heads[t], shard.heads[t + 1])
+            want[shard.text[span]] += shard.weight[span]
+        assert np.allclose(shard.scores(seed), want, rtol=1e-5)
+    same = shard.scores(3)
+    assert same[3] == same[200] == same[201] and [i for i in shard.neighbours(3, np.ones(len(rests), bool)) if i in (3, 200, 201)] == [3, 200, 201]
+
+
 def test_shards_hold_equally_many_tokens(spark):
     """Ranges of equally many rows put all long rests into one shard; so did rests without an id and of one text."""
     row = lambda i, doc, n, near: (doc, 0, n, 7, n, 0, i, near, b"")
