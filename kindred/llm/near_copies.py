@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.common import map_batches
+from kindred.llm.common import map_batches, may_be_among
 from kindred.llm.components import roots
 from kindred.sources.scratch import Scratch
 
@@ -97,6 +97,8 @@ def sets(rows: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, whole: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """The pairs ``x``, ``y`` of at least the similarity."""
+    # Sets of other ids are not moved.
+    whole = may_be_among(whole, "id", pairs.select(F.explode(F.array("x", "y")).alias("id"))).filter("_may").drop("_may")
     two = pairs.join(whole.select(F.col("id").alias("y"), F.col("hashes").alias("hy")), "y").join(whole.select(F.col("id").alias("x"), F.col("hashes").alias("hx")), "x")
     sized = two.select("x", "y", (F.size("hx") + F.size("hy")).alias("both"), F.size(F.array_intersect("hx", "hy")).alias("shared"))
     return scratch.save(sized.filter(WHOLE * F.col("shared") >= PART * (F.col("both") - F.col("shared"))).select("x", "y"), f"{name}-links")
@@ -106,18 +108,22 @@ def links(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str =
     """Links ``x``, ``y`` that join the ids of near copies."""
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).filter(F.col("id").isNotNull())
     found = scratch.save(signatures(rows), "signatures")
-    nodes = scratch.save(found.groupBy("digest").agg(F.min("id").alias("node")), "nodes")
-    copies = found.select("id", "digest").join(nodes, "digest").filter("id <> node").select(F.col("id").alias("x"), F.col("node").alias("y"))
+    # Equal digests have equal keys.
+    grouped = found.groupBy("digest").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    nodes = scratch.save(grouped, "nodes")
+    copies = found.select("id", "digest").join(nodes.select("digest", "node"), "digest").filter("id <> node").select(F.col("id").alias("x"), F.col("node").alias("y"))
     joined = scratch.save(copies, "copies")
-    posted = found.join(nodes, (found["digest"] == nodes["digest"]) & (found["id"] == nodes["node"])).select("node", "n", "keys", F.explode("keys").alias("key"))
-    # The smallest id and the number of members of every bucket, without a window over it.
-    posted = scratch.save(posted.distinct(), "posted")
+    # The smallest id and the number of members of every bucket, without a window over it. All bands of a text
+    # travel only with what shares a bucket.
+    posted = nodes.select("digest", "node", F.explode("keys").alias("key"))
     heads = posted.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("members")).filter("members > 1").drop("members")
-    index = scratch.save(posted.join(heads, "key"), "index")
+    shared = scratch.save(posted.select("digest", "key").join(heads, "key"), "shared")
+    index = scratch.save(shared.join(nodes, "digest").select("key", "node", "n", "keys", "head"), "index")
     # Sets of what has a bucket in common with another text, by its smallest id.
     named = index.select(F.col("node").alias("id")).distinct()
-    whole = scratch.save(sets(rows.join(named, "id", "left_semi")), "sets")
-    for name in ("signatures", "nodes", "posted"):
+    # A few more do no harm, so no text is moved to find them.
+    whole = scratch.save(sets(may_be_among(rows, "id", named).filter("_may").select("id", "text")), "sets")
+    for name in ("signatures", "nodes", "shared"):
         scratch.drop(name)
     fits = lambda n, m: (WHOLE * n >= PART * m) & (WHOLE * m >= PART * n)
     sizes = index.select(F.col("node").alias("head"), F.col("n").alias("m")).distinct()
@@ -148,7 +154,8 @@ def stage(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     """The documents without those that are near copies, also through others, of one with a smaller id."""
     scratch = Scratch(docs.sparkSession, "near-copies")
     dropped = roots(links(docs, scratch, doc_id, text), scratch).select(F.col("node").alias("_dropped"))
-    own = "_near_copy"
-    while own in docs.columns:
-        own += "_"
-    return docs.join(dropped.withColumnRenamed("_dropped", own), F.col(doc_id) == F.col(own), "left_anti")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    flagged = may_be_among(docs.select(F.col(doc_id).alias("_id"), row.alias("_doc")), "_id", dropped)
+    # Only texts that may go are moved.
+    stay = flagged.filter("_may").join(dropped, F.col("_id") == F.col("_dropped"), "left_anti")
+    return flagged.filter("NOT _may").select("_doc.*").unionByName(stay.select("_doc.*"))

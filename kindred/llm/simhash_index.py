@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.llm.common import map_batches
+from kindred.llm.common import map_batches, may_be_among
 from kindred.llm.components import roots
 from kindred.sources.scratch import Scratch
 
@@ -163,12 +163,19 @@ def stage(docs: DataFrame) -> DataFrame:
     Of rows that repeat an id the one with the smallest text stays; rows without an
     id cannot be told apart and stay unless their group has a document with one.
     """
-    found = components(docs).filter(F.col("component").isNull() | (F.col("id") == F.col("component")))
+    scratch = Scratch(docs.sparkSession, "simhash-stage")
+    verdicts = scratch.save(components(docs).select("id", "component"), "verdicts")
+    found = verdicts.filter(F.col("component").isNull() | (F.col("id") == F.col("component")))
     # Read twice below.
-    wanted = Scratch(docs.sparkSession, "simhash-stage").save(found.groupBy("id").agg(F.count(F.lit(1)).alias("rows")), "wanted")
+    wanted = scratch.save(found.groupBy("id").agg(F.count(F.lit(1)).alias("rows")), "wanted")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     wrapped = docs.select(F.col("doc_id").alias("_id"), row.alias("_doc"))
-    # An id of one row needs no order, so its text is not moved for one.
+    # Most ids have one row, and it stays; such a text is not moved.
+    looked = verdicts.filter("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.min("component").alias("component"))
+    flagged = may_be_among(wrapped, "_id", looked.filter("rows > 1 OR id <> component").select("id"))
+    plain = flagged.filter(~F.col("_may") & F.col("_id").isNotNull()).select("_doc.*")
+    wrapped = flagged.filter(F.col("_may") | F.col("_id").isNull()).drop("_may")
+    # An id of one row needs no order.
     alone = wanted.filter((F.col("rows") == 1) & F.col("id").isNotNull())
     single = wrapped.join(alone, wrapped["_id"] == alone["id"], "left_semi").select("_doc.*")
     several = wanted.filter((F.col("rows") > 1) | F.col("id").isNull())
@@ -176,4 +183,4 @@ def stage(docs: DataFrame) -> DataFrame:
     first = Window.partitionBy("_id").orderBy("_doc.text")
     ranked = kept.withColumn("_rank", F.row_number().over(first))
     ranked = ranked.filter((F.col("_rank") == 1) | F.col("_id").isNull()).select("_doc.*")
-    return single.unionByName(ranked)
+    return plain.unionByName(single).unionByName(ranked)

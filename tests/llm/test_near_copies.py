@@ -3,8 +3,11 @@
 import random
 from itertools import combinations
 
+import pytest
+
 import corpus_pipeline
 from kindred.llm import near_copies, simhash_index
+from kindred.llm.common import may_be_among
 from kindred.llm.components import roots
 from kindred.sources.scratch import Scratch
 from tests.llm import brute
@@ -79,3 +82,25 @@ def test_odd_columns_and_texts(spark):
     kept = near_copies.stage(docs)
     assert kept.columns == docs.columns
     assert sorted([r.doc_id for r in kept.collect()], key=str) == [1, 3, None]
+
+
+def test_flags_miss_no_id(spark):
+    ids = spark.createDataFrame([(i,) for i in [*range(0, 3000, 7), -5, 2**62, None]], "x long")
+    rows = spark.range(3000).selectExpr("id AS k").unionByName(spark.createDataFrame([(-5,), (2**62,), (-6,), (None,)], "k long"))
+    got = {r.k: r._may for r in may_be_among(rows, "k", ids).collect()}
+    assert all(got[k] for k in [*range(0, 3000, 7), -5, 2**62]) and sum(got.values()) < 440
+    assert not any(r._may for r in may_be_among(rows, "k", ids.limit(0)).collect())
+
+
+@pytest.mark.parametrize("stage", [simhash_index.stage, near_copies.stage])
+def test_texts_that_surely_stay_are_not_moved(spark, stage):
+    docs = spark.createDataFrame([(i, t) for i, t in texts() if i is not None], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = stage(docs)._jdf.queryExecution().sparkPlan()
+        assert plan.nodeName() == "Union"
+        first = plan.children().head().toString()
+        assert "BroadcastHashJoin" in first and "SortMergeJoin" not in first
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
